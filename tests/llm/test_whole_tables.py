@@ -118,7 +118,7 @@ def test_op5(spark):
         if fit:
             assert r["verdict"] == max(fit)[2]
         else:
-            assert r["verdict"] == ("block" if re.search("casino|bets|adult", host) else "allow"), host
+            assert r["verdict"] == ("block" if re.search("casino|bets|adult|pills", host) else "allow"), host
 
 
 @pytest.mark.parametrize("sf", [SF, SF2])
