@@ -1,8 +1,5 @@
 """Queries by name, and the SQL that must give the same rows."""
 
-from __future__ import annotations
+from lawloom.plans.queries import ORACLES, QUERIES
 
-from collections.abc import Callable
-
-QUERIES: dict[str, Callable] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
