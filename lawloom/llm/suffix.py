@@ -190,6 +190,8 @@ def window_groups(segments: list[bytes], length: int) -> tuple[np.ndarray, np.nd
 
 def runs(seg: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(segment, first, last) of consecutive offsets."""
+    if not len(seg):
+        return seg, off, off
     by = np.lexsort((off, seg))
     seg, off = seg[by], off[by]
     new = np.ones(len(seg), bool)
