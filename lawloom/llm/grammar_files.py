@@ -26,6 +26,7 @@ from lawloom.llm.encode import encoded_rows
 from lawloom.llm.scratch import new_path, shuffle_width
 
 MAGIC = b"RPG1"
+MULTIPLIERS = np.random.default_rng(303).integers(0, 1 << 64, 64, np.uint64) | np.uint64(1)
 FILES = "shard long, file_no long, first_doc long, n_docs long, n_ids long, content binary"
 
 
@@ -33,33 +34,44 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int, pairs: int = 2048, leas
     """(symbols, rules, last): symbols below ``base`` are ids, the others index ``rules``.
 
     last marks the final id of a document. A round replaces up to ``pairs`` pairs that occur at least
-    ``least`` times; where chosen pairs overlap, every other one from the left is taken. Rounds end
-    when one shortens the sequence by less than ``gain``.
+    ``least`` times; where chosen pairs overlap, every other one from the left is taken. Pairs are counted
+    in a hash table with one pair a slot: of two in one slot one waits for a later round, which hashes
+    anew. Rounds end when one shortens the sequence by less than ``gain``.
     """
     s, last, rules = ids.astype(np.uint32), last.copy(), np.empty((0, 2), np.uint32)
     room = 65536 - base if base < 65536 - pairs else 1 << 20
-    for _ in range(rounds):
+    for turn in range(rounds):
         pairs_now = min(pairs, room - len(rules))
         if len(s) < 2 or pairs_now <= 0:
             break
+        bits = min(20, max(12, len(s).bit_length()))
+        size = 1 << bits
         key = (s[:-1].astype(np.uint64) << np.uint64(32)) | s[1:]
-        slot = ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-        slot[last[:-1]] = 1 << 20
-        seen = np.bincount(slot, minlength=(1 << 20) + 1)
-        seen[1 << 20] = 0
-        floor = max(least, int(np.partition(seen, -2 * pairs_now)[-2 * pairs_now]) // 2)
+        slot = ((key * MULTIPLIERS[turn % len(MULTIPLIERS)]) >> np.uint64(64 - bits)).astype(np.int64)
+        slot[last[:-1]] = size
+        seen = np.bincount(slot, minlength=size + 1)
+        seen[size] = 0
+        often, floor = seen[seen >= least], least
+        if len(often) > 2 * pairs_now:
+            floor = max(least, int(np.partition(often, -2 * pairs_now)[-2 * pairs_now]) // 2)
         at = np.flatnonzero(seen[slot] >= floor)
         if not len(at):
             break
-        found, n = np.unique(key[at], return_counts=True)
+        slot, key = slot[at], key[at]
+        owner = np.zeros(size, np.uint64)
+        owner[slot] = key
+        mine = owner[slot] == key
+        n = np.bincount(slot[mine], minlength=size)
         good = np.flatnonzero(n >= least)
         if len(good) > pairs_now:
             good = good[np.argsort(-n[good], kind="stable")[:pairs_now]]
-        chosen = np.sort(found[good])
-        if not len(chosen):
+        if not len(good):
             break
-        rule = np.minimum(np.searchsorted(chosen, key[at]), len(chosen) - 1)
-        hit = chosen[rule] == key[at]
+        chosen = owner[good]
+        rule_of = np.full(size, -1, np.int64)
+        rule_of[good] = np.arange(len(good))
+        rule = np.where(mine, rule_of[slot], -1)
+        hit = rule >= 0
         at, rule = at[hit], rule[hit]
         begins = np.ones(len(at), bool)
         begins[1:] = np.diff(at) > 1
