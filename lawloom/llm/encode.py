@@ -10,18 +10,23 @@ the pieces it has met, at most ``CACHE_ENTRIES`` of them.
 from __future__ import annotations
 
 import array
+import itertools
 import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 CACHE_ENTRIES = 1_200_000
 LONG_PIECE = 64
 JOINED = 256
 #: The sign that stands for a space in vocabularies of bytes (a fixed value of that format).
 SPACE_MARK = "\u0120"
+#: A sign without case or decomposition, so no other text turns into it, and its entry with the word end (a fixed value of that format).
+MARK = "\u20ac"
+MARK_ENTRY = "\u00e2\u0124\u00ac</w>"
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -37,8 +42,9 @@ class CachedEncoder:
         self.spaces_count = '"Split"' not in self.tokenizer.to_str()[:4000]
         self.width = 2 if self.tokenizer.get_vocab_size() < 65536 else 4
         self.code = "H" if self.width == 2 else "I"
-        self.cache: dict[str, bytes | None] = {}
+        self.cache: dict[str, bytes] = {}
         vocab = self.tokenizer.get_vocab()
+        self.mark = None if self.spaces_count else vocab.get(MARK_ENTRY)
         self.opens = np.zeros(max(vocab.values(), default=0) + 1, bool)
         for token, i in vocab.items():
             self.opens[i] = token.startswith(SPACE_MARK)
@@ -65,31 +71,57 @@ class CachedEncoder:
             parts = [parts[0], *(" " + p for p in parts[1:])]
         return b"".join(self._raw(parts))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        pieces = [t.split(" ") for t in texts]
-        first: list[str] = []
-        if self.spaces_count:  # the first piece has no space before it
-            first, pieces = [p[0] for p in pieces], [p[1:] for p in pieces]
-        wanted = set().union(*pieces)
-        missing = [w for w in wanted if w not in self.cache]
-        if len(self.cache) + len(missing) > CACHE_ENTRIES:
+    def _after_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word of a vocabulary that drops white space. JOINED words are encoded at once, with MARK between them, and cut at its id."""
+        marked = [w for w in words if MARK in w] if self.mark is not None else words
+        own = dict(zip(marked, self._raw(marked), strict=True)) if marked else {}
+        plain = [w for w in words if w not in own] if own else words
+        out: list[bytes] = []
+        for at in range(0, len(plain) if self.mark is not None else 0, JOINED):
+            part = plain[at : at + JOINED]
+            raw = self._raw([f" {MARK} ".join(part)])[0]
+            cut = (np.flatnonzero(np.frombuffer(raw, self.code) == self.mark) * self.width).tolist()
+            if len(cut) == len(part) - 1:
+                out += [raw[i:j] for i, j in zip([0, *(c + self.width for c in cut)], [*cut, len(raw)], strict=True)]
+            else:
+                out += self._raw(part)
+        if not own:
+            return out
+        own.update(zip(plain, out, strict=True))
+        return [own[w] for w in words]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes | memoryview]:
+        """Ids of each text. The texts are cut, their words numbered and the ids put together in Arrow; Python sees each different word once."""
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.large_string())
+        if not len(texts):
+            return []
+        pieces = pc.split_pattern(texts, " ")
+        begin = pieces.offsets.to_numpy().astype(np.int64)
+        coded = pieces.values.slice(begin[0], begin[-1] - begin[0]).dictionary_encode()
+        begin -= begin[0]
+        words, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
+        found = list(map(self.cache.get, words))
+        good = [i for i, x in enumerate(found) if x is None and (w := words[i]) and not w[0].isspace() and not w[-1].isspace()]
+        new = [words[i] for i in good]
+        got = self._spaced(new) if self.spaces_count else self._after_words(new)
+        for i, x in zip(good, got, strict=True):
+            found[i] = x
+        if len(self.cache) + len(new) > CACHE_ENTRIES:
             self.cache = {}
-            missing = list(wanted)
-        good = [w for w in missing if w and not w[0].isspace() and not w[-1].isspace()]
-        self.cache.update(dict.fromkeys(missing))
-        self.cache.update(zip(good, self._spaced(good) if self.spaces_count else self._raw(good), strict=True))
-        get, out = self.cache.__getitem__, []
-        heads = self._raw(first) if first else []
-        for i, p in enumerate(pieces):
-            try:
-                if heads and (not first[i] or first[i][-1].isspace()) and (p or first[i]):
-                    raise TypeError
-                out.append((heads[i] if heads else b"") + b"".join(map(get, p)))
-            except TypeError:
-                out.append(self._slow(texts[i]))
-        for w in missing:
-            if len(w) > LONG_PIECE:
-                del self.cache[w]
+        self.cache.update((w, x) for w, x in zip(new, got, strict=True) if len(w) <= LONG_PIECE)
+        if self.spaces_count:  # the first piece has no space before it
+            first, alone = [words[i] for i in codes[begin[:-1]].tolist()], (np.diff(begin) == 1).tolist()
+            codes[begin[:-1]] = len(words) + np.arange(len(first))
+            for w, x, one in zip(first, self._raw(first), alone, strict=True):
+                found.append(x if w and not w[-1].isspace() or one and not w else None)
+        whole = np.array([x is not None for x in found])[codes]
+        bad = np.concatenate([[0], np.cumsum(~whole)])
+        slow = bad[begin[1:]] > bad[begin[:-1]]
+        ids = pa.array([x or b"" for x in found], pa.large_binary()).take(pa.array(codes))
+        at, data = np.frombuffer(ids.buffers()[1], np.int64)[begin].tolist(), memoryview(ids.buffers()[2] or b"")
+        out: list[bytes | memoryview] = [data[i:j] for i, j in itertools.pairwise(at)]
+        for i in np.flatnonzero(slow).tolist():
+            out[i] = self._slow(texts[i].as_py())
         return out
 
 
@@ -103,14 +135,22 @@ def encoder(path: str) -> CachedEncoder:
     return _known[path]
 
 
-def encoded_rows(batch: pa.RecordBatch, path: str, end_id: int | None, chunk: int = 256) -> Iterator[tuple[object, np.ndarray]]:
+def text_blocks(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``most`` bytes of text, or of one row, with empty texts for null ones."""
+    text = pc.fill_null(batch.column("text"), "")
+    batch = batch.set_column(batch.schema.get_field_index("text"), "text", text)
+    block = np.cumsum(pc.binary_length(text).to_numpy().astype(np.int64)) // most
+    edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), batch.num_rows]
+    for i, j in itertools.pairwise(edges):
+        if i < j:
+            yield batch.slice(i, j - i)
+
+
+def encoded_rows(batch: pa.RecordBatch, path: str, end_id: int | None) -> Iterator[tuple[object, np.ndarray]]:
     """(doc_id, ids as uint32) of each row; null text counts as empty."""
     enc = encoder(path)
     kind = np.dtype("<u2" if enc.width == 2 else "<u4")
-    for at in range(0, batch.num_rows, chunk):
-        part = batch.slice(at, chunk)
-        ids = part.column("doc_id").to_pylist()
-        texts = [t or "" for t in part.column("text").to_pylist()]
-        for doc, raw in zip(ids, enc.encode(texts), strict=True):
+    for part in text_blocks(batch):
+        for doc, raw in zip(part.column("doc_id").to_pylist(), enc.encode(part.column("text")), strict=True):
             got = np.frombuffer(raw, kind).astype("<u4")
             yield doc, got if end_id is None else np.append(got, np.uint32(end_id))

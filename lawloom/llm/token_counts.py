@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lawloom.llm.encode import encoder
+from lawloom.llm.encode import encoder, text_blocks
 
 BLOCK = 1024
 
@@ -23,9 +23,8 @@ def token_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                got = enc.encode([t or "" for t in part.column("text").to_pylist()])
+            for part in text_blocks(b):
+                got = enc.encode(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id").cast(pa.int64()), pa.array([len(x) // enc.width for x in got], pa.int64())], names=["doc_id", "n_tokens"]
                 )
