@@ -4,7 +4,7 @@ Both vocabularies split a text before every single space that stands between
 two other characters, whatever surrounds it, so the pieces between such spaces
 can be encoded one by one; texts with other white space around a space are cut
 with a regular expression at the safe places only. A worker keeps the ids of
-the pieces it has met, at most ``CACHE_ENTRIES`` of them.
+the pieces it has met, a bounded number of them (about 200 bytes each).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 400_000
 LONG_PIECE = 64
 JOINED = 256
 #: The sign that stands for a space in vocabularies of bytes (a fixed value of that format).
@@ -33,7 +33,7 @@ SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 class CachedEncoder:
     """Ids of whole texts as little-endian bytes of ``width`` bytes an id."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -42,6 +42,7 @@ class CachedEncoder:
         self.spaces_count = '"Split"' not in self.tokenizer.to_str()[:4000]
         self.width = 2 if self.tokenizer.get_vocab_size() < 65536 else 4
         self.code = "H" if self.width == 2 else "I"
+        self.entries = entries
         self.cache: dict[str, bytes] = {}
         vocab = self.tokenizer.get_vocab()
         self.mark = None if self.spaces_count else vocab.get(MARK_ENTRY)
@@ -106,7 +107,7 @@ class CachedEncoder:
         got = self._spaced(new) if self.spaces_count else self._after_words(new)
         for i, x in zip(good, got, strict=True):
             found[i] = x
-        if len(self.cache) + len(new) > CACHE_ENTRIES:
+        if len(self.cache) + len(new) > self.entries:
             self.cache = {}
         self.cache.update((w, x) for w, x in zip(new, got, strict=True) if len(w) <= LONG_PIECE)
         if self.spaces_count:  # the first piece has no space before it
@@ -128,10 +129,11 @@ class CachedEncoder:
 _known: dict[str, CachedEncoder] = {}
 
 
-def encoder(path: str) -> CachedEncoder:
-    """The worker's own encoder for ``path``; kept from task to task."""
+def encoder(path: str, entries: int = CACHE_ENTRIES) -> CachedEncoder:
+    """The worker's own encoder for ``path``, with a cache of at most ``entries`` pieces; kept from task to task."""
     if path not in _known:
         _known[path] = CachedEncoder(path)
+    _known[path].entries = entries
     return _known[path]
 
 
@@ -146,9 +148,9 @@ def text_blocks(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.Recor
             yield batch.slice(i, j - i)
 
 
-def encoded_rows(batch: pa.RecordBatch, path: str, end_id: int | None) -> Iterator[tuple[object, np.ndarray]]:
+def encoded_rows(batch: pa.RecordBatch, path: str, end_id: int | None, entries: int = CACHE_ENTRIES) -> Iterator[tuple[object, np.ndarray]]:
     """(doc_id, ids as uint32) of each row; null text counts as empty."""
-    enc = encoder(path)
+    enc = encoder(path, entries)
     kind = np.dtype("<u2" if enc.width == 2 else "<u4")
     for part in text_blocks(batch):
         for doc, raw in zip(part.column("doc_id").to_pylist(), enc.encode(part.column("text")), strict=True):

@@ -27,6 +27,7 @@ from lawloom.llm.scratch import new_path, shuffle_width
 
 MAGIC = b"RPG1"
 MULTIPLIERS = np.random.default_rng(303).integers(0, 1 << 64, 64, np.uint64) | np.uint64(1)
+CACHED_WORDS = 1_200_000
 FILES = "shard long, file_no long, first_doc long, n_docs long, n_ids long, content binary"
 
 
@@ -174,7 +175,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, base: int, end
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, size = [], 0
-            for x, (doc, ids) in zip(b.column("shard").to_pylist(), encoded_rows(b, tokenizer, end_id), strict=True):
+            for x, (doc, ids) in zip(b.column("shard").to_pylist(), encoded_rows(b, tokenizer, end_id, CACHED_WORDS), strict=True):
                 rows.append((x, doc, ids.astype("<u2").tobytes() if base <= 65536 else ids.tobytes()))
                 size += len(ids)
                 if size > 1 << 21:
