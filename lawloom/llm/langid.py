@@ -121,7 +121,11 @@ class LanguageModel:
         if not self.names or not has_letter(text):
             return UNKNOWN, 0.0
         g = grams(text)
-        s = self.intercept + (np.add.reduce(np.take(self.table, g, axis=0), axis=0) / len(g) if len(g) else 0.0)
+        if len(g) > SIZE:  # a row of the table for each n-gram of a very long text would not be bounded
+            total = np.bincount(g, minlength=SIZE) @ self.table
+        else:
+            total = np.add.reduce(np.take(self.table, g, axis=0), axis=0)
+        s = self.intercept + total / max(1, len(g))
         p = np.exp((s - s.max()) / self.temperature)
         i = int(p.argmax())
         return self.names[i], float(p[i] / p.sum())
