@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lawloom.llm.encode import encoder, text_blocks
+from lawloom.llm.scratch import stored
 
 BLOCK = 1024
 
@@ -42,6 +43,7 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     An empty table gives no rows.
     """
     hist = lengths.where("n_tokens is not null").groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    hist = stored(hist, "lengths")  # read twice below; without it every text would be encoded twice
     hist = hist.withColumn("tokens", F.col("n_tokens") * F.col("n_docs")).withColumn("block", F.expr(f"n_tokens div {BLOCK}"))
     blocks = hist.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     later = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
