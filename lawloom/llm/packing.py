@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lawloom.llm.encode import encoded_rows
+from lawloom.llm.encode import CACHE_ENTRIES, encoded_rows
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
@@ -113,7 +113,7 @@ def pack_lengths(lengths: np.ndarray, window: int) -> tuple[list[tuple[int, int,
     return out, seq + k
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int | None = 1, flush_docs: int = 16384, with_ids: bool = False) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int | None = 1, flush_docs: int = 16384, with_ids: bool = False, cached_words: int = CACHE_ENTRIES) -> DataFrame:
     """Pieces of the encoded documents with their place in sequences of at most ``window`` ids.
 
     One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset; ``with_ids``
@@ -151,7 +151,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = 2048, end_id:
             held.clear()
 
         for b in batches:
-            for doc, ids in encoded_rows(b, tokenizer, end_id):
+            for doc, ids in encoded_rows(b, tokenizer, end_id, cached_words):
                 whole = len(ids) // window * window
                 for at in range(0, whole, window):
                     put(doc, ids[at : at + window], at, len(ids), next_seq, 0)

@@ -23,7 +23,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE), 2048, 1)
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path(WORD_BPE), 2048, 1, cached_words=1_200_000)
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
