@@ -104,6 +104,17 @@ def test_urls(spark):
     assert urls.judge_urls(df.limit(0), RULES).count() == 0
 
 
+def test_urls_all_tokens_count(spark):
+    hosts = [*["jackpot.example.net"] * 12, "jackpotwin.a.org", *(f"{x}page.example.com" for x in "news blue zebra quartz willow zebraquartz".split()), *["www.common.net"] * 40, "www.common.net"]
+    titles = ["zebra quartz willow", "blue news", *["common page www"] * (len(hosts) - 2)]
+    df = spark.createDataFrame([(i, f"http://{h}/en/{i % 3}/{'willowzebra' * (i % 2)}", f"<title>{t}</title>") for i, (h, t) in enumerate(zip(hosts, titles, strict=True))], "page_id long, url string, html string")
+    want = {r.page_id: r for r in urls.judge_urls(df, []).collect()}
+    assert want[0].verdict == "block" and want[59].verdict == "allow"
+    for most_tokens, most_words in ((3, 50_000), (50_000, 2), (3, 2)):
+        more = {"most_words": most_words} if most_words < 50_000 else {}
+        assert {r.page_id: r for r in urls.judge_urls(df, [], most_tokens, **more).collect()} == want
+
+
 def test_suffix(spark, odd, none):
     got = suffix.remove_repeats(odd, 400)
     assert ids(got) == ALL
