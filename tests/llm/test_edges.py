@@ -115,6 +115,13 @@ def test_urls_all_tokens_count(spark):
         assert {r.page_id: r for r in urls.judge_urls(df, [], most_tokens, **more).collect()} == want
 
 
+def test_urls_long_parts():
+    model = {w: -5.0 for w in (*urls.SEEDS, "page")} | {"": -12.0}
+    for pages in (10, 60, 500):
+        name = "page" * pages + "x" + "casino" + "page" * pages
+        assert "h:casino" in urls.tokens(name, "", model, {}) and "p:casino" in urls.tokens("", "/" + name, model, {})
+
+
 def test_suffix(spark, odd, none):
     got = suffix.remove_repeats(odd, 400)
     assert ids(got) == ALL
