@@ -8,21 +8,32 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from lawloom.functions import ids, rules
-from lawloom.functions.text import clean, strip_front_matter, token_estimate
+from lawloom.functions.text import strip_front_matter, token_estimate
 
 ARTICLE_LINE = r"(?m)^(?=(?:#{1,6}[ \t]*)?제\s*\d+\s*조)"
 HEAD = r"^(?:#{1,6}\s*)?(제\s*\d+\s*조(?:의\s*\d+)?)(?:\(([^)\n]*)\))?"
+PLACE = ("section_path", "chapter", "section")
 
 
-def split_articles(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, position, article_no, article_title, body) of each article; what stands before the first has no number. Blank texts give none."""
-    parts = F.posexplode(F.filter(F.split(strip_front_matter(F.col(text)), ARTICLE_LINE), lambda x: x.rlike(r"(?U)\S")))
-    rows = docs.select(key, parts.alias("position", "part"))
+def split_articles(docs: DataFrame, key: str = "doc_id", text: str = "text", headings: bool = False) -> DataFrame:
+    """(key, position, article_no, article_title, body) of each article; what stands before the first has no number. Blank texts give none.
+
+    With ``headings`` also the array of headings in force where the article begins.
+    """
+    parts = F.split(strip_front_matter(F.col(text)), ARTICLE_LINE)
+    solid = r"(?U)\S"
+    if headings:
+        rows = docs.select(key, parts.alias("parts")).withColumn("stacks", heading_stacks("parts"))
+        both = F.transform("parts", lambda x, i: F.struct(x.alias("part"), F.get("stacks", i).alias("headings")))
+        rows = rows.select(key, F.posexplode(F.filter(both, lambda x: x["part"].rlike(solid))).alias("position", "x")).select(key, "position", "x.part", "x.headings")
+    else:
+        rows = docs.select(key, F.posexplode(F.filter(parts, lambda x: x.rlike(solid))).alias("position", "part"))
     no = F.regexp_replace(F.regexp_extract("part", HEAD, 1), r"(?U)\s", "")
     title = F.regexp_extract("part", HEAD, 2)
-    return rows.select(key, "position", F.nullif(no, F.lit("")).alias("article_no"), F.nullif(title, F.lit("")).alias("article_title"), F.regexp_replace("part", r"(?U)^\s+|\s+$", "").alias("body"))
+    return rows.select(key, "position", F.nullif(no, F.lit("")).alias("article_no"), F.nullif(title, F.lit("")).alias("article_title"), F.regexp_replace("part", r"(?U)^\s+|\s+$", "").alias("body"), *["headings"] * headings)
 
 
 def article_marks(body: Column) -> dict[str, Column]:
@@ -31,13 +42,24 @@ def article_marks(body: Column) -> dict[str, Column]:
     return {"paragraph_no": F.coalesce(found(r"(?<![가-힣])([①-⑳])"), found(r"(\d+)\s*항")), "item_no": found(r"(?m)^[ \t]*(\d+)[.)]"), "appendix_no": F.regexp_replace(found(r"((?:별표|별지)\s*제?\s*\d+\s*호?)"), r"\s", "")}
 
 
-def heading_path(lines: Column) -> Column:
-    """The headings in force at the end of an array of lines, joined by `` > ``: a heading replaces those of its level and below."""
-    level = lambda x: F.length(F.regexp_extract(x, r"^(#{1,6})\s", 1))
-    heads = F.filter(lines, lambda x: x.rlike(r"^#{1,6}\s"))
-    name = lambda x: clean(F.regexp_replace(x, r"^#{1,6}\s*", ""))
-    stack = F.aggregate(heads, F.array().cast("array<struct<l:int,t:string>>"), lambda s, x: F.concat(F.filter(s, lambda y: y["l"] < level(x)), F.array(F.struct(level(x).alias("l"), name(x).alias("t")))))
-    return F.array_join(F.transform(stack, lambda y: y["t"]), " > ")
+@F.pandas_udf(ArrayType(ArrayType(StringType())))
+def heading_stacks(parts: pd.Series) -> pd.Series:
+    """For each part of a text the headings in force where it begins: a heading of level n keeps the first n - 1 of those before it."""
+
+    def stacks(parts: list[str] | None) -> list[list[str]] | None:
+        if parts is None:
+            return None
+        heads = re.finditer(r"^(#{1,6})\s+(.+)$", "".join(parts), re.M)
+        out, stack, start, head = [], [], 0, next(heads, None)
+        for part in parts:
+            while head and head.end() <= start:
+                stack = [*stack[: len(head[1]) - 1], head[2].strip()]
+                head = next(heads, None)
+            out.append(stack)
+            start += len(part)
+        return out
+
+    return parts.map(stacks)
 
 
 def estimate(text: str) -> int:
@@ -86,31 +108,32 @@ def tail(text: str, budget: int) -> str:
 def build_chunks(versions: DataFrame, target: int = 700, most: int = 1200, overlap: int = 80) -> DataFrame:
     """Chunks of versions (version_id, document_id, title, text, revision_date).
 
-    Each article is cut so that its text with the context header stays within ``most``; a piece after
+    Each article is cut so that its text with the context header, the headings in force at its start
+    included, stays within ``most``; the headings also count for its class. A piece after
     the first of an article starts with the end of the raw piece before it, as far as room is left.
     Empty and null texts have no chunks.
     """
-    articles = split_articles(versions.select("version_id", "text"), "version_id").join(versions.select("version_id", "document_id", "title", "revision_date"), "version_id")
+    articles = split_articles(versions.select("version_id", "text"), "version_id", headings=True).withColumn("section_path", F.nullif(F.array_join("headings", " > "), F.lit(""))).join(versions.select("version_id", "document_id", "title", "revision_date"), "version_id")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
-                head = estimate(f"{r.title}\n{r.article_no or ''}") + 8
+                head = estimate(f"{r.title}\n{' > '.join(x for x in (r.section_path, r.article_no) if x)}") + 8
                 pieces = divide(r.body, max(1, target - head), max(2, most - head))
                 for i, piece in enumerate(pieces):
                     room = min(overlap, most - head - estimate(piece) - 1)
                     lead = tail(pieces[i - 1], room) if i and room > 0 else ""
-                    rows.append((r.version_id, r.position, r.article_no, r.article_title, i + 1, f"{lead}\n{piece}" if lead else piece))
-            yield pd.DataFrame(rows, columns=["version_id", "position", "article_no", "article_title", "part", "text"])
+                    rows.append((r.version_id, r.position, r.section_path, r.chapter, r.section, r.article_no, r.article_title, i + 1, f"{lead}\n{piece}" if lead else piece))
+            yield pd.DataFrame(rows, columns=["version_id", "position", *PLACE, "article_no", "article_title", "part", "text"])
 
-    pieces = articles.select("version_id", "title", "position", "article_no", "article_title", "body").mapInPandas(cut, "version_id string, position int, article_no string, article_title string, part int, text string")
-    kind = rules.classify_section(F.col("text"), F.lit(""))
+    pieces = articles.select("version_id", "title", "position", "section_path", F.get("headings", F.lit(0)).alias("chapter"), F.element_at(F.nullif("headings", F.array().cast("array<string>")), -1).alias("section"), "article_no", "article_title", "body").mapInPandas(cut, "version_id string, position int, section_path string, chapter string, section string, article_no string, article_title string, part int, text string")
+    kind = rules.classify_section(F.col("text"), F.col("section_path"))
     out = pieces.withColumns(article_marks(F.col("text"))).withColumn("class", kind)
     out = out.withColumns({"section_kind": F.col("class.kind"), "retrieval_scope": F.col("class.scope"), "normative_status": F.col("class.normative"), "chunk_id": ids.chunk_id(F.col("version_id"), F.col("position") + 1, F.col("article_no"), F.col("part"))})
     out = out.join(versions.select("version_id", "document_id", "title", "revision_date"), "version_id")
     out = out.withColumn("chunk_index", F.row_number().over(Window.partitionBy("version_id").orderBy("position", "part")) - 1)
-    embed = embedding_text(F.col("title"), F.lit(""), F.col("article_no"), F.col("text"))
+    embed = embedding_text(F.col("title"), F.col("section_path"), F.col("article_no"), F.col("text"))
     return out.withColumns({"citation": citation(F.col("title"), F.col("article_no"), F.col("revision_date")), "text_for_embedding": embed, "token_count": token_estimate(embed)}).drop("class")
 
 

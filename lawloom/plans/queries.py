@@ -190,7 +190,7 @@ def citation_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def chunk_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = views.legal(spark, sf_dir).select(F.concat(F.lit("VER-unknown-"), F.col("doc_id").cast("string")).alias("version_id"), F.col("doc_id").cast("string").alias("document_id"), F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("title"), "text", F.lit(None).cast("string").alias("revision_date"))
-    return chunking.build_chunks(v).select("chunk_id", "version_id", "document_id", "article_no", "article_title", "chunk_index", "section_kind", "retrieval_scope", "citation", "token_count", F.sha2("text", 256).alias("digest"))
+    return chunking.build_chunks(v).select("chunk_id", "version_id", "document_id", "section_path", "chapter", "section", "article_no", "article_title", "chunk_index", "section_kind", "retrieval_scope", "citation", "token_count", F.sha2("text", 256).alias("digest"))
 
 
 @query("""with p as (select a.doc_id as a_id, b.doc_id as b_id, substr(a.text,1,200) as x, substr(b.text,1,200) as y from documents a join documents b on b.doc_id = a.doc_id + 20),
