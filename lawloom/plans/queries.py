@@ -84,8 +84,14 @@ def retrieval_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with t as (select doc_id, unnest(regexp_extract_all({ACCENT_SQL}, '[\\p{{L}}\\p{{N}}]+')) as term from documents) select term, count(*) as tf, count(distinct doc_id) as df from t group by term having count(distinct doc_id) >= 5")
 def postings_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The terms of five documents at least; ``postings_all`` has every term."""
+    return postings_all(spark, sf_dir).where("df >= 5")
+
+
+@query(f"with t as (select doc_id, unnest(regexp_extract_all({ACCENT_SQL}, '[\\p{{L}}\\p{{N}}]+')) as term from documents) select term, count(*) as tf, count(distinct doc_id) as df from t group by term")
+def postings_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = search.postings(views.table(spark, sf_dir, "documents"), "doc_id", ["text"])
-    return p.groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df")).where("df >= 5")
+    return p.groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
 
 
 @query("with " + V_CHAIN + " select version_id, document_id, previous_version_id, next_version_id, cast(position as int) as position from chain")
