@@ -119,7 +119,7 @@ class CachedEncoder:
         bad = np.concatenate([[0], np.cumsum(~whole)])
         slow = bad[begin[1:]] > bad[begin[:-1]]
         ids = pa.array([x or b"" for x in found], pa.large_binary()).take(pa.array(codes))
-        at, data = np.frombuffer(ids.buffers()[1], np.int64)[begin].tolist(), memoryview(ids.buffers()[2] or b"")
+        at, data = np.frombuffer(ids.buffers()[1], np.int64)[begin].tolist(), memoryview(ids.buffers()[2] or b"").cast("B")
         out: list[bytes | memoryview] = [data[i:j] for i, j in itertools.pairwise(at)]
         for i in np.flatnonzero(slow).tolist():
             out[i] = self._slow(texts[i].as_py())
