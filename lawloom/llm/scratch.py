@@ -2,13 +2,14 @@
 
 Every table written here lies below ``spark.checkpoint.dir`` (read from the
 session), so it survives the loss of an executor and is visible to all of them.
-Only where that setting is absent, as in unit tests, a folder of this process is
-made and announced to Spark.
+Only where that setting is absent and Spark runs on this machine alone, as in
+unit tests, a folder of this process is made and announced to Spark.
 """
 
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -18,11 +19,13 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share."""
+    """The folder that all executors share. RuntimeError on a cluster that names none."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found and (at := spark.sparkContext.getCheckpointDir()):
         found = at
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = tempfile.mkdtemp(prefix="lawloom-")
         atexit.register(shutil.rmtree, found, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(found)
@@ -41,6 +44,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``stored`` wrote and that nothing reads any more. What is already gone is no error."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            context = df.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -50,8 +63,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star contraction: each round is two shuffles
     of the edge list, whose size never grows; rounds are about the logarithm of
-    the longest chain. Each round is written to the shared folder.  Self loops and
-    null ends are ignored.  An empty edge list gives an empty result.
+    the longest chain. Each round is written to the shared folder. Self loops and
+    null ends are ignored. An empty edge list gives an empty result. RuntimeError if
+    ``max_rounds`` do not settle the labels.
     """
     e = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b")
     e = stored(e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
@@ -74,6 +88,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"components still change after {max_rounds} rounds")
     return (
         e.groupBy("u")
         .agg(F.min("v").alias("label"))
