@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import grammar_files, langid, media, minhash, mixing, packing, suffix, token_counts, urls, vectors
+from lawloom.llm import grammar_files, langid, media, minhash, mixing, oracles, packing, suffix, token_counts, urls, vectors
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 BYTE_BPE_SIZE = 50257
+PASSAGE_BYTES = 250
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
 
@@ -43,7 +44,8 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix.digests(_table(spark, sf_dir, "documents"), 400)
+    """Strings of 400 bytes go; n_passage_bytes also reports passages of fifty words of four letters and a blank, as the pipeline's stage removes them."""
+    return suffix.digests(_table(spark, sf_dir, "documents"), 400, passage=PASSAGE_BYTES)
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,5 +69,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_token_files, op4_near_vectors, op5_url_filter, op6_suffix_dedup, op7_minhash, op8_media, op9_mixing, op10_language)}
 
 
-#: Sums at 64 bits as in Spark. Only what SQL can express by itself: the taken words of op9 and the verdicts of op5 depend on hashes and a model.
-ORACLES: dict[str, str] = {}
+#: The others depend on a tokenizer, a model, a hash or a free layout; they are tested against brute force.
+ORACLES: dict[str, str] = {"op4_near_vectors": oracles.near_vectors(0.95), "op6_suffix_dedup": oracles.repeated_strings(400, PASSAGE_BYTES), "op7_minhash": oracles.near_documents(4, 80)}

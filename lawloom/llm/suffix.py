@@ -1,13 +1,15 @@
 """Removal of repeated byte strings with suffix arrays sharded by content.
 
 A window is any string of ``length`` bytes inside a text. Every window names as
-its anchor the 128-byte gram of least hash inside it, so equal windows name
-equal anchors at equal places. Anchors are counted over the whole corpus; only
+its anchor the gram (half the length) of least hash inside it, so equal
+windows name equal anchors at equal places. Anchors are counted over the whole corpus; only
 windows whose anchor occurs in another place can be repeated, and only the text
 around those (a *segment* per anchor and text) moves. All segments of an anchor
 meet in one shard, where a suffix array (Larsson-Sadakane refinement) with
 common prefixes (Kasai's relation between neighbours in text order) tells which
-windows occur twice. An anchor with more segments than ``hot_segments`` is dealt
+windows occur twice. Where shorter passages are asked for besides, anchors and
+segments follow their windows, segments reach on to the long windows that begin
+in them, and one suffix array tells both. An anchor with more segments than ``hot_segments`` is dealt
 over several shards by segment; each shard then sends one row for each different
 window, and sorted runs of these are merged by binary search.
 
@@ -25,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.scratch import shuffle_width, stored
+from lawloom.llm.scratch import discard, shuffle_width, stored
 
-GRAM = 128
+HOT_KEYS = 2000
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BASE, UNBASE = 0x9E3779B97F4A7C17 | 3, pow(0x9E3779B97F4A7C17 | 3, -1, 1 << 64)
 BYTES = np.random.default_rng(20240607).integers(0, 1 << 64, 256, np.uint64)
@@ -79,10 +81,10 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int)
     none = np.empty(0, np.int64)
     if len(data) < length:
         return none, none, none, none
-    grams = gram_hashes(data, GRAM)
+    grams = gram_hashes(data, length // 2)
     bits = np.uint64(max(20, int(len(grams)).bit_length()))
     low = (np.uint64(1) << bits) - np.uint64(1)
-    best = (sliding_least((grams & ~low) | np.arange(len(grams), dtype=np.uint64), length - GRAM + 1) & low).astype(np.int64)
+    best = (sliding_least((grams & ~low) | np.arange(len(grams), dtype=np.uint64), length - length // 2 + 1) & low).astype(np.int64)
     text = np.repeat(np.arange(len(starts)), ends - starts)[: len(best)]
     good = ends[text] - np.arange(len(best)) >= length
     at = np.flatnonzero(good)
@@ -172,20 +174,21 @@ def common_prefixes(data: np.ndarray, order: np.ndarray) -> np.ndarray:
     return (base[np.maximum.accumulate(np.where(follows, 0, at))] - at)[order]
 
 
-def window_groups(segments: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(segment, offset, group) of every window; windows are equal exactly if their groups are."""
+def window_groups(segments: list[bytes], starts_in: np.ndarray, lengths: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each length the (segment, offset, group) of every window that begins in the first ``starts_in`` places of its segment; windows are equal exactly if their groups are."""
     data = np.frombuffer(b"".join(segments), np.uint8)
     sizes = np.array([len(s) for s in segments], np.int64)
     starts = np.cumsum(sizes) - sizes
     order = suffix_array(data)
-    joined = common_prefixes(data, order) >= length
-    joined[0] = False
-    group = np.cumsum(~joined)
+    common = common_prefixes(data, order)
     seg = np.repeat(np.arange(len(segments)), sizes)
     off = np.arange(len(data)) - starts[seg]
-    valid = (sizes[seg] - off >= length)[order]
-    at, group = order[valid], group[valid]
-    return seg[at], off[at], group
+    for length in lengths:
+        joined = common >= length
+        joined[0] = False
+        valid = ((sizes[seg] - off >= length) & (off < starts_in[seg]))[order]
+        at, group = order[valid], np.cumsum(~joined)[valid]
+        yield seg[at], off[at], group
 
 
 def runs(seg: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -223,15 +226,17 @@ def _anchor_rows(length: int, batch_bytes: int = 1 << 20):
     return run
 
 
-def _cut_rows(length: int):
+def _cut_rows(reach: int):
+    """Segments: the windows' starts from s to e, and ``reach`` bytes from the last of them as far as the text goes."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, size = [], 0
             for t, u, text, places in zip(b.column("t").to_pylist(), b.column("u").to_pylist(), b.column("text"), b.column("places").to_pylist(), strict=True):
                 raw = text.as_py().encode()
                 for p in places:
-                    seg = raw[p["s"] : p["e"] + length]
-                    rows.append((p["h"], hashlib.blake2b(seg, digest_size=16).digest(), t, u, p["s"], seg))
+                    seg, m = raw[p["s"] : p["e"] + reach], p["e"] - p["s"] + 1
+                    rows.append((p["h"], hashlib.blake2b(seg, digest_size=16, salt=m.to_bytes(8, "little")).digest(), t, u, p["s"], m, seg))
                     size += len(seg)
                     if size > 4 << 20:
                         yield _segment_batch(rows)
@@ -242,42 +247,45 @@ def _cut_rows(length: int):
 
 
 def _segment_batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["h", "g", "t", "u", "s", "seg"])
-
-
-def _shard_rows(length: int, export: bool, shard_bytes: int = 1 << 20):
-    """Suffix arrays over whole groups (by h, and part): runs of repeated windows, or a row for each different window."""
-
-    def solve(rows: list[tuple]) -> pa.RecordBatch:
-        segs = [r[2] for r in rows]
-        seg, off, group = window_groups(segs, length)
-        count = np.bincount(group, minlength=int(group.max(initial=0)) + 1)
-        repeated = count[group] > 1
-        if not export:
-            whole = np.array([r[3] > 1 for r in rows])
-            repeated |= whole[seg]
-            s, a, b = runs(seg[repeated], off[repeated])
-            return pa.RecordBatch.from_arrays([pa.array([rows[i][1] for i in s], pa.binary()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["g", "a", "b"])
-        first = np.flatnonzero(np.append(True, np.diff(group) != 0)) if len(group) else np.empty(0, np.int64)
-        many = repeated[first] | np.array([rows[i][3] > 1 for i in seg[first]], bool)
-        keys = [hashlib.blake2b(segs[i][o : o + length], digest_size=16).digest() for i, o in zip(seg[first], off[first], strict=True)]
-        index = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(group))))
-        cols = [pa.array([keys[i] for i in index], pa.binary()), pa.array([rows[i][1] for i in seg], pa.binary()), pa.array(off, pa.int64()), pa.array(many[index]), pa.array(np.isin(np.arange(len(group)), first))]
-        return pa.RecordBatch.from_arrays(cols, names=["w", "g", "a", "many", "lead"])
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["h", "g", "t", "u", "s", "m", "seg"])
+
+
+def _shard_rows(lengths: list[int], export: bool, shard_bytes: int = 1 << 18):
+    """Suffix arrays over whole groups (by h, and part): for each length the runs of repeated windows, or a row for each different window."""
+
+    def solve(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        segs, whole = [r[2] for r in rows], np.array([r[3] > 1 for r in rows])
+        starts_in = np.array([r[4] for r in rows], np.int64)
+        for length, (seg, off, group) in zip(lengths, window_groups(segs, starts_in, lengths), strict=True):
+            count = np.bincount(group, minlength=int(group.max(initial=0)) + 1)
+            repeated = count[group] > 1
+            if not export:
+                s, a, b = runs(*((x[repeated | whole[seg]]) for x in (seg, off)))
+                size = np.full(len(s), length, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([rows[i][1] for i in s], pa.binary()), pa.array(size), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["g", "size", "a", "b"])
+                continue
+            first = np.flatnonzero(np.append(True, np.diff(group) != 0)) if len(group) else np.empty(0, np.int64)
+            many = repeated[first] | whole[seg[first]]
+            salt = length.to_bytes(8, "little")
+            keys = [hashlib.blake2b(segs[i][o : o + length], digest_size=16, salt=salt).digest() for i, o in zip(seg[first], off[first], strict=True)]
+            index = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(group))))
+            size = np.full(len(seg), length, np.int64)
+            cols = [pa.array([keys[i] for i in index], pa.binary()), pa.array([rows[i][1] for i in seg], pa.binary()), pa.array(size), pa.array(off, pa.int64()), pa.array(many[index], pa.bool_()), pa.array(np.isin(np.arange(len(group)), first))]
+            yield pa.RecordBatch.from_arrays(cols, names=["w", "g", "size", "a", "many", "lead"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
         for b in batches:
-            for h, g, seg, n in zip(b.column("k").to_pylist(), b.column("g").to_pylist(), b.column("seg").to_pylist(), b.column("n").to_pylist(), strict=True):
+            for h, g, seg, n, m in zip(*(b.column(c).to_pylist() for c in ("k", "g", "seg", "n", "m")), strict=True):
                 if h != last and size >= shard_bytes:
-                    yield solve(held)
+                    yield from solve(held)
                     held, size = [], 0
-                held.append((h, g, seg, n))
+                held.append((h, g, seg, n, m))
                 size, last = size + len(seg), h
         if held:
-            yield solve(held)
+            yield from solve(held)
 
     return run
 
@@ -300,36 +308,45 @@ def _found(keys: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([k for k, m in zip(keys, more, strict=True) if m], pa.binary())], names=["w"])
 
 
-def _kept_rows(length: int, as_text: bool):
+def _covered(n: int, places: list[dict], size: int) -> np.ndarray:
+    """Which of ``n`` bytes lie in a repeated window of this size."""
+    edge = np.zeros(n + 1, np.int64)
+    own = [p for p in places if p["size"] == size]
+    np.add.at(edge, [p["a"] for p in own], 1)
+    np.add.at(edge, [p["b"] + size for p in own], -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
+def _kept_rows(length: int, passage: int | None, as_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
+            size = 0
             for t, u, text, places in zip(b.column("t").to_pylist(), b.column("u").to_pylist(), b.column("text"), b.column("places").to_pylist(), strict=True):
                 raw = text.as_py().encode()
                 data = np.frombuffer(raw, np.uint8)
-                edge = np.zeros(len(raw) + 1, np.int64)
-                np.add.at(edge, [p["a"] for p in places], 1)
-                np.add.at(edge, [p["b"] + length for p in places], -1)
-                gone = np.cumsum(edge[:-1]) > 0
+                gone = _covered(len(raw), places, length)
                 spans = int(np.count_nonzero(np.diff(np.concatenate([[0], gone.view(np.int8)])) == 1))
                 n = int(gone.sum())
+                short = int(_covered(len(raw), places, passage).sum()) if passage else 0
                 if as_text:  # a character stays or goes as a whole: it goes if any of its bytes does
                     lead = (data & 0xC0) != 0x80
                     char = np.cumsum(lead) - 1
                     gone = np.bincount(char, gone)[char] > 0
-                out.append((t, u, n, spans, data[~gone].tobytes()))
-                if len(out) >= 500:
+                out.append((t, u, n, spans, short, data[~gone].tobytes() if n else None))
+                size += len(raw)
+                if size > 4 << 20:
                     yield _kept_batch(out)
-                    out = []
+                    out, size = [], 0
             yield _kept_batch(out)
 
     return run
 
 
 def _kept_batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
-    kinds = [pa.int64()] * 4 + [pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["t", "u", "n_removed", "n_spans", "kept"])
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
+    kinds = [pa.int64()] * 5 + [pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["t", "u", "n_removed", "n_spans", "n_passage_bytes", "kept"])
 
 
 def text_key() -> list:
@@ -337,54 +354,71 @@ def text_key() -> list:
     return [F.xxhash64("text").alias("t"), F.xxhash64(F.lit(7), "text").alias("u")]
 
 
-def repeated_spans(docs: DataFrame, length: int = 400, hot_segments: int = 4000, as_text: bool = False) -> tuple[DataFrame, DataFrame]:
-    """What to remove from each different text: (t, u, n_removed, n_spans, kept) of texts that lose bytes, and (t, u) of texts that repeat as a whole.
+def repeated_spans(docs: DataFrame, length: int = 400, hot_segments: int = 4000, as_text: bool = False, passage: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """What to remove from each different text: (t, u, n_removed, n_spans, n_passage_bytes, kept) and (t, u) of texts that repeat as a whole.
 
-    t and u are the keys of ``text_key()`` (null text counts as empty). Copies of at least ``length``
-    bytes are in the second table only. ``as_text`` removes whole characters, so that kept is valid UTF-8.
+    t and u are the keys of ``text_key()`` (null text counts as empty). Only texts with a repeated string have a
+    row; kept is null where nothing is removed. n_passage_bytes counts the bytes in strings of ``passage`` bytes
+    (less than ``length``) that also begin elsewhere, whether removed or not; 0 without it. Copies of at least
+    ``length`` (or ``passage``) bytes are in the second table only. ``as_text`` removes whole characters, so that
+    kept is valid UTF-8.
     """
     spark, width = docs.sparkSession, shuffle_width(docs.sparkSession)
+    lengths = sorted({length, passage or length})
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", "text", *text_key())
-    long_texts = texts.where(F.octet_length("text") >= length)
+    long_texts = texts.where(F.octet_length("text") >= lengths[0])
     anchor_rows = stored(
-        long_texts.select("t", "u", "text").mapInArrow(_anchor_rows(length), "h long, t long, u long, s int, e int, twice boolean"), "anchors"
+        long_texts.select("t", "u", "text").mapInArrow(_anchor_rows(lengths[0]), "h long, t long, u long, s int, e int, twice boolean"), "anchors"
     )
     again = (
         anchor_rows.groupBy("h")
-        .agg(F.min("t").alias("t0"), F.max("t").alias("t1"), F.min("u").alias("u0"), F.max("u").alias("u1"), F.max("twice").alias("twice"))
+        .agg(F.min("t").alias("t0"), F.max("t").alias("t1"), F.min("u").alias("u0"), F.max("u").alias("u1"), F.max("twice").alias("twice"), F.count("*").alias("n"))
         .where("t0 <> t1 or u0 <> u1 or twice")
-        .select("h")
+        .select("h", "n")
     )
-    places = anchor_rows.join(again, "h", "left_semi").groupBy("t", "u").agg(F.collect_set(F.struct("h", "s", "e")).alias("places"))
-    one = long_texts.groupBy("t", "u").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
+    again = stored(again, "again")
+    # at most HOT_KEYS anchors can have more rows than this share of all, so a list of them is bounded; their rows need no join
+    share = max(4096, anchor_rows.count() // HOT_KEYS)
+    hot = F.col("h").isin([r.h for r in again.where(F.col("n") > share).select("h").collect()])
+    calm_rows = anchor_rows.where(~hot).join(again.where(F.col("n") <= share).select("h"), "h", "left_semi")
+    places = anchor_rows.where(hot).unionByName(calm_rows).groupBy("t", "u").agg(F.collect_set(F.struct("h", "s", "e")).alias("places"))
+    one = stored(long_texts.groupBy("t", "u").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "texts")
     chosen = places.join(one.select("t", "u", "rep"), ["t", "u"])
     with_text = long_texts.join(chosen, ["t", "u"]).where(F.col("doc_id").eqNullSafe(F.col("rep"))).select("t", "u", "text", "places")
-    found = stored(with_text.mapInArrow(_cut_rows(length), "h long, g binary, t long, u long, s long, seg binary"), "segments")
+    found = stored(with_text.mapInArrow(_cut_rows(length), "h long, g binary, t long, u long, s long, m long, seg binary"), "segments")
+    discard(anchor_rows, again)
     # a text whose rows share a doc_id comes more than once here; its places are counted once
-    held = found.select("g", "t", "u", "s").distinct()
+    held = stored(found.select("g", "t", "u", "s").distinct(), "held")
     times = held.groupBy("g").agg(F.count("*").alias("n"))
-    different = found.groupBy("g").agg(F.min("h").alias("h"), F.first("seg").alias("seg")).join(times, "g")
+    different = found.groupBy("g").agg(F.min("h").alias("h"), F.first("seg").alias("seg"), F.first("m").alias("m")).join(times, "g")
     different = stored(different, "different")
-    crowded = different.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > hot_segments)
+    discard(found)
+    crowded = different.groupBy("h").agg(F.count("*").alias("many")).where(F.col("many") > hot_segments)
     crowded = stored(crowded, "crowded")
-    calm = different.join(crowded, "h", "left_anti").withColumn("k", F.struct("h"))
-    hits = calm.select(F.col("h").alias("k"), "g", "seg", "n").repartition(width, "k").sortWithinPartitions("k", "g").mapInArrow(_shard_rows(length, False), "g binary, a long, b long")
+    dealt = different.join(crowded, "h", "left")
+    calm = dealt.where("many is null")
+    pick = ["k", "g", "seg", "n", "m"]
+    hits = calm.select(F.col("h").alias("k"), *pick[1:]).repartition(width, "k").sortWithinPartitions("k", "g").mapInArrow(_shard_rows(lengths, False), "g binary, size long, a long, b long")
+    windows = None
     if not crowded.isEmpty():
-        salted = different.join(crowded, "h").withColumn("k", F.xxhash64("h", F.pmod(F.xxhash64("g"), F.ceil(F.col("m") / F.lit(hot_segments / 4)))))
-        windows = stored(salted.select("k", "g", "seg", "n").repartition(width, "k").sortWithinPartitions("k", "g").mapInArrow(_shard_rows(length, True), "w binary, g binary, a long, many boolean, lead boolean"), "windows")
+        salted = dealt.where("many is not null").withColumn("k", F.xxhash64("h", F.pmod(F.xxhash64("g"), F.ceil(F.col("many") / F.lit(hot_segments / 4)))))
+        windows = stored(salted.select(pick).repartition(width, "k").sortWithinPartitions("k", "g").mapInArrow(_shard_rows(lengths, True), "w binary, g binary, size long, a long, many boolean, lead boolean"), "windows")
         shared = windows.where("lead").select("w").repartition(width, "w").sortWithinPartitions("w").mapInArrow(_merge_rows, "w binary").distinct()
         far = windows.where("not many").join(shared, "w", "left_semi")
-        hot = windows.where("many").unionByName(far)
-        hits = hits.unionByName(hot.select("g", "a", F.col("a").alias("b")))
+        warm = windows.where("many").unionByName(far)
+        hits = hits.unionByName(warm.select("g", "size", "a", F.col("a").alias("b")))
     hits = stored(hits, "hits")
+    discard(different, crowded, *([windows] if windows else []))
     spans = (
         held.join(hits, "g")
         .groupBy("t", "u")
-        .agg(F.collect_set(F.struct((F.col("s") + F.col("a")).cast("int").alias("a"), (F.col("s") + F.col("b")).cast("int").alias("b"))).alias("places"))
+        .agg(F.collect_set(F.struct("size", (F.col("s") + F.col("a")).cast("int").alias("a"), (F.col("s") + F.col("b")).cast("int").alias("b"))).alias("places"))
     )
     spans = stored(spans.join(one.where("copies = 1").select("t", "u"), ["t", "u"], "left_semi"), "spans")
-    kept = long_texts.join(spans, ["t", "u"]).select("t", "u", "text", "places").mapInArrow(_kept_rows(length, as_text), "t long, u long, n_removed long, n_spans long, kept binary")
-    return stored(kept, "kept"), stored(one.where("copies > 1").select("t", "u"), "copies")
+    kept = long_texts.join(spans, ["t", "u"]).select("t", "u", "text", "places").mapInArrow(_kept_rows(length, passage, as_text), "t long, u long, n_removed long, n_spans long, n_passage_bytes long, kept binary")
+    kept, copies = stored(kept, "kept"), stored(one.where("copies > 1").select("t", "u"), "copies")
+    discard(held, hits, spans, one)
+    return kept, copies
 
 
 def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
@@ -406,26 +440,37 @@ def remove_repeats(docs: DataFrame, length: int = 400) -> DataFrame:
     )
 
 
-def digests(docs: DataFrame, length: int = 400) -> DataFrame:
-    """As ``remove_repeats``, with the SHA-256 of what is kept; texts are hashed where they are read, so none is moved for it."""
-    kept, copies = repeated_spans(docs, length)
+def digests(docs: DataFrame, length: int = 400, passage: int | None = None) -> DataFrame:
+    """As ``remove_repeats``, with the SHA-256 of what is kept; texts are hashed where they are read, so none is moved for it.
+
+    With ``passage`` also n_passage_bytes: the document's bytes in strings of that many bytes that begin elsewhere
+    too (a copied text counts as a whole), a report on shorter repeats, which are not removed.
+    """
+    kept, copies = repeated_spans(docs, length, passage=passage)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"), *text_key())
-    marked = rows.join(kept.select("t", "u", "n_removed", "n_spans", F.sha2("kept", 256).alias("part")), ["t", "u"], "left").join(copies.withColumn("copied", F.lit(True)), ["t", "u"], "left")
-    return marked.select(
+    marked = rows.join(kept.select("t", "u", "n_removed", "n_spans", "n_passage_bytes", F.sha2("kept", 256).alias("part")), ["t", "u"], "left").join(copies.withColumn("copied", F.lit(True)), ["t", "u"], "left")
+    copied = F.col("copied") & (F.col("n_bytes") >= length)
+    out = marked.select(
         "doc_id",
         "n_bytes",
-        F.when(F.col("copied"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-        F.when(F.col("copied"), F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(F.col("copied"), F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("part", "whole")).alias("kept_sha256"),
+        F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
+        F.when(copied, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(copied, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("part", "whole")).alias("kept_sha256"),
+        F.when(F.col("copied"), F.col("n_bytes")).otherwise(F.coalesce("n_passage_bytes", F.lit(0))).alias("n_passage_bytes"),
     )
+    return out if passage else out.drop("n_passage_bytes")
 
 
 def clean_texts(docs: DataFrame, length: int = 400) -> DataFrame:
-    """``docs`` with text replaced by what is kept (whole characters) and n_chars, where there is one, by its length; same columns, same rows."""
+    """``docs`` with text replaced by what is kept (whole characters) and n_chars, where there is one, by its length; same columns, same rows.
+
+    Null texts stay null and empty ones empty. Every occurrence of a repeated string of ``length`` bytes goes, the
+    first one too; all copies of a text become empty. An empty table stays empty.
+    """
     kept, copies = repeated_spans(docs, length, as_text=True)
     keyed = docs.withColumns({"__t": F.xxhash64(F.coalesce("text", F.lit(""))), "__u": F.xxhash64(F.lit(7), F.coalesce("text", F.lit("")))})
     left = kept.select(F.col("t").alias("__t"), F.col("u").alias("__u"), F.col("kept").cast("string").alias("__kept"))
-    gone = copies.select(F.col("t").alias("__t"), F.col("u").alias("__u"), F.lit("").alias("__gone"))
+    gone = copies.select(F.col("t").alias("__t"), F.col("u").alias("__u"), F.lit("").alias("__gone"))  # all of ``length`` bytes or more
     out = keyed.join(left, ["__t", "__u"], "left").join(gone, ["__t", "__u"], "left")
     out = out.withColumn("text", F.coalesce("__gone", "__kept", "text"))
     if "n_chars" in docs.columns:
