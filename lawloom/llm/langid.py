@@ -15,9 +15,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lawloom.llm.encode import text_blocks
+
 BITS = 15
 SIZE = 1 << BITS
 SCALE = 20.0
@@ -136,25 +138,49 @@ def learnable(docs: DataFrame) -> DataFrame:
     return docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
 
 
-def fit_language_model(docs: DataFrame, sample_per_language: int = 600, max_languages: int = 200) -> LanguageModel:
-    """Fit on at most ``sample_per_language`` labelled rows for each of the ``max_languages`` most frequent values of lang, drawn by a hash of doc_id; document frequencies are over all learnable rows. A fifth of the sample fits the temperature only."""
+def sampled_features(labelled: DataFrame, idf: np.ndarray, most: int) -> list[tuple[str, int, np.ndarray, np.ndarray]]:
+    """(lang, hash, n-grams, weights) of at most ``most`` different rows of each language.
+
+    A row is in the sample if its hash lies below its language's threshold, which follows from the number
+    of its rows: no sort, no task with all rows of a language, and copies of a row count once. Only
+    n-gram weights (at most ``SIZE`` a row) leave the executors, whatever the texts' length.
+    """
+    span = 1 << 62
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row a language, as the model's weights have a column for each
+    limits = labelled.sparkSession.createDataFrame([(r.lang, min(span, span * most // r.n)) for r in counts], "lang string, below long")
+    mark = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
+    near = labelled.select("lang", "text", mark.alias("h")).join(F.broadcast(limits), "lang").where("h < below")
+    once = near.groupBy("lang", "h").agg(F.first("text").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in text_blocks(b):
+                texts = part.column("text").to_pylist()
+                keep = [i for i, x in enumerate(texts) if has_letter(x)]
+                got = [tfidf(texts[i], idf) for i in keep]
+                cols = [part.column("lang").take(pa.array(keep, pa.int64())), part.column("h").take(pa.array(keep, pa.int64())), pa.array([g[0].astype(np.int32) for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays(cols, names=["lang", "h", "at", "x"])
+
+    rows: dict[str, list] = {}
+    for r in once.mapInArrow(run, "lang string, h long, at array<int>, x array<double>").toLocalIterator():
+        rows.setdefault(r.lang, []).append((r.lang, r.h, np.array(r["at"], np.int64), np.array(r["x"], np.float64)))
+    return [x for name in sorted(rows) for x in sorted(rows[name], key=lambda x: x[1])[:most]]
+
+
+def fit_language_model(docs: DataFrame, sample_per_language: int = 600) -> LanguageModel:
+    """Fit on at most ``sample_per_language`` labelled rows for each value of lang, drawn by a hash; document frequencies are over all learnable rows.
+
+    A fifth of the sample fits the temperature only. Rows without a lang or a letter are not learned from;
+    without any labelled row every text is ``und``. Other columns are not read.
+    """
     use = learnable(docs.select("doc_id", "text", "lang"))
     df, n = document_frequencies(use)
     idf = np.log((1 + n) / (1 + df)) + 1
-    labelled = use.where("lang is not null and text is not null")
-    names = [r.lang for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()]
-    pick = Window.partitionBy("lang").orderBy("r", "doc_id")
-    ids = labelled.where(F.col("lang").isin(names)).select("doc_id", "lang", F.xxhash64("doc_id").alias("r")).withColumn("i", F.row_number().over(pick)).where(F.col("i") <= sample_per_language)
-    last = ids.groupBy("lang").agg(F.max("r").alias("r")).collect()
-    within = F.lit(False)
-    for row in last:
-        within = within | ((F.col("lang") == row.lang) & (F.xxhash64("doc_id") <= row.r))
-    sample = sorted(((r.doc_id, r.lang, r.text) for r in labelled.where(within).limit(2 * sample_per_language * max(1, len(names))).toLocalIterator()), key=lambda r: (str(r[1]), r[0]))
-    sample = [r for r in sample if has_letter(r[2])]
-    names = sorted({r[1] for r in sample})
+    sample = sampled_features(use.where("lang is not null and text is not null"), idf, sample_per_language)
+    names = sorted({r[0] for r in sample})
     if not names:
         return LanguageModel([], idf, np.zeros((SIZE + 1, 1)), 1.0)
-    rows, labels = [tfidf(r[2], idf) for r in sample], np.array([names.index(r[1]) for r in sample])
+    rows, labels = [(r[2], r[3]) for r in sample], np.array([names.index(r[0]) for r in sample])
     kept = np.arange(len(rows)) % 5 == 4
     train = np.flatnonzero(~kept)
     weights = train_ftrl([rows[i] for i in train], labels[train], len(names))
@@ -179,7 +205,10 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
-    """Rows of ``docs`` whose language is known with at least this probability, with all their columns."""
+    """Rows of ``docs`` whose language is known with at least this probability, with all their columns.
+
+    Null texts and texts without a letter go. Repeated rows stay or go together; an empty table stays empty.
+    """
     at, schema = docs.columns.index("text"), docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
