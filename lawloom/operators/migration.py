@@ -2,50 +2,99 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lawloom.functions import rules
-from lawloom.functions.text import overlap_ratio, shingles
+from lawloom.functions.text import long_shingles, overlap_ratio
 
 LOCATION = ("article_no", "appendix_no", "section_path")
+PLACE = ("section_path", "article_no", "paragraph_no", "item_no", "appendix_no", "chunk_index")
+
+
+def _side(chunks: DataFrame, mark: str) -> DataFrame:
+    kinds = {"chunk_index": "int"}
+    cols = {c: F.col(c) if c in chunks.columns else F.lit(None).cast(kinds.get(c, "string")) for c in ("chunk_id", "document_id", "version_id", "text", *PLACE)}
+    place = F.struct(*[cols[c].alias(c) for c in PLACE])
+    return chunks.select(*[cols[c].alias(f"{mark}_{c}") for c in ("chunk_id", "document_id", "version_id", "text", *LOCATION)], place.alias(f"{mark}_place"), F.sha2("text", 256).alias(f"{mark}_sha"), long_shingles(F.col("text")).alias(f"{mark}_set"))
+
+
+def same_place() -> Column:
+    """Equal on those of article, appendix and path that the old chunk has; an old chunk with none is at no place."""
+    has = [F.col(f"o_{c}").isNotNull() for c in LOCATION]
+    agree = [F.when(s, F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}"))).otherwise(True) for s, c in zip(has, LOCATION, strict=True)]
+    return (has[0] | has[1] | has[2]) & agree[0] & agree[1] & agree[2]
 
 
 def migration_map(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(old_chunk_id, relation, new_chunk_ids, best, review) of every old chunk, and a row with relation ``new`` for each new chunk nothing maps to.
+    """A row for each old chunk, and one with relation ``new`` for each new id that the old ones lack.
 
-    Candidates are the same id, else chunks of the same version at the same place (overlap 0.15 or more),
-    else, where no chunk is at the place, any of the version (0.5 or more); kept within 0.8 of the best and 0.35, four at most.
+    Columns: document_id, version_id, old_chunk_id, new_chunk_ids, relation, old_text_sha256, new_text_sha256,
+    old_location, new_locations, overlap_scores, evidence, automatic_match, review_required; lists in order of
+    the match, best first. Candidates are the same id, else chunks of the same version at the same place (overlap
+    0.15 or more), else, where no chunk is at the place, any of the version (0.5 or more); kept within 0.8 of the
+    best and 0.35, four at most. Ids must be unique: see ``mapping_errors``.
     """
-    pick = ["chunk_id", "version_id", "text", *LOCATION]
-    o = old.select(*[F.col(c).alias(f"o_{c}") for c in pick], shingles(F.col("text")).alias("o_set"))
-    n = new.select(*[F.col(c).alias(f"n_{c}") for c in pick], shingles(F.col("text")).alias("n_set"))
-    same = o.join(n, F.col("o_chunk_id") == F.col("n_chunk_id"), "inner").select("o_chunk_id", "n_chunk_id", F.col("o_text").eqNullSafe(F.col("n_text")).alias("equal"), overlap_ratio(F.col("o_set"), F.col("n_set")).alias("score"))
-    lone = o.join(same.select("o_chunk_id"), "o_chunk_id", "left_anti")
-    pairs = lone.join(n, F.col("o_version_id") == F.col("n_version_id"))
-    set_ = [F.coalesce(F.col(f"o_{c}"), F.lit("")) != "" for c in LOCATION]
-    agree = [F.when(s, F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}"))).otherwise(True) for s, c in zip(set_, LOCATION, strict=True)]
-    located = (set_[0] | set_[1] | set_[2]) & agree[0] & agree[1] & agree[2]
+    o, n = _side(old, "o"), _side(new, "n")
+    match = ["n_chunk_id", "n_sha", "n_place", "score"]
+    ratio = overlap_ratio(F.col("o_set"), F.col("n_set"))
+    same = o.select("o_chunk_id", "o_set").join(n, F.col("o_chunk_id") == F.col("n_chunk_id")).select("o_chunk_id", "n_chunk_id", "n_sha", "n_place", ratio.alias("score"))
+    lone = o.join(n.select(F.col("n_chunk_id").alias("o_chunk_id")), "o_chunk_id", "left_anti")
+    pairs = lone.join(n, F.col("o_version_id") == F.col("n_version_id")).withColumn("located", same_place())
+    placed = pairs.where("located").select("o_chunk_id").distinct()
+    # the version's other chunks are compared only for old chunks at whose place there is none
+    here = pairs.where("located").withColumn("score", ratio).where("score >= 0.15")
+    anywhere = pairs.join(placed, "o_chunk_id", "left_anti").withColumn("score", ratio).where("score >= 0.5")
+    near = here.select("o_chunk_id", *match).unionByName(anywhere.select("o_chunk_id", *match))
     each = Window.partitionBy("o_chunk_id")
-    pairs = pairs.withColumn("located", located).withColumn("pool", F.max("located").over(each)).where("located or not pool")
-    pairs = pairs.withColumn("score", overlap_ratio(F.col("o_set"), F.col("n_set"))).where(F.col("score") >= F.when(F.col("pool"), 0.15).otherwise(0.5))
-    best = F.max("score").over(each)
-    order = Window.partitionBy("o_chunk_id").orderBy(F.desc("score"), "n_chunk_id")
-    near = pairs.withColumn("best", best).where(F.col("score") >= F.greatest(F.lit(0.35), 0.8 * F.col("best"))).withColumn("r", F.row_number().over(order)).where("r <= 4")
-    targets = same.select("o_chunk_id", "n_chunk_id", "score", "equal", F.lit(True).alias("same_id")).unionByName(near.select("o_chunk_id", "n_chunk_id", "score", F.lit(False).alias("equal"), F.lit(False).alias("same_id")))
+    near = near.withColumn("best", F.max("score").over(each)).where(F.col("score") >= F.greatest(F.lit(0.35), 0.8 * F.col("best")))
+    near = near.withColumn("r", F.row_number().over(each.orderBy(F.desc("score"), "n_chunk_id"))).where("r <= 4")
+    targets = same.select("o_chunk_id", *match, F.lit(True).alias("same_id")).unionByName(near.select("o_chunk_id", *match, F.lit(False).alias("same_id")))
     targets = targets.join(targets.groupBy("n_chunk_id").agg(F.count("*").alias("inbound")), "n_chunk_id")
-    per = targets.groupBy("o_chunk_id").agg(F.count("*").alias("n"), F.max("inbound").alias("inbound"), F.max("equal").alias("equal"), F.max("same_id").alias("same_id"), F.max("score").alias("best"), F.sort_array(F.collect_list("n_chunk_id")).alias("new_chunk_ids"))
-    out = o.select("o_chunk_id").join(per, "o_chunk_id", "left")
-    no = lambda c: F.coalesce(c, F.lit(False))
-    relation = rules.migration_relation(no(F.col("same_id")), no(F.col("equal")), F.coalesce("n", F.lit(0)), F.coalesce("inbound", F.lit(0)))
-    out = out.select(F.col("o_chunk_id").alias("old_chunk_id"), relation.alias("relation"), F.coalesce("new_chunk_ids", F.array().cast("array<string>")).alias("new_chunk_ids"), F.coalesce("best", F.lit(0.0)).alias("best"))
-    out = out.withColumn("review", ~(F.col("relation").isin("unchanged", "modified") & (F.col("best") >= 0.8)))
-    fresh = n.join(targets.select("n_chunk_id"), "n_chunk_id", "left_anti")
-    return out.unionByName(fresh.select(F.lit(None).cast("string").alias("old_chunk_id"), F.lit("new").alias("relation"), F.array("n_chunk_id").alias("new_chunk_ids"), F.lit(0.0).alias("best"), F.lit(False).alias("review")))
+    item = F.struct(F.negative("score").alias("o"), "n_chunk_id", "n_sha", "n_place", "score")
+    per = targets.groupBy("o_chunk_id").agg(F.array_sort(F.collect_list(item)).alias("m"), F.max("inbound").alias("inbound"), F.max("same_id").alias("same_id"))
+    j = o.drop("o_set").join(per, "o_chunk_id", "left").withColumn("m", F.coalesce("m", F.array().cast(per.schema["m"].dataType)))
+    same_id, equal = F.coalesce("same_id", F.lit(False)), F.coalesce(F.get(F.col("m"), F.lit(0))["n_sha"] == F.col("o_sha"), F.lit(False))
+    relation = rules.migration_relation(same_id, equal, F.size("m"), F.coalesce("inbound", F.lit(0)))
+    pull = lambda name: F.transform("m", lambda x: x[name])
+    automatic, review = rules.migration_flags(relation, F.get(F.col("m"), F.lit(0))["score"])
+    out = j.select(
+        F.col("o_document_id").alias("document_id"), F.col("o_version_id").alias("version_id"), F.col("o_chunk_id").alias("old_chunk_id"), pull("n_chunk_id").alias("new_chunk_ids"), relation.alias("relation"), F.col("o_sha").alias("old_text_sha256"), pull("n_sha").alias("new_text_sha256"),
+        F.col("o_place").alias("old_location"), pull("n_place").alias("new_locations"), pull("score").alias("overlap_scores"), F.when(same_id, "same_chunk_id").otherwise("same_version_location_text_shingles").alias("evidence"), automatic.alias("automatic_match"), review.alias("review_required"),
+    )
+    kinds = {f.name: f.dataType for f in out.schema.fields}
+    fresh = n.join(o.select(F.col("o_chunk_id").alias("n_chunk_id")), "n_chunk_id", "left_anti").select(
+        F.col("n_document_id").alias("document_id"), F.col("n_version_id").alias("version_id"), F.lit(None).cast("string").alias("old_chunk_id"), F.array("n_chunk_id").alias("new_chunk_ids"), F.lit("new").alias("relation"), F.lit(None).cast("string").alias("old_text_sha256"), F.array("n_sha").alias("new_text_sha256"),
+        F.lit(None).cast(kinds["old_location"]).alias("old_location"), F.array("n_place").alias("new_locations"), F.array().cast("array<double>").alias("overlap_scores"), F.lit("new_id_not_in_reference").alias("evidence"), F.lit(False).alias("automatic_match"), F.lit(True).alias("review_required"),
+    )
+    return out.unionByName(fresh)
 
 
 def relation_counts(mapped: DataFrame) -> DataFrame:
     """Counts of the six relations, zeros included."""
-    spark = mapped.sparkSession
-    domain = spark.createDataFrame([(r,) for r in ("unchanged", "modified", "merged", "split", "removed", "new")], "relation string")
+    domain = mapped.sparkSession.createDataFrame([(r,) for r in rules.RELATIONS], "relation string")
     return domain.join(mapped.groupBy("relation").agg(F.count("*").alias("n")), "relation", "left").select("relation", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def summary(mapped: DataFrame) -> DataFrame:
+    """One row: old_chunks, new_ids, removed_ids, retained_ids, review_required, and a count of each relation."""
+    relation = F.col("relation")
+    kept = F.col("evidence") == "same_chunk_id"
+    return mapped.agg(
+        F.count("old_chunk_id").alias("old_chunks"), F.count_if(kept).alias("retained_ids"), (F.count("old_chunk_id") - F.count_if(kept)).alias("removed_ids"), F.count_if(relation == "new").alias("new_ids"),
+        F.count_if("review_required").alias("review_required"), *[F.count_if(relation == r).alias(r) for r in rules.RELATIONS],
+    )
+
+
+def mapping_errors(mapped: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
+    """(error, chunk_id): old ids that are not mapped exactly once, targets that are no new ids, ids that are new but not listed so or the reverse, repeated ids. Empty if the map is sound."""
+    once = mapped.where("old_chunk_id is not null").groupBy(F.col("old_chunk_id").alias("chunk_id")).agg(F.count("*").alias("m"))
+    both = old.select("chunk_id", F.lit(True).alias("there")).join(once, "chunk_id", "full")
+    a = both.where("there is null or m is null or m <> 1").select(F.lit("old_not_once").alias("error"), "chunk_id")
+    targets = mapped.select(F.explode("new_chunk_ids").alias("chunk_id")).distinct()
+    b = targets.join(new.select("chunk_id"), "chunk_id", "left_anti").select(F.lit("unknown_target").alias("error"), "chunk_id")
+    listed = mapped.where("relation = 'new'").select(F.col("new_chunk_ids")[0].alias("chunk_id"), F.lit(True).alias("x"))
+    fresh = new.join(old.select("chunk_id"), "chunk_id", "left_anti").select("chunk_id", F.lit(True).alias("y"))
+    c = listed.join(fresh, "chunk_id", "full").where("x is null or y is null").select(F.lit("new_ids_differ").alias("error"), "chunk_id")
+    twice = lambda df: df.groupBy("chunk_id").agg(F.count("*").alias("m")).where("m > 1").select(F.lit("repeated_id").alias("error"), "chunk_id")
+    return a.unionByName(b).unionByName(c).unionByName(twice(old)).unionByName(twice(new)).distinct()

@@ -2,67 +2,171 @@
 
 from __future__ import annotations
 
+import math
+import re
+import unicodedata
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lawloom.functions import text
+from lawloom.functions import rules, text
+from lawloom.operators import chunking
+from lawloom.sources.shared import path_exists
 
 # Ranking constants and the weights in effect for each field.
 K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
 WEIGHTS = {"title": 4.0, "aliases": 1.0, "body": 2.0, "compact": 1.0}
-# Latin letters and their plain forms.
-ACCENTS, PLAIN = "áàâäãåéèêëíìîïóòôöõúùûüçñýÿ", "aaaaaaeeeeiiiiooooouuuucnyy"
+# What a shown result consists of.
+DISPLAY = ("rank", "title", "document_type", "department", "document_id", "version_id", "validity_status", "status_confidence", "revision_date", "effective_date", "article_no", "section_kind", "context", "normalized_file", "source_page_url", "sha256", "citation_label")
+HIDDEN = ("search_text", "compact_text")
+TERM = r"[\p{L}\p{N}]+"
+BUCKETS = 256
+
+
+def _plain_letters() -> tuple[str, str]:
+    """Letters made of a Latin one and one mark, lower case, and the Latin letters alone."""
+    forms = {c: unicodedata.normalize("NFD", c) for c in map(chr, [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]) if c == c.lower()}
+    found = {c: d[0] for c, d in forms.items() if len(d) == 2 and d[0].isascii()}
+    return "".join(found), "".join(found.values())
+
+
+ACCENTS, PLAIN = _plain_letters()
 
 
 def terms(value: Column) -> Column:
-    """Index terms of a text: runs of letters and digits, lower case, Latin diacritics dropped."""
-    return F.regexp_extract_all(F.translate(F.lower(F.coalesce(value, F.lit(""))), ACCENTS, PLAIN), F.lit(r"([\p{L}\p{N}]+)"), 1)
+    """Index terms of a text in order: runs of letters and digits, lower case, Latin letters without their mark."""
+    return F.regexp_extract_all(F.translate(F.lower(text.filled(value)), ACCENTS, PLAIN), F.lit(f"({TERM})"), 1)
+
+
+def value_terms(value: str) -> list[str]:
+    """``terms`` of one value."""
+    return re.findall(r"[^\W_]+", value.lower().translate(str.maketrans(ACCENTS, PLAIN)))
 
 
-def query_terms(query: str) -> list[str]:
-    import re
+def query_phrases(query: str) -> list[list[str]]:
+    """What a query asks for: each word of its search form, and its compact form unless that is one of the words, as phrases of terms. Any of them will do."""
+    words = re.sub(r"\s+", " ", re.sub(text.SEPARATORS, " ", text.folded(query))).strip().split()
+    compact = "".join(words)
+    asked = words + [compact] * bool(compact and compact not in words)
+    return [p for p in map(value_terms, asked) if p]
 
-    low = query.lower().translate(str.maketrans(ACCENTS, PLAIN))
-    return list(dict.fromkeys(re.findall(r"[^\W_]+", low)))
+
+def semantic_fields(chunks: DataFrame, versions: DataFrame, documents: DataFrame) -> DataFrame:
+    """Chunks with their state and class: the version's, else the document's, else what follows from the chunk. A missing column counts as missing in all rows."""
+    states = {"validity_status": "unknown", "validity_evidence": None, "validity_checked_at": None, "status_confidence": "unknown"}
+    pick = ["is_latest_version", *states, "source_url_quality", "source_page_url"]
+    v = versions.select("version_id", *[F.col(c).alias(f"_v_{c}") for c in pick if c in versions.columns])
+    also = [c for c in (*pick, "latest_version_id", "alternative_titles") if c in documents.columns]
+    d = documents.select("document_id", *[F.col(c).alias(f"_d_{c}") for c in also])
+    j = chunks.join(v, "version_id", "left").join(d, "document_id", "left")
+    have = lambda *names: [F.col(n) for n in names if n in j.columns]
+    found = {c: F.coalesce(*have(f"_v_{c}", f"_d_{c}"), F.lit(default).cast("string")) for c, default in states.items()}
+    found["is_latest_version"] = F.coalesce(*have("_v_is_latest_version"), *[F.col("version_id") == x for x in have("_d_latest_version_id")], F.lit(False))
+    found["source_url_quality"] = F.coalesce(*have("_v_source_url_quality", "_d_source_url_quality"), text.url_quality(F.col("source_url")) if "source_url" in j.columns else F.lit("unknown"))
+    kind = rules.classify_section(F.col("text"), F.col("section_path") if "section_path" in j.columns else F.lit(None).cast("string"))
+    for name, part in (("section_kind", "kind"), ("retrieval_scope", "scope"), ("normative_status", "normative")):
+        found[name] = F.coalesce(*[F.col(name)] * (name in chunks.columns), kind[part])
+    found["source_page_url"] = F.coalesce(*[F.nullif(x, F.lit("")) for x in have("_v_source_page_url", "_d_source_page_url", "source_url")], F.lit(None).cast("string"))
+    empty = F.array().cast("array<string>")
+    found["alternative_titles"] = F.coalesce(*have("_d_alternative_titles"), empty)
+    return j.withColumns(found).drop(*[c for c in j.columns if c.startswith(("_v_", "_d_"))])
 
 
 def index_rows(chunks: DataFrame, versions: DataFrame, documents: DataFrame) -> DataFrame:
-    """Public chunks with what search shows and filters by; version fields first, then the document's."""
-    v = versions.select("version_id", "validity_status", "is_latest_version", F.col("source_url").alias("v_url"))
-    d = documents.select("document_id", "title", "alternative_titles", "department", F.col("source_url").alias("d_url"))
-    joined = chunks.where("access_level = 'public'").join(v, "version_id", "left").join(d, "document_id", "left")
-    # a null department is written out as text by the index format
-    described = F.concat_ws(" ", "title", F.array_join(F.coalesce("alternative_titles", F.array().cast("array<string>")), " "), F.coalesce("department", F.lit("None")), "text")
-    return joined.withColumns({"source_url": F.coalesce("v_url", "d_url"), "normalized_title": text.search_text(F.col("title")), "compact_title": text.compact_text(F.col("title")), "search_text": text.search_text(described), "aliases_key": F.concat(F.lit("|"), F.array_join(F.transform(F.coalesce("alternative_titles", F.array().cast("array<string>")), lambda x: F.lower(x)), "|"), F.lit("|"))}).drop("v_url", "d_url")
+    """Public chunks with what search shows, filters by and looks in."""
+    rows = semantic_fields(chunks.where("access_level = 'public'"), versions, documents)
+    aliases, title = F.array_join("alternative_titles", " "), F.col("title")
+    listed = lambda f: F.concat(F.lit("|"), F.array_join(f, "|"), F.lit("|"))
+    # the search form is taken of the joined list, in which no alias holds the sign between them
+    folded = text.search_text(F.array_join("alternative_titles", "\x02"))
+    each = F.when(F.size("alternative_titles") > 0, F.transform(F.split(folded, "\x02"), lambda x: F.trim(x))).otherwise(F.array().cast("array<string>"))
+    department = F.coalesce("department", F.lit("None")) if "department" in rows.columns else F.lit("")  # a null is written out by the index format
+    return rows.withColumns(
+        {
+            "normalized_title": text.search_text(title),
+            "compact_title": text.compact_text(title),
+            "normalized_aliases": listed(each),
+            "compact_aliases": listed(F.transform(each, lambda x: F.regexp_replace(x, " ", ""))),
+            "search_text": text.search_text(F.concat_ws(" ", text.filled(title), aliases, department, text.filled(F.col("text")))),
+            "compact_text": text.compact_text(F.concat_ws(" ", text.filled(title), aliases, text.filled(F.col("text")))),
+        }
+    )
+
+
+def indexed_fields(rows: DataFrame) -> DataFrame:
+    """(chunk_id, title, aliases, body, compact) of index rows: what is looked in."""
+    return rows.select("chunk_id", "title", F.array_join("alternative_titles", " ").alias("aliases"), F.col("search_text").alias("body"), F.col("compact_text").alias("compact"))
 
 
 def postings(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """(key, term, field, tf) of every term; write it bucketed by term for repeated searches."""
-    parts = [rows.select(key, F.lit(f).alias("field"), F.explode(terms(F.col(f))).alias("term")) for f in fields]
-    return reduce(DataFrame.unionByName, parts).groupBy(key, "term", "field").agg(F.count("*").alias("tf"))
-
-
-def bm25(rows: DataFrame, key: str, query: str, weights: dict[str, float]) -> DataFrame:
-    """(key, score) of rows with a term of the query; lower is better. Statistics are over all rows, one pass over the texts, no shuffle of them."""
-    wanted = query_terms(query)
-    sized = rows.select(key, *[terms(F.col(f)).alias(f) for f in weights])
-    dl = reduce(lambda a, b: a + b, [F.size(f) for f in weights])
-    freq = lambda t: reduce(lambda a, b: a + b, [F.lit(w) * F.size(F.filter(f, lambda x: x == t)) for f, w in weights.items()])
-    per_row = sized.select(key, dl.alias("dl"), *[freq(t).alias(f"f{i}") for i, t in enumerate(wanted)])
-    stats = per_row.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"), *[F.count_if(F.col(f"f{i}") > 0).alias(f"n{i}") for i in range(len(wanted))])
-    hit = reduce(lambda a, b: a | b, [F.col(f"f{i}") > 0 for i in range(len(wanted))], F.lit(False))
+    """(key, term, field, tf) of every term."""
+    marked = lambda f: F.transform(terms(F.col(f)), lambda t: F.struct(t.alias("term"), F.lit(f).alias("field")))
+    found = rows.select(key, F.explode(F.concat(*map(marked, fields))).alias("x"))
+    return found.groupBy(key, "x.term", "x.field").agg(F.count("*").alias("tf"))
+
+
+def bucket_of(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+
+
+def write_postings(rows: DataFrame, key: str, fields: list[str], path: str) -> None:
+    """The inverted index of ``rows``: (bucket, term, key, dl, places), a row for each term and row; places are (field, position) and dl is the row's number of terms in all fields.
+
+    Files lie in folders by a hash of the term, sorted by term, so a query reads the terms it asks for. Each
+    text is cut once. A term's rows are dealt over tasks by term and key, so a term of all rows is no single task.
+    """
+    cut = rows.select(key, *[terms(F.col(f)).alias(f) for f in fields])
+    placed = lambda n, f: F.transform(F.col(f), lambda t, i: F.struct(t.alias("term"), F.lit(n).cast("tinyint").alias("field"), i.alias("at")))
+    places = F.concat(*[placed(n, f) for n, f in enumerate(fields)])
+    sized = cut.withColumn("dl", reduce(lambda a, b: a + b, [F.size(f) for f in fields])).select(key, "dl", F.explode(places).alias("x"))
+    found = sized.groupBy(F.col("x.term").alias("term"), key, "dl").agg(F.sort_array(F.collect_list(F.struct("x.field", "x.at"))).alias("places"))
+    found = found.withColumn("bucket", bucket_of(F.col("term")))
+    found.repartition("bucket", F.pmod(F.xxhash64(key), F.lit(8))).sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").option("compression", "zstd").parquet(f"{path}/postings")
+    lengths = cut.select(reduce(lambda a, b: a + b, [F.size(f) for f in fields]).alias("dl"))
+    lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
+
+
+def write_index(rows: DataFrame, path: str) -> None:
+    """Index rows in folders by the two columns that every search filters by, their postings and the sums that ranking needs."""
+    rows.write.mode("overwrite").partitionBy("retrieval_scope", "is_latest_version").option("compression", "zstd").parquet(f"{path}/rows")
+    write_postings(indexed_fields(spark_rows(rows.sparkSession, path)), "chunk_id", list(WEIGHTS), path)
+
+
+def spark_rows(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/rows")
+
+
+def bm25_of(spark: SparkSession, path: str, key: str, phrases: list[list[str]], weights: list[float]) -> DataFrame:
+    """(key, score, found) of rows that hold a phrase, from the index at ``path``; lower is better. found has (phrase, field, position) of each occurrence.
+
+    Only the postings of the phrases' terms are read. Numbers of rows and lengths are those of all rows.
+    """
+    read = spark.read.parquet(f"{path}/postings")
+    if not phrases:
+        return spark.createDataFrame([], f"{key} {read.schema[key].dataType.simpleString()}, score double, found array<struct<phrase:int,field:int,at:int>>")
+    asked = sorted({t for p in phrases for t in p})
+    numbers = spark.createDataFrame([(t,) for t in asked], "t string").select(bucket_of(F.col("t")).alias("b")).distinct().collect()
+    read = read.where(F.col("bucket").isin([r.b for r in numbers]) & F.col("term").isin(asked))
+    at = lambda t: F.coalesce(F.flatten(F.collect_list(F.when(F.col("term") == t, F.col("places")))), F.array().cast(read.schema["places"].dataType))
+    rows = read.groupBy(key, "dl").agg(*[at(t).alias(f"t{i}") for i, t in enumerate(asked)])
+    moved = lambda t, by: F.transform(F.col(f"t{asked.index(t)}"), lambda x: F.struct(x["field"].alias("field"), (x["at"] - by).alias("at")))
+    rows = rows.withColumns({f"p{i}": reduce(F.array_intersect, [moved(t, by) for by, t in enumerate(phrase)]) for i, phrase in enumerate(phrases)})
+    rows = rows.where(reduce(lambda a, b: a | b, [F.size(f"p{i}") > 0 for i in range(len(phrases))]))
+    rows = rows.select(key, "dl", *[f"p{i}" for i in range(len(phrases))])
+    stats = spark.read.parquet(f"{path}/stats").select("n", "avgdl").join(rows.agg(*[F.count_if(F.size(f"p{i}") > 0).alias(f"n{i}") for i in range(len(phrases))]))  # two tables of one row
     score = F.lit(0.0)
-    for i in range(len(wanted)):
+    for i in range(len(phrases)):
         idf = F.greatest(F.ln((F.col("n") - F.col(f"n{i}") + 0.5) / (F.col(f"n{i}") + 0.5)), F.lit(LEAST_IDF))
-        f = F.col(f"f{i}")
+        f = F.aggregate(F.col(f"p{i}"), F.lit(0.0), lambda a, x: a + F.element_at(F.array(*map(F.lit, weights)), x["field"].cast("int") + 1))
         score = score - idf * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    return per_row.where(hit).join(F.broadcast(stats)).select(key, score.alias("score"))  # one row of statistics
+    named = lambda i: F.transform(f"p{i}", lambda x: F.struct(F.lit(i).alias("phrase"), x["field"].cast("int").alias("field"), x["at"].alias("at")))
+    places = F.concat(*map(named, range(len(phrases))))
+    return rows.join(F.broadcast(stats)).select(key, score.alias("score"), places.alias("found"))
 
 
 def capped(ranked: DataFrame, group: str, order: list[Column], limit: int = 10, per_group: int = 2) -> DataFrame:
-    """The first candidates in order, at most ``per_group`` of a group, then ``limit``; rank from 1. The candidates are cut before the cap."""
+    """The first candidates in order, at most ``per_group`` of a group, then ``limit``; rank from 1. The candidates are cut before the cap, so they are a few rows."""
     first = ranked.orderBy(*order).limit(max(limit * max(per_group, 1) * 5, 50))
     held = first.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_r") <= max(per_group, 1)).drop("_r")
     return held.orderBy(*order).limit(limit).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
@@ -71,15 +175,17 @@ def capped(ranked: DataFrame, group: str, order: list[Column], limit: int = 10,
 def filtered(rows: DataFrame, filters: dict) -> DataFrame:
     """Conjunction of the filters that have a value."""
     tests: list[Column] = []
+    form = lambda value: text.search_text(F.lit(value))
     for name in ("document_type", "department", "validity_status", "article_no", "appendix_no"):
         if filters.get(name):
             tests.append(F.col(name) == filters[name])
     if filters.get("title_exact"):
-        t = text.search_text(F.lit(filters["title_exact"]))
-        tests.append((F.col("normalized_title") == t) | F.col("aliases_key").contains(F.concat(F.lit("|"), t, F.lit("|"))))
+        t = form(filters["title_exact"])
+        tests.append((F.col("normalized_title") == t) | F.col("normalized_aliases").contains(F.concat(F.lit("|"), t, F.lit("|"))))
     if filters.get("title_contains"):
-        t = F.lit(filters["title_contains"].lower())
-        tests.append(F.lower("normalized_title").contains(t) | F.col("compact_title").contains(t) | F.col("aliases_key").contains(t))
+        t = form(filters["title_contains"])
+        c = F.regexp_replace(t, " ", "")
+        tests.append(F.col("normalized_title").contains(t) | F.col("compact_title").contains(c) | F.col("normalized_aliases").contains(t) | F.col("compact_aliases").contains(c))
     for name, column, up in (("revision_from", "revision_date", False), ("revision_to", "revision_date", True), ("effective_from", "effective_date", False), ("effective_to", "effective_date", True)):
         if filters.get(name):
             tests.append(F.col(column) <= filters[name] if up else F.col(column) >= filters[name])
@@ -92,33 +198,146 @@ def filtered(rows: DataFrame, filters: dict) -> DataFrame:
     return rows.where(reduce(lambda a, b: a & b, tests, F.lit(True)))
 
 
-def search(rows: DataFrame, query: str | None, filters: dict | None = None, limit: int = 10, per_document: int = 2) -> DataFrame:
-    """Ranked rows. Without a query the score is 0 and the order title, chunk; a query without terms finds nothing. Statistics are over all ``rows``, the filters cut afterwards."""
-    order = [F.asc("score"), F.asc_nulls_first("title"), F.asc("chunk_id")]
-    chosen = filtered(rows, filters or {})
-    if query is None:
+def result_order() -> list[Column]:
+    return [F.asc("score"), F.asc_nulls_first("title"), F.asc("chunk_id")]
+
+
+def search(spark: SparkSession, path: str, query: str | None = None, filters: dict | None = None, limit: int = 10, per_document: int = 2) -> DataFrame:
+    """Ranked rows of the index at ``path``, with score, context and rank.
+
+    Without a query the score is 0 and the order title, chunk; a query of separators alone finds nothing.
+    Without postings in the index the query is looked for as a part of the texts, with score 0.
+    """
+    chosen = filtered(spark_rows(spark, path), filters or {})
+    if not query:
         found = chosen.withColumn("score", F.lit(0.0))
+    elif path_exists(spark, f"{path}/postings"):
+        found = chosen.join(bm25_of(spark, path, "chunk_id", query_phrases(query), list(WEIGHTS.values())).drop("found"), "chunk_id")
     else:
-        fields = {"title": WEIGHTS["title"], "search_text": WEIGHTS["body"]}
-        found = chosen.join(bm25(rows, "chunk_id", query, fields), "chunk_id")
-    return capped(found, "document_id", order, limit, per_document).withColumn("context", context(F.col("text")))
+        found = like_fallback(chosen, query)
+    return capped(found, "document_id", result_order(), limit, per_document).withColumn("context", chunking.context(F.col("text"))).drop(*HIDDEN)
 
 
-def like_fallback(rows: DataFrame, query: str) -> DataFrame:
+def like_fallback(rows: DataFrame, query: str, texts: tuple[str, str] = HIDDEN) -> DataFrame:
+    """Rows whose search form or compact form holds that of the query, with score 0."""
     q = text.search_text(F.lit(query))
-    return rows.where(F.col("search_text").contains(q) | F.regexp_replace("search_text", " ", "").contains(F.regexp_replace(q, " ", ""))).withColumn("score", F.lit(0.0))
+    return rows.where(F.col(texts[0]).contains(q) | F.col(texts[1]).contains(F.regexp_replace(q, " ", ""))).withColumn("score", F.lit(0.0))
+
+
+def display(results: DataFrame) -> DataFrame:
+    """What is shown of results, in order of rank."""
+    return results.select(*[c if c in results.columns else F.lit(None).cast("string").alias(c) for c in DISPLAY]).orderBy("rank")
+
+
+def tsv_lines(results: DataFrame) -> DataFrame:
+    """(rank, line): the shown columns between tabs; tabs and line ends in them are blanks, nulls empty."""
+    cells = [F.regexp_replace(text.filled(F.col(c).cast("string")), r"[\t\n]", " ") for c in DISPLAY]
+    return display(results).select("rank", F.concat_ws("\t", *cells).alias("line"))
+
+
+def snippets(rows: DataFrame, key: str, column: str, phrases: list[list[str]], size: int = 24, marks: tuple[str, str, str] = ("[", "]", "…")) -> DataFrame:
+    """(key, snippet): the ``size`` terms of each text that hold most phrases, with marks around them and a sign where text is left out.
+
+    A phrase counts 1000 when it is new in the window and 1 when it comes again. Windows begin so that what
+    they hold lies in their middle, or at the start of a sentence, which counts 100 more, or 120 at the text's start.
+    """
+
+    def best(value: str) -> str:
+        spans = [(m.start(), m.end()) for m in re.finditer(r"[^\W_]+", value)]
+        found = [value[a:b].lower().translate(str.maketrans(ACCENTS, PLAIN)) for a, b in spans]
+        hits = sorted((at, n, len(p)) for n, p in enumerate(phrases) for at in range(len(found) - len(p) + 1) if found[at : at + len(p)] == p)
+        opens = [0] + [i for i in range(1, len(spans)) if re.search(r"[.:][ \t\n\r]+$", value[spans[i - 1][1] : spans[i][0]])]
+
+        def score(begin: int) -> tuple[int, int]:
+            inside = [h for h in hits if begin <= h[0] < begin + size]
+            points = sum(1000 if n not in {x[1] for x in inside[:k]} else 1 for k, (_, n, _) in enumerate(inside))
+            if not inside:
+                return 0, begin
+            first, last = inside[0][0], inside[-1][0] + inside[-1][2]
+            return points, max(0, min(first - int((size - (last - first)) / 2), len(found) - size))
 
+        top, start = 0, 0
+        for at, _, _ in hits:
+            points, moved = score(at)
+            if points > top:
+                top, start = points, moved
+            before = [o for o in opens if o <= at]
+            if before and before[-1] < at and len(spans) > size:
+                points = score(before[-1])[0] + (120 if before[-1] == 0 else 100)
+                if points > top:
+                    top, start = points, before[-1]
+        if not spans:
+            return value
+        end = min(start + size, len(spans)) - 1
+        out, at = [marks[2]] if start else [], spans[start][0] if start else 0
+        inside, k = [h for h in hits if start <= h[0] <= end], 0
+        while k < len(inside):
+            begin, stop = inside[k][0], inside[k][0] + inside[k][2] - 1
+            while k + 1 < len(inside) and inside[k + 1][0] <= stop:
+                k += 1
+                stop = max(stop, inside[k][0] + inside[k][2] - 1)
+            stop = min(stop, end)
+            out += [value[at : spans[begin][0]], marks[0], value[spans[begin][0] : spans[stop][1]], marks[1]]
+            at, k = spans[stop][1], k + 1
+        out += [value[at:]] if end >= len(spans) - 1 else [value[at : spans[end][1]], marks[2]]
+        return "".join(out)
 
-def context(value: Column) -> Column:
-    x = text.clean(value)
-    return F.when(F.length(x) > 280, F.concat(F.substring(x, 1, 277), F.lit("..."))).otherwise(x)
+    cut = F.pandas_udf(lambda s: s.map(lambda v: None if v is None else best(v)), "string")
+    return rows.select(key, cut(F.col(column)).alias("snippet"))
 
 
-def evaluate(results: DataFrame, expected: DataFrame, forbidden: DataFrame | None = None) -> DataFrame:
-    """(cases, recall, mrr, passed) of ranked results (case, document_id, rank) against expected (case, document_id); a case with a forbidden result or nothing expected fails."""
-    hit = expected.join(results, ["case", "document_id"], "left").groupBy("case").agg(F.min("rank").alias("rank"))
+def public_rows(chunks: DataFrame, current_only: bool = True) -> DataFrame:
+    """What an adapter loads: public chunks, of current versions only unless told otherwise."""
+    rows = chunks.where("access_level = 'public'")
+    return rows.where("is_current") if current_only else rows
+
+
+def adapter_search(spark: SparkSession, chunks: DataFrame, query: str, path: str, limit: int = 10, current_only: bool = True) -> DataFrame:
+    """(chunk_id, title, snippet) of the first ``limit`` chunks by id that hold a term of the query in title or text: a small index of its own at ``path``, without filters or ranking."""
+    rows = public_rows(chunks, current_only)
+    write_postings(rows, "chunk_id", ["title", "text"], path)
+    phrases = [[t] for t in dict.fromkeys(value_terms(query))]
+    first = bm25_of(spark, path, "chunk_id", phrases, [1.0, 1.0]).select("chunk_id").orderBy("chunk_id").limit(limit)
+    hit = rows.join(first, "chunk_id", "left_semi")
+    return hit.select("chunk_id", "title").join(snippets(hit, "chunk_id", "text", phrases), "chunk_id").orderBy("chunk_id")
+
+
+def vector_rows(chunks: DataFrame, include_history: bool = False) -> DataFrame:
+    """(chunk_id, text_for_embedding, payload) for a store of vectors; payload is all else as JSON."""
+    rows = public_rows(chunks, not include_history)
+    return rows.select("chunk_id", "text_for_embedding", F.to_json(F.struct(*[c for c in rows.columns if c not in ("chunk_id", "text_for_embedding")])).alias("payload"))
+
+
+def cosine_top(vectors: DataFrame, key: str, column: str, query: list[float], limit: int) -> DataFrame:
+    """The ``limit`` rows of greatest cosine with ``query``, ties by key; null, zero and shorter vectors are left out."""
+    norm = math.sqrt(sum(x * x for x in query))
+    dot = F.aggregate(F.zip_with(F.col(column).cast("array<double>"), F.array(*map(F.lit, query)), lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    own = F.sqrt(F.aggregate(F.col(column).cast("array<double>"), F.lit(0.0), lambda a, x: a + x * x))
+    rows = vectors.select(key, (dot / (own * norm)).alias("cosine")).where("cosine is not null and not isnan(cosine)")
+    return rows.orderBy(F.desc("cosine"), key).limit(limit)
+
+
+def evaluate(results: DataFrame, expected: DataFrame, forbidden: DataFrame | None = None, least_recall: float = 1.0, least_mrr: float = 1.0, keys: tuple[str, ...] = ("document_id", "version_id")) -> DataFrame:
+    """(cases, recall, mrr, passed) of ranked results (case, rank, section_kind and ``keys``) against expected (case and ``keys``).
+
+    A case counts with its first expected result; one with a result of a kind that ``forbidden`` (case,
+    section_kind) names counts as missed, as does one without results. The results are the first k of each
+    case. Without any case nothing passes.
+    """
+    hit = expected.join(results.select("case", *keys, "rank"), ["case", *keys], "left").groupBy("case").agg(F.min("rank").alias("rank"))
     if forbidden is not None:
-        hit = hit.join(forbidden.select("case").distinct().withColumn("bad", F.lit(True)), "case", "left").withColumn("rank", F.when(F.col("bad"), None).otherwise(F.col("rank")))
+        bad = results.join(forbidden, ["case", "section_kind"], "left_semi").select("case").distinct().withColumn("bad", F.lit(True))
+        hit = hit.join(bad, "case", "left").withColumn("rank", F.when(F.col("bad"), None).otherwise(F.col("rank")))
     r = F.when(F.col("rank").isNotNull(), 1 / F.col("rank")).otherwise(0.0)
     out = hit.agg(F.count("*").alias("cases"), F.avg(F.col("rank").isNotNull().cast("int")).alias("recall"), F.avg(r).alias("mrr"))
-    return out.withColumn("passed", (F.col("recall") >= 1.0) & (F.col("mrr") >= 1.0))
+    return out.withColumn("passed", F.coalesce((F.col("recall") >= least_recall) & (F.col("mrr") >= least_mrr), F.lit(False)))
+
+
+def evaluate_cases(spark: SparkSession, path: str, cases: list[dict], top_k: int = 5, least_recall: float = 1.0, least_mrr: float = 1.0) -> DataFrame:
+    """``evaluate`` over configured cases (name, query, filters, expected, forbidden_section_kinds): one search a case, a document once. ValueError for a case that expects nothing."""
+    if not cases or any(not c.get("expected") for c in cases):
+        raise ValueError("every case needs expected ids")
+    found = [search(spark, path, c.get("query"), c.get("filters"), top_k, 1).select(F.lit(c["name"]).alias("case"), "document_id", "version_id", "section_kind", "rank") for c in cases]
+    expected = spark.createDataFrame([(c["name"], e["document_id"], e["version_id"]) for c in cases for e in c["expected"]], "case string, document_id string, version_id string")
+    forbidden = spark.createDataFrame([(c["name"], k) for c in cases for k in c.get("forbidden_section_kinds") or []], "case string, section_kind string")
+    return evaluate(reduce(DataFrame.unionByName, found), expected, forbidden, least_recall, least_mrr)

@@ -4,9 +4,75 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lawloom.functions import rules, text
+from lawloom.sources.shared import stored
+
+# Shapes that rows must have. A list is an enumeration, a text a pattern, a number the least value or length.
+SHAPES: dict[str, dict[str, dict]] = {
+    "documents": {
+        "required": dict.fromkeys(("document_id", "document_type", "title", "access_level", "version_group_id", "sha256")),
+        "pattern": {"document_id": "^(REG|GDL|RUL|MAN|ETC)-[0-9a-f]{12}$", "sha256": "^[0-9a-f]{64}$"},
+        "least_length": {"title": 1},
+        "enum": {
+            "document_type": ["regulation", "guideline", "rule", "manual", "notice", "form", "reference", "unknown"],
+            "access_level": ["public", "internal", "restricted", "review_required"],
+            "validity_status": ["in_force", "superseded", "abolished", "expired", "unknown"],
+            "status_confidence": ["confirmed", "probable", "unknown"],
+            "source_url_quality": ["detail", "list_only", "attachment_only", "unknown"],
+        },
+    },
+    "versions": {
+        "required": dict.fromkeys(("version_id", "document_id", "version_group_id", "source_file", "sha256", "current_status", "access_level")),
+        "pattern": {"version_id": "^VER-(unknown|[0-9]+)-[0-9a-f]{8}$", "sha256": "^[0-9a-f]{64}$"},
+        "enum": {
+            "current_status": ["confirmed", "candidate", "unknown", "historical"],
+            "access_level": ["public", "internal", "restricted", "review_required"],
+            "validity_status": ["in_force", "superseded", "abolished", "expired", "unknown"],
+            "status_confidence": ["confirmed", "probable", "unknown"],
+            "source_url_quality": ["detail", "list_only", "attachment_only", "unknown"],
+        },
+    },
+    "chunks": {
+        "required": dict.fromkeys(("chunk_id", "document_id", "version_id", "text", "text_for_embedding", "token_count", "source_file", "sha256", "citation_label", "access_level")),
+        "pattern": {"sha256": "^[0-9a-f]{64}$"},
+        "least_length": {"chunk_id": 10, "text": 1, "text_for_embedding": 1},
+        "least": {"token_count": 1},
+        "enum": {
+            "access_level": ["public"],
+            "section_kind": ["promulgation_notice", "amendment_reason", "major_changes", "comparison_old", "comparison_new", "operative_text", "supplementary_provision", "appendix", "form", "unknown"],
+            "retrieval_scope": ["primary", "secondary"],
+            "normative_status": ["normative", "historical_context", "non_normative", "unknown"],
+            "validity_status": ["in_force", "superseded", "abolished", "expired", "unknown"],
+            "status_confidence": ["confirmed", "probable", "unknown"],
+        },
+    },
+    "source_manifest": {
+        "required": dict.fromkeys(("archive_file", "sha256", "file_size", "status", "access_level")),
+        "pattern": {"sha256": "^[0-9a-f]{64}$"},
+        "least_length": {"archive_file": 1},
+        "least": {"file_size": 1},
+        "enum": {"access_level": ["public", "internal", "restricted", "review_required"], "source_url_quality": ["detail", "list_only", "attachment_only", "unknown"]},
+    },
+    "conversions": {
+        "required": dict.fromkeys(("version_id", "document_id", "source_file", "source_sha256", "normalized_file", "normalized_sha256", "tool", "tool_version", "status")),
+        "pattern": {"source_sha256": "^[0-9a-f]{64}$", "normalized_sha256": "^[0-9a-f]{64}$"},
+        "least": {"text_chars": 0, "hangul_chars": 0, "hangul_ratio": 0, "replacement_chars": 0},
+        "most": {"hangul_ratio": 1},
+        "enum": {"status": ["converted", "failed", "skipped", "reused"]},  # converters also write the last
+    },
+    "batch_records": {
+        "required": dict.fromkeys(("source_id", "source_record_id", "document_id", "version_id", "document_type", "title", "attachment_url", "file_size", "sha256")),
+        "pattern": {"sha256": "^[0-9a-f]{64}$"},
+        "least": {"file_size": 1},
+        "enum": {"document_type": ["regulation", "guideline"]},
+    },
+}
+# Fields of a version that its text's front matter repeats.
+FRONT_FIELDS = ("document_id", "version_id", "title", "sha256", "is_current", "current_status")
+
 
 def _row(df: DataFrame, name: str, level: str = "FAIL") -> DataFrame:
     return df.agg(F.count("*").alias("failures")).select(F.lit(name).alias("check"), F.when(F.col("failures") == 0, "PASS").otherwise(level).alias("status"), "failures")
@@ -19,58 +85,178 @@ def repeated(df: DataFrame, key: str) -> DataFrame:
 def asymmetric_links(versions: DataFrame) -> DataFrame:
     """Links to versions that are missing, of another document, or do not point back."""
     v = versions.select("version_id", "document_id", "previous_version_id", "next_version_id")
-    ends = v.select("version_id", "document_id", F.explode(F.array(F.struct(F.lit("next").alias("way"), F.col("next_version_id").alias("to")), F.struct(F.lit("previous").alias("way"), F.col("previous_version_id").alias("to")))).alias("x")).select("version_id", "document_id", "x.*").where("to is not null")
+    way = lambda name: F.struct(F.lit(name).alias("way"), F.nullif(F.col(f"{name}_version_id"), F.lit("")).alias("to"))
+    ends = v.select("version_id", "document_id", F.explode(F.array(way("next"), way("previous"))).alias("x")).select("version_id", "document_id", "x.*").where("to is not null")
     other = v.select(F.col("version_id").alias("to"), F.col("document_id").alias("d"), F.col("previous_version_id").alias("p"), F.col("next_version_id").alias("n"))
     back = F.when(F.col("way") == "next", F.col("p")).otherwise(F.col("n"))
     return ends.join(other, "to", "left").where(~F.col("document_id").eqNullSafe(F.col("d")) | ~F.col("version_id").eqNullSafe(back))
 
 
 def chain_cycles(versions: DataFrame) -> DataFrame:
-    """Versions from which the chain of next versions comes back: what is left after pointers are doubled once for each bit of the longest chain."""
-    step = versions.select("version_id", F.col("next_version_id").alias("to"))
-    longest = versions.groupBy("document_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    for _ in range(int(longest).bit_length() + 1):
+    """(version_id) of versions from which the chain of next versions never ends.
+
+    Pointers are doubled; a chain that has ended leaves the table, so each round is smaller, and the rounds are
+    the logarithm of the longest chain. A round is written before the next one reads it, so plans do not grow.
+    What is left when the steps exceed the number of versions runs in a circle.
+    """
+    step = stored(versions.groupBy("version_id").agg(F.max(F.nullif("next_version_id", F.lit(""))).alias("to")), "steps")
+    total, known, taken = step.count(), step.select(F.col("version_id").alias("to")), 1
+    step = stored(step.where("to is not null").join(known, "to", "left_semi").select("version_id", "to"), "steps")
+    while taken <= total and not step.isEmpty():
         hop = step.select(F.col("version_id").alias("to"), F.col("to").alias("next"))
-        step = step.join(hop, "to", "left").select("version_id", F.col("next").alias("to"))
-    return step.where("to is not null")
+        step = stored(step.join(hop, "to").select("version_id", F.col("next").alias("to")), "steps")
+        taken *= 2
+    return step.select("version_id")
+
+
+def constraint_failures(df: DataFrame, shape: dict[str, dict]) -> DataFrame:
+    """(field, rule, failures) of a declared shape (``SHAPES``): required fields, patterns, enumerations, least and most values, least lengths. Fields that the table lacks fail where they are required."""
+    lacks = [f for f in shape.get("required", {}) if f not in df.columns]
+    has = lambda rule: [(f, v) for f, v in shape.get(rule, {}).items() if f in df.columns]
+    tests = [(f, "required", F.lit(True)) for f in lacks] + [(f, "required", F.col(f).isNull()) for f, _ in has("required")]
+    tests += [(f, "pattern", F.col(f).isNotNull() & ~F.col(f).rlike(p)) for f, p in has("pattern")]
+    tests += [(f, "enum", F.col(f).isNotNull() & ~F.col(f).isin(v)) for f, v in has("enum")]
+    tests += [(f, "least", F.col(f) < v) for f, v in has("least")] + [(f, "most", F.col(f) > v) for f, v in has("most")]
+    tests += [(f, "least_length", F.length(f) < v) for f, v in has("least_length")]
+    row = df.agg(*[F.count_if(t).alias(f"x{i}") for i, (_, _, t) in enumerate(tests)])
+    return row.select(F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.lit(r).alias("rule"), F.col(f"x{i}").alias("failures")) for i, (f, r, _) in enumerate(tests)])))
+
+
+def digest_mismatches(rows: DataFrame, files: DataFrame, path: str = "archive_file") -> DataFrame:
+    """Rows (path, sha256) whose file is missing or has another hash; files are (path, sha256), pointers with the hash they name."""
+    there = files.select(F.col("path").alias(path), F.col("sha256").alias("_there"))
+    return rows.join(there, path, "left").where(~F.col("sha256").eqNullSafe(F.col("_there")))
+
+
+def unlinked_versions(versions: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Versions whose file and hash the manifest does not have together."""
+    return versions.join(manifest.select(F.col("archive_file").alias("source_file"), "sha256"), ["source_file", "sha256"], "left_anti")
+
+
+def missing_files(versions: DataFrame, files: DataFrame) -> DataFrame:
+    """Versions whose source file, or text file if they name one, is not there; files are (path)."""
+    paths = files.select("path").distinct()
+    v = versions.join(paths.select(F.col("path").alias("source_file"), F.lit(True).alias("_s")), "source_file", "left")
+    v = v.join(paths.select(F.col("path").alias("normalized_file"), F.lit(True).alias("_n")), "normalized_file", "left")
+    return v.where(F.col("_s").isNull() | ((text.filled(F.col("normalized_file")) != "") & F.col("_n").isNull())).select("version_id")
 
 
-def validate(documents: DataFrame, versions: DataFrame, chunks: DataFrame) -> DataFrame:
+def derivative_counts(versions: DataFrame, files: DataFrame, tool: str) -> DataFrame:
+    """One row: native, portable, incomplete, false_pdf and false_portable of versions with an .hwp source; files are (path, sha256)."""
+    col = lambda c, kind="string": F.col(c) if c in versions.columns else F.lit(None).cast(kind)
+    names = ("pdf_relative_path", "pdf_sha256", "pdf_conversion_status", "portable_conversion_status", "portable_extraction_tool", "portable_extraction_version", "portable_markdown_sha256", "normalized_file")
+    v = versions.where(F.lower("source_file").endswith(".hwp")).select("version_id", *[col(c).alias(c) for c in names], *[col(c, "double").alias(c) for c in ("pdf_pages", "portable_text_chars", "portable_hangul_chars", "portable_hangul_ratio", "portable_replacement_chars")])
+    there = lambda key, out: files.select(F.col("path").alias(key), F.col("sha256").alias(out))
+    v = v.join(there("pdf_relative_path", "_pdf"), "pdf_relative_path", "left").join(there("normalized_file", "_text"), "normalized_file", "left")
+    cols = {c: F.col(c) for c in v.columns}
+    v = v.withColumns({"_native": rules.native_complete(cols, F.col("_pdf")), "_portable": rules.portable_complete(cols, F.col("_text"), tool)})
+    claims_pdf = (text.filled(F.col("pdf_relative_path")) != "") | (text.filled(F.col("pdf_sha256")) != "") | F.coalesce(F.col("pdf_conversion_status") == "success", F.lit(False))
+    return v.agg(F.count_if("_native").alias("native"), F.count_if("_portable").alias("portable"), F.count_if(~F.col("_native") & ~F.col("_portable")).alias("incomplete"), F.count_if(claims_pdf & ~F.col("_native")).alias("false_pdf"), F.count_if((text.filled(F.col("portable_conversion_status")) != "") & ~F.col("_portable")).alias("false_portable"))
+
+
+def table_difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(digest, n, m): rows that one table has more often than the other, by their JSON; fields by name, nulls included."""
+    names = sorted({*a.columns, *b.columns})
+    form = lambda df: df.select(F.sha2(F.to_json(F.struct(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in names]), {"ignoreNullFields": "false"}), 256).alias("digest"))
+    both = form(a).select("digest", F.lit(1).alias("x"), F.lit(0).alias("y")).unionByName(form(b).select("digest", F.lit(0).alias("x"), F.lit(1).alias("y")))
+    return both.groupBy("digest").agg(F.sum("x").alias("n"), F.sum("y").alias("m")).where("n <> m")
+
+
+def front_matter_errors(versions: DataFrame, texts: DataFrame) -> DataFrame:
+    """(version_id, error): texts (normalized_file, text) of versions without front matter, and fields in it that differ from the version's. Texts that are not there are left out."""
+    j = versions.join(texts, "normalized_file").withColumn("_f", text.front_matter(F.col("text")))
+    shown = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null")) if c == "is_current" else text.yaml_value(F.col(c))
+    differs = lambda c: F.array_contains(F.map_keys("_f"), c) & ~F.col("_f")[c].eqNullSafe(shown(c))
+    tests = [F.when(differs(c), F.lit(c)) for c in FRONT_FIELDS if c in versions.columns]
+    errors = F.when(text.front_block(F.col("text")) == "", F.array(F.lit("missing"))).otherwise(F.array_compact(F.array(*tests)))
+    return j.select("version_id", F.explode(errors).alias("error"))
+
+
+def manifest_errors(manifest: DataFrame, documents: DataFrame, versions: DataFrame, chunks: DataFrame, digests: dict[str, Column] | None = None) -> DataFrame:
+    """(field) of a one-row manifest that differs from the tables: its counts, and its hashes against ``digests``."""
+    counts = [df.agg(F.count("*").alias(f"_{name}")) for name, df in (("documents", documents), ("versions", versions), ("chunks", chunks))]
+    row = reduce(lambda a, b: a.join(b), counts, manifest)  # tables of one row
+    tests = [F.when(~F.col(c).eqNullSafe(F.col(f"_{c}")), F.lit(c)) for c in ("documents", "versions", "chunks")]
+    tests += [F.when(~F.col(f"sha256.{c}").eqNullSafe(d), F.lit(f"sha256.{c}")) for c, d in (digests or {}).items()]
+    return row.select(F.explode(F.array_compact(F.array(*tests))).alias("field"))
+
+
+def validate(documents: DataFrame, versions: DataFrame, chunks: DataFrame, manifest: DataFrame | None = None, files: DataFrame | None = None, texts: DataFrame | None = None, archive: DataFrame | None = None, subsets: dict[str, DataFrame] | None = None, corpus: DataFrame | None = None, export: DataFrame | None = None, conversions: DataFrame | None = None, batches: DataFrame | None = None, tool: str = "unhwp", most: int = 1200) -> DataFrame:
+    """(check, status, failures), a row for each check that its tables allow.
+
+    manifest: the source manifest; files: (path, sha256) of the repository; texts: (normalized_file, text);
+    archive: (path, sha256) of the read-only archive; subsets: current_documents, latest_documents and
+    document_catalog as written; corpus: the one-row manifest; export: chunks of an exported bundle.
+    """
     v, d, c = versions, documents, chunks
-    checks = [
-        _row(repeated(d, "document_id"), "document_id_unique"),
-        _row(repeated(v, "version_id"), "version_id_unique"),
-        _row(repeated(c, "chunk_id"), "chunk_id_unique"),
-        _row(c.join(v, "version_id", "left_anti"), "chunk_version_exists"),
-        _row(c.join(d, "document_id", "left_anti"), "chunk_document_exists"),
-        _row(asymmetric_links(v), "version_links_symmetric"),
-        _row(chain_cycles(v), "version_chain_acyclic"),
-        _row(v.where("is_current").groupBy("document_id").agg(F.count("*").alias("n")).where("n > 1"), "single_current_version"),
-        _row(d.where("latest_version_id is not null").join(v.select("version_id", F.col("document_id").alias("o")), F.col("latest_version_id") == F.col("version_id"), "left").where(~F.col("document_id").eqNullSafe(F.col("o"))), "latest_belongs_to_document", "WARNING"),
-        _row(c.where("trim(coalesce(text, '')) = ''"), "chunk_not_empty"),
-        _row(c.where("token_count > 1200"), "chunk_within_limit"),
-        _row(c.where("coalesce(access_level, '') <> 'public'"), "chunk_public"),
-        _row(c.where("coalesce(citation, '') = ''"), "chunk_citable"),
-        _row(v.join(c, "version_id", "left_anti"), "version_has_text", "WARNING"),
-    ]
+    checks = []
+
+    def add(df: DataFrame, name: str, level: str = "FAIL") -> None:
+        checks.append(_row(df, name, level))
+
+    if manifest is not None and files is not None:
+        add(digest_mismatches(manifest, files), "raw_copy_hash")
+    if manifest is not None and archive is not None:
+        legacy = manifest.where(F.coalesce(F.col("origin_type"), F.lit("legacy_archive")) == "legacy_archive") if "origin_type" in manifest.columns else manifest
+        add(digest_mismatches(legacy, archive, "source_file"), "source_archive_unchanged")
+    add(repeated(d, "document_id"), "document_id_unique")
+    add(repeated(v, "version_id"), "version_id_unique")
+    add(repeated(c, "chunk_id"), "chunk_id_unique")
+    known = c.join(d.select("document_id").distinct(), "document_id", "left_semi").join(v.select("version_id").distinct(), "version_id", "left_semi")
+    checks.append(c.agg(F.count("*").alias("a")).join(known.agg(F.count("*").alias("b"))).select(F.lit("chunk_source_known").alias("check"), F.when(F.col("a") == F.col("b"), "PASS").otherwise("FAIL").alias("status"), (F.col("a") - F.col("b")).alias("failures")))  # tables of one row
+    add(asymmetric_links(v), "version_links_symmetric")
+    add(chain_cycles(v), "version_chain_acyclic")
+    if manifest is not None:
+        add(unlinked_versions(v, manifest), "version_in_manifest")
+    owner = v.groupBy(F.col("version_id").alias("latest_version_id")).agg(F.first("document_id").alias("_owner"))
+    add(d.join(owner, "latest_version_id", "left").where(~F.col("document_id").eqNullSafe(F.col("_owner"))), "latest_belongs_to_document", "WARNING")
+    if files is not None:
+        add(missing_files(v, files), "files_exist")
+        counts = derivative_counts(v, files, tool)
+        checks.append(counts.select(F.lit("derivatives_complete").alias("check"), (F.col("incomplete") + F.col("false_pdf") + F.col("false_portable")).alias("failures")).select("check", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL").alias("status"), "failures"))
+    add(v.where("is_current").groupBy("document_id").agg(F.count("*").alias("n")).where("n > 1"), "single_current_version")
+    add(c.where(text.strip(text.filled(F.col("text"))) == ""), "chunk_not_empty")
+    add(c.where(F.col("token_count") > most), "chunk_within_limit")
+    add(c.where("coalesce(access_level, '') <> 'public'"), "chunk_public")
+    add(c.where(reduce(lambda a, b: a | b, [text.filled(F.col(k)) == "" for k in ("title", "source_file", "sha256", "citation_label") if k in c.columns])), "chunk_citable")
+    tables = {"documents": d, "versions": v, "chunks": c, "source_manifest": manifest, "conversions": conversions, "batch_records": batches}
+    shapes = [constraint_failures(df, SHAPES[name]) for name, df in tables.items() if df is not None]
+    every = reduce(DataFrame.unionByName, shapes).agg(F.coalesce(F.sum("failures"), F.lit(0)).alias("failures"))
+    checks.append(every.select(F.lit("shapes").alias("check"), F.when(F.col("failures") == 0, "PASS").otherwise("FAIL").alias("status"), "failures"))
+    expected = {"current_documents": d.where("is_current and latest_version_id is not null"), "latest_documents": d.where("latest_version_id is not null"), "document_catalog": d}
+    for name, df in (subsets or {}).items():
+        add(table_difference(df, expected[name]), f"{name}_equal")
+    if corpus is not None:
+        add(manifest_errors(corpus, d, v, c), "manifest_counts")
+    lacks = [f for f in ("is_latest_version", "validity_status", "status_confidence", "source_url_quality") if f not in v.columns]
+    add(v if lacks else v.limit(0), "status_fields_present", "WARNING")
+    if texts is not None:
+        add(front_matter_errors(v, texts), "front_matter", "WARNING")
+    if export is not None:
+        add(export, "duplicate_export", "WARNING")
+        add(table_difference(export, c), "export_up_to_date", "WARNING")
+    if "normalized_file" in v.columns:
+        add(v.where(text.filled(F.col("normalized_file")) == ""), "version_has_text", "WARNING")
+    else:
+        add(v.join(c, "version_id", "left_anti"), "version_has_text", "WARNING")
     return reduce(DataFrame.unionByName, checks)
 
 
-def constraint_failures(df: DataFrame, required: dict[str, str], patterns: dict[str, str] | None = None, enums: dict[str, list] | None = None, least: dict[str, float] | None = None) -> DataFrame:
-    """(field, rule, failures) from a declared shape: required fields, patterns, enumerations, minima."""
-    tests = [(f, "required", F.col(f).isNull()) for f in required]
-    tests += [(f, "pattern", F.col(f).isNotNull() & ~F.col(f).rlike(p)) for f, p in (patterns or {}).items()]
-    tests += [(f, "enum", F.col(f).isNotNull() & ~F.col(f).isin(v)) for f, v in (enums or {}).items()]
-    tests += [(f, "minimum", F.col(f) < m) for f, m in (least or {}).items()]
-    row = df.agg(*[F.count_if(t).alias(f"x{i}") for i, (_, _, t) in enumerate(tests)])
-    return row.select(F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.lit(r).alias("rule"), F.col(f"x{i}").alias("failures")) for i, (f, r, _) in enumerate(tests)])))
+def status_counts(checks: DataFrame) -> DataFrame:
+    """One row: how many checks pass, warn and fail, and whether the corpus is accepted."""
+    n = checks.agg(*[F.count_if(F.col("status") == s).alias(s.lower()) for s in ("PASS", "WARNING", "FAIL")])
+    return n.withColumn("accepted", F.col("fail") == 0)
 
 
 def rows_digest(df: DataFrame, order: str, columns: list[str]) -> DataFrame:
-    """An order-sensitive digest of all rows: rows hash to blocks by rank of ``order``, blocks hash to one value, so no task sees all rows.
+    """(digest, rows): an order-sensitive digest of all rows, which ``order`` numbers from 0 without gaps.
 
-    The order column must be a dense number from 0.
+    Hashes of a thousand neighbours are hashed to one, four times over, so no task holds more than a thousand
+    hashes and the result covers 10^12 rows.
     """
     row = F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns]), 256)
-    blocks = df.select(F.expr(f"{order} div 1000").alias("block"), F.col(order).alias("o"), row.alias("h")).groupBy("block").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "h"))), lambda x: x["h"]), ""), 256).alias("h"))
-    return blocks.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "h"))), lambda x: x["h"]), ""), 256).alias("digest"), F.count("*").alias("blocks"))
+    level = df.select(F.col(order).cast("long").alias("o"), row.alias("h"), F.lit(1).cast("long").alias("n"))
+    for _ in range(4):
+        joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "h"))), lambda x: x["h"]), "")
+        level = level.groupBy(F.expr("o div 1000").alias("p")).agg(F.sha2(joined, 256).alias("h"), F.sum("n").alias("n")).withColumnRenamed("p", "o")
+    return level.select(F.col("h").alias("digest"), F.col("n").alias("rows"))

@@ -2,27 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lawloom.functions import rules, text
-from lawloom.operators import catalog, chunking, migration, search, updates, validate, versions
+from lawloom.operators import catalog, chunking, documents, migration, search, updates, validate, versions
 from lawloom.plans import views
+from lawloom.plans.views import V_ARTICLES, V_CHAIN, V_CHUNKS, V_DOCUMENTS, V_INDEX, V_LEGAL, V_VERSIONS
+from lawloom.sources import html
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
-ACCENT_SQL = f"translate(lower(coalesce(text,'')), '{search.ACCENTS}', '{search.PLAIN}')"
-V_VERSIONS = """v_versions as (select *, 'VER-' || coalesce(replace(revision_date,'-',''),'unknown') || '-' || substr(sha256,1,8) as version_id from (
-  select cast(o_custkey as varchar) as document_id, sha256(cast(o_orderkey as varchar)) as sha256,
-  case when o_orderkey % 10 <> 0 then strftime(o_orderdate,'%Y-%m-%d') end as revision_date,
-  case o_orderstatus when 'O' then true when 'F' then false end as is_current from orders))"""
-V_CHAIN = V_VERSIONS + """, chain as (select *, lag(version_id) over w as previous_version_id, lead(version_id) over w as next_version_id, row_number() over w as position
-  from v_versions window w as (partition by document_id order by revision_date asc nulls first, sha256))"""
-V_DOCUMENTS = """v_documents as (select cast(c_custkey as varchar) as document_id, c_name as title, case when c_custkey % 7 <> 0 then c_mktsegment end as department,
-  case when c_nationkey % 2 = 0 then 'regulation' else 'guideline' end as document_type from customer)"""
-V_LEGAL = """v_legal as (select doc_id, array_to_string(list_transform(string_split(text, chr(10)), lambda x, i: '제' || i || '조(T' || i || ') ' || x), chr(10)||chr(10)) ||
-  case doc_id % 3 when 0 then chr(10)||chr(10)||'부칙 이 규정은 공포한 날부터 시행한다.' when 1 then chr(10)||chr(10)||'별표 제1호 (제2조 관련)' else '' end as text from documents)"""
+ACCENT = lambda c: f"translate(lower(coalesce({c},'')), '{search.ACCENTS}', '{search.PLAIN}')"
+TOKENS = lambda c: f"regexp_extract_all({ACCENT(c)}, '[\\p{{L}}\\p{{N}}]+')"
+FORM = lambda c: f"trim(regexp_replace(regexp_replace(replace(lower({c}),'ß','ss'), '[·ㆍ‧・./\\\\()\\[\\]{{}}<>:;,''\"“”‘’_-]+', ' ', 'g'), '\\s+', ' ', 'g'))"
+ALL = {"include_history": True, "include_secondary": True}
 
 
 def query(sql: str | None = None):
@@ -35,76 +32,122 @@ def query(sql: str | None = None):
     return add
 
 
-def _bm25_sql(words: list[str]) -> str:
-    tf = ", ".join(f"len(list_filter(toks, lambda x: x = '{w}')) as f{i}" for i, w in enumerate(words))
-    df = ", ".join(f"count(*) filter (where f{i} > 0) as n{i}" for i in range(len(words)))
-    score = " + ".join(f"greatest(ln((n - n{i} + 0.5) / (n{i} + 0.5)), 1e-6) * 2.0*f{i} * 2.2 / (2.0*f{i} + 1.2 * (0.25 + 0.75 * dl / avgdl))" for i in range(len(words)))
-    hit = " or ".join(f"f{i} > 0" for i in range(len(words)))
-    return f"""t as (select doc_id, source, lang, regexp_extract_all({ACCENT_SQL}, '[\\p{{L}}\\p{{N}}]+') as toks from documents),
-  p as (select doc_id, source, lang, len(toks) as dl, {tf} from t), s as (select count(*) as n, avg(dl) as avgdl, {df} from p),
-  scored as (select doc_id, source, lang, round(-({score}), 4) as score from p, s where {hit})"""
+def _scored_sql(words: list[str], name: str = "scored") -> str:
+    """BM25 of all rows of the index for single words and their compact form."""
+    asked = [*words, "".join(words)] if len(words) > 1 else words
+    of = lambda c, w: f"len(list_filter({c}, lambda x: x = '{w}'))"
+    tf = ", ".join(f"4.0*{of('t1', w)} + 1.0*{of('t2', w)} + 2.0*{of('t3', w)} + 1.0*{of('t4', w)} as f{i}" for i, w in enumerate(asked))
+    df = ", ".join(f"count(*) filter (where f{i} > 0) as n{i}" for i in range(len(asked)))
+    score = " + ".join(f"greatest(ln((n - n{i} + 0.5) / (n{i} + 0.5)), 1e-6) * f{i} * 2.2 / (f{i} + 1.2 * (0.25 + 0.75 * dl / avgdl))" for i in range(len(asked)))
+    hit = " or ".join(f"f{i} > 0" for i in range(len(asked)))
+    return f"""{name}_p as (select *, len(t1) + len(t2) + len(t3) + len(t4) as dl, {tf} from toks), {name}_s as (select count(*) as n, avg(dl) as avgdl, {df} from {name}_p),
+  {name} as (select p.*, round(-({score}), 4) as score from {name}_p p, {name}_s where {hit})"""
 
 
+SEARCHED = f"with {V_INDEX}, toks as (select *, {TOKENS('title')} as t1, {TOKENS('alias')} as t2, {TOKENS('search_text')} as t3, {TOKENS('compact_text')} as t4 from forms)"
 WORDS = ["license", "para", "und"]
+CAPPED = """, c as (select * from {src} where {test} order by score, title, chunk_id limit {n}), h as (select *, row_number() over (partition by document_id order by score, title, chunk_id) as r from c)
+  select chunk_id, document_id, score, cast(row_number() over (order by score, title, chunk_id) as int) as rank from (select * from h where r <= {per} order by score, title, chunk_id limit 10)"""
 
 
-def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = views.table(spark, sf_dir, "documents")
-    return d.select("doc_id", "source", "lang").join(search.bm25(d.select("doc_id", "text"), "doc_id", " ".join(WORDS), {"text": 2.0}), "doc_id").withColumn("score", F.round("score", 4))
+def _search(spark: SparkSession, sf_dir: str, asked: str | None, filters: dict, per_document: int = 2) -> DataFrame:
+    found = search.search(spark, views.search_index(spark, sf_dir), asked, filters, 10, per_document)
+    return found.select("chunk_id", "document_id", F.round("score", 4).alias("score"), "rank")
 
 
-CAP = """c as (select * from {src} order by score, doc_id limit {n}), h as (select *, row_number() over (partition by source order by score, doc_id) as r from c)
-  select doc_id, source, score, cast(row_number() over (order by score, doc_id) as int) as rank from (select * from h where r <= {per} order by score, doc_id limit 10)"""
+def _searched(test: str, per: int = 2) -> str:
+    return SEARCHED + ", " + _scored_sql(WORDS) + CAPPED.format(src="scored", test=test, n=max(10 * per * 5, 50), per=per)
 
 
-@query("with " + _bm25_sql(WORDS) + ", " + CAP.format(src="scored", n=100, per=2))
+@query(_searched("true"))
 def search_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.capped(_scored(spark, sf_dir), "source", [F.asc("score"), F.asc("doc_id")], 10, 2).select("doc_id", "source", "score", "rank")
+    return _search(spark, sf_dir, " ".join(WORDS), ALL)
 
 
-@query("with " + _bm25_sql(WORDS) + ", en as (select * from scored where lang = 'en'), " + CAP.format(src="en", n=50, per=1))
+@query(_searched("department = 'en' and document_type = 'regulation' and revision_date >= '2003-01-01' and revision_date <= '2027-01-01'", 1))
 def search_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.capped(_scored(spark, sf_dir).where("lang = 'en'"), "source", [F.asc("score"), F.asc("doc_id")], 10, 1).select("doc_id", "source", "score", "rank")
+    return _search(spark, sf_dir, " ".join(WORDS), {**ALL, "department": "en", "document_type": "regulation", "revision_from": "2003-01-01", "revision_to": "2027-01-01"}, 1)
+
+
+@query(_searched("is_latest_version and retrieval_scope = 'primary'", 3))
+def search_default_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _search(spark, sf_dir, " ".join(WORDS), {}, 3)
+
+
+@query(_searched("validity_status = 'in_force' and status_confidence = 'confirmed'"))
+def search_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _search(spark, sf_dir, " ".join(WORDS), {"current_only": True, "include_secondary": True})
 
 
-@query("select doc_id, source from documents where contains(lower(text), 'license')")
+@query(SEARCHED + ", z as (select *, 0.0::double as score from forms)" + CAPPED.format(src="z", test="title = 'D44' or alias = 'alias books'", n=50, per=1))
+def search_title_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = views.search_index(spark, sf_dir)
+    rows = search.spark_rows(spark, path)
+    found = reduce(DataFrame.unionByName, [search.filtered(rows, {**ALL, "title_exact": t}) for t in ("Ｄ４４", "ALIAS·books")]).withColumn("score", F.lit(0.0))
+    return search.capped(found, "document_id", search.result_order(), 10, 1).select("chunk_id", "document_id", "score", "rank")
+
+
+@query(SEARCHED + ", z as (select *, 0.0::double as score from forms)" + CAPPED.format(src="z", test="lower(title) like '%d1%' and article_no = '제1조'", n=100, per=2))
+def search_title_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _search(spark, sf_dir, None, {**ALL, "title_contains": "D 1", "article_no": "제1조"})
+
+
+@query(f"with {V_INDEX} select chunk_id, document_id from forms where contains(search_text, 'of the') or contains(compact_text, 'ofthe')")
 def search_like_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "documents").where(F.lower("text").contains("license")).select("doc_id", "source")
+    return search.like_fallback(search.spark_rows(spark, views.search_index(spark, sf_dir)), "Of·The").select("chunk_id", "document_id")
+
 
+@query(_searched("true").replace("select chunk_id, document_id, score, cast(", "select chunk_id, title || ' ' || alias as shown, cast(").replace("row_number() over (partition", "row_number() over (partition"))
+def search_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = search.search(spark, views.search_index(spark, sf_dir), " ".join(WORDS), ALL)
+    lines = search.tsv_lines(found)
+    rows = found.join(lines, "rank").where(F.size(F.split("line", "\t")) == len(search.DISPLAY))
+    return rows.select("chunk_id", F.concat_ws(" ", "title", F.col("alternative_titles")[0]).alias("shown"), "rank")
 
-@query("with " + _bm25_sql(WORDS) + """, r as (select *, row_number() over (partition by lang order by score, doc_id) as rank from scored),
-  e as (select lang, min(doc_id) as doc_id from scored group by lang), h as (select e.lang, r.rank from e join r on e.lang = r.lang and e.doc_id = r.doc_id)
-  select count(*) as cases, round(avg(case when rank <= 5 then 1.0 else 0.0 end), 4) as recall, round(avg(1.0 / rank), 4) as mrr from h""")
+
+EVAL_WORDS = ["license", "para", "und", "pour"]
+
+
+@query(SEARCHED + ", " + ", ".join(_scored_sql([w], f"s{i}") for i, w in enumerate(EVAL_WORDS)) + ", every as (" + " union all ".join(f"select {i} as k, chunk_id, document_id, title, score from s{i}" for i in range(len(EVAL_WORDS))) + """),
+  per as (select *, row_number() over (partition by k, document_id order by score, title, chunk_id) as r from (select *, row_number() over (partition by k order by score, title, chunk_id) as a from every) where a <= 50), ranked as (select *, row_number() over (partition by k order by score, title, chunk_id) as rank from per where r = 1),
+  e as (select max(document_id) as document_id from forms), hits as (select k, min(rank) as rank from ranked where rank <= 5 and document_id = (select document_id from e) group by k)
+  select 4 as cases, round(count(*) / 4.0, 4) as recall, round(coalesce(sum(1.0 / rank), 0) / 4.0, 4) as mrr from hits""")
 def retrieval_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _scored(spark, sf_dir)
-    ranked = s.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("score", "doc_id")))
-    hit = s.groupBy("lang").agg(F.min("doc_id").alias("doc_id")).join(ranked.select("lang", "doc_id", "rank"), ["lang", "doc_id"])
-    return hit.agg(F.count("*").alias("cases"), F.round(F.avg((F.col("rank") <= 5).cast("double")), 4).alias("recall"), F.round(F.avg(1 / F.col("rank")), 4).alias("mrr"))
+    path = views.search_index(spark, sf_dir)
+    found = reduce(DataFrame.unionByName, [search.search(spark, path, w, ALL, 5, 1).select(F.lit(w).alias("case"), "document_id", "section_kind", "rank") for w in EVAL_WORDS])
+    last = search.spark_rows(spark, path).agg(F.max("document_id").alias("document_id"))
+    expected = spark.createDataFrame([(w,) for w in EVAL_WORDS], "case string").crossJoin(last)  # four rows and one
+    forbidden = spark.createDataFrame([(w, "form") for w in EVAL_WORDS], "case string, section_kind string").limit(0)
+    r = search.evaluate(found, expected, forbidden, keys=("document_id",))
+    return r.select(F.col("cases").cast("int").alias("cases"), F.round("recall", 4).alias("recall"), F.round("mrr", 4).alias("mrr"))
 
 
-@query(f"with t as (select doc_id, unnest(regexp_extract_all({ACCENT_SQL}, '[\\p{{L}}\\p{{N}}]+')) as term from documents) select term, count(*) as tf, count(distinct doc_id) as df from t group by term having count(distinct doc_id) >= 5")
-def postings_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The terms of five documents at least; ``postings_all`` has every term."""
-    return postings_all(spark, sf_dir).where("df >= 5")
+@query(f"with {V_INDEX} select chunk_id, is_latest_version, validity_status, status_confidence, retrieval_scope, lower(title) as normalized_title, '|' || lower(alias) || '|' as normalized_aliases, '|' || replace(lower(alias), ' ', '') || '|' as compact_aliases, sha256(search_text) as search_digest, sha256(compact_text) as compact_digest from forms")
+def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = search.index_rows(*views.search_tables(spark, sf_dir))
+    return rows.select("chunk_id", "is_latest_version", "validity_status", "status_confidence", "retrieval_scope", "normalized_title", "normalized_aliases", "compact_aliases", F.sha2("search_text", 256).alias("search_digest"), F.sha2("compact_text", 256).alias("compact_digest"))
 
 
-@query(f"with t as (select doc_id, unnest(regexp_extract_all({ACCENT_SQL}, '[\\p{{L}}\\p{{N}}]+')) as term from documents) select term, count(*) as tf, count(distinct doc_id) as df from t group by term")
-def postings_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query(f"with t as (select doc_id, unnest({TOKENS('text')}) as term from documents) select term, count(*) as tf, count(distinct doc_id) as df from t group by term")
+def postings_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = search.postings(views.table(spark, sf_dir, "documents"), "doc_id", ["text"])
     return p.groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
 
 
+@query("""with q as (select list_transform(embedding, lambda x: x::double) as e from embeddings order by vec_id limit 1), v as (select vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings),
+  s as (select vec_id, list_inner_product(v.e, q.e) / (sqrt(list_inner_product(v.e, v.e)) * sqrt(list_inner_product(q.e, q.e))) as c from v, q)
+  select vec_id, round(c, 4) as cosine from s order by round(c, 8) desc, vec_id limit 20""")
+def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views.table(spark, sf_dir, "embeddings")
+    asked = [float(x) for x in v.orderBy("vec_id").first()["embedding"]]
+    return search.cosine_top(v, "vec_id", "embedding", asked, 20).select("vec_id", F.round("cosine", 4).alias("cosine"))
+
+
 @query("with " + V_CHAIN + " select version_id, document_id, previous_version_id, next_version_id, cast(position as int) as position from chain")
 def version_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.version_chain(views.versions(spark, sf_dir)).select("version_id", "document_id", "previous_version_id", "next_version_id", "position")
 
 
-@query("with " + V_VERSIONS + """, c as (select *, lead(version_id) over (partition by document_id order by revision_date asc nulls first, sha256) as second_version_id from v_versions where is_current)
-  select document_id, version_id as first_version_id, second_version_id from c where second_version_id is not null""")
-def current_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return versions.current_conflicts(views.versions(spark, sf_dir))
-
-
 @query("with " + V_VERSIONS + """, n as (select *, count(*) filter (where is_current) over (partition by document_id) as k from v_versions)
   select version_id, case when k > 1 and is_current then null else is_current end as is_current,
   case when k > 1 and is_current then 'unknown' when is_current then 'confirmed' when not is_current then 'historical' else 'unknown' end as current_status from n""")
@@ -125,214 +168,461 @@ def exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.exact_duplicates(m, "sha256", "doc_id").select("doc_id", "sha256", "canonical", "duplicate_group")
 
 
-@query("with " + V_DOCUMENTS + """, k as (select *, lower(regexp_replace(title, '[^0-9A-Za-z가-힣]', '', 'g')) as title_key from v_documents),
-  s as (select *, case when count(distinct department) over (partition by document_type, title_key) > 1 then coalesce(department,'') else '' end as discriminator from k),
-  g as (select document_type, title_key, discriminator, max(title) as title, count(*) as n_versions from s group by all)
-  select case document_type when 'regulation' then 'REG-' else 'GDL-' end || substr(sha256(document_type || ':' || title_key || ':' || discriminator),1,12) as document_id, document_type, title, n_versions from g""")
-def document_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = views.documents(spark, sf_dir).withColumn("ordinal", F.col("document_id").cast("long"))
-    return versions.document_groups(d).select("document_id", "document_type", "title", "n_versions")
-
-
-@query("""with m as (select doc_id, text || case doc_id % 5 when 1 then ' 900101-1234567' when 2 then ' 010-1234-5678' when 3 then ' password: secret99' when 4 then ' 192.168.0.12' else '' end as text from documents)
-  select doc_id, array_to_string(list_filter([case when regexp_matches(text, '(^|[^0-9])[0-9]{6}-[1-4][0-9]{6}([^0-9]|$)') then 'resident_number' end,
-  case when regexp_matches(text, '(^|[^0-9])01[016789][ -][0-9]{3,4}[ -][0-9]{4}([^0-9]|$)') then 'mobile_phone' end,
-  case when regexp_matches(text, 'gh[pousr]_[A-Za-z0-9_]{20,}|sk-[A-Za-z0-9_-]{20,}|AKIA[0-9A-Z]{16}') then 'token' end,
-  case when regexp_matches(text, '(?i)(password|passwd|pwd)\\s*[:=]\\s*[^\\s''"]{6,}') then 'password' end,
-  case when regexp_matches(text, '(^|[^0-9])(10\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}|192\\.168\\.[0-9]{1,3}\\.[0-9]{1,3}|172\\.(1[6-9]|2[0-9]|3[01])\\.[0-9]{1,3}\\.[0-9]{1,3})([^0-9]|$)') then 'internal_ip' end], lambda x: x is not null), ',') as reasons from m""")
-def security_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    extra = F.when(F.col("doc_id") % 5 == 1, " 900101-1234567").when(F.col("doc_id") % 5 == 2, " 010-1234-5678").when(F.col("doc_id") % 5 == 3, " password: secret99").when(F.col("doc_id") % 5 == 4, " 192.168.0.12").otherwise("")
-    d = views.table(spark, sf_dir, "documents").select("doc_id", F.concat("text", extra).alias("text"))
-    return d.select("doc_id", F.array_join(F.array_remove(text.sensitive_kinds(F.col("text")), "external_email"), ",").alias("reasons"))
-
-
 @query("select doc_id from documents where sha256(text) not in (select sha256(text) from documents where lang = 'es')")
 def restricted_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = views.table(spark, sf_dir, "documents").withColumn("sha256", F.sha2("text", 256))
     return catalog.split_restricted(d, d.where("lang = 'es'"))[0].select("doc_id")
 
 
-@query("select '.' || source as extension, count(*) as n, cast(sum(octet_length(encode(text))) as bigint) as size, count(*) filter (where octet_length(encode(text)) >= 26214400) as over_25mb from documents group by source")
-def source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = views.table(spark, sf_dir, "documents").select(F.concat(F.lit("a/b."), "source").alias("path"), F.octet_length("text").cast("long").alias("length"))
-    return catalog.audit(d)
-
-
 @query("with " + V_LEGAL + " select doc_id, greatest(1, (len(regexp_extract_all(text,'[가-힣]')) + 1) // 2 + len(regexp_extract_all(text, '[A-Za-z0-9]+|[^\\sA-Za-z0-9가-힣]'))) as tokens from v_legal")
 def token_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.legal(spark, sf_dir).select("doc_id", text.token_estimate(F.col("text")).cast("long").alias("tokens"))
 
 
-@query("select doc_id, sha256(trim(regexp_replace(regexp_replace(replace(lower(text),'ß','ss'), '[·ㆍ‧・./\\\\()\\[\\]{}<>:;,''\"“”‘’_-]+', ' ', 'g'), '\\s+', ' ', 'g'))) as digest from documents")
-def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.search_text(F.col("text"), True), 256).alias("digest"))
+@query("with " + V_ARTICLES + " select doc_id, position, article_no, article_title, sha256(body) as digest from articles")
+def split_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.split_articles(views.legal(spark, sf_dir)).select("doc_id", "position", "article_no", "article_title", F.sha2("body", 256).alias("digest"))
 
 
-def _articles_sql() -> str:
-    return V_LEGAL + """, parts as (select doc_id, string_split(text, chr(10)||chr(10)||'제') as p from v_legal), a as (select doc_id, unnest(p) as part, generate_subscripts(p, 1) - 1 as position from parts),
-  b as (select doc_id, position, case when position = 0 then part else '제' || part end as part from a)"""
+@query("with " + V_ARTICLES + " select article_no as no, count(*) as n, min('D' || doc_id || coalesce(' ' || article_no, '') || ', 2020-01-01 개정') as citation from articles group by article_no")
+def citation_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = chunking.split_articles(views.legal(spark, sf_dir))
+    label = chunking.citation(F.concat(F.lit("D"), F.col("doc_id").cast("string")), F.col("article_no"), F.lit("2020-01-01"))
+    return a.groupBy(F.col("article_no").alias("no")).agg(F.count("*").alias("n"), F.min(label).alias("citation"))
 
 
-@query("with " + _articles_sql() + " select doc_id, cast(position as int) as position, regexp_extract(part, '^(제[0-9]+조)', 1) as article_no, regexp_extract(part, '^제[0-9]+조\\(([^)]*)\\)', 1) as article_title, sha256(regexp_replace(part, '^\\s+|\\s+$', '', 'g')) as digest from b")
-def split_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.split_articles(views.legal(spark, sf_dir)).select("doc_id", "position", "article_no", "article_title", F.sha2("body", 256).alias("digest"))
+@query("select page_id, host from (select page_id, regexp_extract(url, '^[^:]+://([^/?#]+)', 1) as host, row_number() over (partition by regexp_extract(url, '^[^:]+://([^/?#]+)', 1) order by page_id) as r from pages) where r = 1")
+def record_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return updates.first_seen(views.records(spark, sf_dir).select("page_id", "host"), ["host"], "page_id")
+
+
+@query("""select page_id, case when contains(lower(url),'selectboardarticle') or contains(lower(url),'mode=v') or contains(lower(url),'/view') then 'detail' when contains(lower(url),'list') or contains(lower(url),'mode=l') or contains(lower(url),'06010') then 'list_only'
+  when contains(lower(url),'download') or contains(lower(url),'filedown') or contains(lower(url),'mode=d') then 'attachment_only' else 'unknown' end as quality, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') as page, nullif(regexp_extract(url, '[?&]ref=([^&#]*)', 1), '') as ref from pages""")
+def url_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    u = F.col("url")
+    return views.table(spark, sf_dir, "pages").select("page_id", text.url_quality(u).alias("quality"), text.query_value(u, "page").alias("page"), text.query_value(u, "ref").alias("ref"))
+
+
+@query("""select o_orderkey, case o_orderkey % 4 when 3 then null else strftime(o_orderdate, '%Y-%m-%d') end as date from orders""")
+def date_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = views.table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey") % 4
+    shown = F.when(k == 0, F.date_format("o_orderdate", "yyyy.M.d.")).when(k == 1, F.date_format("o_orderdate", "yyyy'년 'M'월 'd'일 개정'")).when(k == 2, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.date_format("o_orderdate", "yyyy.'02.31'"))
+    return o.select("o_orderkey", text.normalize_date(shown).alias("date"))
+
+
+@query("with " + V_VERSIONS + """, c as (select *, lead(version_id) over w as second_version_id, lead(sha256) over w as second_sha256, lead(source_file) over w as other_file from v_versions where is_current window w as (partition by document_id order by revision_date asc nulls first, sha256))
+  select 'CUR-' || substr(sha256,1,6) || '-' || substr(second_sha256,1,6) as conflict_id, document_id as document_id_1, source_file as source_path_1, other_file as source_path_2, sha256 as sha256_1, second_sha256 as sha256_2, true as review_required from c where second_version_id is not null""")
+def current_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return versions.conflict_rows(views.versions(spark, sf_dir)).drop("document_id_2", "conflict_reason", "notes")
+
+
+@query("with " + V_CHAIN + """, n as (select *, count(*) filter (where is_current) over (partition by document_id) as k from chain), g as (select document_id, max(k) as k, max(case when is_current then version_id end) as cur, max_by(version_id, position) as last from n group by document_id),
+  had as (select v_versions.document_id, min(version_id) as had from v_versions where o_orderkey % 2 = 0 group by 1), l as (select g.document_id, case when k = 1 then cur else coalesce(had, last) end as latest from g left join had on had.document_id = g.document_id)
+  select version_id, n.previous_version_id, n.next_version_id, case when n.k > 1 and is_current then null else is_current end as is_current, case when n.k > 1 and is_current then 'unknown' when is_current then 'confirmed' when not is_current then 'historical' else 'unknown' end as current_status,
+  version_id = latest as is_latest_version, 'unknown' as validity_status, 'unknown' as source_url_quality from n join l on l.document_id = n.document_id""")
+def version_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views.versions(spark, sf_dir)
+    had = v.where(F.col("o_orderkey") % 2 == 0).groupBy("document_id").agg(F.min("version_id").alias("latest_version_id"))
+    docs = v.select("document_id").distinct().join(had, "document_id", "left").withColumns({"is_current": F.lit(None).cast("boolean"), "current_status": F.lit("unknown")})
+    return versions.build_versions(v, docs)[0].select("version_id", "previous_version_id", "next_version_id", "is_current", "current_status", "is_latest_version", "validity_status", "source_url_quality")
+
+
+@query("with " + V_VERSIONS + """, m as (select row_number() over (order by doc_id) as ordinal, sha256(text) as sha256, 'a/' || doc_id as archive_file from documents), v as (select sha256, max_by(doc_id, doc_id) as document_id from (select doc_id, sha256(text) as sha256 from documents where doc_id % 3 <> 0) group by sha256),
+  f as (select sha256, min(ordinal) as first from m group by sha256) select 'EXACT-' || substr(m.sha256,1,12) as duplicate_group_id, cast(v.document_id as varchar) as document_id, m.archive_file as notes from m join f on f.sha256 = m.sha256 and m.ordinal > f.first join v on v.sha256 = m.sha256""")
+def duplicate_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = views.table(spark, sf_dir, "documents").withColumn("sha256", F.sha2("text", 256))
+    m = d.select(F.col("doc_id").alias("ordinal"), "sha256", F.concat(F.lit("a/"), F.col("doc_id").cast("string")).alias("archive_file"))
+    v = d.where("doc_id % 3 <> 0").select(F.col("doc_id").cast("string").alias("document_id"), "sha256", F.col("doc_id").alias("ordinal"))
+    return versions.duplicate_rows(m, v).select("duplicate_group_id", "document_id", "notes")
+
+
+V_CANDIDATES = """v_cand as (select o_orderkey as ordinal, case when o_custkey % 2 = 0 then 'regulation' else 'guideline' end as document_type, case o_orderkey % 3 when 0 then '규정 ' || (o_custkey % 40) || ' (2024.1.2 개정)' when 1 then '규정-' || (o_custkey % 40) else '규정 ' || (o_custkey % 40) || ' 2023.3.' || (1 + o_orderkey % 9) end as title,
+  case when o_custkey % 40 < 20 then case o_custkey % 3 when 0 then 'A' when 1 then 'B' end end as department, sha256(cast(o_orderkey as varchar)) as sha256, strftime(o_orderdate,'%Y-%m-%d') as revision_date, case o_orderstatus when 'O' then true when 'F' then false end as is_current from orders),
+  v_key as (select *, '규정' || regexp_extract(title, '^규정[ -]([0-9]+)', 1) as title_key from v_cand), v_disc as (select *, case when count(distinct department) over (partition by document_type, title_key) > 1 then coalesce(department, '') else '' end as discriminator from v_key),
+  v_groups as (select document_type, title_key, discriminator, max_by(title, length(title) * 100000000 - ordinal) as title, list_sort(list_distinct(list(title))) as titles, count(*) as n_versions from v_disc group by all)"""
+
+
+def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = views.table(spark, sf_dir, "orders")
+    k, n = F.col("o_orderkey"), (F.col("o_custkey") % 40).cast("string")
+    title = F.when(k % 3 == 0, F.concat(F.lit("규정 "), n, F.lit(" (2024.1.2 개정)"))).when(k % 3 == 1, F.concat(F.lit("규정-"), n)).otherwise(F.concat(F.lit("규정 "), n, F.lit(" 2023.3."), (1 + k % 9).cast("string")))
+    department = F.when(F.col("o_custkey") % 40 < 20, F.when(F.col("o_custkey") % 3 == 0, "A").when(F.col("o_custkey") % 3 == 1, "B"))
+    return o.select(
+        k.alias("ordinal"), F.when(F.col("o_custkey") % 2 == 0, "regulation").otherwise("guideline").alias("document_type"), title.alias("title"), department.alias("department"), F.sha2(k.cast("string"), 256).alias("sha256"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("revision_date"),
+        F.when(F.col("o_orderstatus") == "O", True).when(F.col("o_orderstatus") == "F", False).alias("is_current"), F.when(k % 10 == 9, "low").otherwise("high").alias("metadata_confidence"), F.when(k % 7 == 6, ".txt").otherwise(".HWP").alias("file_extension"),
+    )
+
+
+@query("with " + V_CANDIDATES + """ select case document_type when 'regulation' then 'REG-' else 'GDL-' end || substr(sha256(document_type || ':' || title_key || ':' || discriminator),1,12) as document_id, 'VG-' || substr(sha256(document_type || ':' || title_key || ':' || discriminator),1,12) as version_group_id,
+  document_type, title_key, title, array_to_string(list_filter(titles, lambda x: x <> title), ',') as aliases, n_versions from v_groups""")
+def document_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = versions.document_groups(_candidates(spark, sf_dir))
+    return g.select("document_id", "version_group_id", "document_type", "title_key", "title", F.array_join("alternative_titles", ",").alias("aliases"), "n_versions")
+
+
+@query("with " + V_CANDIDATES.replace("from orders)", "from orders where o_orderkey % 10 <> 9 and o_orderkey % 7 <> 6 and o_orderkey % 8 <> 0)", 1) + """, v as (select d.*, case document_type when 'regulation' then 'REG-' else 'GDL-' end || substr(sha256(document_type || ':' || title_key || ':' || discriminator),1,12) as document_id, 'VER-' || replace(revision_date,'-','') || '-' || substr(sha256,1,8) as version_id from v_disc d),
+  g as (select document_id, count(*) as n, count(*) filter (where is_current) as k, max(case when is_current then version_id end) as cur, max_by(sha256, revision_date || sha256) as last_sha, max(case when is_current then sha256 end) as cur_sha from v group by 1)
+  select document_id, cast(n as bigint) as n_versions, case when k = 1 then cur end as latest_version_id, case when k = 1 then 'confirmed' else 'unknown' end as current_status, case when k = 1 then cur_sha else last_sha end as sha256 from g""")
+def document_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = _candidates(spark, sf_dir)
+    manifest = c.where("ordinal % 8 <> 0").select("sha256", F.concat(F.lit("f/"), F.col("ordinal").cast("string")).alias("archive_file"), "ordinal")
+    extraction = c.where("ordinal % 5 = 0").select("sha256", F.lit("success").alias("status"), F.lit("t").alias("text_file"), "ordinal")
+    docs, vers = documents.normalize(c, manifest, extraction)
+    n = vers.groupBy("document_id").agg(F.count("*").alias("n_versions"))
+    return docs.join(n, "document_id").select("document_id", "n_versions", "latest_version_id", "current_status", "sha256")
+
 
+KIND = "case when {0} then '{1}' end"
 
-@query("with " + _articles_sql() + " select section_kind, count(*) as n from (select case when substr(part,1,1200) like '%부칙%' then 'supplementary_provision' when substr(part,1,1200) like '%별표%' then 'appendix' else 'operative_text' end as section_kind from b) group by 1")
+
+@query("""with m as (select doc_id, text || case doc_id % 7 when 1 then ' 900101-1234567' when 2 then ' 010-1234-5678' when 3 then ' password: secret99' when 4 then ' 192.168.0.12' when 5 then ' a.b@mail.example.org x@own.example.com' when 6 then ' xpassword: secret99 c@example.organic.net' else '' end as text from documents)
+  select doc_id, array_to_string(list_filter([case when regexp_matches(text, '(^|[^0-9])[0-9]{6}-[1-4][0-9]{6}([^0-9]|$)') then 'resident_registration_number' end,
+  case when regexp_matches(text, '(^|[^0-9])01[016789][ -][0-9]{3,4}[ -][0-9]{4}([^0-9]|$)') then 'personal_mobile_number' end,
+  case when len(list_filter(regexp_extract_all(text, '(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{2,}'), lambda x: not regexp_matches(x, '(?i)@[A-Z0-9.-]*example\\.org$'))) > 0 then 'external_email_address' end,
+  case when regexp_matches(text, 'gh[pousr]_[A-Za-z0-9_]{20,}|sk-[A-Za-z0-9_-]{20,}|AKIA[0-9A-Z]{16}') then 'api_key_or_token' end,
+  case when regexp_matches(text, '(?i)(^|[^\\pL\\pN_])(password|passwd|pwd)\\s*[:=]\\s*[^\\s''"]{6,}') then 'password_assignment' end,
+  case when regexp_matches(text, '(^|[^0-9])(10\\.[0-9]{1,3}\\.[0-9]{1,3}\\.[0-9]{1,3}|192\\.168\\.[0-9]{1,3}\\.[0-9]{1,3}|172\\.(1[6-9]|2[0-9]|3[01])\\.[0-9]{1,3}\\.[0-9]{1,3})([^0-9]|$)') then 'internal_ipv4' end], lambda x: x is not null), ',') as reasons from m""")
+def security_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    added = {1: " 900101-1234567", 2: " 010-1234-5678", 3: " password: secret99", 4: " 192.168.0.12", 5: " a.b@mail.example.org x@own.example.com", 6: " xpassword: secret99 c@example.organic.net"}
+    extra = F.lit("")
+    for k, v in added.items():
+        extra = F.when(F.col("doc_id") % 7 == k, v).otherwise(extra)
+    d = views.table(spark, sf_dir, "documents").select("doc_id", F.concat("text", extra).alias("text"))
+    return d.select("doc_id", F.array_join(text.sensitive_kinds(F.col("text")), ",").alias("reasons"))
+
+
+@query("select '.' || source as extension, count(*) as n, cast(sum(octet_length(encode(text)) * 3000) as bigint) as size, count(*) filter (where octet_length(encode(text)) * 3000 >= 26214400) as over_25mb, count(*) filter (where octet_length(encode(text)) * 3000 >= 52428800) as over_50mb, count(*) filter (where octet_length(encode(text)) * 3000 >= 104857600) as over_100mb from documents group by source")
+def source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = views.table(spark, sf_dir, "documents").select(F.concat(F.lit("a/b."), "source").alias("path"), (F.octet_length("text").cast("long") * 3000).alias("length"))
+    return catalog.audit(d)
+
+
+@query(f"select doc_id, sha256({FORM('text')}) as digest, sha256(replace({FORM('text')}, ' ', '')) as compact from documents")
+def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = views.table(spark, sf_dir, "documents").select("doc_id", text.search_text(F.col("text")).alias("t"))
+    return t.select("doc_id", F.sha2("t", 256).alias("digest"), F.sha2(F.regexp_replace("t", " ", ""), 256).alias("compact"))
+
+
+RULES_SQL = """case when len(regexp_extract_all(b, '제\\s*[0-9]+\\s*조')) >= 2 and not regexp_matches(substr(b, 1, 700), '현\\s*행\\s*\\|\\s*개\\s*정\\s*안') then 'operative_text' when regexp_matches(v, '신\\s*구\\s*조문\\s*대비|현\\s*행\\s*개\\s*정\\s*안') then 'comparison_old'
+  when regexp_matches(v, '개정\\s*사유|제정\\s*사유') then 'amendment_reason' when regexp_matches(v, '주요\\s*(내용|개정)') then 'major_changes' when regexp_matches(v, '부\\s*칙') then 'supplementary_provision'
+  when regexp_matches(v, '공포|일부개정안') and not regexp_matches(v, '제\\s*[0-9]+\\s*조') then 'promulgation_notice' when regexp_matches(v, '별\\s*표') then 'appendix' when regexp_matches(v, '별\\s*지|서\\s*식') then 'form' when regexp_matches(v, '제\\s*[0-9]+\\s*조') then 'operative_text' else 'unknown' end"""
+MARKS = ["신·구조문 대비표", "| 현행 개정안 |", "개정 사유", "주요 내용", "공포한다", "별 지 서식", "| 현 행 | 개 정 안 |", "현행개정안", "제정사유", "일부개정안"]
+
+
+@query("with " + V_ARTICLES + f""", m as (select doc_id, position, case when doc_id % 4 = 0 then ({MARKS!r})[cast(1 + (doc_id + position) % {len(MARKS)} as int)] || ' ' else '' end || case when doc_id % 8 = 0 then regexp_replace(body, '제[0-9]+조', '', 'g') else body end as t from articles),
+  f as (select doc_id, position, {FORM('substr(t, 1, 3000)')} as b, {FORM('substr(t, 1, 1200)')} as v from m) select doc_id, position, {RULES_SQL} as section_kind from f""")
 def section_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = chunking.split_articles(views.legal(spark, sf_dir))
-    # the second article reference of an appendix line lies in parentheses; one reference alone decides here
-    kind = rules.classify_section(F.regexp_replace("body", r"\(제2조 관련\)", ""), F.lit(None).cast("string"))
-    return a.select(kind["kind"].alias("section_kind")).groupBy("section_kind").agg(F.count("*").alias("n"))
+    mark = F.element_at(F.array(*map(F.lit, MARKS)), (1 + (F.col("doc_id") + F.col("position")) % len(MARKS)).cast("int"))
+    body = F.when(F.col("doc_id") % 8 == 0, F.regexp_replace("body", "제[0-9]+조", "")).otherwise(F.col("body"))
+    t = F.concat(F.when(F.col("doc_id") % 4 == 0, F.concat(mark, F.lit(" "))).otherwise(""), body)
+    return a.select("doc_id", "position", rules.classify_section(t, F.lit(None).cast("string"))["kind"].alias("section_kind"))
 
 
-@query("with " + _articles_sql() + ", d as (select doc_id, part, regexp_extract(part, '^(제[0-9]+조)', 1) as no from b) select no, count(*) as n, min('D' || doc_id || ' ' || no || ', 2020-01-01 개정') as citation from d group by no")
-def citation_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = chunking.split_articles(views.legal(spark, sf_dir))
-    label = chunking.citation(F.concat(F.lit("D"), F.col("doc_id").cast("string")), F.col("article_no"), F.lit("2020-01-01"))
-    return a.groupBy(F.col("article_no").alias("no")).agg(F.count("*").alias("n"), F.min(label).alias("citation"))
+@query("with " + V_ARTICLES + """, m as (select doc_id, position, case position % 4 when 0 then '3항 갑' || chr(10) when 1 then '  2. 을' || chr(10) when 2 then '가① ② 병' || chr(10) else '' end || body as t from articles)
+  select doc_id, position, case when position % 4 = 0 then '3항' when position % 4 = 2 then '②' end as paragraph_no, case when position % 4 = 1 then '2' else nullif(regexp_extract(t, '(?m)^\\s*([0-9]+)\\s*[.)]', 1), '') end as item_no, nullif(regexp_replace(regexp_extract(t, '(별\\s*(?:표|지)(?:\\s*제?\\s*[0-9]+\\s*호?)?)', 1), '\\s+', '', 'g'), '') as appendix_no from m""")
+def article_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, k = chunking.split_articles(views.legal(spark, sf_dir)), F.col("position") % 4
+    t = F.concat(F.when(k == 0, "3항 갑\n").when(k == 1, "  2. 을\n").when(k == 2, "가① ② 병\n").otherwise(""), F.col("body"))
+    return a.select("doc_id", "position", *[c.alias(n) for n, c in chunking.article_marks(t).items()])
+
+
+@query("with " + V_ARTICLES + " select doc_id, position, case when doc_id % 5 = 0 and position > 0 then '총칙' end as section_path from articles")
+def heading_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = chunking.split_articles(views.legal(spark, sf_dir), headings=True)
+    return a.select("doc_id", "position", F.nullif(F.array_join("headings", " > "), F.lit("")).alias("section_path"))
+
+
+@query("with " + V_ARTICLES + """ select doc_id, position, sha256('문서명: D' || doc_id || chr(10) || '유형: ' || case when doc_id % 2 = 0 then '규정' else '지침' end || chr(10) || '위치: ' || case when doc_id % 5 = 0 and position > 0 then '총칙 > ' else '' end || coalesce(article_no, '') || ' ' || coalesce(article_title, '') || chr(10) || '본문: ' || body) as digest from articles""")
+def embedding_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = chunking.split_articles(views.legal(spark, sf_dir), headings=True)
+    kind = F.when(F.col("doc_id") % 2 == 0, "regulation").otherwise("guideline")
+    t = chunking.embedding_text(F.concat(F.lit("D"), F.col("doc_id").cast("string")), kind, F.array_join("headings", " > "), F.col("article_no"), F.col("article_title"), F.col("body"))
+    return a.select("doc_id", "position", F.sha2(t, 256).alias("digest"))
 
 
 @query()
 def chunk_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = views.legal(spark, sf_dir).select(F.concat(F.lit("VER-unknown-"), F.col("doc_id").cast("string")).alias("version_id"), F.col("doc_id").cast("string").alias("document_id"), F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("title"), "text", F.lit(None).cast("string").alias("revision_date"))
-    return chunking.build_chunks(v).select("chunk_id", "version_id", "document_id", "section_path", "chapter", "section", "article_no", "article_title", "chunk_index", "section_kind", "retrieval_scope", "citation", "token_count", F.sha2("text", 256).alias("digest"))
+    vers, docs = views.legal_versions(spark, sf_dir)
+    c = chunking.full(vers, docs)
+    return c.select("chunk_id", "version_id", "document_id", "section_path", "chapter", "section", "article_no", "article_title", "chunk_index", "section_kind", "retrieval_scope", "is_latest_version", "citation_label", "token_count", F.sha2("text", 256).alias("digest"))
 
 
-@query("""with p as (select a.doc_id as a_id, b.doc_id as b_id, substr(a.text,1,200) as x, substr(b.text,1,200) as y from documents a join documents b on b.doc_id = a.doc_id + 20),
-  q as (select a_id, b_id, regexp_replace(x,'\\s+','','g') as x, regexp_replace(y,'\\s+','','g') as y from p),
-  s as (select a_id, b_id, list_distinct(list_transform(range(1, greatest(length(x)-4,1)+1), lambda i: substr(x,i,5))) as x, list_distinct(list_transform(range(1, greatest(length(y)-4,1)+1), lambda i: substr(y,i,5))) as y from q)
-  select a_id, b_id, round(len(list_intersect(x,y)) / least(len(x),len(y)), 4) as overlap from s""")
-def overlap_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = views.table(spark, sf_dir, "documents").select("doc_id", text.shingles(F.substring("text", 1, 200)).alias("s"))
-    pairs = d.select(F.col("doc_id").alias("a_id"), (F.col("doc_id") + 20).alias("b_id"), F.col("s").alias("x")).join(d.select(F.col("doc_id").alias("b_id"), F.col("s").alias("y")), "b_id")
-    return pairs.select("a_id", "b_id", F.round(text.overlap_ratio(F.col("x"), F.col("y")), 4).alias("overlap"))
+@query("with " + V_LEGAL + """, e as (select 'old-' || doc_id as chunk_id, 'D' || doc_id as citation_label, sha256('kept ' || doc_id) as digest, doc_id % 3 = 0 as kept from v_legal)
+  select chunk_id, citation_label, digest from e where kept""")
+def chunk_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The kept chunks of an incremental step; that the other versions get theirs is a test."""
+    vers, docs = views.legal_versions(spark, sf_dir)
+    null = F.lit(None).cast("string")
+    old = vers.where(F.col("document_id").cast("long") % 3 == 0).select(F.concat(F.lit("old-"), "document_id").alias("chunk_id"), "version_id", F.concat(F.lit("kept "), "document_id").alias("text"), null.alias("section_path"), null.alias("article_no"), null.alias("article_title"), F.lit(0).alias("chunk_index"))
+    kept = chunking.refresh(old, chunking.chunkable(vers), docs)
+    return kept.select("chunk_id", "citation_label", F.sha2("text", 256).alias("digest"))
 
 
 @query()
-def migration_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = chunking.split_articles(views.legal(spark, sf_dir)).select(F.concat_ws("-", "doc_id", "position").alias("chunk_id"), F.col("doc_id").cast("string").alias("version_id"), F.col("body").alias("text"), "article_no", F.lit(None).cast("string").alias("appendix_no"), F.lit(None).cast("string").alias("section_path"))
-    seq = F.regexp_extract("chunk_id", r"-(\d+)", 1).cast("int")
+def overlap_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The overlap of each document with the next one of its source, over whole texts."""
+    from lawloom.operators.numbering import row_numbers
+
+    d = row_numbers(views.table(spark, sf_dir, "documents").select("doc_id", "source", text.long_shingles(F.col("text")).alias("s")), ["source"], ["doc_id"])
+    later = d.select(F.col("doc_id").alias("b_id"), F.col("source").alias("_s"), (F.col("n") - 1).alias("_n"), F.col("s").alias("y"))
+    pairs = d.join(later, F.col("source").eqNullSafe(F.col("_s")) & (F.col("n") == F.col("_n")))
+    return pairs.select(F.col("doc_id").alias("a_id"), "b_id", text.overlap_ratio(F.col("s"), F.col("y")).alias("overlap"))
+
+
+V_PAIRS = """old as (select doc_id || '-' || position as chunk_id, doc_id, position, body as text, article_no from articles),
+  new as (select case when position % 3 = 0 then chunk_id || 'n' else chunk_id end as chunk_id, chunk_id as from_id, text || case when position % 4 = 1 then ' 개정 문장을 더한다.' else '' end as text from old where position % 5 <> 4)"""
+
+
+def _migration(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    null = F.lit(None).cast("string")
+    a = chunking.split_articles(views.legal(spark, sf_dir))
+    old = a.select(F.concat_ws("-", "doc_id", "position").alias("chunk_id"), F.col("doc_id").cast("string").alias("document_id"), F.col("doc_id").cast("string").alias("version_id"), F.col("body").alias("text"), "article_no", null.alias("appendix_no"), null.alias("section_path"), F.col("position").alias("chunk_index"))
+    seq = F.col("chunk_index")
     new = old.where(seq % 5 != 4).withColumn("chunk_id", F.when(seq % 3 == 0, F.concat("chunk_id", F.lit("n"))).otherwise(F.col("chunk_id"))).withColumn("text", F.when(seq % 4 == 1, F.concat("text", F.lit(" 개정 문장을 더한다."))).otherwise(F.col("text")))
-    return migration.relation_counts(migration.migration_map(old, new))
+    return old, new
+
+
+@query("with " + V_ARTICLES + ", " + V_PAIRS + """ select o.chunk_id as old_chunk_id, case when o.text = n.text then 'unchanged' else 'modified' end as relation, n.chunk_id as new_chunk_id, sha256(n.text) as new_sha from old o join new n on n.chunk_id = o.chunk_id
+  union all select null, 'new', n.chunk_id, sha256(n.text) from new n where n.chunk_id <> n.from_id""")
+def migration_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of ids that both sides have, and those of new ids; matches by place and text are tested on a fixture."""
+    m = migration.migration_map(*_migration(spark, sf_dir)).where("evidence in ('same_chunk_id', 'new_id_not_in_reference')")
+    return m.select("old_chunk_id", "relation", F.col("new_chunk_ids")[0].alias("new_chunk_id"), F.col("new_text_sha256")[0].alias("new_sha"))
+
+
+@query("with " + V_ARTICLES + ", " + V_PAIRS + " select (select count(*) from old) as old_chunks, (select count(*) from new where chunk_id <> from_id) as new_ids, (select count(*) from new where chunk_id = from_id) as retained_ids, 0 as errors")
+def migration_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    old, new = _migration(spark, sf_dir)
+    m = migration.migration_map(old, new)
+    errors = migration.mapping_errors(m, old, new).agg(F.count("*").cast("int").alias("errors"))
+    return migration.summary(m).select("old_chunks", "new_ids", "retained_ids").crossJoin(errors)  # tables of one row
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = views.records(spark, sf_dir)
-    name = F.concat(F.when(F.col("page_id") % 10 == 0, "신구조문 대비표").otherwise("본문"), F.lit(".pdf"))
-    sha = F.when(F.col("page_id") % 4 == 1, F.sha2(F.col("page_id").cast("string"), 256)).otherwise(F.sha2("url", 256))
-    title = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("Customer#"), F.lpad((F.col("page_id") % 150).cast("string"), 9, "0"))).otherwise(F.concat(F.lit("page "), F.col("page_id").cast("string")))
-    return r.select("page_id", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("source_id"), name.alias("attachment_filename"), sha.alias("sha256"), title.alias("title"), F.lit("1995-01-01").alias("revision_date"))
+    k = F.col("page_id")
+    name = F.concat(F.when(k % 10 == 0, "신ㆍ구 조문 대비").otherwise("본문"), F.lit(".pdf"))
+    sha = F.when(k % 4 == 1, F.sha2(k.cast("string"), 256)).otherwise(F.sha2("url", 256))
+    title = F.when(k % 3 == 0, F.concat(F.lit("[공지] Customer#"), F.lpad((k % 150).cast("string"), 9, "0"), F.lit(" 일부개정(2024.3.1.)"))).otherwise(F.concat(F.lit("page "), k.cast("string")))
+    date = F.when(k % 6 == 0, "1995-01-01").otherwise("1994-01-01")
+    return r.select("page_id", F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1).alias("source_id"), name.alias("attachment_filename"), sha.alias("sha256"), title.alias("title"), date.alias("effective_date"))
 
 
-RECONCILED = "with " + V_VERSIONS + """, k as (select sha256 from v_versions), t as (select distinct c_name from customer),
+RECONCILED = "with " + V_VERSIONS + """, k as (select sha256 from v_versions), t as (select c_custkey, c_name from customer),
   r as (select page_id, regexp_extract(regexp_extract(url, '^[^:]+://([^/?#]+)', 1), '([^.]+\\.[^.]+)$', 1) as source_id, page_id % 10 = 0 as sup,
-  case when page_id % 4 = 1 then sha256(cast(page_id as varchar)) else sha256(url) end as sha256, case when page_id % 3 = 0 then 'Customer#' || lpad(cast(page_id % 150 as varchar), 9, '0') else 'page ' || page_id end as title from pages),
-  x as (select page_id, source_id, case when sup then 'supporting_material' when sha256 in (select sha256 from k) then 'existing_hash' when title in (select c_name from t) then 'new_version_candidate' else 'new_document_candidate' end as comparison_status from r)"""
+  case when page_id % 4 = 1 then sha256(cast(page_id as varchar)) else sha256(url) end as sha256, case when page_id % 3 = 0 then 'Customer#' || lpad(cast(page_id % 150 as varchar), 9, '0') else 'page ' || page_id end as title, case when page_id % 6 = 0 then '1995-01-01' else '1994-01-01' end as date from pages),
+  x as (select page_id, source_id, case when sup then 'supporting_attachment' when sha256 in (select sha256 from k) then 'present_hash' when date = '1995-01-01' and title in (select c_name from t where c_custkey % 2 = 0) then 'present_metadata' when title in (select c_name from t) then 'new_version_candidate' else 'new_document_candidate' end as comparison_status, title, date from r),
+  y as (select x.*, case when comparison_status in ('present_metadata', 'new_version_candidate') then coalesce((select cast(max(c_custkey) as varchar) from t where c_name = title), '') else '' end as matched from x)"""
 
 
 def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = views.versions(spark, sf_dir).select("document_id", "sha256", F.lit(None).cast("string").alias("revision_date"), F.lit(None).cast("string").alias("title"))
-    d = views.documents(spark, sf_dir).select("document_id", F.lit(None).cast("string").alias("sha256"), F.lit(None).cast("string").alias("revision_date"), "title")
+    null = F.lit(None).cast("string")
+    v = views.versions(spark, sf_dir).select("document_id", "sha256", null.alias("revision_date"), null.alias("effective_date"), null.alias("title"))
+    c = views.documents(spark, sf_dir)
+    d = c.select("document_id", null.alias("sha256"), null.alias("revision_date"), F.when(F.col("document_id").cast("long") % 2 == 0, "1995-01-01").alias("effective_date"), "title")
     return updates.reconcile(_records(spark, sf_dir), v.unionByName(d))
 
 
-@query(RECONCILED + " select page_id, source_id, comparison_status from x")
+@query(RECONCILED + " select page_id, source_id, comparison_status, matched from y")
 def source_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _reconciled(spark, sf_dir).select("page_id", "source_id", "comparison_status")
+    return _reconciled(spark, sf_dir).select("page_id", "source_id", "comparison_status", F.array_join("matched_document_ids", ",").alias("matched"))
 
 
-@query(RECONCILED + " select source_id, count(*) filter (where comparison_status = 'existing_hash') as existing_hash, count(*) filter (where comparison_status = 'supporting_material') as supporting_material, count(*) as total from x group by source_id")
+@query(RECONCILED + " select source_id, " + ", ".join(f"count(*) filter (where comparison_status = '{s}') as {s}" for s in rules.STATUSES) + ", count(*) as total from x group by source_id")
 def source_status_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return updates.status_pivot(_reconciled(spark, sf_dir), ["existing_hash", "supporting_material"])
+    return updates.status_pivot(_reconciled(spark, sf_dir))
 
 
-@query("select page_id, host from (select page_id, regexp_extract(url, '^[^:]+://([^/?#]+)', 1) as host, row_number() over (partition by regexp_extract(url, '^[^:]+://([^/?#]+)', 1) order by page_id) as r from pages) where r = 1")
-def record_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return updates.first_seen(views.records(spark, sf_dir).select("page_id", "host"), ["host"], "page_id")
+@query(RECONCILED + " select page_id, comparison_status from x where comparison_status in ('new_version_candidate', 'new_document_candidate')")
+def review_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return updates.review_candidates(_reconciled(spark, sf_dir)).select("page_id", "comparison_status")
 
 
-@query("select page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) as title, len(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) as links, regexp_extract(html, '<a href=\"([^\"]*)\"', 1) as first_link from pages")
+@query("""select page_id, nullif(replace(regexp_extract(html, '(?s)<title>(.*?)</title>', 1), '&amp;', '&'), '') as title, len(regexp_extract_all(html, '<a href=\\"([^\\"]*)\\"', 1)) as links, regexp_extract(html, '<a href=\\"([^\\"]*)\\"', 1) as first_link from pages""")
 def html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = views.records(spark, sf_dir)
-    links = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)
-    return r.select("page_id", "title", F.size(links).cast("long").alias("links"), F.regexp_extract("html", '<a href="([^"]*)"', 1).alias("first_link"))
+    f = html.page_facts(views.table(spark, sf_dir, "pages"), "page_id")
+    return f.select("page_id", "title", "links", F.coalesce("first_link", F.lit("")).alias("first_link"))
 
 
-@query("""select page_id, case when contains(lower(url),'selectboardarticle') or contains(lower(url),'mode=v') or contains(lower(url),'/view') then 'detail' when contains(lower(url),'list') or contains(lower(url),'mode=l') or contains(lower(url),'06010') then 'list_only'
-  when contains(lower(url),'download') or contains(lower(url),'filedown') or contains(lower(url),'mode=d') then 'attachment_only' else 'unknown' end as quality, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') as page, nullif(regexp_extract(url, '[?&]ref=([^&#]*)', 1), '') as ref from pages""")
-def url_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("""select page_id, nullif(regexp_extract(url, '[?&]page=([^&#]*)', 1), '') as page, nullif(regexp_extract(url, '[?&]ref=([^&#]*)', 1), '') as ref, case when regexp_matches(url, '^[^#]*[?&]page=') then regexp_replace(url, '([?&])page=[^&#]*', '\\1page=9') when regexp_matches(url, '^[^#]*\\?') then regexp_replace(url, '^([^#]*)', '\\1&page=9') else regexp_replace(url, '^([^#]*)', '\\1?page=9') end as moved from pages""")
+def url_params(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = F.col("url")
-    return views.table(spark, sf_dir, "pages").select("page_id", text.url_quality(u).alias("quality"), F.try_parse_url(u, F.lit("QUERY"), F.lit("page")).alias("page"), F.try_parse_url(u, F.lit("QUERY"), F.lit("ref")).alias("ref"))
+    return views.table(spark, sf_dir, "pages").select("page_id", text.query_value(u, "page").alias("page"), text.query_value(u, "ref").alias("ref"), text.with_query(u, page=9).alias("moved"))
 
 
-@query("""select o_orderkey, case o_orderkey % 4 when 3 then null else strftime(o_orderdate, '%Y-%m-%d') end as date from orders""")
-def date_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = views.table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey") % 4
-    shown = F.when(k == 0, F.date_format("o_orderdate", "yyyy.M.d.")).when(k == 1, F.date_format("o_orderdate", "yyyy'년 'M'월 'd'일 개정'")).when(k == 2, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise(F.date_format("o_orderdate", "yyyy.'02.31'"))
-    return o.select("o_orderkey", text.normalize_date(shown).alias("date"))
+@query("""with u as (select page_id, 'dir%2F' || coalesce(regexp_extract(url, '([^/]*)$', 1), '') || case page_id % 3 when 0 then '<a>|%EA%B0%80+b.hwp' when 1 then '' else 'x/' end as n from pages),
+  d as (select page_id, replace(replace(n, '%2F', '/'), '%EA%B0%80', '가') as n from u), e as (select page_id, regexp_extract(regexp_replace(n, '/+$', ''), '([^/]*)$', 1) as n from d)
+  select page_id, case when trim(n) = '' then 'download.bin' else regexp_replace(trim(n), '[<>:"/\\\\|?*]', '_', 'g') end as name from e""")
+def safe_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id") % 3
+    name = F.concat(F.lit("dir%2F"), F.regexp_extract("url", "([^/]*)$", 1), F.when(k == 0, "<a>|%EA%B0%80+b.hwp").when(k == 1, "").otherwise("x/"))
+    return views.table(spark, sf_dir, "pages").select("page_id", text.safe_filename(name).alias("name"))
+
+
+@query("""select c_custkey, lower(regexp_replace(c_name, '[^0-9A-Za-z가-힣]', '', 'g')) || case c_custkey % 4 when 0 then '규정' when 1 then '규정2호' when 2 then '규정' else '규정제2호' end as title_key,
+  lower(regexp_replace(c_name, '[^0-9A-Za-z가-힣]', '', 'g')) || '설치운영지침' as record_key, lower(regexp_replace(c_name, '[^0-9A-Za-z가-힣]', '', 'g')) || '지침' as canonical_key from customer""")
+def title_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c, k, n = views.table(spark, sf_dir, "customer"), F.col("c_custkey") % 4, F.col("c_name")
+    a = F.concat(n, F.when(k == 0, " 규정(2024년 전부 개정)").when(k == 1, " 규정 2024.3 2호").when(k == 2, " 규정 2024년 3월 1일").otherwise(" 규정 (제2호)"))
+    b = F.concat(F.lit("[공지] 갑대학교 "), n, F.lit(" 설치ㆍ운영 지침 일부개정(제12호, 2024.1.1.)"))
+    return c.select("c_custkey", text.title_key(a).alias("title_key"), text.record_key(b, r"갑\s*대학교").alias("record_key"), text.canonical_key(F.concat(F.lit("갑대학교"), n, F.lit(" 지침 전부 개정안")), "갑대학교").alias("canonical_key"))
 
 
-@query("with " + V_LEGAL + " select doc_id, length(text) as text_chars, len(regexp_extract_all(text,'[가-힣]')) as hangul_chars, len(list_distinct(regexp_extract_all(text, '제\\s*[0-9]+\\s*조'))) as article_count, case when length(text) < 200 then 'text_too_short' else '' end as short from v_legal")
+@query("with " + V_LEGAL + """, t as (select doc_id, case when doc_id % 9 = 0 then text || chr(65533) else text end || case when doc_id % 4 = 0 then repeat(' 가나다', 400) else '' end as text, case when doc_id % 2 = 0 then 'T1' else '없는 제목 개정안' end as title from v_legal),
+  m as (select doc_id, length(text) as text_chars, len(regexp_extract_all(text, '[^\\s]')) as solid, len(regexp_extract_all(text,'[가-힣]')) as hangul_chars, len(regexp_extract_all(text, chr(65533))) as replacement_chars, len(list_distinct(list_transform(regexp_extract_all(text, '제\\s*[0-9]+\\s*조(?:의\\s*[0-9]+)?'), lambda x: replace(x, ' ', '')))) as article_count, title = 'T1' and contains(lower(regexp_replace(text, '[^0-9A-Za-z가-힣]', '', 'g')), 't1') as title_present from t)
+  select doc_id, text_chars, hangul_chars, replacement_chars, article_count, title_present, array_to_string(list_filter([case when text_chars < 200 then '본문 200자 미만' end, case when hangul_chars < 80 then '한글 80자 미만' end, case when hangul_chars / greatest(1, solid) < 0.15 then '한글 비율 0.15 미만' end, case when replacement_chars > 0 then 'Unicode replacement 문자 포함' end, case when not title_present then '본문에서 문서 제목을 확인하지 못함' end], lambda x: x is not null), ';') as errors from m""")
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = text.text_quality(F.col("text"), F.lit("T1"))
-    errors = text.quality_errors(q)
-    return views.legal(spark, sf_dir).select("doc_id", q["text_chars"].cast("long").alias("text_chars"), q["hangul_chars"].cast("long").alias("hangul_chars"), q["article_count"].cast("long").alias("article_count"), F.when(F.array_contains(errors, "text_too_short"), "text_too_short").otherwise("").alias("short"))
+    k = F.col("doc_id")
+    t = F.concat(F.when(k % 9 == 0, F.concat("text", F.lit("�"))).otherwise(F.col("text")), F.when(k % 4 == 0, " 가나다" * 400).otherwise(""))
+    d = views.legal(spark, sf_dir).select("doc_id", t.alias("text"), F.when(k % 2 == 0, "T1").otherwise("없는 제목 개정안").alias("title"))
+    q = text.text_quality(F.col("text"), F.col("title"))
+    counts = [q[c].cast("long").alias(c) for c in ("text_chars", "hangul_chars", "replacement_chars", "article_count")]
+    return d.select("doc_id", *counts, q["title_present"].alias("title_present"), F.array_join(text.quality_errors(q), ";").alias("errors"))
 
 
-BATCH = "with " + V_VERSIONS + """, pr as (select document_id, max(coalesce(revision_date,'') || '|' || version_id) as m from v_versions group by document_id),
-  b as (select cast(c_custkey as varchar) as document_id, c_custkey, p.m is not null as has, case when c_custkey % 11 = 0 then 'X' else c_name end as title from customer left join pr p on p.document_id = cast(c_custkey as varchar))
-  select document_id, case when c_custkey % 5 = 0 then 'missing:sha256' when c_custkey % 7 = 0 then 'no_date' when c_custkey % 11 = 0 then 'title_change_without_evidence' when c_custkey % 13 = 0 then 'stale_predecessor' when c_custkey % 17 = 0 then 'file_not_found' when c_custkey % 19 = 0 then 'hash_mismatch' when c_custkey % 23 = 0 then 'size_mismatch' end as error_code from b"""
+BATCH = "with " + V_VERSIONS + """, b as (select cast(c_custkey as varchar) as document_id, c_custkey as k, c_name from customer), codes as (select document_id, k, c_name, case when k % 5 = 0 then 'missing:sha256' when k % 7 = 0 then 'no_date' when k % 11 = 0 then 'title_change_without_evidence' when k % 13 = 0 then 'stale_predecessor' when k % 17 = 0 and k % 2 = 0 then 'file_not_found' when k % 19 = 0 then 'hash_mismatch' when k % 23 = 0 then 'size_mismatch' end as error_code from b)"""
 
 
 def _batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = views.table(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
-    docs, vers = views.documents(spark, sf_dir), views.versions(spark, sf_dir).withColumn("effective_date", F.lit(None).cast("string"))
-    sha = F.sha2(F.concat(F.lit("new"), k.cast("string")), 256)
-    name = F.concat(F.lit("f"), k.cast("string"))
-    b = c.select(F.lit("s").alias("source_id"), k.cast("string").alias("source_record_id"), k.cast("string").alias("document_id"), F.when(k % 11 == 0, "X").otherwise(F.col("c_name")).alias("title"), F.when(k % 5 != 0, sha).alias("sha256"), F.lit(10).cast("long").alias("file_size"), name.alias("attachment_filename"), F.when(k % 7 != 0, "2030-01-01").alias("revision_date"), F.lit(None).cast("string").alias("effective_date"), F.when(k % 13 == 0, "VER-none").alias("previous_version_id"), F.lit(None).cast("string").alias("previous_title"), F.lit(None).cast("string").alias("title_change_evidence"))
-    files = c.where(k % 17 != 0).select(name.alias("file_name"), F.when(k % 19 == 0, "other").otherwise(sha).alias("actual_sha256"), F.when(k % 23 == 0, 9).otherwise(10).cast("long").alias("actual_size"))
+    k, text_of, null = F.col("c_custkey"), F.col("c_custkey").cast("string"), F.lit(None).cast("string")
+    docs, vers = views.documents(spark, sf_dir), views.versions(spark, sf_dir).withColumn("effective_date", null)
+    sha, name = F.sha2(F.concat(F.lit("new"), text_of), 256), F.concat(F.lit("f "), text_of)
+    renamed = k % 29 == 0
+    b = c.select(
+        F.lit("s").alias("source_id"), text_of.alias("source_record_id"), text_of.alias("document_id"), F.lit("regulation").alias("document_type"), F.when(renamed, F.concat("c_name", F.lit(" 2"))).otherwise(F.col("c_name")).alias("title"), F.when(k % 5 != 0, sha).alias("sha256"), F.lit(10).cast("long").alias("file_size"),
+        F.concat(F.lit("f%20"), text_of).alias("attachment_filename"), F.lit("p").alias("source_page_url"), F.lit("u").alias("attachment_url"), F.when(k % 7 != 0, "2030-01-01").alias("revision_date"), null.alias("effective_date"), F.when(k % 13 == 0, "VER-none").alias("previous_version_id"),
+        F.when(k % 11 == 0, "X").when(renamed, F.col("c_name")).alias("previous_title"), F.when(renamed, "p. 1").alias("title_change_evidence"),
+    )
+    # files lie under the decoded name; some only under another name, found by their hash, and some nowhere
+    files = c.where((k % 17 != 0) | (k % 2 != 0)).select(F.when(k % 17 == 0, F.concat(F.lit("other "), text_of)).otherwise(name).alias("file_name"), F.when((k % 19 == 0) & (k % 17 != 0), "other").otherwise(sha).alias("actual_sha256"), F.when((k % 23 == 0) & (k % 17 != 0), 9).otherwise(10).cast("long").alias("actual_size"))
     return updates.validate_batch(b, docs, vers, files)
 
 
-@query(BATCH)
+@query(BATCH.replace("when k % 19 = 0", "when k % 19 = 0 and k % 17 <> 0").replace("when k % 23 = 0", "when k % 23 = 0 and k % 17 <> 0") + " select document_id, error_code from codes")
 def batch_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batch(spark, sf_dir).select("document_id", "error_code")
 
 
-@query("with e as (" + BATCH + "), v as (select cast(o_custkey as varchar) as document_id, o_orderstatus = 'O' as cur from orders), a as (select document_id from e where error_code is null) select (select count(*) from v) + (select count(*) from a) as versions, (select count(*) from v where cur and document_id not in (select document_id from a)) + (select count(*) from a) as current_versions")
+@query(BATCH.replace("when k % 19 = 0", "when k % 19 = 0 and k % 17 <> 0").replace("when k % 23 = 0", "when k % 23 = 0 and k % 17 <> 0") + """, ok as (select *, 'VER-20300101-' || substr(sha256('new' || k),1,8) as new_id from codes where error_code is null), p as (select document_id, max_by(version_id, coalesce(revision_date,'') || chr(1) || version_id) as head from v_versions group by document_id)
+  select v.version_id, v.document_id, case when ok.k is not null and is_current then false else is_current end as is_current, null as previous_version_id, case when p.head = v.version_id then ok.new_id end as next_version_id, null as title from v_versions v left join ok on ok.document_id = v.document_id left join p on p.document_id = v.document_id
+  union all select new_id, ok.document_id, true, head, null, case when k % 29 = 0 then c_name || ' 2' else c_name end from ok left join p on p.document_id = ok.document_id""")
 def batch_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vers = views.versions(spark, sf_dir).withColumn("effective_date", F.lit(None).cast("string"))
-    return updates.apply_batch(_batch(spark, sf_dir), vers).agg(F.count("*").alias("versions"), F.count_if("is_current").alias("current_versions"))
+    return _applied(spark, sf_dir)[1].select("version_id", "document_id", "is_current", "previous_version_id", "next_version_id", "title")
+
+
+def _applied(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    null = F.lit(None).cast("string")
+    vers = views.versions(spark, sf_dir).drop("o_orderkey").withColumn("effective_date", null)
+    docs = views.documents(spark, sf_dir).withColumns({"alternative_titles": F.array(F.lit("a")), "latest_version_id": null})
+    manifest = spark.createDataFrame([], "archive_file string, sha256 string")
+    return updates.apply_batch(_batch(spark, sf_dir), docs, vers, manifest, "2030-02-01")
+
+
+@query(BATCH.replace("when k % 19 = 0", "when k % 19 = 0 and k % 17 <> 0").replace("when k % 23 = 0", "when k % 23 = 0 and k % 17 <> 0") + """ select document_id, case when error_code is null then 'VER-20300101-' || substr(sha256('new' || k),1,8) end as latest_version_id, case when error_code is null and k % 29 = 0 then c_name || ' 2' else c_name end as title,
+  case when error_code is null and k % 29 = 0 then 'a|' || c_name else 'a' end as aliases, case when error_code is null then 'sources/raw/regulations/official/s/' || k || '/f%20' || k end as source_relative_path from codes""")
+def batch_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _applied(spark, sf_dir)[0].select("document_id", "latest_version_id", "title", F.array_join("alternative_titles", "|").alias("aliases"), "source_relative_path")
+
+
+V_FAULTS = V_CHAIN + ", " + V_CHUNKS + ", " + V_DOCUMENTS + """, multi as (select document_id from chain where is_current group by document_id having count(*) > 1), state as (select document_id, count(*) filter (where is_current) as n, max(case when is_current then version_id end) as cur, max_by(version_id, position) as last from chain group by 1),
+  d as (select v.document_id, case when c_custkey % 31 = 0 then 'VER-none' when n = 1 then cur else last end as latest_version_id, n = 1 as single from v_documents v join state s on s.document_id = v.document_id)"""
 
 
-@query("with " + V_CHAIN + """, m as (select document_id from chain where is_current group by document_id having count(*) > 1)
-  select * from (values ('document_id_unique', 0), ('version_links_symmetric', 0), ('version_chain_acyclic', 0)) t("check", failures)
-  union all select 'version_id_unique', (select count(*) from (select version_id from chain group by 1 having count(*) > 1))
-  union all select 'single_current_version', (select count(*) from m)""")
+@query("with " + V_FAULTS + """ select * from (values ('document_id_unique', 0), ('version_links_symmetric', 0), ('version_chain_acyclic', 0), ('chunk_id_unique', 0), ('document_catalog_equal', 0)) t("check", failures)
+  union all select 'version_id_unique', (select count(*) from (select version_id from chain group by 1 having count(*) > 1)) union all select 'single_current_version', (select count(*) from multi)
+  union all select 'chunk_source_known', (select count(*) from v_chunks where version_id = 'VER-none' or document_id not in (select document_id from d)) union all select 'version_in_manifest', (select count(*) from chain where o_orderkey % 13 = 0) union all select 'latest_belongs_to_document', (select count(*) from d where latest_version_id = 'VER-none')
+  union all select 'chunk_not_empty', (select count(*) from v_chunks where trim(text) = '') union all select 'chunk_within_limit', (select count(*) from v_chunks where token_count > 1200) union all select 'chunk_public', (select count(*) from v_chunks where access_level <> 'public') union all select 'chunk_citable', (select count(*) from v_chunks where citation_label is null)
+  union all select 'status_fields_present', (select count(*) from chain) union all select 'version_has_text', (select count(*) from chain c where not exists (select 1 from v_chunks k where k.version_id = c.version_id))
+  union all select 'latest_documents_equal', (select count(*) from d where cast(document_id as int) % 37 = 0)
+  union all select 'shapes', (select count(*) * 4 from d) + (select count(*) * 3 from chain) + (select count(*) from v_chunks where citation_label is null) + (select count(*) from v_chunks where access_level <> 'public') + (select count(*) from v_chunks where length(chunk_id) < 10) + 3 * (select count(*) from chain where o_orderkey % 13 <> 0)
+  """)
 def validate_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every check that the tables allow, each with the faults that the views hold."""
     v = versions.version_chain(views.versions(spark, sf_dir))
-    d = versions.latest_versions(views.versions(spark, sf_dir))
-    chunks = v.select("version_id", "document_id", F.col("version_id").alias("chunk_id"), F.lit("x").alias("text"), F.lit(1).alias("token_count"), F.lit("public").alias("access_level"), F.lit("c").alias("citation"))
-    wanted = ["document_id_unique", "version_id_unique", "version_links_symmetric", "version_chain_acyclic", "single_current_version"]
-    return validate.validate(d, v, chunks).where(F.col("check").isin(wanted)).select("check", "failures")
+    state = versions.latest_versions(views.versions(spark, sf_dir))
+    k = F.col("document_id").cast("long")
+    d = views.documents(spark, sf_dir).join(state, "document_id").withColumn("latest_version_id", F.when(k % 31 == 0, "VER-none").otherwise(F.col("latest_version_id"))).drop("department")
+    manifest = v.where("o_orderkey % 13 <> 0").select(F.col("source_file").alias("archive_file"), "sha256")
+    subsets = {"latest_documents": d.where(k % 37 != 0), "document_catalog": d}
+    return validate.validate(d, v.drop("o_orderkey"), views.chunk_rows(spark, sf_dir), manifest, subsets=subsets).select("check", "failures")
 
 
-@query("with " + V_DOCUMENTS + " select document_id, cast((row_number() over (partition by document_type order by title, document_id) - 1) // 200 + 1 as int) as page from v_documents")
+@query("with " + V_DOCUMENTS + " select document_id, row_number() over (partition by document_type order by title, document_id) as n, cast((row_number() over (partition by document_type order by title, document_id) - 1) // 200 + 1 as int) as page from v_documents")
 def catalog_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.catalog_pages(views.documents(spark, sf_dir)).select("document_id", "page")
+    return catalog.catalog_pages(views.documents(spark, sf_dir)).select("document_id", "n", "page")
 
 
-@query("with " + V_DOCUMENTS + ", " + V_VERSIONS + " select (select count(*) from v_documents) as documents, (select count(*) from v_versions) as versions, (select count(*) from v_versions where is_current) as current_versions, (select count(*) from v_documents where document_type = 'regulation') as regulations")
+V_CATALOG = "with " + V_CHAIN + ", " + V_DOCUMENTS + """, l as (select document_id, max_by(version_id, position) as version_id, max_by(revision_date, position) as revision_date, max_by(source_file, position) as source_file, max_by(o_orderkey, position) as k from chain group by 1),
+  c as (select v.document_id, document_type, title, department, l.version_id, case when k % 3 = 0 then 'in_force' else 'unknown' end as validity_status, revision_date, case when l.version_id is not null then 'n/가 ' || source_file end as normalized_file, case when k % 4 = 0 then 'http://x/view?no=' || k when k % 4 = 1 then 'http://x/list' end as url, l.version_id is not null as has from v_documents v left join l on l.document_id = v.document_id)"""
+
+
+def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = versions.version_chain(views.versions(spark, sf_dir))
+    k, last = F.col("o_orderkey"), v.groupBy("document_id").agg(F.max_by("version_id", "position").alias("latest_version_id"))
+    url = F.when(k % 4 == 0, F.concat(F.lit("http://x/view?no="), k.cast("string"))).when(k % 4 == 1, "http://x/list")
+    vers = v.select("version_id", "revision_date", F.when(k % 3 == 0, "in_force").otherwise("unknown").alias("validity_status"), F.concat(F.lit("n/가 "), "source_file").alias("normalized_file"), url.alias("source_page_url"))
+    return catalog.catalog_rows(views.documents(spark, sf_dir).join(last, "document_id", "left"), vers)
+
+
+@query(V_CATALOG + """ select document_id, '| ' || title || ' | - | ' || document_type || ' | ' || coalesce(department, '-') || ' | ' || coalesce(version_id, '-') || ' | ' || case when has then validity_status else 'unknown' end || '/unknown | ' || coalesce(revision_date, '-') || ' | - | `' || document_id || '` | ' ||
+  case when has then '[본문](https://base/' || replace(replace(normalized_file, '가', '%EA%B0%80'), ' ', '%20') || ')' else '-' end || ' | ' || coalesce('[공식](' || url || ')', '-') || ' |' as line from c""")
+def catalog_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _catalog(spark, sf_dir).select("document_id", catalog.markdown_row("https://base/").alias("line"))
+
+
+@query(V_CATALOG + " select document_id from c where not has or validity_status = 'unknown' or url is null or not contains(url, '/view')")
+def review_required(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.review_required(_catalog(spark, sf_dir)).select("document_id")
+
+
+@query("with " + V_DOCUMENTS + ", " + V_VERSIONS + ", " + V_CHUNKS + " select (select count(*) from v_documents) as documents, (select count(*) from v_versions) as versions, (select count(*) from v_versions where is_current) as current_versions, (select count(*) from v_documents where document_type = 'regulation') as regulations, (select count(*) from v_chunks) as chunks, (select count(distinct document_id) from v_chunks) as documents_with_chunks, (select max(revision_date) from v_versions) as generated_at")
 def corpus_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = views.versions(spark, sf_dir)
-    m = catalog.corpus_manifest(views.documents(spark, sf_dir), v, v.select("document_id"))
-    return m.select("documents", "versions", "current_versions", F.col("document_types")["regulation"].alias("regulations"))
+    v = views.versions(spark, sf_dir).withColumn("updated_at", F.col("revision_date"))
+    m = catalog.corpus_manifest(views.documents(spark, sf_dir), v, views.chunk_rows(spark, sf_dir))
+    return m.select("documents", "versions", "current_versions", F.col("document_types")["regulation"].alias("regulations"), "chunks", "documents_with_chunks", "generated_at")
 
 
-@query("""with r as (select doc_id, sha256(coalesce(lang, chr(0)) || chr(31) || coalesce(text, chr(0))) as h from documents), b as (select doc_id // 1000 as block, sha256(string_agg(h, '' order by doc_id)) as h from r group by 1)
-  select sha256(string_agg(h, '' order by block)) as digest, count(*) as blocks from b""")
+@query("""with r as (select doc_id as o, sha256(coalesce(lang, chr(0)) || chr(31) || coalesce(text, chr(0))) as h from documents), a as (select o // 1000 as o, sha256(string_agg(h, '' order by o)) as h from r group by 1), b as (select o // 1000 as o, sha256(string_agg(h, '' order by o)) as h from a group by 1),
+  c as (select o // 1000 as o, sha256(string_agg(h, '' order by o)) as h from b group by 1) select sha256(string_agg(h, '' order by o)) as digest, (select count(*) from documents) as rows from c group by o // 1000""".replace("select o // 1000 as o, sha256(string_agg(h, '' order by o)) as h from r", "select o // 1000 as o, sha256(string_agg(h, '' order by r.o)) as h from r").replace("as h from a group", "as h from a group").replace("order by o)) as h from a", "order by a.o)) as h from a").replace("order by o)) as h from b", "order by b.o)) as h from b").replace("order by o)) as digest", "order by c.o)) as digest"))
 def rows_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.rows_digest(views.table(spark, sf_dir, "documents"), "doc_id", ["lang", "text"])
+
+
+@query("""with p as (select conv_id, row_number() over (partition by conv_id order by turn, role, text) as page, case when turn % 3 = 0 then '  ' else ' ' || text || chr(10) end as text from conversations), q as (select conv_id, page, regexp_replace(text, '^\\s+|\\s+$', '', 'g') as text from p)
+  select cast(conv_id as varchar) as version_id, count(*) as pdf_pages, cast(sum(length(text)) as bigint) as pdf_text_chars, sha256(coalesce(string_agg('<!-- page: ' || page || ' -->' || chr(10) || chr(10) || text || chr(10), chr(10) order by page) filter (where text <> ''), '')) as digest from q group by 1""")
+def pdf_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lawloom.operators.numbering import row_numbers
+
+    c = row_numbers(views.table(spark, sf_dir, "conversations"), ["conv_id"], ["turn", "role", "text"], "page")
+    pages = c.select(F.col("conv_id").cast("string").alias("version_id"), "page", F.when(F.col("turn") % 3 == 0, "  ").otherwise(F.concat(F.lit(" "), "text", F.lit("\n"))).alias("text"))
+    return documents.pdf_totals(pages).select("version_id", "pdf_pages", "pdf_text_chars", F.sha2("body", 256).alias("digest"))
+
+
+@query("""with e as (select event_id, user_id, event_type, case when event_id % 3 = 0 then 2 else event_id % 2 end as part from events), r as (select *, row_number() over (partition by user_id order by part desc, event_id desc) as k from e)
+  select cast(user_id as varchar) as version_id, event_type as status from r where k = 1""")
+def last_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e, k = views.table(spark, sf_dir, "events"), F.col("event_id")
+    rows = e.select(F.col("user_id").cast("string").alias("version_id"), F.col("event_type").alias("status"), k.alias("ordinal"), F.when(k % 3 == 0, 2).otherwise(k % 2).alias("part"))
+    parts = [rows.where(F.col("part") == i).drop("part") for i in range(3)]
+    return documents.last_manifest(parts[:2], parts[2]).select("version_id", "status")
+
+
+@query("select p_partkey, (row_number() over (order by p_partkey) - 1) % 4 as shard from part")
+def shard_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents.shards(views.table(spark, sf_dir, "part").select("p_partkey"), ["p_partkey"], 4).select("p_partkey", F.col("shard").cast("long").alias("shard"))
+
+
+@query("""with f as (select doc_id, source, sha256(text) as sha256 from documents), r as (select sha256, 'a;b' as reason from f where doc_id % 11 = 0 group by 1)
+  select 'data/raw/regulations/' || f.doc_id as source_file, 'sources/raw/regulations/' || f.doc_id as archive_file, case when f.doc_id % 2 = 0 then 'reused' else 'planned' end as status from f where sha256 not in (select sha256 from r)
+  union all select 'data/raw/regulations/' || f.doc_id, reason, 'review_required' from f join r on r.sha256 = f.sha256""")
+def migration_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = views.table(spark, sf_dir, "documents").select(F.concat(F.lit("data/raw/regulations/"), F.col("doc_id").cast("string")).alias("path"), F.sha2("text", 256).alias("sha256"), F.octet_length("text").cast("long").alias("length"), "doc_id")
+    one = F.struct(F.col("path").alias("archive_relative_path"))
+    rows = d.select(F.lit("regulation").alias("document_type"), F.col("doc_id").cast("string").alias("document_id"), F.col("path").alias("archive_relative_path"), F.when(F.col("doc_id") % 3 == 0, F.array(one)).otherwise(F.array().cast("array<struct<archive_relative_path:string>>")).alias("source_occurrences"))
+    findings = d.where("doc_id % 11 = 0").select("sha256", F.array(F.lit("a"), F.lit("b")).alias("reasons"))
+    there = d.where("doc_id % 2 = 0").select(F.regexp_replace("path", "^data", "sources").alias("path"), "sha256")
+    manifest, excluded, _ = documents.migration_plan(rows, d.drop("doc_id"), findings, there)
+    return manifest.select("source_file", "archive_file", "status").unionByName(excluded.select("source_file", F.col("reason").alias("archive_file"), F.col("access_level").alias("status")))

@@ -1,4 +1,4 @@
-"""Readers and writers of the corpus tables."""
+"""Readers of the corpus tables and files."""
 
 from __future__ import annotations
 
@@ -6,15 +6,18 @@ import io
 import re
 import zipfile
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from urllib.parse import urlparse
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
+from lawloom.functions.ids import content_digest
+from lawloom.functions.rules import extraction_status
+
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """Rows of a JSON-lines file; blank lines are skipped, a file that is not there is an empty table."""
@@ -34,7 +37,7 @@ def read_json_document(spark: SparkSession, path: str, schema: str) -> DataFrame
 
 def read_markdown(spark: SparkSession, path: str) -> DataFrame:
     """(path, text) of whole files."""
-    return spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    return spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(F.input_file_name().alias("path"), F.col("value").alias("text"))
 
 
 def scan_files(spark: SparkSession, path: str) -> DataFrame:
@@ -43,100 +46,55 @@ def scan_files(spark: SparkSession, path: str) -> DataFrame:
     return found.select("path", "length", F.col("modificationTime").alias("modified")).where(~F.col("path").rlike(r"/(?:\.git|\.venv|__pycache__)/"))
 
 
-def last_wins(parts: list[DataFrame], key: str) -> DataFrame:
-    """Union of tables where a later one replaces rows of an earlier one with the same key."""
-    tagged = [p.withColumn("_part", F.lit(i)) for i, p in enumerate(parts)]
-    out = tagged[0]
-    for t in tagged[1:]:
-        out = out.unionByName(t, allowMissingColumns=True)
-    return out.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("_part")))).where("_r = 1").drop("_r", "_part")
-
-
-def _office_text(name: str, content: bytes) -> tuple[str | None, str]:
+def _office_text(name: str, content: bytes) -> tuple[str | None, str, bool]:
+    """(extension, text, failed) of one file: DOCX paragraphs and HWPX texts by their XML, PDF pages where a reader is installed."""
+    kind = re.search(r"(\.[^./\\]+)$", name.lower())
+    kind = kind[1] if kind else ""
     try:
-        if name.endswith(".docx"):
-            xml = ElementTree.fromstring(zipfile.ZipFile(io.BytesIO(content)).read("word/document.xml"))
+        if kind == ".docx":
+            root = ElementTree.fromstring(zipfile.ZipFile(io.BytesIO(content)).read("word/document.xml"))
             ns = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
-            lines = ["".join(t.text or "" for t in p.iter(f"{ns}t")) for p in xml.iter(f"{ns}p")]
-            return "\n".join(x for x in lines if x.strip()), "success"
-        if name.endswith(".hwpx"):
+            lines = ["".join(t.text or "" for t in p.iter(f"{ns}t")) for p in root.iter(f"{ns}p")]
+            return kind, "\n\n".join(x for x in lines if x.strip()), False
+        if kind == ".hwpx":
             z = zipfile.ZipFile(io.BytesIO(content))
-            parts = sorted(n for n in z.namelist() if re.fullmatch(r"Contents/section\d+\.xml", n))
-            return "\n".join(t.strip() for n in parts for t in ElementTree.fromstring(z.read(n)).itertext() if t.strip()), "success"
-    except (zipfile.BadZipFile, KeyError, ElementTree.ParseError):
-        return None, "failed"
-    return None, "unsupported"
-
-
-def extract_office(files: DataFrame) -> DataFrame:
-    """(path, text, status) of files (path, content): DOCX and HWPX by their XML, others unsupported."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            got = [_office_text(p.lower(), bytes(c)) for p, c in zip(pdf["path"], pdf["content"], strict=True)]
-            yield pd.DataFrame({"path": pdf["path"], "text": [g[0] for g in got], "status": [g[1] for g in got]})
-
-    return files.select("path", "content").mapInPandas(run, "path string, text string, status string")
+            parts = sorted(n for n in z.namelist() if re.match(r"Contents/section\d+\.xml$", n, re.I))
+            found = [e.text for n in parts for e in ElementTree.fromstring(z.read(n)).iter() if e.tag.endswith("}t") and e.text]
+            return kind, "\n".join(found), False
+        if kind == ".pdf":
+            from pypdf import PdfReader
 
+            pages = [(p.extract_text() or "").strip() for p in PdfReader(io.BytesIO(content)).pages]
+            return kind, "\n".join(f"<!-- page: {i} -->\n{t}" for i, t in enumerate(pages, 1) if t), False
+    except ModuleNotFoundError:
+        return ".none", None, False
+    except Exception:  # any damaged file is one result, whatever its reader raises
+        return kind, None, True
+    return kind, None, False
 
-class _Table(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.rows: list[list[dict]] = []
-        self.cell: dict | None = None
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        a = dict(attrs)
-        if tag == "tr":
-            self.rows.append([])
-        elif tag in ("td", "th") and self.rows:
-            self.cell = {"text": "", "href": None, "onclick": None}
-            self.rows[-1].append(self.cell)
-        elif self.cell is not None and tag in ("a", "button"):
-            self.cell["href"] = self.cell["href"] or a.get("href")
-            self.cell["onclick"] = self.cell["onclick"] or a.get("onclick")
-
-    def handle_data(self, data: str) -> None:
-        if self.cell is not None:
-            self.cell["text"] += data
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag in ("td", "th"):
-            self.cell = None
-
-
-def html_tables(pages: DataFrame, key: str, html: str = "html") -> DataFrame:
-    """(key, row, cells array<struct<text, href, onclick>>) of the table rows of each page."""
+def extract_office(files: DataFrame) -> DataFrame:
+    """(path, text, status) of files (path, content). status is that of ``extraction_status``; PDF files are unsupported where no reader is installed."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for k, h in zip(pdf["key"], pdf["html"], strict=True):
-                p = _Table()
-                p.feed(h or "")
-                out += [(k, i, [{**c, "text": " ".join(c["text"].split())} for c in r]) for i, r in enumerate(p.rows) if r]
-            yield pd.DataFrame(out, columns=["key", "row", "cells"])
+            got = [_office_text(p, bytes(c)) for p, c in zip(pdf["path"], pdf["content"], strict=True)]
+            yield pd.DataFrame({"path": pdf["path"], "kind": [g[0] for g in got], "text": [g[1] for g in got], "failed": [g[2] for g in got]})
 
-    return pages.select(F.col(key).cast("string").alias("key"), F.col(html).alias("html")).mapInPandas(run, "key string, row int, cells array<struct<text:string,href:string,onclick:string>>")
+    read = files.select("path", "content").mapInPandas(run, "path string, kind string, text string, failed boolean")
+    return read.select("path", F.nullif("text", F.lit("")).alias("text"), extraction_status(F.col("kind"), F.col("text"), F.col("failed")).alias("status"))
 
 
-def list_records(rows: DataFrame, columns: dict[str, int], least: int) -> DataFrame:
-    """Records of list rows with at least ``least`` cells and a number in the first; ``columns`` names cells."""
-    body = rows.where((F.size("cells") >= least) & F.col("cells")[0]["text"].rlike(r"^\d+$"))
-    link = F.array_compact(F.transform("cells", lambda c: F.coalesce(c["href"], c["onclick"])))
-    return body.select("key", "row", *[F.col("cells")[i]["text"].alias(n) for n, i in columns.items()], F.try_element_at(link, F.lit(1)).alias("link"))
+def read_yaml(path: str) -> dict:
+    """One configuration file."""
+    import yaml
 
+    with open(path, encoding="utf-8") as f:
+        return yaml.safe_load(f)
 
-def write_jsonl(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    (df.orderBy(*order) if order else df).write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
-
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header; nested columns as JSON text."""
-    nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "struct", "map")]
-    df.withColumns({c: F.to_json(c) for c in nested}).write.mode("overwrite").option("header", True).csv(path)
-
-
-def write_index(rows: DataFrame, path: str) -> None:
-    """Search rows by the two columns every search filters on."""
-    rows.write.mode("overwrite").partitionBy("retrieval_scope", "is_latest_version").parquet(path)
+def file_digests(spark: SparkSession, path: str, base: str | None = None) -> DataFrame:
+    """(path, sha256, length) of all files below a folder, paths relative to ``base`` (the folder itself); pointers to large files have the hash they name."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    root = re.escape(urlparse(base or path).path.rstrip("/"))
+    return found.select(F.regexp_replace("path", f"^.*?{root}/", "").alias("path"), content_digest(F.col("content")).alias("sha256"), "length")

@@ -5,27 +5,71 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from lawloom.operators import chunking, versions
+from lawloom.sources.shared import path_exists
 
-def new_records(spark: SparkSession, folder: str, schema: str, keys: list[str], known_path: str, checkpoint: str, sink: Callable[[DataFrame], None]) -> StreamingQuery:
-    """Process record files once: rows whose keys the table at ``known_path`` lacks go to ``sink`` and into that table.
 
-    The known table, not stream state, remembers keys, so it can be as old as it likes and a batch may be run again.
+def _run(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
+    return spark.read.parquet(path) if path_exists(spark, path) else None
+
+
+def new_records(spark: SparkSession, folder: str, schema: str, keys: list[str], known_path: str, checkpoint: str) -> StreamingQuery:
+    """Process record files once: the first row of each key that the table at ``known_path`` lacks is added to it, with its batch.
+
+    The table is both the result and the memory of keys, so it can be as old as it likes. Each batch is a folder
+    of its own, replaced when the batch runs again, and a batch does not count its own rows as known: a retry
+    writes the same rows, not more. Null keys are equal to each other.
+    """
+
+    def batch(df: DataFrame, number: int) -> None:
+        own = lambda rows: rows.select(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("_key"), "*")
+        rows = own(df).dropDuplicates(["_key"])
+        known = _table(spark, known_path)
+        if known is not None:
+            rows = rows.join(own(known.where(F.col("batch") != number)).select("_key"), "_key", "left_anti")
+        rows.drop("_key").write.mode("overwrite").parquet(f"{known_path}/batch={number}")
+
+    return _run(spark.readStream.schema(schema).json(folder), batch, checkpoint)
+
+
+def chunk_new_versions(spark: SparkSession, folder: str, schema: str, chunks_path: str, checkpoint: str, **budget: int) -> StreamingQuery:
+    """Chunk version files once: versions that have no chunks in the table at ``chunks_path`` get theirs; kept chunks are not touched. A retried batch replaces its own folder."""
+
+    def batch(df: DataFrame, number: int) -> None:
+        rows = df.dropDuplicates(["version_id"])
+        known = _table(spark, chunks_path)
+        if known is not None:
+            rows = rows.join(known.where(F.col("batch") != number).select("version_id").distinct(), "version_id", "left_anti")
+        chunking.build_chunks(chunking.chunkable(rows), None, **budget).write.mode("overwrite").parquet(f"{chunks_path}/batch={number}")
+
+    return _run(spark.readStream.schema(schema).json(folder), batch, checkpoint)
+
+
+def relink_versions(spark: SparkSession, folder: str, schema: str, versions_path: str, links_path: str, checkpoint: str) -> StreamingQuery:
+    """Version files that come in any order: all versions of a touched document are linked anew, so a late, older one takes its place in the chain.
+
+    Versions lie in a folder a batch, links in a folder a batch too; of a version's links those of the last batch
+    count (``current_links``). Rows that are there already change nothing.
     """
 
-    def batch(df: DataFrame, _: int) -> None:
-        rows = df.dropDuplicates(keys)
-        try:
-            known = spark.read.parquet(known_path).select(*keys)
-            rows = rows.join(known, keys, "left_anti")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        rows = rows.persist()
-        sink(rows)
-        rows.write.mode("append").parquet(known_path)
-        rows.unpersist()
-
-    stream = spark.readStream.schema(schema).json(folder)
-    return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def batch(df: DataFrame, number: int) -> None:
+        df.dropDuplicates(["version_id"]).write.mode("overwrite").parquet(f"{versions_path}/batch={number}")
+        every = spark.read.parquet(versions_path).drop("batch").dropDuplicates(["version_id"])
+        touched = df.select("document_id").distinct()
+        linked = versions.version_chain(every.join(touched, "document_id", "left_semi"))
+        linked.select("version_id", "document_id", "previous_version_id", "next_version_id", "position").write.mode("overwrite").parquet(f"{links_path}/batch={number}")
+
+    return _run(spark.readStream.schema(schema).json(folder), batch, checkpoint)
+
+
+def current_links(spark: SparkSession, links_path: str) -> DataFrame:
+    """The links of each version as the last batch that touched its document has them."""
+    rows = spark.read.parquet(links_path)
+    return rows.groupBy("version_id").agg(F.max_by(F.struct("document_id", "previous_version_id", "next_version_id", "position"), "batch").alias("x")).select("version_id", "x.*")
