@@ -12,29 +12,45 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lawloom.llm import langid, minhash, mixing, packing, suffix
-from lawloom.llm.queries import WORD_BPE, tokenizer_path
+from lawloom.llm.queries import PASSAGE_BYTES, WORD_BPE, tokenizer_path
 from lawloom.llm.scratch import new_path
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known with a probability of one half at least.
+
+    Null texts and those without a letter go; repeated rows stay or go together; nothing of an empty table stays.
+    """
     return langid.accepted(docs, langid.fit_language_model(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least doc_id of each group of near duplicates (sets of five-word shingles, 0.8 or more).
+
+    Null and empty texts are near to nothing and stay, as do rows without a doc_id. Rows that share the doc_id
+    of a group's first document are one document to this stage: all of them stay, so ids should be unique.
+    """
     kept = minhash.near_duplicates(docs, words=5, percent=80).where("kept and doc_id is not null").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return suffix.clean_texts(docs)
+    """All documents without the passages of ``PASSAGE_BYTES`` or more (fifty words of four letters and a blank) that occur elsewhere too.
+
+    Every occurrence goes, the first one too, so that no document keeps boilerplate. Null and empty texts and
+    repeated rows stay as rows; the text of a row that repeats as a whole becomes empty.
+    """
+    return suffix.clean_texts(docs, PASSAGE_BYTES)
 
 
 def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of its source takes it, up to three times; documents without words (null and empty texts) go."""
     return mixing.mixed_documents(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs, tokenizer_path(WORD_BPE), 2048, 1)
+    """The pieces of all documents in sequences of 2048 ids; a null or empty text is its end id alone."""
+    return packing.pack_documents(docs, tokenizer_path(WORD_BPE), 2048, 1, cached_words=200_000)
 
 
 STAGES = [
