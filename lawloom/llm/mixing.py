@@ -12,7 +12,7 @@ smaller one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lawloom.llm.scratch import stored
@@ -42,43 +42,68 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most:
     return free.select("key", "source_size", F.when(F.col("full"), F.col("cap")).otherwise(share).alias("target"))
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) of every document.
+def _hashed() -> dict[str, Column]:
+    """size, key and h of a document, from its own columns."""
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    return {"__size": size, "__key": F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")), "__h": F.xxhash64("doc_id", "text")}
 
-    size counts the words of the whole text (null and empty: 0); taken is how many of its words the mix
-    takes, whole copies and a part counted, never over ``most`` times its size. The sum of a source's
-    taken words is within a word for each row of its last bucket of the target. Equal rows get equal
-    values, as do reruns. Null sources are a source of their own. Other columns are not read.
-    """
-    rows = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64("doc_id", "text").alias("h"))
-    rows = stored(rows.withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))), "mix-rows")
-    sizes = rows.groupBy("key").agg(F.max("source").alias("source"), F.sum("size").alias("source_size"))
+
+def _bucket(shift: int) -> Column:
+    return F.shiftrightunsigned("__h", shift).bitwiseAND(F.lit(BITS))
+
+
+def mixing_plan(rows: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
+    """One row a source: whole copies, the words still needed and the bucket of each round at which they end; rows have __size, __key, __h and source."""
+    sizes = rows.groupBy(F.col("__key").alias("key")).agg(F.max("source").alias("source"), F.sum("__size").alias("source_size"))
     plan = source_targets(sizes, weights, most)
     copies = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(most))).otherwise(0).cast("long")
     plan = plan.withColumn("copies", copies).withColumn("need", F.greatest(F.lit(0), F.round("target").cast("long") - F.col("copies") * F.col("source_size")))
     plan = plan.withColumn("below", F.lit(0).cast("long"))
     at_boundary = F.lit(True)
     for i, shift in enumerate(LEVELS):
-        bucket = F.shiftrightunsigned("h", shift).bitwiseAND(F.lit(BITS))
-        here = rows.join(plan.select("key", *[f"b{j}" for j in range(i)]), "key").where(at_boundary) if i else rows
-        sums = here.groupBy("key", bucket.alias("b")).agg(F.sum("size").alias("words"))
+        here = rows.join(plan.select(F.col("key").alias("__key"), *[f"b{j}" for j in range(i)]), "__key").where(at_boundary) if i else rows
+        sums = here.groupBy(F.col("__key").alias("key"), _bucket(shift).alias("b")).agg(F.sum("__size").alias("words"))
         run = Window.partitionBy("key").orderBy("b")
         level = sums.withColumn("upto", F.sum("words").over(run)).join(plan.select("key", "need", "below"), "key")
         ends = level.where(F.col("below") + F.col("upto") > F.col("need")).groupBy("key").agg(F.min(F.struct("b", "upto", "words")).alias("x"))
         plan = plan.join(ends, "key", "left").withColumn(f"b{i}", F.coalesce(F.col("x.b"), F.lit(BITS + 1)))
         plan = plan.withColumn("below", F.when(F.col("x").isNotNull(), F.col("below") + F.col("x.upto") - F.col("x.words")).otherwise(F.col("need"))).withColumn("words", F.coalesce("x.words", F.lit(0))).drop("x")
         plan = stored(plan, "mix-plan")
-        at_boundary = at_boundary & (bucket == F.col(f"b{i}"))
-    taken = F.when(F.col("words") > 0, F.floor((F.col("need") - F.col("below")) * F.col("size") / F.col("words"))).otherwise(0)
+        at_boundary = at_boundary & (_bucket(shift) == F.col(f"b{i}"))
+    return plan
+
+
+def _planned(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` with their source's __source_size and __target and the words __taken of each. The plan, a row a source, is broadcast if Spark finds it small, else joined."""
+    marked = plan.select(F.col("key").alias("__key"), *[F.col(c).alias(f"__{c}") for c in plan.columns if c != "key"])
+    taken = F.when(F.col("__words") > 0, F.floor((F.col("__need") - F.col("__below")) * F.col("__size") / F.col("__words"))).otherwise(0)
     for i, shift in reversed(list(enumerate(LEVELS))):
-        bucket = F.shiftrightunsigned("h", shift).bitwiseAND(F.lit(BITS))
-        taken = F.when(bucket < F.col(f"b{i}"), F.col("size")).when(bucket == F.col(f"b{i}"), taken).otherwise(0)
-    return rows.join(plan, "key").select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size") + taken).cast("long").alias("taken"), "h")
+        taken = F.when(_bucket(shift) < F.col(f"__b{i}"), F.col("__size")).when(_bucket(shift) == F.col(f"__b{i}"), taken).otherwise(0)
+    return rows.join(marked, "__key").withColumn("__taken", (F.col("__copies") * F.col("__size") + taken).cast("long"))
+
+
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken) of every document.
+
+    size counts the words of the whole text (null and empty: 0); taken is how many of its words the mix
+    takes, whole copies and a part counted, never over ``most`` times its size. The sum of a source's
+    taken words is within a word for each row of its last bucket of the target. Equal rows get equal
+    values, as do reruns. Null sources are a source of their own; an empty table gives no rows. Other
+    columns are not read.
+    """
+    rows = stored(docs.select("doc_id", "source", "text").withColumns(_hashed()).drop("text"), "mix-rows")
+    found = _planned(rows, mixing_plan(rows, weights, most))
+    return found.select("doc_id", "source", F.col("__size").alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__taken").alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """``docs`` with each row as often as the mix takes it; the one part of a document counts as a copy if it is half of it or more. Rows without words go."""
-    taken = mix_sources(docs, weights, most).where("size > 0").select(F.col("doc_id").alias("__d"), F.col("h").alias("__h"), F.round(F.col("taken") / F.col("size")).cast("int").alias("__n")).where("__n > 0").dropDuplicates(["__d", "__h"])
-    keyed = docs.withColumn("__h", F.xxhash64("doc_id", "text"))
-    joined = keyed.join(taken, (keyed["__h"] == taken["__h"]) & keyed["doc_id"].eqNullSafe(taken["__d"])).drop(taken["__h"])
-    return joined.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(docs.columns)
+    """``docs`` with each row as often as the mix takes it.
+
+    The one part of a document counts as a copy if it is half of it or more. Rows without words (null and
+    empty texts too) go. Repeated rows each come as often. An empty table stays empty. Texts are not
+    moved: each row finds its copies from its own hash and its source's plan.
+    """
+    rows = stored(docs.select("doc_id", "source", "text").withColumns(_hashed()).drop("text"), "mix-rows")
+    found = _planned(docs.withColumns(_hashed()), mixing_plan(rows, weights, most)).where("__size > 0")
+    copies = F.round(F.col("__taken") / F.col("__size")).cast("int")
+    return found.withColumn("__n", copies).where("__n > 0").withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n")))).select(docs.columns)
