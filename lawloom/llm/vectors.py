@@ -62,22 +62,27 @@ def _hash_rows(k: int, tables: int, seed: int):
     return run
 
 
-def _class_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A digest of each vector that can be compared; null for null, zero and non-finite ones."""
-    for b in batches:
-        digests, vectors = [], []
-        for v in b.column("vec"):
-            x = None if not v.is_valid else v.as_py()
-            good = x is not None and len(x) > 0 and None not in x
-            y = np.asarray(x, np.float64) + 0.0 if good else None
-            if good and np.isfinite(y).all() and y.any():
-                y = y / np.abs(y).max()  # neither the squares of tiny components nor those of huge ones leave the range
-                digests.append(hashlib.blake2b(y.tobytes(), digest_size=16).digest())
-                vectors.append(y)
-            else:
-                digests.append(None)
-                vectors.append(None)
-        yield pa.RecordBatch.from_arrays([b.column("vec_id").cast(pa.int64()), pa.array(digests, pa.binary()), pa.array(vectors, pa.list_(pa.float64()))], names=["vec_id", "digest", "vec"])
+def _class_rows(single: bool):
+    """A digest of each vector that can be compared, null for null, zero and non-finite ones; vectors of single precision stay so, others are scaled."""
+    kind = pa.float32() if single else pa.float64()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            digests, vectors = [], []
+            for v in b.column("vec"):
+                x = None if not v.is_valid else v.as_py()
+                good = x is not None and len(x) > 0 and None not in x
+                y = np.asarray(x, np.float64) + 0.0 if good else None
+                if good and np.isfinite(y).all() and y.any():
+                    scaled = y / np.abs(y).max()  # neither the squares of tiny components nor those of huge ones leave the range
+                    digests.append(hashlib.blake2b(scaled.tobytes(), digest_size=16).digest())
+                    vectors.append(y.astype(np.float32) if single else scaled)
+                else:
+                    digests.append(None)
+                    vectors.append(None)
+            yield pa.RecordBatch.from_arrays([b.column("vec_id").cast(pa.int64()), pa.array(digests, pa.binary()), pa.array(vectors, pa.list_(kind))], names=["vec_id", "digest", "vec"])
+
+    return run
 
 
 def _compare(cosine: float):
@@ -90,8 +95,8 @@ def _compare(cosine: float):
                 rows = [i for i, v in enumerate(vecs) if len(v) == dim]
                 if len(rows) < 2:
                     continue
-                x = np.stack([vecs[i] for i in rows])
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                x = np.stack([vecs[i] for i in rows]).astype(np.float64)
+                x /= np.linalg.norm(x, axis=1, keepdims=True)
                 linked = x @ x.T >= cosine
                 np.fill_diagonal(linked, False)
                 who = np.array(side)[rows]
@@ -101,7 +106,7 @@ def _compare(cosine: float):
                     continue
                 a, b = np.nonzero(linked)
                 k = np.stack([keys[i] for i in rows])
-                fresh = ~(k[a, :table] == k[b, :table]).any(axis=1) if table else np.ones(len(a), bool)
+                fresh = ~(k[a] == k[b]).any(axis=1) if table else np.ones(len(a), bool)
                 a, b = a[fresh], b[fresh]
                 if not len(a):
                     continue
@@ -151,7 +156,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, miss: float = 1e-3, s
     Vectors of different sizes are not linked. Rows that repeat a vec_id each come back.
     """
     spark, width = vectors.sparkSession, shuffle_width(vectors.sparkSession)
-    rows = stored(vectors.select("vec_id", F.col("embedding").alias("vec")).mapInArrow(_class_rows, "vec_id long, digest binary, vec array<double>"), "vectors")
+    kind = "float" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "double"
+    rows = stored(vectors.select("vec_id", F.col("embedding").alias("vec")).mapInArrow(_class_rows(kind == "float"), f"vec_id long, digest binary, vec array<{kind}>"), "vectors")
     useful = rows.where("digest is not null and vec_id is not null")
     classes = useful.groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     reps = stored(useful.join(classes, "digest").where("vec_id = rep").dropDuplicates(["digest"]).select("rep", "digest", "copies", "vec"), "vector-reps")
@@ -162,7 +168,8 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, miss: float = 1e-3, s
     placed = cells.join(full, ["tab", "bucket"]).withColumn("parts", F.ceil(F.col("m") / BLOCK_ROWS).cast("int"))
     placed = placed.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     placed = placed.select("rep", "tab", "bucket", "side", F.least("side", "o").alias("p"), F.greatest("side", "o").alias("q"))
-    loaded = placed.join(reps.select("rep", "copies", "vec"), "rep").join(hashed, "rep")
+    # of the keys only those of earlier tables go along: they tell whether a pair has met before
+    loaded = placed.join(reps.select("rep", "copies", "vec"), "rep").join(hashed, "rep").withColumn("keys", F.slice("keys", F.lit(1), F.col("tab")))
     loaded = loaded.repartition(width, "tab", "bucket", "p", "q").sortWithinPartitions("tab", "bucket", "p", "q")
     found = stored(loaded.select("bucket", "tab", "p", "q", "side", "rep", "copies", "vec", "keys").mapInArrow(_compare(cosine), "a long, b long, n long"), "vector-links")
     links = found.groupBy("a").agg(F.sum("n").alias("n"))
