@@ -134,7 +134,8 @@ def write_index(rows: DataFrame, path: str) -> None:
 
 
 def spark_rows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/rows")
+    """Index rows; filters by scope and latest version choose folders."""
+    return spark.read.parquet(f"{path}/rows").withColumn("is_latest_version", F.col("is_latest_version").cast("boolean"))
 
 
 def bm25_of(spark: SparkSession, path: str, key: str, phrases: list[list[str]], weights: list[float]) -> DataFrame:

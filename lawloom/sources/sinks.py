@@ -164,3 +164,35 @@ def comparison_report(pivot: DataFrame, candidates: DataFrame, errors: dict[str,
             "", "## 검토 후보", "", "| source_id | 판정 | 원천 표시일 | 제목 | 기존 document_id | 원천 |", "|---" * 6 + "|", *shown,
         ]
     ) + "\n"
+
+
+def conversion_report(converted: DataFrame) -> str:
+    """The conversions of a batch (a row each) as a page: outcomes, then those that failed with their reasons."""
+    rows = converted.select("version_id", "outcome", "errors", "text_chars", "article_count").orderBy("version_id").collect()
+    n = {o: sum(r.outcome == o for r in rows) for o in sorted({r.outcome for r in rows})}
+    good = [f"| {r.version_id} | {r.outcome} | {r.text_chars} | {r.article_count} |" for r in rows if not r.errors]
+    bad = [f"- `{r.version_id}`: {', '.join(r.errors)}" for r in rows if r.errors]
+    return "\n".join(["# 변환 보고서", "", *(f"- {o}: {k}" for o, k in n.items()), "", "| version_id | outcome | text_chars | article_count |", "|---" * 4 + "|", *good, "", "## 실패", "", *(bad or ["없음"])]) + "\n"
+
+
+def gate_report(gate: DataFrame, now: str) -> dict:
+    """The proof of a batch (a row a record) as one document."""
+    rows = [r.asDict() for r in gate.orderBy("version_id").collect()]
+    return {"generated_at": now, "records": len(rows), "passed": all(not r["failed"] for r in rows), "versions": [{"version_id": r["version_id"], "checks": {k: v for k, v in r.items() if k not in ("version_id", "failed")}} for r in rows]}
+
+
+def zip_folder(spark: SparkSession, path: str) -> str:
+    """``path``.zip with all files below a folder, streamed through the driver one block at a time."""
+    jvm = spark.sparkContext._jvm
+    fs, root = _files(spark, path)
+    out = jvm.java.util.zip.ZipOutputStream(fs.create(_files(spark, f"{path}.zip")[1], True))
+    found, top = fs.listFiles(root, True), fs.getFileStatus(root).getPath().toUri().getPath()
+    while found.hasNext():
+        at = found.next().getPath()
+        out.putNextEntry(jvm.java.util.zip.ZipEntry(at.toUri().getPath()[len(top) + 1 :]))
+        source = fs.open(at)
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, out, 1 << 20, False)
+        source.close()
+        out.closeEntry()
+    out.close()
+    return f"{path}.zip"

@@ -211,5 +211,11 @@ def test_catalog_and_reports(spark, tmp_path):
     chunks = spark.createDataFrame([("V1", 0, "public"), ("V1", 1, "internal")], "version_id string, chunk_index int, access_level string")
     sinks.write_bundle(docs.withColumn("access_level", F.lit("public")), chunks, docs.limit(1), f"{p}/bundle", "# b\n")
     assert spark.read.json(f"{p}/bundle/chunks.jsonl").count() == 1 and (tmp_path / "bundle/README.md").read_text() == "# b\n"
+    packed = zipfile.ZipFile(sinks.zip_folder(spark, f"{p}/bundle").removeprefix("file://"))
+    assert packed.read("README.md") == b"# b\n" and any(n.startswith("documents.jsonl/part-") for n in packed.namelist())
+    made = spark.createDataFrame([("v1", "converted", [], 300, 2), ("v2", "failed", ["짧다"], 3, 0)], "version_id string, outcome string, errors array<string>, text_chars int, article_count int")
+    assert "- `v2`: 짧다" in sinks.conversion_report(made) and "| v1 | converted | 300 | 2 |" in sinks.conversion_report(made)
+    proof = sinks.gate_report(spark.createDataFrame([("v1", True, [])], "version_id string, current boolean, failed array<string>"), "now")
+    assert proof["passed"] and proof["versions"] == [{"version_id": "v1", "checks": {"current": True}}]
     found = catalog.security_findings(spark.createDataFrame([(1, "010-1234-5678"), (2, "x"), (3, None)], "id int, text string"))
     assert [(r.id, r.reasons) for r in found.collect()] == [(1, ["personal_mobile_number"])]
