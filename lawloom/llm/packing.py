@@ -5,14 +5,15 @@ alone, and the remaining lengths are packed from their histogram. A pattern is
 found by a bitset subset-sum over the remaining length counts (the bits of one
 Python integer are the reachable fills), backtracked to counts per length, and
 applied as often as the counts allow, so the number of patterns depends on the
-number of different lengths, not on the documents. Lengths for which no exact
-fill exists are laid end to end and cut at the window size; what is left at the
-end is cut into powers of two, which need no padding. There is no shuffle and a
-task holds at most ``flush_docs`` documents' remainders.
+number of different lengths, not on the documents. Where the closest fill is not
+exact, only its slack is cut from another document; what fills no whole window
+at the end is cut into powers of two, which need no padding. There is no shuffle
+and a task holds at most ``flush_docs`` documents' remainders.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -23,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from lawloom.llm.encode import CACHE_ENTRIES, encoded_rows
+from lawloom.llm.scratch import released
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 FIELDS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
@@ -50,25 +52,14 @@ def best_fill(counts: dict[int, int], room: int) -> tuple[dict[int, int], int]:
     return dict(used), total
 
 
-def plan_bins(counts: dict[int, int], window: int) -> tuple[list[tuple[dict[int, int], int]], dict[int, int]]:
-    """Patterns that fill a window exactly, each with its repetitions; and the lengths left over."""
-    left, rest, patterns = {s: n for s, n in counts.items() if n}, {}, []
-    while left:
-        longest = max(left)
-        left[longest] -= 1
-        used, total = best_fill(left, window - longest)
-        left[longest] += 1
-        if total != window - longest:
-            rest[longest] = left.pop(longest)
-            continue
-        used[longest] = used.get(longest, 0) + 1
-        times = min(left[s] // n for s, n in used.items())
-        patterns.append((used, times))
-        for s, n in used.items():
-            left[s] -= n * times
-            if not left[s]:
-                del left[s]
-    return patterns, rest
+def fill_window(counts: dict[int, int], window: int) -> tuple[dict[int, int], int]:
+    """A window's lengths: the longest one and the multiset that comes closest to what it leaves; and the slack."""
+    longest = max(counts)
+    counts[longest] -= 1
+    used, total = best_fill(counts, window - longest)
+    counts[longest] += 1
+    used[longest] = used.get(longest, 0) + 1
+    return used, window - longest - total
 
 
 def stream_cuts(total: int, window: int) -> list[int]:
@@ -83,34 +74,49 @@ def stream_cuts(total: int, window: int) -> list[int]:
 
 
 def pack_lengths(lengths: np.ndarray, window: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
-    """(item, start in the item, length, sequence, offset) for items all shorter than ``window``; and how many sequences."""
-    where: dict[int, list[int]] = defaultdict(list)
+    """(item, start in the item, length, sequence, offset) for items all shorter than ``window``; and how many sequences.
+
+    An exact fill is applied as often as the counts allow. Where the closest fill leaves a slack, the
+    longest item not in it (all others are longer than the slack) gives its head for it, and its rest is
+    an item again. Items that fill no whole window go to sequences of powers of two.
+    """
+    where: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for i, size in enumerate(lengths.tolist()):
-        where[size].append(i)
-    where.pop(0, None)
-    patterns, rest = plan_bins({s: len(w) for s, w in where.items()}, window)
-    out, seq = [], 0
-    for used, times in patterns:
-        order = sorted(used.items(), reverse=True)
+        if size:
+            where[size].append((i, 0))
+    counts = {s: len(w) for s, w in where.items()}
+    out, seq, left = [], 0, sum(s * n for s, n in counts.items())
+
+    def take(size: int, length: int, at: int) -> int:
+        """The first ``length`` ids of an item of ``size``, placed at ``at``; the rest goes back."""
+        item, start = where[size].pop()
+        counts[size] -= 1
+        if not counts[size]:
+            del counts[size]
+        out.append((item, start, length, seq, at))
+        if length < size:
+            where[size - length].append((item, start + length))
+            counts[size - length] = counts.get(size - length, 0) + 1
+        return at + length
+
+    while left >= window:
+        used, slack = fill_window(counts, window)
+        times = 1 if slack else min(counts[s] // n for s, n in used.items())
         for _ in range(times):
             at = 0
-            for size, n in order:
+            for size, n in sorted(used.items(), reverse=True):
                 for _ in range(n):
-                    out.append((where[size].pop(), 0, size, seq, at))
-                    at += size
-            seq += 1
-    ends = stream_cuts(sum(s * n for s, n in rest.items()), window)
-    at = begin = k = 0
-    for size in sorted(rest, reverse=True):
-        for item in where[size]:
-            done = 0
-            while done < size:
-                take = min(size - done, ends[k] - at)
-                out.append((item, done, take, seq + k, at - begin))
-                done, at = done + take, at + take
-                if at == ends[k]:
-                    begin, k = at, k + 1
-    return out, seq + k
+                    at = take(size, size, at)
+            if slack:
+                at = take(max(counts), slack, at)
+            seq, left = seq + 1, left - window
+    for begin, end in itertools.pairwise([0, *stream_cuts(left, window)]):
+        at = begin
+        while at < end:
+            size = max(counts)
+            at = take(size, min(size, end - at), at - begin) + begin
+        seq += 1
+    return out, seq
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int | None = 1, flush_docs: int = 16384, with_ids: bool = False, cached_words: int = CACHE_ENTRIES) -> DataFrame:
@@ -165,4 +171,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = 2048, end_id:
         flush()
         yield batch()
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(released(run), schema)
