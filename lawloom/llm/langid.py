@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lawloom.llm.encode import text_blocks
+from lawloom.llm.scratch import released
 
 BITS = 15
 SIZE = 1 << BITS
@@ -62,7 +63,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], names=["g", "n"])
 
     out = np.zeros(SIZE + 1, np.int64)
-    for g, n in docs.select("text").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).collect():
+    for g, n in docs.select("text").mapInArrow(released(run), "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).collect():
         out[g] = n
     return out[:SIZE], int(out[SIZE])
 
@@ -162,7 +163,7 @@ def sampled_features(labelled: DataFrame, idf: np.ndarray, most: int) -> list[tu
                 yield pa.RecordBatch.from_arrays(cols, names=["lang", "h", "at", "x"])
 
     rows: dict[str, list] = {}
-    for r in once.mapInArrow(run, "lang string, h long, at array<int>, x array<double>").toLocalIterator():
+    for r in once.mapInArrow(released(run), "lang string, h long, at array<int>, x array<double>").toLocalIterator():
         rows.setdefault(r.lang, []).append((r.lang, r.h, np.array(r["at"], np.int64), np.array(r["x"], np.float64)))
     return [x for name in sorted(rows) for x in sorted(rows[name], key=lambda x: x[1])[:most]]
 
@@ -201,7 +202,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
             got = [model.predict(x.as_py()) for x in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(released(run), "doc_id long, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataFrame:
@@ -219,4 +220,4 @@ def accepted(docs: DataFrame, model: LanguageModel, least: float = 0.5) -> DataF
                 keep.append(name != UNKNOWN and score >= least)
             yield b.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.scratch import connected_components, shuffle_width, stored
+from lawloom.llm.scratch import connected_components, released, shuffle_width, stored
 from lawloom.llm.suffix import UNBASE, mixed, powers, prefix_sums
 
 BINS, ROWS, BANDS = 256, 6, 42
@@ -207,14 +207,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     million (42 bands of 6 bins).
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = stored(texts.mapInArrow(_sketch(words), "doc_id long, n_shingles long, digest binary, bands array<long>"), "sketch")
+    rows = stored(texts.mapInArrow(released(_sketch(words)), "doc_id long, n_shingles long, digest binary, bands array<long>"), "sketch")
     classes = rows.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
     reps = stored(rows.join(classes, "digest").where("doc_id = rep").select("rep", "digest", "n_shingles", "bands"), "reps")
     exploded = reps.select(F.col("rep").alias("id"), F.posexplode("bands").alias("tab", "band")).distinct()
     shared = exploded.groupBy("band").agg(F.count("*").alias("m")).where("m > 1").select("band")
     members = stored(exploded.join(shared, "band").select("band", "tab", "id"), "members")
     which = reps.join(members.select("id").distinct(), F.col("rep") == F.col("id"), "left_semi").select("rep", F.col("digest").alias("own"))
-    cut = texts.join(which, texts.doc_id == which.rep, "left_semi").mapInArrow(_sets(words), "id long, digest binary, hashes array<long>")
+    cut = texts.join(which, texts.doc_id == which.rep, "left_semi").mapInArrow(released(_sets(words)), "id long, digest binary, hashes array<long>")
     sets = stored(cut.join(which, (F.col("id") == F.col("rep")) & (F.col("digest") == F.col("own"))).select("id", "hashes").dropDuplicates(["id"]), "sets")
 
     # a star in each bucket: its hub is the least by one of eight orders, so members of a large group meet several hubs
@@ -231,7 +231,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     blocks = _open_blocks(members.select("band", "id"), hub, connected_components(links))
     loaded = blocks.join(sets, "id").repartition(shuffle_width(docs.sparkSession), "band", "kind", "p", "q").sortWithinPartitions("band", "kind", "p", "q")
-    more = stored(loaded.mapInArrow(_compare(percent), "a long, b long"), "links")
+    more = stored(loaded.mapInArrow(released(_compare(percent)), "a long, b long"), "links")
     labels = connected_components(links.unionByName(more))
     named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component"))
     out = rows.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")

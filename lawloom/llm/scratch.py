@@ -9,11 +9,15 @@ unit tests, a folder of this process is made and announced to Spark.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +48,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(run: Callable) -> Callable:
+    """A task's function over Arrow batches that gives back unused memory when it ends: workers are used again, and what one task freed would still count for the next."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only some systems have it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables that ``stored`` wrote and that nothing reads any more. What is already gone is no error."""
     for df in tables:

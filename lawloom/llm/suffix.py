@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.scratch import discard, shuffle_width, stored
+from lawloom.llm.scratch import discard, released, shuffle_width, stored
 
 HOT_KEYS = 2000
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -368,7 +368,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, hot_segments: int = 4000,
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select("doc_id", "text", *text_key())
     long_texts = texts.where(F.octet_length("text") >= lengths[0])
     anchor_rows = stored(
-        long_texts.select("t", "u", "text").mapInArrow(_anchor_rows(lengths[0]), "h long, t long, u long, s int, e int, twice boolean"), "anchors"
+        long_texts.select("t", "u", "text").mapInArrow(released(_anchor_rows(lengths[0])), "h long, t long, u long, s int, e int, twice boolean"), "anchors"
     )
     again = (
         anchor_rows.groupBy("h")
@@ -385,7 +385,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, hot_segments: int = 4000,
     one = stored(long_texts.groupBy("t", "u").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "texts")
     chosen = places.join(one.select("t", "u", "rep"), ["t", "u"])
     with_text = long_texts.join(chosen, ["t", "u"]).where(F.col("doc_id").eqNullSafe(F.col("rep"))).select("t", "u", "text", "places")
-    found = stored(with_text.mapInArrow(_cut_rows(length), "h long, g binary, t long, u long, s long, m long, seg binary"), "segments")
+    found = stored(with_text.mapInArrow(released(_cut_rows(length)), "h long, g binary, t long, u long, s long, m long, seg binary"), "segments")
     discard(anchor_rows, again)
     # a text whose rows share a doc_id comes more than once here; its places are counted once
     held = stored(found.select("g", "t", "u", "s").distinct(), "held")
@@ -398,12 +398,12 @@ def repeated_spans(docs: DataFrame, length: int = 400, hot_segments: int = 4000,
     dealt = different.join(crowded, "h", "left")
     calm = dealt.where("many is null")
     pick = ["k", "g", "seg", "n", "m"]
-    hits = calm.select(F.col("h").alias("k"), *pick[1:]).repartition(width, "k").sortWithinPartitions("k", "g").mapInArrow(_shard_rows(lengths, False), "g binary, size long, a long, b long")
+    hits = calm.select(F.col("h").alias("k"), *pick[1:]).repartition(width, "k").sortWithinPartitions("k", "g").mapInArrow(released(_shard_rows(lengths, False)), "g binary, size long, a long, b long")
     windows = None
     if not crowded.isEmpty():
         salted = dealt.where("many is not null").withColumn("k", F.xxhash64("h", F.pmod(F.xxhash64("g"), F.ceil(F.col("many") / F.lit(hot_segments / 4)))))
-        windows = stored(salted.select(pick).repartition(width, "k").sortWithinPartitions("k", "g").mapInArrow(_shard_rows(lengths, True), "w binary, g binary, size long, a long, many boolean, lead boolean"), "windows")
-        shared = windows.where("lead").select("w").repartition(width, "w").sortWithinPartitions("w").mapInArrow(_merge_rows, "w binary").distinct()
+        windows = stored(salted.select(pick).repartition(width, "k").sortWithinPartitions("k", "g").mapInArrow(released(_shard_rows(lengths, True)), "w binary, g binary, size long, a long, many boolean, lead boolean"), "windows")
+        shared = windows.where("lead").select("w").repartition(width, "w").sortWithinPartitions("w").mapInArrow(released(_merge_rows), "w binary").distinct()
         far = windows.where("not many").join(shared, "w", "left_semi")
         warm = windows.where("many").unionByName(far)
         hits = hits.unionByName(warm.select("g", "size", "a", F.col("a").alias("b")))
@@ -415,7 +415,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, hot_segments: int = 4000,
         .agg(F.collect_set(F.struct("size", (F.col("s") + F.col("a")).cast("int").alias("a"), (F.col("s") + F.col("b")).cast("int").alias("b"))).alias("places"))
     )
     spans = stored(spans.join(one.where("copies = 1").select("t", "u"), ["t", "u"], "left_semi"), "spans")
-    kept = long_texts.join(spans, ["t", "u"]).select("t", "u", "text", "places").mapInArrow(_kept_rows(length, passage, as_text), "t long, u long, n_removed long, n_spans long, n_passage_bytes long, kept binary")
+    kept = long_texts.join(spans, ["t", "u"]).select("t", "u", "text", "places").mapInArrow(released(_kept_rows(length, passage, as_text)), "t long, u long, n_removed long, n_spans long, n_passage_bytes long, kept binary")
     kept, copies = stored(kept, "kept"), stored(one.where("copies > 1").select("t", "u"), "copies")
     discard(held, hits, spans, one)
     return kept, copies
