@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, repeated rows, empty tables and columns with clashing names, for every operator and stage."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from lawloom.llm import encode, grammar_files, langid, media, minhash, mixing, packing, suffix, token_counts, urls, vectors
+from lawloom.llm import encode, grammar_files, langid, media, minhash, mixing, packing, scratch, suffix, token_counts, urls, vectors
 from lawloom.llm.queries import BYTE_BPE, RULES, WORD_BPE, tokenizer_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, component_id string, t int, hashes string"
@@ -140,9 +141,19 @@ def test_suffix(spark, odd, none):
         raw = t.encode()
         gone = {k for i in range(len(raw) - 399) if seen[raw[i : i + 400]] > 1 for k in range(i, i + 400)}
         want.append(bytes(x for k, x in enumerate(raw) if k not in gone))
+    pieces = Counter(t.encode()[i : i + 150] for _, t in docs for i in range(len(t.encode()) - 149))
     for hot in (4000, 10):  # with and without the merge across shards
         kept, copies = suffix.repeated_spans(df, 400, hot_segments=hot)
         assert sorted(bytes(r.kept) for r in kept.collect()) == sorted(want) and copies.count() == 0
+        kept, _ = suffix.repeated_spans(df, 400, hot_segments=hot, passage=150)
+        assert sorted(bytes(r.kept) for r in kept.collect()) == sorted(want)
+        assert sorted(r.n_passage_bytes for r in kept.collect()) == sorted(len({k for i in range(len(raw) - 149) if pieces[raw[i : i + 150]] > 1 for k in range(i, i + 150)}) for raw in (t.encode() for _, t in docs))
+    short = [(i, "".join(rng.choice(list("xyzuvw "), 300)) + passage[: 120 + 20 * (i % 10)] + "".join(rng.choice(list("xyzuvw "), 90 * (i % 3)))) for i in range(30)] + [(30, passage[:260]), (31, passage[:260])]
+    seen = {n: Counter(t.encode()[i : i + n] for _, t in short for i in range(len(t.encode()) - n + 1)) for n in (150, 220)}
+    cover = lambda raw, n: {k for i in range(len(raw) - n + 1) if seen[n][raw[i : i + n]] > 1 for k in range(i, i + n)}
+    for r in suffix.digests(spark.createDataFrame(short, "doc_id long, text string"), 220, passage=150).collect():
+        raw = short[r.doc_id][1].encode()
+        assert (r.n_removed, r.n_passage_bytes) == (len(cover(raw, 220)), len(cover(raw, 150)))
     assert all(passage[5:90] not in r.text and len(r.text) >= 580 for r in suffix.clean_texts(df).collect())
 
 
@@ -214,3 +225,146 @@ def test_stages(spark, odd, none):
             out = stage(spark, docs, "")
             out.count()
             assert name == "packing" or out.columns == docs.columns
+
+
+def test_row_filters():
+    rng = np.random.default_rng(1)
+    noise = rng.integers(0, 256, (9, 64), np.uint8)
+    again, flat = np.tile(rng.integers(1, 256, 64, np.uint8), (9, 1)), np.tile(np.arange(1, 10, dtype=np.uint8)[:, None], (1, 64))
+    assert media.row_filters(noise).tolist() == [0] * 9 and media.row_filters(again).tolist() == [0] + [2] * 8 and media.row_filters(flat).tolist() == [1] * 9 and media.row_filters(np.zeros((2, 64), np.uint8)).tolist() == [0, 0]
+    every = np.concatenate([noise, again, flat, again, noise])
+    kinds = media.row_filters(every)
+    assert set(kinds.tolist()) == {0, 1, 2} and (media.decode_png(media.encode_png(every, kinds)) == every).all()
+    mixed_kinds = np.array([2, 2, 0, 2, 1, 2, 2, 1, 0] * 5)
+    assert (media.decode_png(media.encode_png(every, mixed_kinds)) == every).all()
+
+
+def test_pack_lengths():
+    rng = np.random.default_rng(3)
+    for lengths in (np.array([], np.int64), np.array([0, 5, 9]), rng.integers(1, 100, 400), np.full(50, 60), np.full(7, 99), rng.integers(50, 100, 37)):
+        placed, n = packing.pack_lengths(lengths, 100)
+        assert {p[3] for p in placed} == set(range(n))
+        for i, size in enumerate(lengths.tolist()):
+            at = 0
+            for _, start, length, _, _ in sorted(p for p in placed if p[0] == i):
+                assert start == at and length > 0
+                at += length
+            assert at == size
+        for s in range(n):
+            at = 0
+            for _, _, length, _, offset in sorted((p for p in placed if p[3] == s), key=lambda p: p[4]):
+                assert offset == at
+                at += length
+            assert at == 100 or at < 100 and at & (at - 1) == 0
+        assert len(placed) <= len(lengths) + n + 7  # a cut a window at most, and those of the last powers of two
+    whole = packing.pack_lengths(np.full(50, 60), 100)[0]
+    assert max(p[2] for p in whole) == 60 and sum(p[2] == 60 for p in whole) >= 30  # only the slack is cut
+
+
+def test_grammar_random_access():
+    rng = np.random.default_rng(5)
+    bodies = [np.concatenate([np.tile(rng.integers(0, 50, 6), int(rng.integers(0, 60))), rng.integers(0, 300, int(rng.integers(0, 40)))]).astype(np.uint32) for _ in range(60)] + [np.empty(0, np.uint32)]
+    f = grammar_files.GrammarFile(grammar_files.write_file(list(range(len(bodies))), bodies, 300))
+    assert len(f.rules) > 5
+    for i in rng.permutation(len(bodies)):
+        assert (f.document(i) == bodies[i]).all() and len(f.document(i)) == len(bodies[i])
+    assert (f.all_ids() == np.concatenate(bodies)).all()
+
+
+def test_passage_stage(spark):
+    """The pipeline's stage against brute force: passages of over fifty words that several documents share go, all else stays."""
+    rng = np.random.default_rng(8)
+
+    def words(n):
+        return " ".join("".join(rng.choice(list("abcdefghijklmnop"), rng.integers(4, 9))) for _ in range(n))
+
+    passages = [words(51 + 5 * i) for i in range(6)]
+    texts = [f"{words(30)} {passages[i % 6]} {words(20)}" if i % 3 else words(60) for i in range(48)]
+    df = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    n = corpus_pipeline.PASSAGE_BYTES
+    seen = Counter(t[i : i + n] for t in texts for i in range(len(t) - n + 1))
+    got = {r.doc_id: r for r in corpus_pipeline.drop_repeated_passages(spark, df, "").collect()}
+    for i, t in enumerate(texts):
+        gone = {k for a in range(len(t) - n + 1) if seen[t[a : a + n]] > 1 for k in range(a, a + n)}
+        assert got[i].text == "".join(c for k, c in enumerate(t) if k not in gone) and got[i].n_chars == len(got[i].text)
+        assert bool(gone) == bool(i % 3) and not any(p in got[i].text for p in passages)
+
+
+def test_language_sample(spark):
+    rows = [(i, "der hund läuft " * 5 + str(i), "de") for i in range(900)] + [(1000 + i, f"the dog runs {'x' * (i % 7)}{i}", "en") for i in range(50)] + [(5000, "le chien", "fr")] * 400
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.sampled_features(df, np.ones(langid.SIZE), 100)
+    n = Counter(r[0] for r in got)
+    assert n["en"] == 50 and n["fr"] <= 1 and 50 <= n["de"] <= 100 and len({r[:2] for r in got}) == len(got)
+
+
+def test_ftrl_and_temperature():
+    rng = np.random.default_rng(0)
+    labels = rng.integers(0, 3, 300)
+    rows = [(np.array([k, 10 + rng.integers(0, 50)]), np.array([3.0, 1.0])) for k in labels]
+    weights = langid.train_ftrl(rows, labels, 3)
+    assert all(int(np.argmax(weights[langid.SIZE] + x @ weights[at])) == k for (at, x), k in zip(rows, labels, strict=True))
+    assert (weights[100:1000] == 0).all() and np.count_nonzero(langid.train_ftrl(rows, labels, 3, l1=5.0)) < np.count_nonzero(weights)
+    s = rng.standard_normal((4000, 3))
+    p = np.exp(s) / np.exp(s).sum(axis=1, keepdims=True)
+    drawn = np.array([rng.choice(3, p=x) for x in p])
+    assert abs(langid.fit_temperature(5 * s, drawn) - 5) < 0.5
+
+
+def test_segmenter():
+    """Viterbi against all splits."""
+    rng = np.random.default_rng(6)
+    vocabulary = ["a", "ab", "ba", "abc", "cab", "b", "bcab"]
+    model = {w: float(-rng.uniform(1, 6)) for w in vocabulary} | {"": -7.0}
+    cost = lambda w: model[w] if w in model else model[""] - len(w) * np.log(10)
+
+    def best(name):
+        return max((sum(map(cost, s)) for s in splits(name)), default=0.0)
+
+    def splits(name):
+        if not name:
+            yield []
+        for k in range(1, len(name) + 1):
+            for rest in splits(name[k:]):
+                yield [name[:k], *rest]
+
+    for _ in range(150):
+        name = "".join(rng.choice(list("abcd"), rng.integers(0, 10)))
+        got = urls.segment(name, model)
+        assert "".join(got) == name and sum(map(cost, got)) == pytest.approx(best(name))
+
+
+def test_naive_bayes(spark):
+    """Scores of the pages of a small table against a plain count over all of them."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()
+    model = urls.unigrams(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
+    seen = {}
+    for p in pages:
+        rest = p.url.split("://", 1)[1]
+        host, path = re.match("([^/?#]*)([^?#]*)", rest).groups()
+        seen[p.page_id] = [m + w for m, t in (("h:", host.lower()), ("p:", path.lower())) for part in re.findall(r"[^\W\d_]+|\d+", t) for w in (["#"] if part.isdigit() else urls.segment(part, model))]
+    bad = {i: any(t[2:] in urls.SEEDS for t in x) for i, x in seen.items()}
+    counts = {side: Counter(t for i, x in seen.items() if bad[i] is side for t in x) for side in (True, False)}
+    kinds = len({t for x in seen.values() for t in x}) + 1
+    n = Counter(bad.values())
+    for r in urls.judge_urls(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"), []).collect():
+        z = np.log((n[True] + 1) / (n[False] + 1))
+        for t in seen[r.page_id]:
+            z += np.log((counts[True][t] + 1) / (sum(counts[True].values()) + kinds)) - np.log((counts[False][t] + 1) / (sum(counts[False].values()) + kinds))
+        assert r.score == pytest.approx(1 / (1 + np.exp(-z))) and r.verdict == ("block" if r.score > 0.5 else "allow")
+
+
+def test_cosine_hash():
+    """The low frequencies against a plain cosine transform."""
+    x = np.random.default_rng(2).integers(0, 256, (64, 64)).astype(np.uint8)
+    small = x.reshape(32, 2, 32, 2).astype(float).mean(axis=(1, 3))
+    low = [sum(small[a, b] * np.cos(np.pi * u * (2 * a + 1) / 64) * np.cos(np.pi * v * (2 * b + 1) / 64) for a in range(32) for b in range(32)) for u in range(8) for v in range(8)]
+    middle = np.median(np.round(low[1:], 6))
+    assert media.cosine_hash(x) == np.packbits([i > 0 and round(y, 6) > middle for i, y in enumerate(low)]).tobytes().hex()
+
+
+def test_unconverged_components(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        scratch.connected_components(chain, max_rounds=1)
+    assert {r.label for r in scratch.connected_components(chain).collect()} == {0}

@@ -80,6 +80,7 @@ def test_op2(spark):
     for k, r in got.items():
         assert r["docs_at_least"] == sum(s >= k for s in sizes) and r["tokens_at_least"] == sum(s for s in sizes if s >= k)
         assert r["truncated_total"] == sum(min(s, k) for s in sizes) and r["docs_cut"] == sum(s > k for s in sizes)
+        assert r["tokens"] == k * r["n_docs"] and r["quantile"] == pytest.approx(sum(s <= k for s in sizes) / len(sizes))
 
 
 def test_op3(spark):
@@ -124,18 +125,22 @@ def test_op5(spark):
 @pytest.mark.parametrize("sf", [SF, SF2])
 def test_op6(spark, sf):
     docs = {r["doc_id"]: (r["text"] or "").encode() for r in table(spark, sf, "documents")}
-    seen = Counter(hash(x[i : i + 400]) for x in docs.values() for i in range(len(x) - 399))
+    seen = {n: Counter(hash(x[i : i + n]) for x in docs.values() for i in range(len(x) - n + 1)) for n in (400, q.PASSAGE_BYTES)}
+
+    def covered(x, n):
+        edge = np.zeros(len(x) + 1, int)
+        for i in range(len(x) - n + 1):
+            if seen[n][hash(x[i : i + n])] > 1:
+                edge[i] += 1
+                edge[i + n] -= 1
+        return np.cumsum(edge[:-1]) > 0
+
     for r in rows(q.op6_suffix_dedup(spark, sf)):
         x = docs[r["doc_id"]]
-        gone = np.zeros(len(x) + 1, int)
-        for i in range(len(x) - 399):
-            if seen[hash(x[i : i + 400])] > 1:
-                gone[i] += 1
-                gone[i + 400] -= 1
-        gone = np.cumsum(gone[:-1]) > 0
+        gone = covered(x, 400)
         spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
         kept = np.frombuffer(x, np.uint8)[~gone].tobytes()
-        assert r == {"doc_id": r["doc_id"], "n_bytes": len(x), "n_removed": int(gone.sum()), "n_spans": spans, "kept_sha256": hashlib.sha256(kept).hexdigest()}
+        assert r == {"doc_id": r["doc_id"], "n_bytes": len(x), "n_removed": int(gone.sum()), "n_spans": spans, "kept_sha256": hashlib.sha256(kept).hexdigest(), "n_passage_bytes": int(covered(x, q.PASSAGE_BYTES).sum())}
 
 
 def shingles(text, k):
