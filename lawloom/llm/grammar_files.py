@@ -12,6 +12,7 @@ document (int64, one more), ids before each document (int64, one more), rules
 
 from __future__ import annotations
 
+import bisect
 import struct
 import zlib
 from collections.abc import Iterator
@@ -91,6 +92,16 @@ def repair(ids: np.ndarray, last: np.ndarray, base: int, pairs: int = 2048, leas
     return s, rules, last
 
 
+def rule_ranges(rules: np.ndarray, base: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rules, each as long as can be, whose parts are ids and rules of earlier ranges; about one a round."""
+    latest, i = rules.max(axis=1).astype(np.int64) - base if len(rules) else np.empty(0, np.int64), 0
+    while i < len(rules):
+        inner = np.flatnonzero(latest[i:] >= i)
+        j = i + int(inner[0]) if len(inner) else len(rules)
+        yield i, j
+        i = j
+
+
 def write_file(docs: list[int], bodies: list[np.ndarray], base: int) -> bytes:
     ids = np.concatenate(bodies) if bodies else np.empty(0, np.uint32)
     sizes = np.array([len(b) for b in bodies], np.int64)
@@ -101,8 +112,9 @@ def write_file(docs: list[int], bodies: list[np.ndarray], base: int) -> bytes:
     per_doc = np.zeros(len(bodies), np.int64)
     per_doc[sizes > 0] = np.diff(np.flatnonzero(last), prepend=-1)
     lengths = np.ones(len(rules), np.uint32)
-    for i, (a, b) in enumerate(rules.tolist()):
-        lengths[i] = (lengths[a - base] if a >= base else 1) + (lengths[b - base] if b >= base else 1)
+    for i, j in rule_ranges(rules, base):
+        parts = rules[i:j].astype(np.int64) - base
+        lengths[i:j] = np.where(parts >= 0, lengths[np.maximum(parts, 0)], 1).sum(axis=1)
     kind = "<u2" if base + len(rules) <= 65536 else "<u4"
     head = struct.pack("<4s5q", MAGIC, base, len(docs), len(rules), len(symbols), int(kind[-1]))
     parts = [np.array(docs, "<i8"), np.concatenate([[0], np.cumsum(per_doc)]).astype("<i8"), np.concatenate([[0], ends]).astype("<i8"), rules.astype("<u4"), lengths.astype("<u4"), symbols.astype(kind)]
@@ -128,16 +140,8 @@ class GrammarFile:
         self.rules, self.lengths, self.symbols = take("<u4", 2 * n_rules).reshape(-1, 2), take("<u4", n_rules), take(f"<u{width}", n_symbols)
         self.begin = np.concatenate([[0], np.cumsum(self.lengths, dtype=np.int64)])
         self.expanded = np.empty(self.begin[-1], np.uint32)
-        for i, (a, b) in enumerate(self.rules.tolist()):
-            k = self.begin[i]
-            for x in (a, b):
-                if x < self.base:
-                    self.expanded[k] = x
-                    k += 1
-                else:
-                    lo, hi = self.begin[x - self.base], self.begin[x - self.base + 1]
-                    self.expanded[k : k + hi - lo] = self.expanded[lo:hi]
-                    k += hi - lo
+        for i, j in rule_ranges(self.rules, self.base):
+            self.expanded[self.begin[i] : self.begin[j]] = self._expand(self.rules[i:j].ravel())
 
     def _expand(self, symbols: np.ndarray) -> np.ndarray:
         symbols = symbols.astype(np.int64)
@@ -170,13 +174,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, base: int, end
     n = shuffle_width(docs.sparkSession)
     cuts = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0] or []
     cuts = sorted(set(cuts))
-    shard = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda c: c < F.col("doc_id")))) if cuts else F.lit(0)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, size = [], 0
-            for x, (doc, ids) in zip(b.column("shard").to_pylist(), encoded_rows(b, tokenizer, end_id, CACHED_WORDS), strict=True):
-                rows.append((x, doc, ids.astype("<u2").tobytes() if base <= 65536 else ids.tobytes()))
+            for doc, ids in encoded_rows(b, tokenizer, end_id, CACHED_WORDS):
+                rows.append((0 if doc is None else bisect.bisect_left(cuts, doc), doc, ids.astype("<u2").tobytes() if base <= 65536 else ids.tobytes()))
                 size += len(ids)
                 if size > 1 << 21:
                     yield batch(rows)
@@ -208,7 +211,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, base: int, end
             yield out()
 
     (
-        docs.select(shard.cast("int").alias("shard"), "doc_id", "text")
+        docs.select("doc_id", "text")
         .mapInArrow(encode, "shard int, doc_id long, ids binary")
         .repartitionById(len(cuts) + 1, F.col("shard"))
         .sortWithinPartitions("doc_id")
@@ -221,8 +224,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, base: int, end
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the files at ``path``."""
     files = spark.read.schema(FILES).parquet(path)
-    order = Window.orderBy("shard", "file_no").rowsBetween(Window.unboundedPreceding, -1)
-    begins = files.select("shard", "file_no", F.coalesce(F.sum("n_ids").over(order), F.lit(0)).alias("before"))  # a row a file
+    before = lambda w: F.coalesce(F.sum("n_ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shards = files.groupBy("shard").agg(F.sum("n_ids").alias("n_ids")).select("shard", before(Window.orderBy("shard")).alias("shard_before"))  # a row a shard
+    inside = files.select("shard", "file_no", before(Window.partitionBy("shard").orderBy("file_no")).alias("inside"))
+    begins = inside.join(shards, "shard").select("shard", "file_no", (F.col("shard_before") + F.col("inside")).alias("before"))  # a row a file
     if begins.count() <= 1_000_000:
         begins = F.broadcast(begins)
 
