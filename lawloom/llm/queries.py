@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lawloom.llm import grammar_files, langid, media, minhash, mixing, oracles, packing, suffix, token_counts, urls, vectors
+from lawloom.llm import filter_audit, grammar_files, hard_negatives, langid, main_text, media, minhash, mixing, oracles, packing, suffix, token_counts, urls, vectors
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 BYTE_BPE_SIZE = 50257
@@ -66,8 +66,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_languages(docs, langid.fit_language_model(docs)).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_token_files, op4_near_vectors, op5_url_filter, op6_suffix_dedup, op7_minhash, op8_media, op9_mixing, op10_language)}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_token_files, op4_near_vectors, op5_url_filter, op6_suffix_dedup, op7_minhash, op8_media, op9_mixing, op10_language, op11_filter_audit, op12_html_text, op13_hard_negatives)}
 
 
 #: The others depend on a tokenizer, a model, a hash or a free layout; they are tested against brute force.
-ORACLES: dict[str, str] = {"op4_near_vectors": oracles.near_vectors(0.95), "op6_suffix_dedup": oracles.repeated_strings(400, PASSAGE_BYTES), "op7_minhash": oracles.near_documents(4, 80)}
+ORACLES: dict[str, str] = {"op4_near_vectors": oracles.near_vectors(0.95), "op6_suffix_dedup": oracles.repeated_strings(400, PASSAGE_BYTES), "op7_minhash": oracles.near_documents(4, 80), "op11_filter_audit": oracles.filter_orders("ABCDE"), "op13_hard_negatives": oracles.hard_negatives()}

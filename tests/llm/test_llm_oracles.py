@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(q.ORACLES))
 def test_sql(spark, name):
     duck = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "labels"):
         duck.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     df = q.QUERIES[name](spark, SF)
     want = duck.sql(q.ORACLES[name])
