@@ -79,7 +79,7 @@ def named(attributes: str, inside: bool) -> tuple[bool, bool]:
             apart, body = apart or value.lower() in ROLES, body or value.lower() in BODY_TAGS
         elif key in ("class", "id"):
             for name in value.split():
-                parts = {*re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower())}
+                parts = {*re.findall(r"[a-z]+", f"{name} {re.sub(r'(?<=[a-z])(?=[A-Z])', '-', name)}".lower())}
                 if parts & LAYOUT_NAMES:
                     continue
                 apart = apart or bool(parts & APART_NAMES) or "header" in parts and not inside and not parts & BODY_NAMES
