@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from lawloom.functions import rules
 from lawloom.functions.text import long_shingles, overlap_ratio
+from lawloom.operators.similarity import overlap_join
+from lawloom.sources.shared import stored
 
 LOCATION = ("article_no", "appendix_no", "section_path")
+# The least overlap of a match at the same place, and of one anywhere in the version.
+LEAST_SCORE, LEAST_ANYWHERE = 0.35, 0.5
 PLACE = ("section_path", "article_no", "paragraph_no", "item_no", "appendix_no", "chunk_index")
 
 
@@ -19,11 +23,31 @@ def _side(chunks: DataFrame, mark: str) -> DataFrame:
     return chunks.select(*[cols[c].alias(f"{mark}_{c}") for c in ("chunk_id", "document_id", "version_id", "text", *LOCATION)], place.alias(f"{mark}_place"), F.sha2("text", 256).alias(f"{mark}_sha"), long_shingles(F.col("text")).alias(f"{mark}_set"))
 
 
-def same_place() -> Column:
-    """Equal on those of article, appendix and path that the old chunk has; an old chunk with none is at no place."""
-    has = [F.col(f"o_{c}").isNotNull() for c in LOCATION]
-    agree = [F.when(s, F.col(f"o_{c}").eqNullSafe(F.col(f"n_{c}"))).otherwise(True) for s, c in zip(has, LOCATION, strict=True)]
-    return (has[0] | has[1] | has[2]) & agree[0] & agree[1] & agree[2]
+def _places(chunks: DataFrame, mark: str, masks: Column) -> DataFrame:
+    """(id, part): the version and those of article, appendix and path that a mask takes, for each mask; chunks of the same place share one."""
+    fields = [F.when((F.col("mask").bitwiseAND(F.lit(1 << i))) > 0, F.col(f"{mark}_{c}")) for i, c in enumerate(LOCATION)]
+    rows = chunks.where(F.col(f"{mark}_version_id").isNotNull()).withColumn("mask", masks)
+    return rows.where("mask > 0").select(F.col(f"{mark}_chunk_id").alias("id"), F.to_json(F.array(F.col(f"{mark}_version_id"), F.col("mask").cast("string"), *fields), {"ignoreNullFields": "false"}).alias("part"))
+
+
+def near_chunks(lone: DataFrame, new: DataFrame) -> DataFrame:
+    """(o_chunk_id, n_chunk_id, score): for each old chunk those of its version at its place that overlap by 0.35, or by 0.5 anywhere where no chunk is at its place.
+
+    At its place are those that agree on what the old chunk has of article, appendix and path; one with none is at no
+    place. Both searches are set-similarity joins; places and versions are only compared for being equal.
+    """
+    given = sum((F.when(F.col(f"o_{c}").isNotNull(), 1 << i).otherwise(0) for i, c in enumerate(LOCATION)), F.lit(0))
+    old_at = stored(_places(lone, "o", given), "old-places")
+    new_at = stored(_places(new, "n", F.explode(F.sequence(F.lit(1), F.lit(2 ** len(LOCATION) - 1)))).join(old_at.select("part").distinct(), "part", "left_semi"), "new-places")
+    sets = lambda df, mark: df.select(F.col(f"{mark}_chunk_id").alias("id"), F.col(f"{mark}_version_id").alias("part"), F.col(f"{mark}_set").alias("items"))
+    o, n = sets(lone, "o"), sets(new, "n")
+    placed = old_at.join(new_at.select("part").distinct(), "part", "left_semi")
+    # a new chunk is at several places, each old one at one
+    numbered = lambda at, df: at.join(df.drop("part"), "id").withColumn("id", F.struct("part", "id"))
+    here = overlap_join(numbered(placed, o), numbered(new_at, n), LEAST_SCORE).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), "score")
+    free = o.join(placed.select("id"), "id", "left_anti")
+    anywhere = overlap_join(free, n.join(free.select("part").distinct(), "part", "left_semi"), LEAST_ANYWHERE)
+    return here.unionByName(anywhere).select(F.col("a").alias("o_chunk_id"), F.col("b").alias("n_chunk_id"), "score")
 
 
 def migration_map(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -31,25 +55,20 @@ def migration_map(old: DataFrame, new: DataFrame) -> DataFrame:
 
     Columns: document_id, version_id, old_chunk_id, new_chunk_ids, relation, old_text_sha256, new_text_sha256,
     old_location, new_locations, overlap_scores, evidence, automatic_match, review_required; lists in order of
-    the match, best first. Candidates are the same id, else chunks of the same version at the same place (overlap
-    0.15 or more), else, where no chunk is at the place, any of the version (0.5 or more); kept within 0.8 of the
-    best and 0.35, four at most. Ids must be unique: see ``mapping_errors``.
+    the match, best first. Candidates are the same id, else those of ``near_chunks`` within 0.8 of the best one,
+    four at most. Ids must be unique: see ``mapping_errors``.
     """
-    o, n = _side(old, "o"), _side(new, "n")
+    o, n = stored(_side(old, "o"), "old-chunks"), stored(_side(new, "n"), "new-chunks")
     match = ["n_chunk_id", "n_sha", "n_place", "score"]
-    ratio = overlap_ratio(F.col("o_set"), F.col("n_set"))
-    same = o.select("o_chunk_id", "o_set").join(n, F.col("o_chunk_id") == F.col("n_chunk_id")).select("o_chunk_id", "n_chunk_id", "n_sha", "n_place", ratio.alias("score"))
-    lone = o.join(n.select(F.col("n_chunk_id").alias("o_chunk_id")), "o_chunk_id", "left_anti")
-    pairs = lone.join(n, F.col("o_version_id") == F.col("n_version_id")).withColumn("located", same_place())
-    placed = pairs.where("located").select("o_chunk_id").distinct()
-    # the version's other chunks are compared only for old chunks at whose place there is none
-    here = pairs.where("located").withColumn("score", ratio).where("score >= 0.15")
-    anywhere = pairs.join(placed, "o_chunk_id", "left_anti").withColumn("score", ratio).where("score >= 0.5")
-    near = here.select("o_chunk_id", *match).unionByName(anywhere.select("o_chunk_id", *match))
+    shown = n.select("n_chunk_id", "n_sha", "n_place")
+    same = o.select("o_chunk_id", "o_set").join(n, F.col("o_chunk_id") == F.col("n_chunk_id")).select("o_chunk_id", "n_chunk_id", "n_sha", "n_place", overlap_ratio(F.col("o_set"), F.col("n_set")).alias("score"))
+    lone = stored(o.join(n.select(F.col("n_chunk_id").alias("o_chunk_id")), "o_chunk_id", "left_anti"), "lone-chunks")
+    near = near_chunks(lone, n).join(shown, "n_chunk_id")
     each = Window.partitionBy("o_chunk_id")
-    near = near.withColumn("best", F.max("score").over(each)).where(F.col("score") >= F.greatest(F.lit(0.35), 0.8 * F.col("best")))
+    near = near.withColumn("best", F.max("score").over(each)).where(F.col("score") >= 0.8 * F.col("best"))
     near = near.withColumn("r", F.row_number().over(each.orderBy(F.desc("score"), "n_chunk_id"))).where("r <= 4")
     targets = same.select("o_chunk_id", *match, F.lit(True).alias("same_id")).unionByName(near.select("o_chunk_id", *match, F.lit(False).alias("same_id")))
+    targets = stored(targets, "targets")
     targets = targets.join(targets.groupBy("n_chunk_id").agg(F.count("*").alias("inbound")), "n_chunk_id")
     item = F.struct(F.negative("score").alias("o"), "n_chunk_id", "n_sha", "n_place", "score")
     per = targets.groupBy("o_chunk_id").agg(F.array_sort(F.collect_list(item)).alias("m"), F.max("inbound").alias("inbound"), F.max("same_id").alias("same_id"))

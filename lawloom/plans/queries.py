@@ -371,33 +371,52 @@ def overlap_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.col("doc_id").alias("a_id"), "b_id", text.overlap_ratio(F.col("s"), F.col("y")).alias("overlap"))
 
 
-V_PAIRS = """old as (select doc_id || '-' || position as chunk_id, doc_id, position, body as text, article_no from articles),
-  new as (select case when position % 3 = 0 then chunk_id || 'n' else chunk_id end as chunk_id, chunk_id as from_id, text || case when position % 4 = 1 then ' 개정 문장을 더한다.' else '' end as text from old where position % 5 <> 4)"""
+# each article is split, merged from two halves, dropped, renamed or kept, some with a changed text
+V_PAIRS = """base as (select doc_id, doc_id || '-' || position as id, position, article_no, body, case when position % 7 = 2 then 'split' when position % 7 = 4 then 'merged' when position % 5 = 4 then 'gone' when position % 3 = 0 then 'renamed' else 'kept' end as fate from articles),
+  halves as (select doc_id, id || 'a' as chunk_id, article_no, fate, substr(body, 1, length(body) // 2) as text from base union all select doc_id, id || 'b', article_no, fate, substr(body, length(body) // 2 + 1) from base),
+  old as (select doc_id, id as chunk_id, article_no, body as text from base where fate <> 'merged' union all select doc_id, chunk_id, article_no, text from halves where fate = 'merged'),
+  new as (select doc_id, case fate when 'renamed' then id || 'n' when 'merged' then id || 'm' else id end as chunk_id, article_no, body || case when fate = 'kept' and position % 4 = 1 then ' 개정 문장을 더한다.' else '' end as text from base where fate in ('kept', 'renamed', 'merged') union all select doc_id, chunk_id, article_no, text from halves where fate = 'split')"""
+V_MAPPED = "with " + V_ARTICLES + ", " + V_PAIRS + """, lone as (select * from old where chunk_id not in (select chunk_id from new)), placed as (select distinct l.chunk_id from lone l join new n on n.doc_id = l.doc_id and n.article_no = l.article_no),
+  shape as (select 0 as side, doc_id, chunk_id, regexp_replace(text, '\\s+', '', 'g') as x from lone union all select 1, doc_id, chunk_id, regexp_replace(text, '\\s+', '', 'g') from new), sets as (select side, doc_id, chunk_id, case when x = '' then [] else list_distinct(list_transform(range(1, greatest(length(x) - 4, 1) + 1), lambda i: substr(x, i, 5))) end as s from shape),
+  u as (select side, doc_id, chunk_id, len(s) as n, unnest(s) as g from sets), c as (select o.chunk_id as a, n.chunk_id as b, count(*) / least(any_value(o.n), any_value(n.n)) as score from u o join u n on o.side = 0 and n.side = 1 and n.doc_id = o.doc_id and n.g = o.g group by 1, 2),
+  near as (select a, b, round_even(score, 6) as score from c join lone l on l.chunk_id = a join new n on n.chunk_id = b where round_even(score, 6) >= case when a in (select chunk_id from placed) then 0.35 else 0.5 end and (n.article_no = l.article_no or a not in (select chunk_id from placed))),
+  best as (select *, row_number() over (partition by a order by score desc, b) as r from (select *, max(score) over (partition by a) as top from near) where score >= 0.8 * top), targets as (select a, b, score, r from best where r <= 4 union all select o.chunk_id, n.chunk_id, 1.0, 1 from old o join new n on n.chunk_id = o.chunk_id), reached as (select *, count(*) over (partition by b) as inbound from targets),
+  per as (select a, string_agg(b, ',' order by r) as found, count(*) as k, max(inbound) as inbound, min_by(score, r) as first from reached group by a),
+  mapped as (select o.chunk_id as old_chunk_id, case when n.chunk_id is not null then case when n.text = o.text then 'unchanged' else 'modified' end when coalesce(k, 0) = 0 then 'removed' when k > 1 then 'split' when inbound > 1 then 'merged' else 'modified' end as relation, coalesce(found, '') as found, n.chunk_id is not null as same_id, first, sha256(o.text) as old_sha from old o left join new n on n.chunk_id = o.chunk_id left join per on per.a = o.chunk_id
+  union all select null, 'new', chunk_id, false, null, null from new where chunk_id not in (select chunk_id from old))"""
 
 
 def _migration(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    null = F.lit(None).cast("string")
-    a = chunking.split_articles(views.legal(spark, sf_dir))
-    old = a.select(F.concat_ws("-", "doc_id", "position").alias("chunk_id"), F.col("doc_id").cast("string").alias("document_id"), F.col("doc_id").cast("string").alias("version_id"), F.col("body").alias("text"), "article_no", null.alias("appendix_no"), null.alias("section_path"), F.col("position").alias("chunk_index"))
-    seq = F.col("chunk_index")
-    new = old.where(seq % 5 != 4).withColumn("chunk_id", F.when(seq % 3 == 0, F.concat("chunk_id", F.lit("n"))).otherwise(F.col("chunk_id"))).withColumn("text", F.when(seq % 4 == 1, F.concat("text", F.lit(" 개정 문장을 더한다."))).otherwise(F.col("text")))
+    null, p = F.lit(None).cast("string"), F.col("position")
+    fate = F.when(p % 7 == 2, "split").when(p % 7 == 4, "merged").when(p % 5 == 4, "gone").when(p % 3 == 0, "renamed").otherwise("kept")
+    base = chunking.split_articles(views.legal(spark, sf_dir)).select(F.concat_ws("-", "doc_id", "position").alias("id"), F.col("doc_id").cast("string").alias("document_id"), F.col("doc_id").cast("string").alias("version_id"), "article_no", null.alias("appendix_no"), null.alias("section_path"), p.alias("chunk_index"), "body", fate.alias("fate"))
+    half = F.floor(F.length("body") / 2).cast("int")
+    row = lambda end, body: F.struct(F.concat("id", F.lit(end)).alias("chunk_id"), body.alias("text"))
+    whole, halves = lambda end: F.array(row(end, F.col("body"))), F.array(row("a", F.substring("body", F.lit(1), half)), row("b", F.substring("body", half + 1, F.length("body"))))
+    added = F.when(F.col("chunk_index") % 4 == 1, F.concat("body", F.lit(" 개정 문장을 더한다."))).otherwise(F.col("body"))
+    place = ["document_id", "version_id", "article_no", "appendix_no", "section_path", "chunk_index"]
+    old = base.select(*place, F.inline(F.when(F.col("fate") == "merged", halves).otherwise(whole(""))))
+    name = F.col("fate")
+    new = base.where("fate <> 'gone'").select(*place, F.inline(F.when(name == "split", halves).when(name == "merged", whole("m")).when(name == "renamed", whole("n")).otherwise(F.array(row("", added)))))
     return old, new
 
 
-@query("with " + V_ARTICLES + ", " + V_PAIRS + """ select o.chunk_id as old_chunk_id, case when o.text = n.text then 'unchanged' else 'modified' end as relation, n.chunk_id as new_chunk_id, sha256(n.text) as new_sha from old o join new n on n.chunk_id = o.chunk_id
-  union all select null, 'new', n.chunk_id, sha256(n.text) from new n where n.chunk_id <> n.from_id""")
+@query(V_MAPPED + " select old_chunk_id, relation, found as new_chunk_ids, case when relation in ('unchanged', 'modified') then case when same_id then null else first >= 0.8 end else false end as automatic_by_text, old_sha from mapped")
 def migration_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of ids that both sides have, and those of new ids; matches by place and text are tested on a fixture."""
-    m = migration.migration_map(*_migration(spark, sf_dir)).where("evidence in ('same_chunk_id', 'new_id_not_in_reference')")
-    return m.select("old_chunk_id", "relation", F.col("new_chunk_ids")[0].alias("new_chunk_id"), F.col("new_text_sha256")[0].alias("new_sha"))
+    """Every row with its relation; automatic_by_text is null where the id is the same, as the SQL does not compare those texts."""
+    m = migration.migration_map(*_migration(spark, sf_dir))
+    by_text = F.when(F.col("relation").isin("unchanged", "modified") & (F.col("evidence") == "same_chunk_id"), None).otherwise(F.col("automatic_match"))
+    return m.select("old_chunk_id", "relation", F.array_join("new_chunk_ids", ",").alias("new_chunk_ids"), by_text.alias("automatic_by_text"), F.col("old_text_sha256").alias("old_sha"))
 
 
-@query("with " + V_ARTICLES + ", " + V_PAIRS + " select (select count(*) from old) as old_chunks, (select count(*) from new where chunk_id <> from_id) as new_ids, (select count(*) from new where chunk_id = from_id) as retained_ids, 0 as errors")
+@query(V_MAPPED + " select count(old_chunk_id) as old_chunks, count(*) filter (where same_id) as retained_ids, count(old_chunk_id) - count(*) filter (where same_id) as removed_ids, " + ", ".join(f"count(*) filter (where relation = '{r}') as {r}" for r in rules.RELATIONS) + ", count(*) filter (where relation = 'new') as new_ids, 0 as errors from mapped")
 def migration_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lawloom.sources.shared import stored
+
     old, new = _migration(spark, sf_dir)
-    m = migration.migration_map(old, new)
+    m = stored(migration.migration_map(old, new), "migration")
     errors = migration.mapping_errors(m, old, new).agg(F.count("*").cast("int").alias("errors"))
-    return migration.summary(m).select("old_chunks", "new_ids", "retained_ids").crossJoin(errors)  # tables of one row
+    return migration.summary(m).drop("review_required").crossJoin(errors)  # tables of one row
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
