@@ -114,3 +114,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         .select(F.col("u").alias("node"), "label")
         .unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
     )
+
+
+def least_of_components(labels: DataFrame, names: DataFrame) -> DataFrame:
+    """(node, component): the smallest ``least`` that ``names`` (node, least) has for the nodes of each node's component, for the nodes of ``labels`` (node, label)."""
+    smallest = labels.join(names, "node").groupBy("label").agg(F.min("least").alias("component"))
+    return labels.join(smallest, "label").select("node", "component")

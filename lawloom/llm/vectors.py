@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.scratch import connected_components, shuffle_width, stored
+from lawloom.llm.scratch import connected_components, least_of_components, shuffle_width, stored
 
 BUCKET_WIDTH = 2.0
 BLOCK_ROWS = 1024
@@ -153,14 +153,17 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, miss: float = 1e-3, s
     n_links counts the other vectors at a cosine of at least ``cosine``, copies included; component_id
     is the least vec_id reachable by links; kept is vec_id = component_id. Vectors that are null, empty,
     zero or hold null or non-finite components, and rows without a vec_id, are linked with nothing.
-    Vectors of different sizes are not linked. Rows that repeat a vec_id each come back.
+    Vectors of different sizes are not linked. Rows that repeat a vec_id are vectors of their own: each comes
+    back with the other rows linked to it, and with the least vec_id of those it reaches.
     """
     spark, width = vectors.sparkSession, shuffle_width(vectors.sparkSession)
     kind = "float" if vectors.schema["embedding"].dataType.elementType.typeName() == "float" else "double"
     rows = stored(vectors.select("vec_id", F.col("embedding").alias("vec")).mapInArrow(_class_rows(kind == "float"), f"vec_id long, digest binary, vec array<{kind}>"), "vectors")
     useful = rows.where("digest is not null and vec_id is not null")
-    classes = useful.groupBy("digest").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
-    reps = stored(useful.join(classes, "digest").where("vec_id = rep").dropDuplicates(["digest"]).select("rep", "digest", "copies", "vec"), "vector-reps")
+    classes = useful.groupBy("digest").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    # a number for each different vector: ids may repeat, digests do not
+    reps = useful.join(classes, "digest").where("vec_id = least").dropDuplicates(["digest"]).select(F.monotonically_increasing_id().alias("rep"), "digest", "least", "copies", "vec")
+    reps = stored(reps, "vector-reps")
     k, tables = table_shape(reps.count(), cosine, miss)
     hashed = stored(reps.select("rep", "vec").mapInArrow(_hash_rows(k, tables, seed), "rep long, keys array<int>"), "vector-keys")
     cells = hashed.select("rep", F.posexplode("keys").alias("tab", "bucket"))
@@ -173,9 +176,9 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, miss: float = 1e-3, s
     loaded = loaded.repartition(width, "tab", "bucket", "p", "q").sortWithinPartitions("tab", "bucket", "p", "q")
     found = stored(loaded.select("bucket", "tab", "p", "q", "side", "rep", "copies", "vec", "keys").mapInArrow(_compare(cosine), "a long, b long, n long"), "vector-links")
     links = found.groupBy("a").agg(F.sum("n").alias("n"))
-    labels = connected_components(found.select("a", "b"))
-    named = reps.select("rep", "digest", "copies").join(labels.withColumnRenamed("node", "rep"), "rep", "left").join(links.withColumnRenamed("a", "rep"), "rep", "left")
-    named = named.select("digest", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("links"), F.coalesce("label", "rep").alias("component"))
+    labels = least_of_components(connected_components(found.select("a", "b")), reps.select(F.col("rep").alias("node"), "least"))
+    named = reps.select("rep", "digest", "least", "copies").join(labels.withColumnRenamed("node", "rep"), "rep", "left").join(links.withColumnRenamed("a", "rep"), "rep", "left")
+    named = named.select("digest", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("links"), F.coalesce("component", "least").alias("component"))
     out = rows.select("vec_id", F.when(F.col("vec_id").isNotNull(), F.col("digest")).alias("digest")).join(named, "digest", "left")
     out = out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
     return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
