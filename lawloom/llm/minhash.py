@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.llm.scratch import connected_components, released, shuffle_width, stored
+from lawloom.llm.scratch import connected_components, least_of_components, released, shuffle_width, stored
 from lawloom.llm.suffix import UNBASE, mixed, powers, prefix_sums
 
 BINS, ROWS, BANDS = 256, 6, 42
@@ -202,20 +202,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     Documents are linked when 100 * intersection >= percent * union of their sets of ``words``-word
     shingles. component_id is the least doc_id reachable by links; kept is doc_id = component_id.
     Null, empty and wordless texts have 0 shingles and are linked with nothing. Documents without a
-    doc_id are linked with nothing either (component_id null, kept true). Rows that repeat a doc_id
-    each come back. Other columns are not read. A pair at exactly 0.8 is missed with a chance of 3 in a
+    doc_id are linked with nothing either (component_id null, kept true). Rows that repeat a doc_id are
+    documents of their own: each comes back with the least doc_id of those it reaches. Other columns are not read. A pair at exactly 0.8 is missed with a chance of 3 in a
     million (42 bands of 6 bins).
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = stored(texts.mapInArrow(released(_sketch(words)), "doc_id long, n_shingles long, digest binary, bands array<long>"), "sketch")
-    classes = rows.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    reps = stored(rows.join(classes, "digest").where("doc_id = rep").select("rep", "digest", "n_shingles", "bands"), "reps")
+    classes = rows.where("digest is not null and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("least"))
+    # a number for each different set: ids may repeat, digests do not
+    reps = rows.join(classes, "digest").where("doc_id = least").dropDuplicates(["digest"]).select(F.monotonically_increasing_id().alias("rep"), "digest", "least", "n_shingles", "bands")
+    reps = stored(reps, "reps")
     exploded = reps.select(F.col("rep").alias("id"), F.posexplode("bands").alias("tab", "band")).distinct()
     shared = exploded.groupBy("band").agg(F.count("*").alias("m")).where("m > 1").select("band")
     members = stored(exploded.join(shared, "band").select("band", "tab", "id"), "members")
-    which = reps.join(members.select("id").distinct(), F.col("rep") == F.col("id"), "left_semi").select("rep", F.col("digest").alias("own"))
-    cut = texts.join(which, texts.doc_id == which.rep, "left_semi").mapInArrow(released(_sets(words)), "id long, digest binary, hashes array<long>")
-    sets = stored(cut.join(which, (F.col("id") == F.col("rep")) & (F.col("digest") == F.col("own"))).select("id", "hashes").dropDuplicates(["id"]), "sets")
+    which = reps.join(members.select(F.col("id").alias("rep")).distinct(), "rep", "left_semi").select("rep", "least", "digest")
+    cut = texts.join(which, texts.doc_id == which.least, "left_semi").mapInArrow(released(_sets(words)), "id long, digest binary, hashes array<long>")
+    sets = stored(cut.drop("id").join(which.select("digest", F.col("rep").alias("id")), "digest").select("id", "hashes").dropDuplicates(["id"]), "sets")
 
     # a star in each bucket: its hub is the least by one of eight orders, so members of a large group meet several hubs
     order = F.struct(F.xxhash64("id", F.col("tab") % HUB_ORDERS).alias("o"), F.col("id").alias("hub"))
@@ -232,8 +234,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     blocks = _open_blocks(members.select("band", "id"), hub, connected_components(links))
     loaded = blocks.join(sets, "id").repartition(shuffle_width(docs.sparkSession), "band", "kind", "p", "q").sortWithinPartitions("band", "kind", "p", "q")
     more = stored(loaded.mapInArrow(released(_compare(percent)), "a long, b long"), "links")
-    labels = connected_components(links.unionByName(more))
-    named = classes.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component"))
+    labels = least_of_components(connected_components(links.unionByName(more)), reps.select(F.col("rep").alias("node"), "least"))
+    named = reps.select("rep", "digest", "least").join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "least").alias("component"))
     out = rows.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
