@@ -142,15 +142,17 @@ def learnable(docs: DataFrame) -> DataFrame:
 def sampled_features(labelled: DataFrame, idf: np.ndarray, most: int) -> list[tuple[str, int, np.ndarray, np.ndarray]]:
     """(lang, hash, n-grams, weights) of at most ``most`` different rows of each language.
 
-    A row is in the sample if its hash lies below its language's threshold, which follows from the number
-    of its rows: no sort, no task with all rows of a language, and copies of a row count once. Only
+    A row with a letter is in the sample if its hash lies below its language's threshold, which follows from the
+    number of different hashes: no sort, no task with all rows of a language, and copies of a row count once,
+    so a language of a few rows, however often they repeat, is in the sample with all of them. Only
     n-gram weights (at most ``SIZE`` a row) leave the executors, whatever the texts' length.
     """
     span = 1 << 62
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row a language, as the model's weights have a column for each
-    limits = labelled.sparkSession.createDataFrame([(r.lang, min(span, span * most // r.n)) for r in counts], "lang string, below long")
     mark = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
-    near = labelled.select("lang", "text", mark.alias("h")).join(F.broadcast(limits), "lang").where("h < below")
+    marked = labelled.where(F.col("text").rlike(r"\p{L}")).select("lang", "text", mark.alias("h"))
+    counts = marked.groupBy("lang").agg(F.count_distinct("h").alias("n")).collect()  # a row a language, as the model's weights have a column for each
+    limits = labelled.sparkSession.createDataFrame([(r.lang, min(span, span * most // r.n)) for r in counts], "lang string, below long")
+    near = marked.join(F.broadcast(limits), "lang").where("h < below")
     once = near.groupBy("lang", "h").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
