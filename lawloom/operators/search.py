@@ -11,17 +11,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lawloom.functions import rules, text
-from lawloom.operators import chunking
-from lawloom.sources.shared import path_exists
+from lawloom.operators import chunking, postings, trigrams
+from lawloom.operators.postings import Segment
+from lawloom.sources.snapshots import Snapshots
 
-# Ranking constants and the weights in effect for each field.
-K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
+# The weights in effect for each field.
 WEIGHTS = {"title": 4.0, "aliases": 1.0, "body": 2.0, "compact": 1.0}
 # What a shown result consists of.
 DISPLAY = ("rank", "title", "document_type", "department", "document_id", "version_id", "validity_status", "status_confidence", "revision_date", "effective_date", "article_no", "section_kind", "context", "normalized_file", "source_page_url", "sha256", "citation_label")
 HIDDEN = ("search_text", "compact_text")
 TERM = r"[\p{L}\p{N}]+"
-BUCKETS = 256
+#: What substrings are looked for in.
+TITLES = ("normalized_title", "compact_title", "normalized_aliases", "compact_aliases")
 
 
 def _plain_letters() -> tuple[str, str]:
@@ -44,9 +45,14 @@ def value_terms(value: str) -> list[str]:
     return re.findall(r"[^\W_]+", value.lower().translate(str.maketrans(ACCENTS, PLAIN)))
 
 
+def query_form(query: str) -> str:
+    """``text.search_text`` of one value."""
+    return re.sub(r"\s+", " ", re.sub(text.SEPARATORS, " ", text.folded(query))).strip()
+
+
 def query_phrases(query: str) -> list[list[str]]:
     """What a query asks for: each word of its search form, and its compact form unless that is one of the words, as phrases of terms. Any of them will do."""
-    words = re.sub(r"\s+", " ", re.sub(text.SEPARATORS, " ", text.folded(query))).strip().split()
+    words = query_form(query).split()
     compact = "".join(words)
     asked = words + [compact] * bool(compact and compact not in words)
     return [p for p in map(value_terms, asked) if p]
@@ -99,76 +105,75 @@ def indexed_fields(rows: DataFrame) -> DataFrame:
     return rows.select("chunk_id", "title", F.array_join("alternative_titles", " ").alias("aliases"), F.col("search_text").alias("body"), F.col("compact_text").alias("compact"))
 
 
-def postings(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
+def term_counts(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """(key, term, field, tf) of every term."""
     marked = lambda f: F.transform(terms(F.col(f)), lambda t: F.struct(t.alias("term"), F.lit(f).alias("field")))
     found = rows.select(key, F.explode(F.concat(*map(marked, fields))).alias("x"))
     return found.groupBy(key, "x.term", "x.field").agg(F.count("*").alias("tf"))
 
 
-def bucket_of(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+def write_postings(rows: DataFrame, key: str, fields: list[str], path: str, weights: list[float] | None = None) -> None:
+    """The inverted index of the terms of ``fields`` at ``path``; each text is cut once for it."""
+    postings.write_postings(rows.select(key, *[terms(F.col(f)).alias(f) for f in fields]), key, fields, path, weights)
 
 
-def write_postings(rows: DataFrame, key: str, fields: list[str], path: str) -> None:
-    """The inverted index of ``rows``: (bucket, term, key, dl, places), a row for each term and row; places are (field, position) and dl is the row's number of terms in all fields.
-
-    Files lie in folders by a hash of the term, sorted by term, so a query reads the terms it asks for. Each
-    text is cut once. A term's rows are dealt over tasks by term and key, so a term of all rows is no single task.
-    """
-    cut = rows.select(key, *[terms(F.col(f)).alias(f) for f in fields])
-    placed = lambda n, f: F.transform(F.col(f), lambda t, i: F.struct(t.alias("term"), F.lit(n).cast("tinyint").alias("field"), i.alias("at")))
-    places = F.concat(*[placed(n, f) for n, f in enumerate(fields)])
-    sized = cut.withColumn("dl", reduce(lambda a, b: a + b, [F.size(f) for f in fields])).select(key, "dl", F.explode(places).alias("x"))
-    found = sized.groupBy(F.col("x.term").alias("term"), key, "dl").agg(F.sort_array(F.collect_list(F.struct("x.field", "x.at"))).alias("places"))
-    found = found.withColumn("bucket", bucket_of(F.col("term")))
-    found.repartition("bucket", F.pmod(F.xxhash64(key), F.lit(8))).sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").option("compression", "zstd").parquet(f"{path}/postings")
-    lengths = cut.select(reduce(lambda a, b: a + b, [F.size(f) for f in fields]).alias("dl"))
-    lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl")).coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
+def write_segment(rows: DataFrame, path: str) -> None:
+    """Index rows in folders by the two columns that every search filters by, their postings, and the trigrams of titles and texts."""
+    rows.write.mode("overwrite").partitionBy("retrieval_scope", "is_latest_version").option("compression", "zstd").parquet(f"{path}/rows")
+    stored = segment_rows(rows.sparkSession, path)
+    write_postings(indexed_fields(stored), "chunk_id", list(WEIGHTS), path, list(WEIGHTS.values()))
+    trigrams.write_trigrams(stored, "chunk_id", [*TITLES, *HIDDEN], path)
 
 
 def write_index(rows: DataFrame, path: str) -> None:
-    """Index rows in folders by the two columns that every search filters by, their postings and the sums that ranking needs."""
-    rows.write.mode("overwrite").partitionBy("retrieval_scope", "is_latest_version").option("compression", "zstd").parquet(f"{path}/rows")
-    write_postings(indexed_fields(spark_rows(rows.sparkSession, path)), "chunk_id", list(WEIGHTS), path)
+    """An index of one segment that is never changed; ``segments`` keeps one that is."""
+    write_segment(rows, path)
 
 
-def spark_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Index rows; filters by scope and latest version choose folders."""
+def segment_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/rows").withColumn("is_latest_version", F.col("is_latest_version").cast("boolean"))
 
 
+def open_segments(spark: SparkSession, path: str, snapshot: int | None = None) -> list[Segment]:
+    """The segments of an index, of its last snapshot by default; an index without a log is one segment. None where no postings were written."""
+    state = Snapshots(spark, path).state(snapshot)
+    if not state["number"]:
+        one = postings.segment_at(spark, path)
+        return [one] if one else []
+    return [Segment(f"{path}/{s['folder']}", {**s["stats"], **s.get("dead_stats", {})}, f"{path}/{s['dead']}" if s.get("dead") else None) for s in state["notes"]["segments"]]
+
+
+def spark_rows(spark: SparkSession, path: str, segments: list[Segment] | None = None) -> DataFrame:
+    """Live index rows; filters by scope and latest version choose folders."""
+    segments = open_segments(spark, path) if segments is None else segments
+    if not segments:
+        log = Snapshots(spark, path)
+        if not log.latest():
+            return segment_rows(spark, path)
+        return segment_rows(spark, f"{path}/{log.state()['notes']['last']}").limit(0)  # all rows are gone
+    live = []
+    for s in segments:
+        rows = segment_rows(spark, s.path)
+        live.append(rows.join(spark.read.parquet(f"{s.dead}/keys"), "chunk_id", "left_anti") if s.dead else rows)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), live)
+
+
 def bm25_of(spark: SparkSession, path: str, key: str, phrases: list[list[str]], weights: list[float]) -> DataFrame:
     """(key, score, found) of rows that hold a phrase, from the index at ``path``; lower is better. found has (phrase, field, position) of each occurrence.
 
     Only the postings of the phrases' terms are read. Numbers of rows and lengths are those of all rows.
     """
-    read = spark.read.parquet(f"{path}/postings")
-    if not phrases:
-        return spark.createDataFrame([], f"{key} {read.schema[key].dataType.simpleString()}, score double, found array<struct<phrase:int,field:int,at:int>>")
-    asked = sorted({t for p in phrases for t in p})
-    numbers = spark.createDataFrame([(t,) for t in asked], "t string").select(bucket_of(F.col("t")).alias("b")).distinct().collect()
-    read = read.where(F.col("bucket").isin([r.b for r in numbers]) & F.col("term").isin(asked))
-    at = lambda t: F.coalesce(F.flatten(F.collect_list(F.when(F.col("term") == t, F.col("places")))), F.array().cast(read.schema["places"].dataType))
-    rows = read.groupBy(key, "dl").agg(*[at(t).alias(f"t{i}") for i, t in enumerate(asked)])
-    moved = lambda t, by: F.transform(F.col(f"t{asked.index(t)}"), lambda x: F.struct(x["field"].alias("field"), (x["at"] - by).alias("at")))
-    rows = rows.withColumns({f"p{i}": reduce(F.array_intersect, [moved(t, by) for by, t in enumerate(phrase)]) for i, phrase in enumerate(phrases)})
-    rows = rows.where(reduce(lambda a, b: a | b, [F.size(f"p{i}") > 0 for i in range(len(phrases))]))
-    rows = rows.select(key, "dl", *[f"p{i}" for i in range(len(phrases))])
-    stats = spark.read.parquet(f"{path}/stats").select("n", "avgdl").join(rows.agg(*[F.count_if(F.size(f"p{i}") > 0).alias(f"n{i}") for i in range(len(phrases))]))  # two tables of one row
-    score = F.lit(0.0)
-    for i in range(len(phrases)):
-        idf = F.greatest(F.ln((F.col("n") - F.col(f"n{i}") + 0.5) / (F.col(f"n{i}") + 0.5)), F.lit(LEAST_IDF))
-        f = F.aggregate(F.col(f"p{i}"), F.lit(0.0), lambda a, x: a + F.element_at(F.array(*map(F.lit, weights)), x["field"].cast("int") + 1))
-        score = score - idf * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    named = lambda i: F.transform(f"p{i}", lambda x: F.struct(F.lit(i).alias("phrase"), x["field"].cast("int").alias("field"), x["at"].alias("at")))
-    places = F.concat(*map(named, range(len(phrases))))
-    return rows.join(F.broadcast(stats)).select(key, score.alias("score"), places.alias("found"))
+    return postings.every_row(spark, open_segments(spark, path), key, phrases, weights)
+
+
+def candidates(limit: int, per_group: int) -> int:
+    """How many of the best rows the cap of each group is applied to."""
+    return max(limit * max(per_group, 1) * 5, 50)
 
 
 def capped(ranked: DataFrame, group: str, order: list[Column], limit: int = 10, per_group: int = 2) -> DataFrame:
     """The first candidates in order, at most ``per_group`` of a group, then ``limit``; rank from 1. The candidates are cut before the cap, so they are a few rows."""
-    first = ranked.orderBy(*order).limit(max(limit * max(per_group, 1) * 5, 50))
+    first = ranked.orderBy(*order).limit(candidates(limit, per_group))
     held = first.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy(*order))).where(F.col("_r") <= max(per_group, 1)).drop("_r")
     return held.orderBy(*order).limit(limit).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
@@ -209,11 +214,17 @@ def search(spark: SparkSession, path: str, query: str | None = None, filters: di
     Without a query the score is 0 and the order title, chunk; a query of separators alone finds nothing.
     Without postings in the index the query is looked for as a part of the texts, with score 0.
     """
-    chosen = filtered(spark_rows(spark, path), filters or {})
+    filters, segments = filters or {}, open_segments(spark, path)
+    rows = spark_rows(spark, path, segments)
+    if segments and filters.get("title_contains") and (t := query_form(filters["title_contains"])):
+        c = t.replace(" ", "")
+        rows = trigrams.holding(spark, segments, rows, "chunk_id", list(zip(TITLES, (t, c, t, c), strict=True)))
+    chosen = filtered(rows, filters)
     if not query:
         found = chosen.withColumn("score", F.lit(0.0))
-    elif path_exists(spark, f"{path}/postings"):
-        found = chosen.join(bm25_of(spark, path, "chunk_id", query_phrases(query), list(WEIGHTS.values())).drop("found"), "chunk_id")
+    elif segments:
+        best = postings.top_rows(spark, segments, "chunk_id", query_phrases(query), list(WEIGHTS.values()), candidates(limit, per_document), chosen)
+        found = chosen.join(best.rows.drop("found"), "chunk_id")
     else:
         found = like_fallback(chosen, query)
     return capped(found, "document_id", result_order(), limit, per_document).withColumn("context", chunking.context(F.col("text"))).drop(*HIDDEN)
@@ -225,6 +236,13 @@ def like_fallback(rows: DataFrame, query: str, texts: tuple[str, str] = HIDDEN)
     return rows.where(F.col(texts[0]).contains(q) | F.col(texts[1]).contains(F.regexp_replace(q, " ", ""))).withColumn("score", F.lit(0.0))
 
 
+def substring_rows(spark: SparkSession, path: str, query: str, filters: dict | None = None) -> DataFrame:
+    """``like_fallback`` over the rows of an index by its trigrams; for parts of any length."""
+    segments = open_segments(spark, path)
+    chosen, form = filtered(spark_rows(spark, path, segments), filters or {}), query_form(query)
+    return trigrams.holding(spark, segments, chosen, "chunk_id", [(HIDDEN[0], form), (HIDDEN[1], form.replace(" ", ""))]).withColumn("score", F.lit(0.0))
+
+
 def display(results: DataFrame) -> DataFrame:
     """What is shown of results, in order of rank."""
     return results.select(*[c if c in results.columns else F.lit(None).cast("string").alias(c) for c in DISPLAY]).orderBy("rank")

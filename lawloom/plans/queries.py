@@ -94,7 +94,7 @@ def search_title_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {V_INDEX} select chunk_id, document_id from forms where contains(search_text, 'of the') or contains(compact_text, 'ofthe')")
 def search_like_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return search.like_fallback(search.spark_rows(spark, views.search_index(spark, sf_dir)), "Of·The").select("chunk_id", "document_id")
+    return search.substring_rows(spark, views.search_index(spark, sf_dir), "Of·The", ALL).select("chunk_id", "document_id")
 
 
 @query(_searched("true").replace("select chunk_id, document_id, score, cast(", "select chunk_id, title || ' ' || alias as shown, cast(").replace("row_number() over (partition", "row_number() over (partition"))
@@ -130,7 +130,7 @@ def index_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with t as (select doc_id, unnest({TOKENS('text')}) as term from documents) select term, count(*) as tf, count(distinct doc_id) as df from t group by term")
 def postings_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = search.postings(views.table(spark, sf_dir, "documents"), "doc_id", ["text"])
+    p = search.term_counts(views.table(spark, sf_dir, "documents"), "doc_id", ["text"])
     return p.groupBy("term").agg(F.sum("tf").alias("tf"), F.count("*").alias("df"))
 
 
