@@ -8,6 +8,7 @@ import time
 from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
 from email.message import Message
+from functools import reduce
 from http.client import RemoteDisconnected
 from pathlib import PurePosixPath
 from typing import Protocol
@@ -15,10 +16,11 @@ from urllib.error import HTTPError, URLError
 from urllib.parse import unquote, urlparse
 from urllib.request import HTTPCookieProcessor, Request, build_opener
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from lawloom.functions.text import url_with
-from lawloom.sources.html import FIELDS, LAYOUTS, SCHEMA, Register
+from lawloom.sources import html
+from lawloom.sources.shared import stored
 
 CHARSETS = ("utf-8", "cp949", "euc-kr")
 
@@ -75,49 +77,6 @@ class HttpClient:
         return decode(payload, headers.get_content_charset()), headers
 
 
-def _pages(source: dict, client: Client, base: str, layout, seen: set[str], key: str, **more: object) -> Iterator[dict]:
-    """Listed records not seen before, page by page until a page has none."""
-    for page in range(1, int(source.get("max_pages", 100)) + 1):
-        url = url_with(base, **more, **{key: page})
-        found = list(layout.records(client.text(url)[0], url))
-        if page == 1 and not found and "categories" in source:
-            raise ValueError(f"no records on the first page of {base}")
-        found = [r for r in found if r["source_record_id"] not in seen]
-        if not found:
-            return
-        seen |= {r["source_record_id"] for r in found}
-        yield from found
-
-
-def crawl(source: dict, client: Client) -> list[dict]:
-    """The records of a source: source_id, kind and its addresses. ValueError for an unknown kind and for a source without records."""
-    if source["kind"] not in LAYOUTS:
-        raise ValueError(f"unsupported source kind: {source['kind']}")
-    layout = LAYOUTS[source["kind"]](source["source_id"], **source.get("options", {}))
-    out: list[dict] = []
-    seen: set[str] = set()
-    if source["kind"] == "caption_table":
-        out = list(layout.records(client.text(source["url"])[0], source["url"]))
-    else:
-        bases = [source["url"].format(category=c) for c in source.get("categories", [""])]
-        mode = {"mode": "L"} if source["kind"] == "mode_board" else {}
-        for base in bases:
-            for r in _pages(source, client, base, layout, seen, "GotoPage" if mode else "pageIndex", **mode):
-                if r["attachment_url"]:
-                    out.append(r)
-                    continue
-                html = client.text(r["source_page_url"])[0]
-                older = layout.history(html, r["source_page_url"]) if isinstance(layout, Register) and source.get("include_history", True) else []
-                for url, date in older:
-                    out += layout.details(client.text(url)[0], url, r, date)
-                if not older:
-                    out += layout.details(html, r["source_page_url"], r)
-    first = {(r["source_id"], r["source_record_id"], r["attachment_url"]): r for r in reversed(out)}
-    if not first:
-        raise ValueError(f"no records: {source['source_id']}")
-    return list(dict(reversed(first.items())).values())
-
-
 def chosen_sources(config: dict, selected: list[str] | None = None) -> list[dict]:
     """Enabled sources, or the selected ones of them. ValueError for a name that no source has."""
     every = config.get("sources", [])
@@ -127,28 +86,63 @@ def chosen_sources(config: dict, selected: list[str] | None = None) -> list[dict
     return [s for s in every if s.get("enabled", True) and (not selected or s["source_id"] in selected)]
 
 
-def crawl_sources(spark: SparkSession, sources: list[dict], client: Callable[[], Client], slices: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(records, errors) of sources, each read in a task of its own with a client made there; a source that fails is a row (source_id, error), others go on."""
+def fetched(urls: DataFrame, client: Callable[[], Client]) -> DataFrame:
+    """(url, html, error) of each different url, read in tasks with a client made there; stored, so that no page is asked for twice."""
     import pandas as pd
 
-    from lawloom.sources.shared import stored
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import json
-
+        asked = client()
         for pdf in batches:
-            for name, conf in zip(pdf["source_id"], pdf["conf"], strict=True):
+            out = []
+            for url in pdf["url"]:
                 try:
-                    rows = [r | {"error": None, "ordinal": i} for i, r in enumerate(crawl(json.loads(conf), client()))]
+                    out.append((url, asked.text(url)[0], None))
                 except (ValueError, OSError) as e:
-                    rows = [dict.fromkeys(FIELDS) | {"source_id": name, "error": f"{type(e).__name__}: {e}", "ordinal": 0}]
-                yield pd.DataFrame(rows, columns=[*FIELDS, "error", "ordinal"])
-
-    import json
-
-    listed = spark.createDataFrame([(s["source_id"], json.dumps(s, ensure_ascii=False)) for s in sources], "source_id string, conf string").repartition(slices or max(1, len(sources)))
-    found = stored(listed.mapInPandas(run, f"{SCHEMA}, error string, ordinal int"), "crawl")
-    return found.where("error is null").drop("error"), found.where("error is not null").select("source_id", "error")
+                    out.append((url, None, f"{type(e).__name__}: {e}"))
+            yield pd.DataFrame(out, columns=["url", "html", "error"])
+
+    return stored(urls.select("url").distinct().mapInPandas(run, "url string, html string, error string"), "fetched")
+
+
+def crawl_sources(spark: SparkSession, sources: list[dict], client: Callable[[], Client], institution: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records, errors) of sources: source_id, ``lists`` (addresses), list layout, detail layout (optional), page key and most pages.
+
+    All sources are read side by side, a round a page number: a source goes on while its page has records that were
+    not seen before. Records without a file are followed to their own page. A page that cannot be read, and a
+    source without any record, is a row (source_id, error); others go on.
+    """
+    lists = spark.createDataFrame([(s["source_id"], u) for s in sources for u in s["lists"]], "source_id string, list string")
+    found, errors, going = [], [], {s["source_id"] for s in sources}
+    for page in range(1, max((s.get("max_pages", 100) for s in sources), default=0) + 1):
+        now = [s for s in sources if s["source_id"] in going and page <= s.get("max_pages", 100)]
+        if not now:
+            break
+        key = spark.createDataFrame([(s["source_id"], s.get("page_key")) for s in now], "source_id string, key string")
+        mark = F.when(F.col("list").contains("?"), "&").otherwise("?")
+        asked = lists.join(F.broadcast(key), "source_id").withColumn("url", F.when(F.col("key").isNull(), F.col("list")).otherwise(F.concat("list", mark, "key", F.lit(f"={page}"))))  # a row a source
+        pages = fetched(asked, client)
+        errors.append(asked.join(pages.where("error is not null"), "url").select("source_id", "error"))
+        own = [html.list_records(pages.join(asked.where(F.col("source_id") == s["source_id"]), "url", "left_semi"), {**s["list_layout"], "source_id": F.lit(s["source_id"])}, institution) for s in now]
+        rows = reduce(DataFrame.unionByName, own).withColumn("page", F.lit(page))
+        first = F.row_number().over(Window.partitionBy("source_id", "source_record_id").orderBy("url", "ordinal"))
+        rows = rows.withColumn("_n", first).where("_n = 1").drop("_n")
+        for before in found:
+            rows = rows.join(before.select("source_id", "source_record_id"), ["source_id", "source_record_id"], "left_anti")
+        rows = stored(rows, "listed")
+        found.append(rows)
+        going = {r.source_id for r in rows.select("source_id").distinct().collect()} & {s["source_id"] for s in now if s.get("page_key")}
+    listed = reduce(DataFrame.unionByName, found) if found else html.list_records(spark.createDataFrame([], "url string, html string"), {}).withColumn("page", F.lit(0))
+    follow = listed.where("attachment_url is null and source_page_url is not null")
+    detailed = [s for s in sources if s.get("detail_layout")]
+    follow = follow.where(F.col("source_id").isin([s["source_id"] for s in detailed]))
+    pages = fetched(follow.select(F.col("source_page_url").alias("url")), client)
+    errors.append(follow.join(pages.where("error is not null"), follow.source_page_url == pages.url).select("source_id", "error"))
+    details = [html.detail_records(follow.where(F.col("source_id") == s["source_id"]), pages.where("error is null"), s["detail_layout"], institution) for s in detailed]
+    alone = listed.join(follow.select("source_id", "source_record_id"), ["source_id", "source_record_id"], "left_anti")
+    out = reduce(DataFrame.unionByName, [d.select(*html.FIELDS) for d in details], alone.select(*html.FIELDS))
+    empty = [s["source_id"] for s in sources]
+    none = spark.createDataFrame([(x,) for x in empty], "source_id string").join(listed.select("source_id").distinct(), "source_id", "left_anti").select("source_id", F.lit("no records").alias("error"))
+    return out, reduce(DataFrame.unionByName, errors, none)
 
 
 def download(record: dict, client: Client, save: Callable[[str, bytes], str], given: str | None = None) -> dict:

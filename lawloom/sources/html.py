@@ -1,34 +1,27 @@
-"""Records from list and detail pages of four layouts."""
+"""Records from tables and links of pages; what a page means is data of the caller.
+
+A page becomes rows of cells or a list of links, as tables. A layout says by
+expressions over those columns which rows are records and what their fields are.
+"""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from hashlib import sha256
 from html.parser import HTMLParser
-from pathlib import PurePosixPath
-from urllib.parse import parse_qs, urlencode, urljoin, urlparse
+from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lawloom.functions.text import AMENDED, DATE, RECORD_NOTE, SETUP_AND_RUN, SETUP_AND_RUN_KEY, SUPPORTING, url_with
-
-# Marks of the pages' scripts, links and labels.
-REGISTER = re.compile(r"popup\(['\"]?(\d+)['\"]?\)")
-SCRIPT_FILE = re.compile(r"fn_egov_downFile\(['\"]([^'\"]+)['\"]\s*,\s*['\"]([^'\"]+)['\"]\)")
-FILE_PAGE, FILE_URL = "FileDown.do", "/cmm/fms/FileDown.do?"
-FILE_LABEL = re.compile(r"^파일명\s*:\s*")
-KB, KB_PARTS = re.compile(r"\s*\(\s*\d+\s*kb\s*\)\s*$", re.I), re.compile(r"\s*\(\s*[\d,.]+\s*kb\s*\)\s*$", re.I)
-CAPTION = ("공포일", "다운로드")
-VIEW_MODE = re.compile(r"(?:mode=V|mode=VIEW)", re.I)
-ISO_DATE = re.compile(r"(?:19|20)\d{2}[-.]\d{1,2}[-.]\d{1,2}")
-GUIDELINE = "지침"
-
-FIELDS = ("source_id", "source_record_id", "document_type", "source_group", "title_raw", "title_normalized", "department", "posted_date", "effective_date", "source_page_url", "attachment_url", "attachment_filename", "attachment_role", "sha256", "retrieved_at", "http_etag", "last_modified")
-SCHEMA = ", ".join(f"{f} string" for f in FIELDS)
+from lawloom.functions import text
+
+FIELDS = ("source_id", "source_record_id", "document_type", "source_group", "title_raw", "title_normalized", "department", "posted_date", "effective_date", "source_page_url", "attachment_url", "attachment_filename", "attachment_role", "sha256", "retrieved_at")
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+LINK = "struct<href:string,label:string,script:string>"
+CELL = f"struct<text:string,links:array<{LINK}>,action:string,inputs:map<string,string>>"
+#: field (a column name) to an expression: SQL text, or a column. ``where`` chooses the rows.
+Layout = dict[str, "str | Column"]
 
 
 class Node:
@@ -90,224 +83,93 @@ def tree(html: str | None) -> Node:
     return t.root
 
 
-def find_date(value: str | None) -> str | None:
-    """The first date of a text as YYYY-MM-DD; None for none and for days that no calendar has."""
-    m = re.search(DATE, value or "")
-    try:
-        return pd.Timestamp(int(m[1]), int(m[2]), int(m[3])).strftime("%Y-%m-%d") if m else None
-    except ValueError:
-        return None
+def _link(a: Node, page: str) -> dict:
+    """href is absolute and null for scripts, which have their text instead."""
+    href, script = a.attrs.get("href"), a.attrs.get("onclick") or None
+    if href is not None and href.strip().lower().startswith("javascript:"):
+        href, script = None, script or href
+    return {"href": None if href is None else urljoin(page, href), "label": a.text(), "script": script}
 
 
-def title_date(title: str | None, fallback: str | None) -> str | None:
-    found = [m[0] for m in re.finditer(DATE, title or "")]
-    return find_date(found[-1] if found else fallback)
+def _cell(cell: Node, page: str) -> dict:
+    form = next((f for f in cell.all("form") if "action" in f.attrs), None)
+    inputs = {i.attrs.get("name") or i.attrs.get("type", ""): i.attrs.get("value", "") for i in cell.all("input")}
+    return {"text": cell.text(), "links": [_link(a, page) for a in cell.all("a")], "action": urljoin(page, form.attrs["action"]) if form else None, "inputs": inputs}
 
 
-def title_form(title: str | None, institution: str | None = None) -> str:
-    """``record_key`` of one title."""
-    x = (title or "").strip().lower()
-    for pattern, by in ((r"^\s*\[[^]]+]\s*", ""), (institution, ""), (RECORD_NOTE, ""), (AMENDED, ""), (SETUP_AND_RUN, SETUP_AND_RUN_KEY), ("[^0-9a-z가-힣]", "")):
-        x = re.sub(pattern, by, x) if pattern else x
-    return x
+def table_rows(pages: DataFrame) -> DataFrame:
+    """(url, caption, ordinal, cells) of every table row of pages (url, html) that has a cell; cells have text, links, and the action and inputs of a form. A null page has none."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for url, page in zip(pdf["url"], pdf["html"], strict=True):
+                n = 0
+                for table in tree(page).all("table"):
+                    caption = next((c.text() for c in table.own("caption")), None)
+                    for row in table.all("tr"):
+                        if cells := row.own("td", "th"):
+                            out.append((url, caption, n, [_cell(c, url or "") for c in cells]))
+                            n += 1
+            yield pd.DataFrame(out, columns=["url", "caption", "ordinal", "cells"])
 
-def role(filename: str | None) -> str:
-    return "supporting" if re.search(SUPPORTING, filename or "", re.I) else "document"
+    return pages.select("url", "html").mapInPandas(run, f"url string, caption string, ordinal int, cells array<{CELL}>")
 
 
-def in_query(url: str | None, key: str) -> str | None:
-    return next(iter(parse_qs(urlparse(url or "").query).get(key, [])), None)
+def page_links(pages: DataFrame) -> DataFrame:
+    """(url, heading, ordinal, href, label, script) of every link of pages (url, html); heading is the first of h2, else of h1 and h3. A page without links is one row with a null ordinal."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for url, page in zip(pdf["url"], pdf["html"], strict=True):
+                root = tree(page)
+                heading = next((h.text() for tags in (("h2",), ("h1", "h3")) for h in root.all(*tags) if h.text()), None)
+                links = [_link(a, url or "") for a in root.all("a")]
+                out += [(url, heading, i, x["href"], x["label"], x["script"]) for i, x in enumerate(links)] or [(url, heading, None, None, None, None)]
+            found = pd.DataFrame(out, columns=["url", "heading", "ordinal", "href", "label", "script"])
+            yield found.astype({"ordinal": "Int32"})
 
-def _rows(root: Node, *cells: str) -> Iterator[tuple[Node, list[Node]]]:
-    """Rows of table bodies with their own cells."""
-    for table in root.all("table"):
-        for body in table.own("tbody"):
-            for row in body.all("tr"):
-                yield row, row.own(*(cells or ("td",)))
+    return pages.select("url", "html").mapInPandas(run, "url string, heading string, ordinal int, href string, label string, script string")
 
 
-def _link(node: Node, test=lambda href: True) -> Node | None:
-    return next((a for a in node.all("a") if "href" in a.attrs and test(a.attrs["href"])), None)
+def _as_column(x: str | Column) -> Column:
+    return F.expr(x) if isinstance(x, str) else x
 
 
-class Layout:
-    """What a source's pages have in common: ``records`` of a list page, ``details`` of a record's own page.
+def records(rows: DataFrame, layout: Layout, institution: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The records that a layout finds in ``rows``: all of FIELDS, null where the layout has none, and the columns ``keep``.
 
-    institution is a pattern of names that titles may carry; detail_path is the address of a register entry.
+    title_normalized and attachment_role follow from title and file name where the layout does not give them.
     """
+    given = {k: _as_column(v).cast("string").alias(k) for k, v in layout.items() if k != "where"}
+    found = rows.where(_as_column(layout["where"])) if "where" in layout else rows
+    out = found.select(*keep, *[given.get(f, F.lit(None).cast("string").alias(f)) for f in FIELDS])
+    if "title_normalized" not in given:
+        out = out.withColumn("title_normalized", text.record_key(F.col("title_raw"), institution))
+    if "attachment_role" not in given:
+        out = out.withColumn("attachment_role", text.attachment_role(F.col("attachment_filename")))
+    return out
 
-    def __init__(self, source_id: str, institution: str | None = None, detail_path: str = "/list.do", department: str | None = None):
-        self.source_id, self.institution, self.detail_path, self.department = source_id, institution, detail_path, department
-
-    def record(self, **values: object) -> dict:
-        title = values["title_raw"]
-        return dict.fromkeys(FIELDS) | {"source_id": self.source_id, "title_normalized": title_form(title, self.institution), "attachment_role": role(values.get("attachment_filename"))} | values
-
-    def file(self, base: dict, key: str, page: str, url: str, name: str | None, **values: object) -> dict:
-        return base | {"source_record_id": f"{base['source_record_id']}:{key}", "source_page_url": page, "attachment_url": url, "attachment_filename": name, "attachment_role": role(name)} | values
-
-
-class Register(Layout):
-    """Numbered rows whose last cell opens an entry by script; entries list their versions and files."""
-
-    def records(self, html: str, page: str) -> Iterator[dict]:
-        for _, cells in _rows(tree(html), "td", "th"):
-            link = next(iter(cells[-1].all("a")), None) if len(cells) >= 6 and cells[0].text().isdigit() else None
-            opened = REGISTER.search(link.attrs.get("onclick", "")) if link else None
-            if opened:
-                yield self.record(
-                    source_record_id=f"register:{opened[1]}", document_type="regulation", source_group=cells[1].text() or None, title_raw=cells[2].text(), department=cells[3].text() or None,
-                    effective_date=find_date(cells[4].text()), source_page_url=urljoin(page, f"{self.detail_path}?register={opened[1]}"),
-                )
-
-    def history(self, html: str, page: str) -> list[tuple[str, str | None]]:
-        """Address and date of each version that an entry's page lists."""
-        out = []
-        for row, cells in _rows(tree(html)):
-            link = _link(row, lambda h: "register=" in h and "cntNo=" in h) if len(cells) >= 3 else None
-            if link:
-                out.append((urljoin(page, link.attrs["href"]), find_date(cells[-1].text())))
-        return out
-
-    def details(self, html: str, page: str, base: dict, date: str | None = None) -> list[dict]:
-        count, date, out = in_query(page, "cntNo") or "current", date or base["effective_date"], []
-        for a in tree(html).all("a"):
-            m = SCRIPT_FILE.search(a.attrs.get("href", ""))
-            if m:
-                url = urljoin(page, FILE_URL + urlencode({"atchFileId": m[1], "fileSn": m[2]}))
-                out.append(self.file(base, f"cnt:{count}:file:{m[2]}", page, url, KB.sub("", a.text()), effective_date=date))
-        return out or [base | {"source_page_url": page, "effective_date": date}]
-
-
-class Board(Layout):
-    """Numbered rows of a board: a file, a link or a form leads on from the last or the title cell."""
-
-    def records(self, html: str, page: str) -> Iterator[dict]:
-        for _, cells in _rows(tree(html)):
-            if len(cells) < 6 or not cells[0].text().isdigit():
-                continue
-            title, posted, link = cells[1].text(), find_date(cells[3].text()), _link(cells[-1])
-            href = urljoin(page, link.attrs["href"]) if link else None
-            record_id, at, url, name = None, page, None, None
-            form = next((f for f in cells[1].all("form") if "action" in f.attrs), None) if not href else None
-            if form:
-                fields = {i.attrs["name"]: i.attrs.get("value", "") for i in form.all("input") if i.attrs.get("name")}
-                record_id = fields.get("nttId") or None
-                if record_id:
-                    action = urljoin(page, re.sub(r";jsessionid=[^?]+", "", form.attrs["action"]))
-                    at = url_with(action, **{k: fields[k] for k in ("bbsId", "nttId") if fields.get(k)})
-                shown = next((i.attrs.get("value") for i in form.all("input") if i.attrs.get("type") == "submit"), None)
-                title = title or " ".join((shown or "").split())
-            if href and FILE_PAGE in href:
-                url, name = href, FILE_LABEL.sub("", link.text())
-                title = title or PurePosixPath(name).stem
-            elif href:
-                at = href
-            yield self.record(
-                source_record_id=in_query(href, "nttId") or record_id or f"seq:{cells[0].text()}", document_type="guideline", source_group=GUIDELINE, title_raw=title, department=cells[2].text() or None,
-                posted_date=posted, effective_date=title_date(title, posted), source_page_url=at, attachment_url=url, attachment_filename=name,
-            )
-
-    def details(self, html: str, page: str, base: dict) -> list[dict]:
-        root = tree(html)
-        head = next(iter(root.all("h2")), None)
-        title = head.text() if head else base["title_raw"]
-        base = base | {"title_raw": title, "title_normalized": title_form(title, self.institution), "effective_date": title_date(title, base["effective_date"])}
-        out: list[dict] = []
-        for a in root.all("a"):
-            if "href" not in a.attrs:
-                continue
-            m = SCRIPT_FILE.search(a.attrs["href"])
-            href = urljoin(page, FILE_URL + urlencode({"atchFileId": m[1], "fileSn": m[2]}) if m else a.attrs["href"])
-            if FILE_PAGE in href:
-                name = KB_PARTS.sub("", FILE_LABEL.sub("", a.text()))
-                out.append(self.file(base, f"file:{in_query(href, 'fileSn') or len(out)}", page, href, name))
-        return out or [base]
-
-
-class CaptionTable(Layout):
-    """Tables whose caption names their columns; each row has a file."""
-
-    def records(self, html: str, page: str) -> Iterator[dict]:
-        for table in tree(html).all("table"):
-            caption = next((c.text() for c in table.own("caption")), "")
-            if not all(word in caption for word in CAPTION):
-                continue
-            group = caption.split(" - ", 1)[0].strip() or None
-            for row in (r for body in table.own("tbody") for r in body.all("tr")):
-                cells = row.own("td")
-                link = _link(cells[-1]) if len(cells) >= 4 and cells[0].text().isdigit() else None
-                if link:
-                    url = urljoin(page, link.attrs["href"])
-                    key = in_query(url, "file_id") or sha256(url.encode()).hexdigest()[:16]
-                    yield self.record(source_record_id=key, document_type="regulation", source_group=group, title_raw=cells[1].text(), department=self.department, effective_date=find_date(cells[2].text()), source_page_url=page, attachment_url=url)
-
-    def details(self, html: str, page: str, base: dict) -> list[dict]:
-        return [base]
-
-
-class ModeBoard(Layout):
-    """Numbered rows with a link to a view; views have a title and links to files."""
-
-    def records(self, html: str, page: str) -> Iterator[dict]:
-        for row, cells in _rows(tree(html)):
-            link = _link(row, VIEW_MODE.search) if len(cells) >= 4 and cells[0].text().isdigit() else None
-            if not link:
-                continue
-            at = next((i for i, c in enumerate(cells) if link in c.walk()), 1)
-            shown = [c.text() for c in cells]
-            title, posted = link.text(), next((find_date(t) for t in shown if ISO_DATE.search(t)), None)
-            after = shown[at + 1] if at + 1 < len(cells) else None
-            url = urljoin(page, link.attrs["href"])
-            yield self.record(
-                source_record_id=in_query(url, "no") or f"seq:{shown[0]}", document_type="guideline", source_group=shown[1] if at > 1 else GUIDELINE, title_raw=title, department=None if after and find_date(after) else after,
-                posted_date=posted, effective_date=title_date(title, posted), source_page_url=url,
-            )
-
-    def details(self, html: str, page: str, base: dict) -> list[dict]:
-        root = tree(html)
-        head = next(iter(root.all("h2")), None) or next((h for h in root.all("h1", "h3") if h.text()), None)
-        title = head.text() if head else base["title_raw"]
-        named = {"title_raw": title, "title_normalized": title_form(title, self.institution)}
-        out: list[dict] = []
-        for a in root.all("a"):
-            href = urljoin(page, a.attrs.get("href", ""))
-            if "href" in a.attrs and "mode=D" in href:
-                out.append(self.file(base | named, f"file:{in_query(href, 'file_id') or len(out)}", page, href, a.text() or None, effective_date=title_date(title, base["effective_date"])))
-        return out or [base | named]
-
-
-LAYOUTS = {"register": Register, "board": Board, "caption_table": CaptionTable, "mode_board": ModeBoard}
-
-
-def list_records(pages: DataFrame, kind: str, source_id: str, **options: object) -> DataFrame:
-    """The records of list pages (url, html) of a layout, with the page's url and their place in it as ordinal."""
-    layout = LAYOUTS[kind](source_id, **options)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = [r | {"page": u, "ordinal": i} for u, h in zip(pdf["url"], pdf["html"], strict=True) for i, r in enumerate(layout.records(h, u))]
-            yield pd.DataFrame(out, columns=[*FIELDS, "page", "ordinal"])
-
-    return pages.select("url", "html").mapInPandas(run, f"{SCHEMA}, page string, ordinal int")
 
+def list_records(pages: DataFrame, layout: Layout, institution: str | None = None) -> DataFrame:
+    """The records of list pages (url, html), with the page's url and their place in it as ordinal; a layout's expressions are over ``table_rows``."""
+    return records(table_rows(pages), layout, institution, ("url", "ordinal"))
 
-def detail_records(records: DataFrame, pages: DataFrame, kind: str, **options: object) -> DataFrame:
-    """A record for each file on the page (url, html) of a listed one, or the record alone; records without a page are left out."""
-    known = records.select(*FIELDS).join(pages.select(F.col("url").alias("_url"), "html"), F.col("source_page_url") == F.col("_url"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for r in pdf.to_dict("records"):
-                url, html = r.pop("_url"), r.pop("html")
-                base = {k: None if pd.isna(v) else v for k, v in r.items()}
-                out += [x | {"ordinal": i} for i, x in enumerate(LAYOUTS[kind](base["source_id"], **options).details(html, url, base))]
-            yield pd.DataFrame(out, columns=[*FIELDS, "ordinal"])
+def detail_records(listed: DataFrame, pages: DataFrame, layout: Layout, institution: str | None = None) -> DataFrame:
+    """A record for each link that the layout takes on the page (url, html) of a listed record, or the record alone.
 
-    return known.mapInPandas(run, f"{SCHEMA}, ordinal int")
+    A layout's expressions are over the listed record's fields, which it replaces, and over ``page_links``, whose names
+    have ``link_`` before them. Records without a page are left out.
+    """
+    links = page_links(pages)
+    links = links.select(F.col("url").alias("source_page_url"), *[F.col(c).alias(f"link_{c}") for c in links.columns if c != "url"])
+    rows = listed.select(*FIELDS).join(links, "source_page_url").withColumn("_taken", F.coalesce(_as_column(layout.get("where", "link_ordinal is not null")), F.lit(False)))
+    kept = {f: F.col(f) for f in FIELDS if f not in ("title_normalized", "attachment_role")}
+    files = records(rows.where("_taken"), {**kept, **{k: v for k, v in layout.items() if k != "where"}}, institution, ("link_ordinal",))
+    bare = rows.groupBy(*FIELDS).agg(F.max("_taken").alias("_any"), F.min("link_ordinal").alias("link_ordinal")).where(~F.col("_any")).select("link_ordinal", *FIELDS)
+    return files.unionByName(bare).withColumnRenamed("link_ordinal", "ordinal")
 
 
 def page_facts(pages: DataFrame, key: str) -> DataFrame:

@@ -16,58 +16,36 @@ from lawloom.sources import crawl, html, sinks, tables
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # tasks make clients of this module
 
-PAGE = "https://h.example/list.do"
-REGISTER = """<table><tbody>
- <tr><td>7</td><td>법인</td><td>갑대학교 연구 규정</td><td>연구과</td><td>2024.2.26</td><td><a href="#" onclick="popup('146')">보기</a></td></tr>
- <tr><td>x</td><td>법인</td><td>머리</td><td>부서</td><td>2024.2.26</td><td><a onclick="popup('1')">보기</a></td></tr>
- <tr><td>8</td><td></td><td>링크 없음</td><td></td><td></td><td></td></tr></tbody></table>"""
-ENTRY = """<a href="javascript:fn_egov_downFile('F_1','0')">개정 사유.hwp ( 51 kb)</a><a href="javascript:fn_egov_downFile('F_1','1')">연구 규정.hwp ( 76 KB)</a>
- <table><tbody><tr><td>1</td><td><a href="/e.do?register=146&amp;cntNo=9">규정</a></td><td>2023-01-05</td></tr><tr><td>1</td><td>x</td></tr></tbody></table>"""
-BOARD = """<table><tbody>
- <tr><td>5</td><td>을 지침 일부개정(2026.8.20., 지침 제8호)</td><td>재무과</td><td>2026-08-21</td><td>3</td><td><a href="/cmm/fms/FileDown.do?atchFileId=F&amp;fileSn=0">파일명 : 을 지침.hwp</a></td></tr>
- <tr><td>4</td><td></td><td>재무과</td><td>2026-08-20</td><td>3</td><td><a href="/cmm/fms/FileDown.do?atchFileId=G&amp;fileSn=0">파일명 : 병 지침.v2.hwp</a></td></tr>
- <tr><td>3</td><td>정 회칙</td><td></td><td>2026-04-08</td><td>8</td><td><a href="/d.do?nttId=77">상세</a></td></tr>
- <tr><td>2</td><td><form action="/b/View.do;jsessionid=ABC?x=1"><input name="bbsId" type="hidden" value="B1"/><input name="nttId" type="hidden" value="88"><input type="submit" value="무  지침(폐지)"></form></td><td>학사과</td><td>2019-07-22</td><td>1</td><td></td></tr>
- <tr><td>1</td><td>기 지침</td><td>학사과</td><td>x</td><td>1</td><td></td></tr><tr><td>머리</td></tr></tbody></table>"""
-DETAIL = """<h2>정 회칙 일부개정(2026.4.1.)</h2><a href="javascript:fn_egov_downFile('F_2','0')">개정사유.hwp ( 1,116.5 kb)</a><a href="/cmm/fms/FileDown.do?atchFileId=F_2&fileSn=1">회칙.hwp</a><a href="/x">x</a><a>y</a>"""
-CAPTION = """<table><caption>정관 - 번호, 공포일, 다운로드</caption><tbody><tr><td>1</td><td>재단 정관</td><td>2024-01-05</td><td><a href="/p?file_id=abc">받기</a></td></tr>
- <tr><td>2</td><td>재단 규정</td><td>없음</td><td><a href="/q">받기</a></td></tr></tbody></table><table><caption>다른 표</caption><tbody><tr><td>1</td><td>a</td><td>b</td><td><a href="z">c</a></td></tr></tbody></table>"""
-MODE = """<table><tbody><tr><td>85</td><td>정관·운영</td><td><a href="?mode=V&amp;no=r85">재단 시설 설치·운영 지침(제6호, 2026.9.1.)</a></td><td>행정팀</td><td>2026-08-31</td><td>6</td></tr>
- <tr><td>84</td><td><a href="?mode=view&amp;x=1">둘째</a></td><td>2026-01-02</td><td>9</td></tr></tbody></table>"""
-VIEW = """<h1>재단</h1><h2>재단 시설 지침(2026.9.2.)</h2><a href="?mode=D&amp;file_id=29">시설.hwp</a><a href="?mode=L">목록</a>"""
-
-
-def test_layouts():
-    reg = html.Register("s", r"갑\s*대학교", "/e.do")
-    (a,) = reg.records(REGISTER, PAGE)
-    assert (a["source_record_id"], a["effective_date"], a["source_page_url"], a["title_normalized"], a["department"], a["source_group"]) == ("register:146", "2024-02-26", "https://h.example/e.do?register=146", "연구규정", "연구과", "법인")
-    assert reg.history(ENTRY, PAGE) == [("https://h.example/e.do?register=146&cntNo=9", "2023-01-05")]
-    x, y = reg.details(ENTRY, "https://h.example/e.do?register=146&cntNo=9", a, "2023-01-05")
-    assert (x["attachment_role"], y["attachment_role"], y["attachment_filename"], y["source_record_id"], y["effective_date"]) == ("supporting", "document", "연구 규정.hwp", "register:146:cnt:9:file:1", "2023-01-05")
-    assert y["attachment_url"] == "https://h.example/cmm/fms/FileDown.do?atchFileId=F_1&fileSn=1" and reg.details("", "u", a)[0]["source_page_url"] == "u"
-    board = html.Board("s")
-    a, b, c, d, e = board.records(BOARD, PAGE)
-    assert (a["attachment_filename"], a["effective_date"], a["posted_date"], a["source_record_id"], a["title_normalized"]) == ("을 지침.hwp", "2026-08-20", "2026-08-21", "seq:5", "을지침")
-    assert b["title_raw"] == "병 지침.v2" and (c["source_record_id"], c["source_page_url"], c["attachment_url"], c["department"]) == ("77", "https://h.example/d.do?nttId=77", None, None)
-    assert (d["source_record_id"], d["title_raw"], d["source_page_url"]) == ("88", "무 지침(폐지)", "https://h.example/b/View.do?x=1&bbsId=B1&nttId=88") and e["source_record_id"] == "seq:1" and e["source_page_url"] == PAGE
-    x, y = board.details(DETAIL, c["source_page_url"], c)
-    assert (x["attachment_filename"], x["attachment_role"], y["source_record_id"], y["title_normalized"], y["effective_date"], y["posted_date"]) == ("개정사유.hwp", "supporting", "77:file:1", "정회칙", "2026-04-01", "2026-04-08")
-    a, b = html.CaptionTable("s", department="재단").records(CAPTION, PAGE)
-    assert (a["source_record_id"], a["source_group"], a["effective_date"], a["department"]) == ("abc", "정관", "2024-01-05", "재단") and len(b["source_record_id"]) == 16 and b["effective_date"] is None
-    mode = html.ModeBoard("s")
-    a, b = mode.records(MODE, PAGE)
-    assert (a["source_record_id"], a["source_group"], a["department"], a["effective_date"], a["posted_date"]) == ("r85", "정관·운영", "행정팀", "2026-09-01", "2026-09-01")  # the title holds the first date
-    assert (b["source_record_id"], b["source_group"], b["department"], b["effective_date"]) == ("seq:84", "지침", None, "2026-01-02")
-    (x,) = mode.details(VIEW, a["source_page_url"], a)
-    assert (x["source_record_id"], x["title_raw"], x["effective_date"]) == ("r85:file:29", "재단 시설 지침(2026.9.2.)", "2026-09-02")
+PAGE = "https://site.example/rules"
+LIST = """<table><caption>Rules in force</caption><tbody>
+ <tr><th>No</th><th>Name</th><th>Office</th><th>Day</th><th>File</th></tr>
+ <tr><td>3</td><td><a href="/rule?id=31">Library rule (rev. 2024.3.1.)</a></td><td>Library</td><td>2024-03-05</td><td></td></tr>
+ <tr><td>2</td><td>Parking rule</td><td></td><td>2023-01-02</td><td><a href="get?f=22&amp;n=1">parking.pdf ( 12 kb)</a></td></tr>
+ <tr><td>1</td><td><form action="/open"><input name="id" value="11"><input type="submit" value="Garden rule"></form></td><td>Works</td><td>none</td><td><a href="javascript:go('11')">open</a></td></tr>
+</tbody></table>"""
+RULE = "<h1>Site</h1><h2>Library rule (rev. 2024.3.1.)</h2><a href='/get?f=31&n=1'>개정 사유.pdf</a><a href='/get?f=31&n=2'>library.pdf</a><a href='/back'>back</a><a>nothing</a>"
+LISTED = {
+    "where": "size(cells) = 5 and cells[0].text rlike '^[0-9]+$'", "source_record_id": "coalesce(parse_url(get(cells[1].links, 0).href, 'QUERY', 'id'), cells[1].inputs['id'], concat('n', cells[0].text))", "document_type": "'rule'", "source_group": "caption",
+    "title_raw": "coalesce(nullif(cells[1].text, ''), cells[1].inputs['submit'])", "department": "nullif(cells[2].text, '')", "posted_date": "cells[3].text", "effective_date": "nullif(cells[3].text, 'none')",
+    "source_page_url": "coalesce(get(cells[1].links, 0).href, cells[1].action, url)", "attachment_url": "get(cells[4].links, 0).href", "attachment_filename": "regexp_replace(get(cells[4].links, 0).label, ' *[(] *[0-9]+ kb[)]$', '')",
+}
+DETAILED = {"where": "link_href like '%/get?%'", "source_record_id": "concat(source_record_id, ':', parse_url(link_href, 'QUERY', 'n'))", "title_raw": "coalesce(link_heading, title_raw)", "attachment_url": "link_href", "attachment_filename": "link_label"}
 
 
 def test_tables_of_pages(spark):
-    pages = spark.createDataFrame([(PAGE, BOARD), (PAGE + "?p=2", None)], "url string, html string")
-    listed = html.list_records(pages, "board", "s")
-    assert [r.source_record_id for r in listed.orderBy("ordinal").collect()] == ["seq:5", "seq:4", "77", "88", "seq:1"]
-    got = html.detail_records(listed, spark.createDataFrame([("https://h.example/d.do?nttId=77", DETAIL)], "url string, html string"), "board")
-    assert [r.source_record_id for r in got.orderBy("ordinal").collect()] == ["77:file:0", "77:file:1"] and got.first().sha256 is None
+    pages = spark.createDataFrame([(PAGE, LIST), (PAGE + "?p=2", None), (PAGE + "?p=3", "")], "url string, html string")
+    rows = html.table_rows(pages).orderBy("ordinal").collect()
+    assert len(rows) == 4 and rows[0].caption == "Rules in force" and [c.text for c in rows[0].cells] == ["No", "Name", "Office", "Day", "File"]
+    assert rows[3].cells[4].links[0].asDict() == {"href": None, "label": "open", "script": "javascript:go('11')"} and rows[3].cells[1].action == "https://site.example/open"
+    a, b, c = html.list_records(pages, {**LISTED, "department": F.nullif(F.col("cells")[2]["text"], F.lit(""))}).orderBy("ordinal").collect()
+    assert (a.source_record_id, a.title_raw, a.department, a.effective_date, a.source_page_url, a.attachment_url, a.source_group) == ("31", "Library rule (rev. 2024.3.1.)", "Library", "2024-03-05", "https://site.example/rule?id=31", None, "Rules in force")
+    assert (b.source_record_id, b.department, b.attachment_url, b.attachment_filename, b.source_page_url, b.title_normalized) == ("n2", None, "https://site.example/get?f=22&n=1", "parking.pdf", PAGE, "parkingrule")
+    assert (c.source_record_id, c.title_raw, c.effective_date, c.source_page_url, c.sha256) == ("11", "Garden rule", None, "https://site.example/open", None)
+    listed = html.list_records(pages, LISTED)
+    own = spark.createDataFrame([("https://site.example/rule?id=31", RULE), ("https://site.example/open", "<p>no links</p>")], "url string, html string")
+    got = html.detail_records(listed, own, DETAILED).orderBy("source_record_id").collect()
+    assert [(r.source_record_id, r.attachment_filename, r.attachment_role) for r in got] == [("11", "open", "document"), ("31:1", "개정 사유.pdf", "supporting"), ("31:2", "library.pdf", "document")]
+    assert html.page_links(own.limit(0)).count() == 0 and html.list_records(pages.limit(0), LISTED).count() == 0
     facts = html.page_facts(spark.createDataFrame([(1, "<title>a &amp; b</title><h1>x<b>y</b></h1><a href=''>1</a><a href='/z'>2"), (2, None)], "id int, html string"), "id").orderBy("id").collect()
     assert [tuple(r) for r in facts] == [(1, "a & b", "xy", 2, ""), (2, None, None, 0, None)]
 
@@ -78,6 +56,8 @@ class Fake:
 
     def text(self, url):
         self.asked.append(url)
+        if self.pages and url not in self.pages:
+            raise URLError("down")
         return self.pages.get(url, "<html></html>"), Message()
 
     def content(self, url, headers=None):
@@ -87,28 +67,20 @@ class Fake:
 
 
 def test_crawl(spark):
-    board = {"source_id": "b", "kind": "board", "url": PAGE}
-    client = Fake({PAGE + "?pageIndex=1": BOARD, PAGE + "?pageIndex=2": BOARD, "https://h.example/d.do?nttId=77": DETAIL})
-    got = crawl.crawl(board, client)
-    assert [r["source_record_id"] for r in got] == ["seq:5", "seq:4", "77:file:0", "77:file:1", "88", "seq:1:file:0", "seq:1:file:0"] and client.asked[-1].endswith("pageIndex=2")
-    reg = {"source_id": "r", "kind": "register", "url": "https://h.example/{category}.do", "categories": ["A"], "options": {"detail_path": "/e.do"}}
-    pages = {"https://h.example/A.do?pageIndex=1": REGISTER, "https://h.example/e.do?register=146": ENTRY, "https://h.example/e.do?register=146&cntNo=9": ENTRY}
-    assert [r["source_record_id"] for r in crawl.crawl(reg, Fake(pages))] == ["register:146:cnt:9:file:0", "register:146:cnt:9:file:1"]
-    assert len(crawl.crawl({**reg, "include_history": False}, Fake(pages))) == 2
-    for bad in ({**board}, {**reg}, {"source_id": "x", "kind": "none"}, {"source_id": "c", "kind": "caption_table", "url": PAGE}):
-        with pytest.raises(ValueError):
-            crawl.crawl(bad, Fake({}))
-    config = {"sources": [board, {**reg, "enabled": False}]}
-    assert crawl.chosen_sources(config) == [board] and crawl.chosen_sources(config, ["r"]) == [] and updates.unknown_sources(["b", "q"], ["b"]) == ["q"]
-    with pytest.raises(ValueError):
-        crawl.chosen_sources(config, ["q"])
-    pages = {PAGE + "?pageIndex=1": BOARD}
+    second = LIST.replace("<td>3</td>", "<td>9</td>").replace("id=31", "id=99")
+    pages = {f"{PAGE}?page=1": LIST, f"{PAGE}?page=2": second, f"{PAGE}?page=3": LIST, "https://site.example/rule?id=31": RULE, "https://site.example/open": RULE.replace("f=31", "f=11"), "https://other.example/a": "<p>nothing here</p>"}
+    sources = [{"source_id": "s", "lists": [PAGE], "page_key": "page", "list_layout": LISTED, "detail_layout": DETAILED}, {"source_id": "empty", "lists": ["https://other.example/a"], "list_layout": LISTED}, {"source_id": "down", "lists": ["https://other.example/b"], "list_layout": LISTED}]
 
     def client():
         return Fake(pages)
 
-    rows, errors = crawl.crawl_sources(spark, [board, {"source_id": "empty", "kind": "mode_board", "url": PAGE}], client)
-    assert rows.count() == 6 and [r.source_id for r in errors.collect()] == ["empty"]
+    rows, errors = crawl.crawl_sources(spark, sources, client)
+    assert sorted(r.source_record_id for r in rows.collect()) == ["11:1", "11:2", "31:1", "31:2", "n2"]
+    assert sorted((r.source_id, r.error.split(":")[0]) for r in errors.collect()) == [("down", "URLError"), ("down", "no records"), ("empty", "no records"), ("s", "URLError")]
+    config = {"sources": [sources[0], {**sources[1], "enabled": False}]}
+    assert crawl.chosen_sources(config) == [sources[0]] and crawl.chosen_sources(config, ["empty"]) == [] and updates.unknown_sources(["b", "q"], ["b"]) == ["q"]
+    with pytest.raises(ValueError):
+        crawl.chosen_sources(config, ["q"])
 
 
 def test_downloads(tmp_path):
