@@ -169,7 +169,8 @@ def build_chunks(versions: DataFrame, documents: DataFrame | None = None, target
     Each article is cut so that its text with its labelled context, the headings in force at its start
     included, stays within ``most``; a piece after the first begins with the end of the raw piece before it
     as far as room is left. Paragraph, item and appendix come from the raw piece. Empty and null texts have
-    no chunks. A context that alone reaches ``most`` leaves chunks above it: ``over_limit`` finds them.
+    no chunks. A context that alone reaches ``most`` would leave chunks above it: the job that reads the result
+    then fails and names the chunk.
     """
     if "document_type" not in versions.columns:
         versions = versions.withColumn("document_type", F.lit(None).cast("string"))
@@ -193,13 +194,19 @@ def build_chunks(versions: DataFrame, documents: DataFrame | None = None, target
     each = Window.partitionBy("version_id").orderBy("position", "part")
     text = F.when(F.col("lead") != "", F.regexp_replace(F.concat("lead", F.lit("\n\n"), "piece"), r"(?U)^\s+|\s+$", "")).otherwise(F.col("piece"))
     out = pieces.withColumns(article_marks(F.col("piece"))).withColumns({"chunk_index": F.row_number().over(each) - 1, "text": text, "page_start": F.lit(None).cast("int"), "page_end": F.lit(None).cast("int"), "chunk_id": ids.chunk_id(F.col("version_id"), F.col("position") + 1, F.col("article_no"), F.col("part"))})
-    return refresh(out.drop("piece", "lead", "position", "part"), versions, documents)
+    return within_limit(refresh(out.drop("piece", "lead", "position", "part"), versions, documents), most)
 
 
 def over_limit(chunks: DataFrame, most: int = MOST) -> DataFrame:
     return chunks.where(F.col("token_count") > most)
 
 
+def within_limit(chunks: DataFrame, most: int = MOST) -> DataFrame:
+    """``chunks``; an error that names the chunk for each one above ``most`` tokens. A filter, so that it is tested whatever columns are read."""
+    above = F.concat(F.lit("chunk above the limit: "), F.col("chunk_id"), F.lit(" = "), F.col("token_count").cast("string"))
+    return chunks.where(F.assert_true(F.col("token_count") <= most, above).isNull())
+
+
 def chunkable(versions: DataFrame) -> DataFrame:
     """Versions that may have chunks: public ones with a text file."""
     return versions.where((F.col("access_level") == "public") & (filled(F.col("normalized_file")) != ""))

@@ -173,3 +173,14 @@ def test_migration_by_path(spark):
     got = {r.old_chunk_id: r.new_chunk_ids for r in migration.migration_map(a, b).where("old_chunk_id is not null").collect()}
     numbered = {r.chunk_id for r in a.where("article_no is not null").collect()}
     assert len(numbered) == 2 and all(got[i] == [i + "n"] for i in numbered)
+
+
+def test_limit_error(spark):
+    """A title that alone fills the limit: no chunk above it is ever handed out, whatever is read."""
+    v = versions(spark, "제1조 짧은 글").withColumn("title", F.lit("긴 제목 " * 900))
+    for read in (lambda c: c.collect(), lambda c: c.count(), lambda c: c.select("chunk_id").collect()):
+        with pytest.raises(Exception, match="chunk above the limit: CHK-V0-"):
+            read(chunking.build_chunks(v, documents(spark)))
+    with pytest.raises(Exception, match="chunk above the limit"):
+        chunking.make_chunks("rechunk", v, documents(spark), None, canonical=True, allow_id_changes=True).count()
+    assert chunking.build_chunks(versions(spark, "제1조 짧은 글"), documents(spark)).count() == 1
