@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lawloom.functions import text
 from lawloom.operators import catalog, chunking, documents, search, updates, validate, versions
 from lawloom.sources.shared import new_path, stored
+from lawloom.sources.snapshots import Snapshots, Transaction
 
 
 @dataclass
@@ -101,3 +102,26 @@ def full_sync(spark: SparkSession, candidates: DataFrame, manifest: DataFrame, e
     none = spark.createDataFrame([], "chunk_id string, version_id string, document_id string, text string, section_path string, article_no string, article_title string, chunk_index int")
     c = built(spark, Corpus(stored(d, "documents"), stored(v, "versions"), kept, stored(texts, "texts"), none), **budget)
     return c, proven(spark, c, cases)[0]
+
+
+TABLES = ("documents", "versions", "manifest", "texts", "chunks")
+
+
+def publish(spark: SparkSession, path: str, c: Corpus, base: int | None = None) -> int:
+    """The tables of a corpus as the next snapshot of the log at ``path``, all together or none; returns its number.
+
+    ``base`` is the snapshot that the corpus was made from, the last one by default. Conflict where another writer
+    has published since; a writer that stops before leaves the old state.
+    """
+    log = Snapshots(spark, path)
+    tx = Transaction(log, log.state(base))
+    for name in TABLES:
+        tx.replace(name, getattr(c, name))
+    return tx.commit()
+
+
+def published(spark: SparkSession, path: str, number: int | None = None) -> Corpus:
+    """The corpus at a snapshot, the last one by default."""
+    log = Snapshots(spark, path)
+    number = log.latest() if number is None else number
+    return Corpus(*[log.read(name, number) for name in TABLES])

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lawloom.plans import sync
+from lawloom.sources import snapshots
 
 BODY = "{0} 규정\n\n제1조(목적) {0} 규정은 " + "가나다라마바사아자차 " * 30 + "\n\n제2조(정의) {0} 용어의 뜻은 다음과 같다."
 sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
@@ -62,3 +63,21 @@ def test_gate(spark, corpus):
         sync.update_gate(spark, c, batch(spark), files, lambda v: v.select("version_id", F.lit("짧다").alias("body")), [], "x", "t", "1")
     with pytest.raises(RuntimeError, match="evaluation"):
         sync.update_gate(spark, c, batch(spark), files, convert, cases(spark, "을", sha("n"), "20240101"), "2024-02-02", "t", "1")
+
+
+def test_published_together(spark, tmp_path):
+    """Five tables change in one step; a second writer from the same state is refused; a writer that stops half way changes nothing."""
+    path = f"file://{tmp_path}/corpus"
+    table = lambda name, n: spark.createDataFrame([(f"{name}{i}",) for i in range(n)], "id string")
+    corpus = lambda n: sync.Corpus(*[table(t, n) for t in sync.TABLES])
+    assert sync.publish(spark, path, corpus(2)) == 1
+    assert sync.publish(spark, path, corpus(3), 1) == 2
+    with pytest.raises(snapshots.Conflict):
+        sync.publish(spark, path, corpus(9), 1)
+    broken = corpus(7)
+    broken.texts = broken.texts.withColumn("id", F.raise_error(F.lit("stopped")))
+    with pytest.raises(Exception, match="stopped"):
+        sync.publish(spark, path, broken)
+    for number, n in ((None, 3), (1, 2)):
+        got = sync.published(spark, path, number)
+        assert [getattr(got, t).count() for t in sync.TABLES] == [n] * 5

@@ -238,16 +238,22 @@ def test_streams(spark, tmp_path):
         (tmp_path / folder).mkdir(exist_ok=True)
         (tmp_path / folder / name).write_text("".join(json.dumps(r, ensure_ascii=False) + "\n" for r in rows))
 
-    def records():
-        q = batches.new_records(spark, f"{p}/in", "k string, v int", ["k"], f"{p}/known", f"{p}/cp1")
+    def records(name="known", folder="in"):
+        q = batches.new_records(spark, f"{p}/{folder}", "k string, o int, v string", ["k"], ["o"], f"{p}/{name}", f"{p}/cp-{name}")
         q.awaitTermination()
         assert q.exception() is None
-        return sorted((r.k or "") for r in spark.read.parquet(f"{p}/known").collect())
-
-    drop("in", "1.json", {"k": "a", "v": 1}, {"k": "a", "v": 1}, {"k": None, "v": 2})
-    assert records() == ["", "a"]
-    drop("in", "2.json", {"k": "a", "v": 9}, {"k": "b", "v": 3}, {"k": None, "v": 5})
-    assert records() == ["", "a", "b"] and records() == ["", "a", "b"]
+        return sorted((r.k or "", r.o, r.v) for r in batches.known_records(spark, f"{p}/{name}", ["k"], ["o"]).collect())
+
+    drop("in", "1.json", {"k": "a", "o": 5, "v": "x"}, {"k": "a", "o": 7, "v": "w"}, {"k": None, "o": 2, "v": "n"})
+    assert records() == [("", 2, "n"), ("a", 5, "x")]
+    drop("in", "2.json", {"k": "a", "o": 9, "v": "y"}, {"k": "b", "o": 3, "v": "z"}, {"k": "b", "o": 3, "v": "q"}, {"k": None, "o": 1, "v": "m"})
+    want = [("", 1, "m"), ("a", 5, "x"), ("b", 3, "q")]
+    assert records() == want and records() == want
+    assert records("at-once") == want  # both files in one batch
+    drop("other", "2.json", *map(json.loads, (tmp_path / "in/2.json").read_text().splitlines()))
+    records("turned", "other")
+    drop("other", "1.json", *map(json.loads, (tmp_path / "in/1.json").read_text().splitlines()))
+    assert records("turned", "other") == want  # in another order
 
     schema = "version_id string, document_id string, title string, document_type string, text string, revision_date string, access_level string, normalized_file string, sha256 string"
     one = lambda i, text: dict(version_id=f"v{i}", document_id="D", title="t", document_type="rule", text=text, revision_date=f"202{i}-01-01", access_level="public", normalized_file="n", sha256=str(i))
@@ -261,3 +267,8 @@ def test_streams(spark, tmp_path):
     assert sorted((r.version_id, r.text) for r in spark.read.parquet(f"{p}/chunks").collect()) == [("v1", "제1조 가"), ("v2", "제1조 다"), ("v2", "제2조 라"), ("v3", "제1조 나")]
     links = {r.version_id: (r.previous_version_id, r.next_version_id) for r in batches.current_links(spark, f"{p}/links").collect()}
     assert links == {"v1": (None, "v2"), "v2": ("v1", "v3"), "v3": ("v2", None)}
+    others = spark.createDataFrame([(f"w{i}", f"E{i}") for i in range(400)], "version_id string, document_id string").withColumn("bucket", batches._bucket(F.col("document_id")))
+    others.write.mode("append").partitionBy("bucket").parquet(f"{p}/vs/batch=99")
+    found = batches.touched_versions(spark, f"{p}/vs", spark.createDataFrame([("D",)], "document_id string"))
+    assert {r.version_id for r in found.collect()} == {"v1", "v2", "v3"}
+    assert "PartitionFilters: [isnotnull(bucket" in found._jdf.queryExecution().toString()  # folders of other documents are not opened
