@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from lawloom.functions import rules
 from lawloom.functions.text import long_shingles, overlap_ratio
+from lawloom.operators.schema_rules import schema_failures
 from lawloom.operators.similarity import overlap_join
+from lawloom.operators.validate import SCHEMAS
 from lawloom.sources.shared import stored
 
 LOCATION = ("article_no", "appendix_no", "section_path")
@@ -117,3 +119,13 @@ def mapping_errors(mapped: DataFrame, old: DataFrame, new: DataFrame) -> DataFra
     c = listed.join(fresh, "chunk_id", "full").where("x is null or y is null").select(F.lit("new_ids_differ").alias("error"), "chunk_id")
     twice = lambda df: df.groupBy("chunk_id").agg(F.count("*").alias("m")).where("m > 1").select(F.lit("repeated_id").alias("error"), "chunk_id")
     return a.unionByName(b).unionByName(c).unionByName(twice(old)).unionByName(twice(new)).distinct()
+
+
+def proven(mapped: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
+    """``mapped`` itself, written once, if it is sound. RuntimeError with the first faults where a row breaks the map's schema or ``mapping_errors`` finds one."""
+    mapped = stored(mapped, "migration-map")
+    broken = schema_failures(mapped, SCHEMAS["migration_map"]).where("failures > 0").collect()  # a row a rule
+    faults = [f"{r.field}: {r.rule} ({r.failures})" for r in broken] + [f"{r.error}: {r.chunk_id}" for r in mapping_errors(mapped, old, new).limit(5).collect()]
+    if faults:
+        raise RuntimeError(f"the map is not sound: {faults}")
+    return mapped

@@ -8,68 +8,75 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawloom.functions import rules, text
+from lawloom.operators.schema_rules import schema_failures
 from lawloom.sources.shared import stored
 
-# Shapes that rows must have. A list is an enumeration, a text a pattern, a number the least value or length.
-SHAPES: dict[str, dict[str, dict]] = {
+# What the rows of each table must be, as JSON Schema; ``schema_rules`` compiles them.
+_DIGEST = {"type": "string", "pattern": "^[0-9a-f]{64}$"}
+_NAME = {"type": "string", "minLength": 1}
+_COUNT, _POSITIVE = {"type": "integer", "minimum": 0}, {"type": "integer", "minimum": 1}
+_MAYBE = {"type": ["string", "null"]}
+_ACCESS = {"enum": ["public", "internal", "restricted", "review_required"]}
+_STATE = {
+    "is_latest_version": {"type": "boolean"},
+    "validity_status": {"enum": ["in_force", "superseded", "abolished", "expired", "unknown"]},
+    "status_confidence": {"enum": ["confirmed", "probable", "unknown"]},
+}
+_URL_QUALITY = {"enum": ["detail", "list_only", "attachment_only", "unknown"]}
+_EVIDENCE = {"validity_evidence": _MAYBE, "validity_checked_at": {"type": ["string", "null"], "format": "date-time"}, "source_url_quality": _URL_QUALITY}
+SCHEMAS: dict[str, dict] = {
     "documents": {
-        "required": dict.fromkeys(("document_id", "document_type", "title", "access_level", "version_group_id", "sha256")),
-        "pattern": {"document_id": "^(REG|GDL|RUL|MAN|ETC)-[0-9a-f]{12}$", "sha256": "^[0-9a-f]{64}$"},
-        "least_length": {"title": 1},
-        "enum": {
-            "document_type": ["regulation", "guideline", "rule", "manual", "notice", "form", "reference", "unknown"],
-            "access_level": ["public", "internal", "restricted", "review_required"],
-            "validity_status": ["in_force", "superseded", "abolished", "expired", "unknown"],
-            "status_confidence": ["confirmed", "probable", "unknown"],
-            "source_url_quality": ["detail", "list_only", "attachment_only", "unknown"],
+        "required": ["document_id", "document_type", "title", "access_level", "version_group_id", "sha256"],
+        "properties": {
+            "document_id": {"type": "string", "pattern": "^(REG|GDL|RUL|MAN|ETC)-[0-9a-f]{12}$"},
+            "document_type": {"enum": ["regulation", "guideline", "rule", "manual", "notice", "form", "reference", "unknown"]},
+            "title": _NAME, "alternative_titles": {"type": "array", "items": {"type": "string"}}, "access_level": _ACCESS, "version_group_id": {"type": "string"}, "sha256": _DIGEST, "latest_version_id": _MAYBE, **_STATE, **_EVIDENCE,
         },
     },
     "versions": {
-        "required": dict.fromkeys(("version_id", "document_id", "version_group_id", "source_file", "sha256", "current_status", "access_level")),
-        "pattern": {"version_id": "^VER-(unknown|[0-9]+)-[0-9a-f]{8}$", "sha256": "^[0-9a-f]{64}$"},
-        "enum": {
-            "current_status": ["confirmed", "candidate", "unknown", "historical"],
-            "access_level": ["public", "internal", "restricted", "review_required"],
-            "validity_status": ["in_force", "superseded", "abolished", "expired", "unknown"],
-            "status_confidence": ["confirmed", "probable", "unknown"],
-            "source_url_quality": ["detail", "list_only", "attachment_only", "unknown"],
+        "required": ["version_id", "document_id", "version_group_id", "source_file", "sha256", "current_status", "access_level"],
+        "properties": {
+            "version_id": {"type": "string", "pattern": "^VER-(unknown|[0-9]+)-[0-9a-f]{8}$"}, "document_id": {"type": "string"}, "sha256": _DIGEST,
+            "current_status": {"enum": ["confirmed", "candidate", "unknown", "historical"]}, "access_level": _ACCESS, **_STATE, **_EVIDENCE,
         },
     },
     "chunks": {
-        "required": dict.fromkeys(("chunk_id", "document_id", "version_id", "text", "text_for_embedding", "token_count", "source_file", "sha256", "citation_label", "access_level")),
-        "pattern": {"sha256": "^[0-9a-f]{64}$"},
-        "least_length": {"chunk_id": 10, "text": 1, "text_for_embedding": 1},
-        "least": {"token_count": 1},
-        "enum": {
-            "access_level": ["public"],
-            "section_kind": ["promulgation_notice", "amendment_reason", "major_changes", "comparison_old", "comparison_new", "operative_text", "supplementary_provision", "appendix", "form", "unknown"],
-            "retrieval_scope": ["primary", "secondary"],
-            "normative_status": ["normative", "historical_context", "non_normative", "unknown"],
-            "validity_status": ["in_force", "superseded", "abolished", "expired", "unknown"],
-            "status_confidence": ["confirmed", "probable", "unknown"],
+        "required": ["chunk_id", "document_id", "version_id", "text", "text_for_embedding", "token_count", "source_file", "sha256", "citation_label", "access_level"],
+        "properties": {
+            "chunk_id": {"type": "string", "minLength": 10}, "text": _NAME, "text_for_embedding": _NAME, "token_count": _POSITIVE, "sha256": _DIGEST, "access_level": {"const": "public"},
+            "section_kind": {"enum": ["promulgation_notice", "amendment_reason", "major_changes", "comparison_old", "comparison_new", "operative_text", "supplementary_provision", "appendix", "form", "unknown"]},
+            "retrieval_scope": {"enum": ["primary", "secondary"]}, "normative_status": {"enum": ["normative", "historical_context", "non_normative", "unknown"]}, **_STATE,
         },
     },
     "source_manifest": {
-        "required": dict.fromkeys(("archive_file", "sha256", "file_size", "status", "access_level")),
-        "pattern": {"sha256": "^[0-9a-f]{64}$"},
-        "least_length": {"archive_file": 1},
-        "least": {"file_size": 1},
-        "enum": {"access_level": ["public", "internal", "restricted", "review_required"], "source_url_quality": ["detail", "list_only", "attachment_only", "unknown"]},
+        "required": ["archive_file", "sha256", "file_size", "status", "access_level"],
+        "properties": {"source_id": _MAYBE, "source_record_id": _MAYBE, "archive_file": _NAME, "sha256": _DIGEST, "file_size": _POSITIVE, "hash_verified": {"type": "boolean"}, "access_level": _ACCESS, "source_url_quality": _URL_QUALITY},
     },
     "conversions": {
-        "required": dict.fromkeys(("version_id", "document_id", "source_file", "source_sha256", "normalized_file", "normalized_sha256", "tool", "tool_version", "status")),
-        "pattern": {"source_sha256": "^[0-9a-f]{64}$", "normalized_sha256": "^[0-9a-f]{64}$"},
-        "least": {"text_chars": 0, "hangul_chars": 0, "hangul_ratio": 0, "replacement_chars": 0},
-        "most": {"hangul_ratio": 1},
-        "enum": {"status": ["converted", "failed", "skipped", "reused"]},  # converters also write the last
+        "required": ["version_id", "document_id", "source_file", "source_sha256", "normalized_file", "normalized_sha256", "tool", "tool_version", "status"],
+        "properties": {
+            "version_id": {"type": "string"}, "document_id": {"type": "string"}, "source_sha256": _DIGEST, "normalized_sha256": _DIGEST, "status": {"enum": ["converted", "failed", "skipped", "reused"]},  # converters also write the last
+            "text_chars": _COUNT, "hangul_chars": _COUNT, "hangul_ratio": {"type": "number", "minimum": 0, "maximum": 1}, "replacement_chars": _COUNT,
+        },
     },
     "batch_records": {
-        "required": dict.fromkeys(("source_id", "source_record_id", "document_id", "version_id", "document_type", "title", "attachment_url", "file_size", "sha256")),
-        "pattern": {"sha256": "^[0-9a-f]{64}$"},
-        "least": {"file_size": 1},
-        "enum": {"document_type": ["regulation", "guideline"]},
+        "required": ["source_id", "source_record_id", "document_id", "version_id", "document_type", "title", "attachment_url", "file_size", "sha256"],
+        "properties": {"document_type": {"enum": ["regulation", "guideline"]}, "file_size": _POSITIVE, "sha256": _DIGEST},
     },
-}
+    "corpus_manifest": {
+        "required": ["corpus_id", "documents", "versions", "current_documents", "chunks", "sha256"],
+        "properties": {"corpus_id": _NAME, "generated_at": {"type": "string"}, "documents": _COUNT, "versions": _COUNT, "current_documents": _COUNT, "chunks": _COUNT, "sha256": {"type": "object", "required": ["documents", "chunks"], "properties": {"documents": _DIGEST, "chunks": _DIGEST}}},
+    },
+    "migration_map": {
+        "required": ["document_id", "version_id", "old_chunk_id", "new_chunk_ids", "relation", "old_text_sha256", "new_text_sha256", "old_location", "new_locations", "overlap_scores", "evidence", "automatic_match", "review_required"],
+        "properties": {
+            "document_id": {"type": "string"}, "version_id": {"type": "string"}, "old_chunk_id": _MAYBE, "new_chunk_ids": {"type": "array", "items": {"type": "string"}, "uniqueItems": True}, "relation": {"enum": ["unchanged", "modified", "split", "merged", "removed", "new"]},
+            "old_text_sha256": _MAYBE, "new_text_sha256": {"type": "array", "items": {"type": "string"}}, "old_location": {"type": ["object", "null"]}, "new_locations": {"type": "array", "items": {"type": "object"}},
+            "overlap_scores": {"type": "array", "items": {"type": "number", "minimum": 0, "maximum": 1}}, "evidence": {"type": "string"}, "automatic_match": {"type": "boolean"}, "review_required": {"type": "boolean"},
+        },
+        "additionalProperties": False,
+    },
+}
 # Fields of a version that its text's front matter repeats.
 FRONT_FIELDS = ("document_id", "version_id", "title", "sha256", "is_current", "current_status")
 
@@ -109,19 +116,6 @@ def chain_cycles(versions: DataFrame) -> DataFrame:
     return step.select("version_id")
 
 
-def constraint_failures(df: DataFrame, shape: dict[str, dict]) -> DataFrame:
-    """(field, rule, failures) of a declared shape (``SHAPES``): required fields, patterns, enumerations, least and most values, least lengths. Fields that the table lacks fail where they are required."""
-    lacks = [f for f in shape.get("required", {}) if f not in df.columns]
-    has = lambda rule: [(f, v) for f, v in shape.get(rule, {}).items() if f in df.columns]
-    tests = [(f, "required", F.lit(True)) for f in lacks] + [(f, "required", F.col(f).isNull()) for f, _ in has("required")]
-    tests += [(f, "pattern", F.col(f).isNotNull() & ~F.col(f).rlike(p)) for f, p in has("pattern")]
-    tests += [(f, "enum", F.col(f).isNotNull() & ~F.col(f).isin(v)) for f, v in has("enum")]
-    tests += [(f, "least", F.col(f) < v) for f, v in has("least")] + [(f, "most", F.col(f) > v) for f, v in has("most")]
-    tests += [(f, "least_length", F.length(f) < v) for f, v in has("least_length")]
-    row = df.agg(*[F.count_if(t).alias(f"x{i}") for i, (_, _, t) in enumerate(tests)])
-    return row.select(F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.lit(r).alias("rule"), F.col(f"x{i}").alias("failures")) for i, (f, r, _) in enumerate(tests)])))
-
-
 def digest_mismatches(rows: DataFrame, files: DataFrame, path: str = "archive_file") -> DataFrame:
     """Rows (path, sha256) whose file is missing or has another hash; files are (path, sha256), pointers with the hash they name."""
     there = files.select(F.col("path").alias(path), F.col("sha256").alias("_there"))
@@ -181,12 +175,13 @@ def manifest_errors(manifest: DataFrame, documents: DataFrame, versions: DataFra
     return row.select(F.explode(F.array_compact(F.array(*tests))).alias("field"))
 
 
-def validate(documents: DataFrame, versions: DataFrame, chunks: DataFrame, manifest: DataFrame | None = None, files: DataFrame | None = None, texts: DataFrame | None = None, archive: DataFrame | None = None, subsets: dict[str, DataFrame] | None = None, corpus: DataFrame | None = None, export: DataFrame | None = None, conversions: DataFrame | None = None, batches: DataFrame | None = None, tool: str = "unhwp", most: int = 1200) -> DataFrame:
+def validate(documents: DataFrame, versions: DataFrame, chunks: DataFrame, manifest: DataFrame | None = None, files: DataFrame | None = None, texts: DataFrame | None = None, archive: DataFrame | None = None, subsets: dict[str, DataFrame] | None = None, corpus: DataFrame | None = None, export: DataFrame | None = None, conversions: DataFrame | None = None, batches: DataFrame | None = None, tool: str = "unhwp", most: int = 1200, schemas: dict[str, dict] | None = None) -> DataFrame:
     """(check, status, failures), a row for each check that its tables allow.
 
     manifest: the source manifest; files: (path, sha256) of the repository; texts: (normalized_file, text);
     archive: (path, sha256) of the read-only archive; subsets: current_documents, latest_documents and
-    document_catalog as written; corpus: the one-row manifest; export: chunks of an exported bundle.
+    document_catalog as written; corpus: the one-row manifest; export: chunks of an exported bundle; schemas: JSON
+    Schema of each table's rows (``SCHEMAS``).
     """
     v, d, c = versions, documents, chunks
     checks = []
@@ -219,8 +214,8 @@ def validate(documents: DataFrame, versions: DataFrame, chunks: DataFrame, manif
     add(c.where(F.col("token_count") > most), "chunk_within_limit")
     add(c.where("coalesce(access_level, '') <> 'public'"), "chunk_public")
     add(c.where(reduce(lambda a, b: a | b, [text.filled(F.col(k)) == "" for k in ("title", "source_file", "sha256", "citation_label") if k in c.columns])), "chunk_citable")
-    tables = {"documents": d, "versions": v, "chunks": c, "source_manifest": manifest, "conversions": conversions, "batch_records": batches}
-    shapes = [constraint_failures(df, SHAPES[name]) for name, df in tables.items() if df is not None]
+    tables = {"documents": d, "versions": v, "chunks": c, "source_manifest": manifest, "conversions": conversions, "batch_records": batches, "corpus_manifest": corpus}
+    shapes = [schema_failures(df, (schemas or SCHEMAS)[name]) for name, df in tables.items() if df is not None]
     every = reduce(DataFrame.unionByName, shapes).agg(F.coalesce(F.sum("failures"), F.lit(0)).alias("failures"))
     checks.append(every.select(F.lit("shapes").alias("check"), F.when(F.col("failures") == 0, "PASS").otherwise("FAIL").alias("status"), "failures"))
     expected = {"current_documents": d.where("is_current and latest_version_id is not null"), "latest_documents": d.where("latest_version_id is not null"), "document_catalog": d}
