@@ -58,9 +58,13 @@ def clean(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(filled(text), uni(f"{SPACES}+"), " "), r"^ | $", "")
 
 
+#: A sign that lower case alone may not fold: all but plain Latin, precomposed Hangul and some punctuation.
+UNUSUAL = r"[^\x00-\x7F\u00B7\u00C0-\u00D6\u00D8-\u00DE\u00E0-\u00F6\u00F8-\u00FF\u2013\u2014\u2018\u2019\u201C\u201D\u2022\u2027\u30FB\uAC00-\uD7A3]"
+
+
 @F.pandas_udf(StringType())
 def _fold(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: unicodedata.normalize("NFKC", t or "").casefold())
+    return text.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t).casefold())
 
 
 def folded(value: str | None) -> str:
@@ -69,8 +73,11 @@ def folded(value: str | None) -> str:
 
 
 def search_text(text: Column, native: bool = False) -> Column:
-    """Compatibility form, case folded, separators and white space to one space; null is empty. ``native`` lower-cases instead (equal for Latin text in NFC)."""
-    low = F.regexp_replace(F.lower(filled(text)), "ß", "ss") if native else _fold(text)
+    """Compatibility form, case folded, separators and white space to one space; null is empty. ``native`` lower-cases instead (equal for Latin text in NFC).
+
+    Only texts with a sign that lower case may not fold are sent to Python.
+    """
+    low = F.regexp_replace(F.lower(filled(text)), "ß", "ss") if native else F.coalesce(_fold(F.when(text.rlike(UNUSUAL), text)), F.lower(filled(text)))
     return clean(F.regexp_replace(low, SEPARATORS, " "))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lawloom.sources.shared import stored
 from lawloom.functions import ids, rules, text
 from lawloom.operators.versions import predecessors
 
@@ -140,7 +141,8 @@ def apply_batch(accepted: DataFrame, documents: DataFrame, versions: DataFrame,
     head = predecessors(versions).withColumnRenamed("predecessor_id", "_head")
     new = new.withColumns({"_before": F.lag("version_id").over(line), "_after": F.lead("version_id").over(line)}).join(head, "document_id", "left")
     new = new.withColumns({"previous_version_id": F.coalesce("_before", "_head"), "next_version_id": F.col("_after"), "is_current": F.col("_after").isNull()})
-    new = new.withColumn("current_status", F.when(F.col("is_current"), "confirmed").otherwise("historical"))
+    # written once: every output below is made from it, and the batch was made by many joins
+    new = stored(new.withColumn("current_status", F.when(F.col("is_current"), "confirmed").otherwise("historical")), "accepted")
     first = new.where("_before is null").select(F.col("_head").alias("version_id"), F.col("version_id").alias("_follows")).where("version_id is not null")
     touched = new.select("document_id").distinct().withColumn("_closed", F.lit(True))
 

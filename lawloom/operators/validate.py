@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lawloom.functions import rules, text
-from lawloom.operators.schema_rules import schema_failures
+from lawloom.operators.schema_rules import row_rules
 from lawloom.sources.shared import stored
 
 # What the rows of each table must be, as JSON Schema; ``schema_rules`` compiles them.
@@ -82,7 +82,18 @@ FRONT_FIELDS = ("document_id", "version_id", "title", "sha256", "is_current", "c
 
 
 def _row(df: DataFrame, name: str, level: str = "FAIL") -> DataFrame:
-    return df.agg(F.count("*").alias("failures")).select(F.lit(name).alias("check"), F.when(F.col("failures") == 0, "PASS").otherwise(level).alias("status"), "failures")
+    """(check, level, failures) of a table of failures."""
+    return df.agg(F.count("*").alias("failures")).select(F.lit(name).alias("check"), F.lit(level).alias("level"), "failures")
+
+
+def _row_checks(df: DataFrame, checks: list[tuple[str, str, Column]], schema: dict) -> DataFrame:
+    """(check, level, failures) of all checks of single rows and of the schema, in one pass over the table."""
+    rules = row_rules(df, schema)
+    counts = [F.count_if(F.coalesce(c, F.lit(False))).alias(f"c{i}") for i, (_, _, c) in enumerate(checks)]
+    broken = reduce(lambda a, b: a + b, [F.count_if(r.broken) for r in rules], F.lit(0).cast("long"))
+    each = [F.struct(F.lit(n).alias("check"), F.lit(level).alias("level"), F.col(f"c{i}").alias("failures")) for i, (n, level, _) in enumerate(checks)]
+    row = df.agg(*counts, broken.alias("shapes"))
+    return row.select(F.inline(F.array(*each, F.struct(F.lit("shapes").alias("check"), F.lit("FAIL").alias("level"), F.col("shapes").alias("failures")))))
 
 
 def repeated(df: DataFrame, key: str) -> DataFrame:
@@ -184,7 +195,8 @@ def validate(documents: DataFrame, versions: DataFrame, chunks: DataFrame, manif
     Schema of each table's rows (``SCHEMAS``).
     """
     v, d, c = versions, documents, chunks
-    checks = []
+    checks: list[DataFrame] = []
+    schemas = schemas or SCHEMAS
 
     def add(df: DataFrame, name: str, level: str = "FAIL") -> None:
         checks.append(_row(df, name, level))
@@ -194,11 +206,11 @@ def validate(documents: DataFrame, versions: DataFrame, chunks: DataFrame, manif
     if manifest is not None and archive is not None:
         legacy = manifest.where(F.coalesce(F.col("origin_type"), F.lit("legacy_archive")) == "legacy_archive") if "origin_type" in manifest.columns else manifest
         add(digest_mismatches(legacy, archive, "source_file"), "source_archive_unchanged")
-    add(repeated(d, "document_id"), "document_id_unique")
-    add(repeated(v, "version_id"), "version_id_unique")
-    add(repeated(c, "chunk_id"), "chunk_id_unique")
-    known = c.join(d.select("document_id").distinct(), "document_id", "left_semi").join(v.select("version_id").distinct(), "version_id", "left_semi")
-    checks.append(c.agg(F.count("*").alias("a")).join(known.agg(F.count("*").alias("b"))).select(F.lit("chunk_source_known").alias("check"), F.when(F.col("a") == F.col("b"), "PASS").otherwise("FAIL").alias("status"), (F.col("a") - F.col("b")).alias("failures")))  # tables of one row
+    for df, key in ((d, "document_id"), (v, "version_id"), (c, "chunk_id")):
+        add(repeated(df, key), f"{key}_unique")
+    unknown = [c.join(df.select(k).distinct(), k, "left_anti").select("chunk_id") for df, k in ((d, "document_id"), (v, "version_id"))]
+    strays = unknown[0].unionByName(unknown[1].join(unknown[0], "chunk_id", "left_anti"))  # one of both counts once
+    add(strays, "chunk_source_known")
     add(asymmetric_links(v), "version_links_symmetric")
     add(chain_cycles(v), "version_chain_acyclic")
     if manifest is not None:
@@ -208,33 +220,35 @@ def validate(documents: DataFrame, versions: DataFrame, chunks: DataFrame, manif
     if files is not None:
         add(missing_files(v, files), "files_exist")
         counts = derivative_counts(v, files, tool)
-        checks.append(counts.select(F.lit("derivatives_complete").alias("check"), (F.col("incomplete") + F.col("false_pdf") + F.col("false_portable")).alias("failures")).select("check", F.when(F.col("failures") == 0, "PASS").otherwise("FAIL").alias("status"), "failures"))
+        checks.append(counts.select(F.lit("derivatives_complete").alias("check"), F.lit("FAIL").alias("level"), (F.col("incomplete") + F.col("false_pdf") + F.col("false_portable")).alias("failures")))
     add(v.where("is_current").groupBy("document_id").agg(F.count("*").alias("n")).where("n > 1"), "single_current_version")
-    add(c.where(text.strip(text.filled(F.col("text"))) == ""), "chunk_not_empty")
-    add(c.where(F.col("token_count") > most), "chunk_within_limit")
-    add(c.where("coalesce(access_level, '') <> 'public'"), "chunk_public")
-    add(c.where(reduce(lambda a, b: a | b, [text.filled(F.col(k)) == "" for k in ("title", "source_file", "sha256", "citation_label") if k in c.columns])), "chunk_citable")
+
+    empty = lambda name: text.filled(F.col(name)) == ""
+    lacks = any(f not in v.columns for f in ("is_latest_version", "validity_status", "status_confidence", "source_url_quality"))
+    rows = {"versions": [("status_fields_present", "WARNING", F.lit(lacks))]}
+    if "normalized_file" in v.columns:
+        rows["versions"].append(("version_has_text", "WARNING", empty("normalized_file")))
+    else:
+        add(v.join(c, "version_id", "left_anti"), "version_has_text", "WARNING")
+    rows["chunks"] = [
+        ("chunk_not_empty", "FAIL", text.strip(text.filled(F.col("text"))) == ""), ("chunk_within_limit", "FAIL", F.col("token_count") > most), ("chunk_public", "FAIL", F.coalesce("access_level", F.lit("")) != "public"),
+        ("chunk_citable", "FAIL", reduce(lambda a, b: a | b, [empty(k) for k in ("title", "source_file", "sha256", "citation_label") if k in c.columns])),
+    ]
     tables = {"documents": d, "versions": v, "chunks": c, "source_manifest": manifest, "conversions": conversions, "batch_records": batches, "corpus_manifest": corpus}
-    shapes = [schema_failures(df, (schemas or SCHEMAS)[name]) for name, df in tables.items() if df is not None]
-    every = reduce(DataFrame.unionByName, shapes).agg(F.coalesce(F.sum("failures"), F.lit(0)).alias("failures"))
-    checks.append(every.select(F.lit("shapes").alias("check"), F.when(F.col("failures") == 0, "PASS").otherwise("FAIL").alias("status"), "failures"))
+    checks += [_row_checks(df, rows.get(name, []), schemas[name]) for name, df in tables.items() if df is not None]
+
     expected = {"current_documents": d.where("is_current and latest_version_id is not null"), "latest_documents": d.where("latest_version_id is not null"), "document_catalog": d}
     for name, df in (subsets or {}).items():
         add(table_difference(df, expected[name]), f"{name}_equal")
     if corpus is not None:
         add(manifest_errors(corpus, d, v, c), "manifest_counts")
-    lacks = [f for f in ("is_latest_version", "validity_status", "status_confidence", "source_url_quality") if f not in v.columns]
-    add(v if lacks else v.limit(0), "status_fields_present", "WARNING")
     if texts is not None:
         add(front_matter_errors(v, texts), "front_matter", "WARNING")
     if export is not None:
         add(export, "duplicate_export", "WARNING")
         add(table_difference(export, c), "export_up_to_date", "WARNING")
-    if "normalized_file" in v.columns:
-        add(v.where(text.filled(F.col("normalized_file")) == ""), "version_has_text", "WARNING")
-    else:
-        add(v.join(c, "version_id", "left_anti"), "version_has_text", "WARNING")
-    return reduce(DataFrame.unionByName, checks)
+    found = reduce(DataFrame.unionByName, checks).groupBy("check").agg(F.sum("failures").alias("failures"), F.max("level").alias("level"))
+    return found.select("check", F.when(F.col("failures") == 0, "PASS").otherwise(F.col("level")).alias("status"), "failures")
 
 
 def status_counts(checks: DataFrame) -> DataFrame:
