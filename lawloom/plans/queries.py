@@ -647,3 +647,19 @@ def migration_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     there = d.where("doc_id % 2 = 0").select(F.regexp_replace("path", "^data", "sources").alias("path"), "sha256")
     manifest, excluded, _ = documents.migration_plan(rows, d.drop("doc_id"), findings, there)
     return manifest.select("source_file", "archive_file", "status").unionByName(excluded.select("source_file", F.col("reason").alias("archive_file"), F.col("access_level").alias("status")))
+
+
+@query("""with a as (select c_custkey, c_name, c_acctbal from customer), b as (select case when c_custkey % 61 = 0 then c_custkey + 10000000 else c_custkey end as c_custkey, c_name, case when c_custkey % 97 = 0 then c_acctbal + 1 else c_acctbal end as c_acctbal from customer where c_custkey % 89 <> 0)
+  select 'a' as side, * from (select * from a except all select * from b) union all select 'b', * from (select * from b except all select * from a)""")
+def table_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two states of a table with rows changed, moved to another key and removed, compared by their trees."""
+    from lawloom.operators import merkle
+    from lawloom.sources.shared import new_path
+
+    k = F.col("c_custkey")
+    a = views.table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    b = a.where(k % 89 != 0).select(F.when(k % 61 == 0, k + 10000000).otherwise(k).alias("c_custkey"), "c_name", F.when(k % 97 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")).alias("c_acctbal"))
+    paths = [new_path(spark, "digested") for _ in range(2)]
+    for df, path in zip((a, b), paths, strict=True):
+        merkle.write_digested(df, "c_custkey", path, 8)
+    return merkle.differences(spark, *paths)
