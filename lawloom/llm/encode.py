@@ -137,6 +137,12 @@ def encoder(path: str, entries: int = CACHE_ENTRIES) -> CachedEncoder:
     return _known[path]
 
 
+def forget_words(path: str) -> None:
+    """Drops the pieces that the worker's encoder for ``path`` has met; the encoder stays."""
+    if path in _known:
+        _known[path].cache = {}
+
+
 def text_blocks(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about ``most`` bytes of text, or of one row, with empty texts for null ones."""
     text = pc.fill_null(batch.column("text"), "")

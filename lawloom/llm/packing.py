@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from lawloom.llm.encode import CACHE_ENTRIES, encoded_rows
+from lawloom.llm.encode import CACHE_ENTRIES, encoded_rows, forget_words
 from lawloom.llm.scratch import released
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -119,13 +119,14 @@ def pack_lengths(lengths: np.ndarray, window: int) -> tuple[list[tuple[int, int,
     return out, seq
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int | None = 1, flush_docs: int = 16384, with_ids: bool = False, cached_words: int = CACHE_ENTRIES) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int | None = 1, flush_docs: int = 16384, with_ids: bool = False, cached_words: int = CACHE_ENTRIES, keep_words: bool = True) -> DataFrame:
     """Pieces of the encoded documents with their place in sequences of at most ``window`` ids.
 
     One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset; ``with_ids``
     adds the ids as an array. Null and empty texts are the end id alone (without an end id they give
     no piece). Repeated rows are packed as often as they come; null doc_id stays null. Other columns
-    are not read. sequence_id is unique: the task's partition in the high bits.
+    are not read. sequence_id is unique: the task's partition in the high bits. Without ``keep_words`` a task
+    gives back its cached words when it ends, which leaves memory to what else runs in the worker.
     """
     schema = PIECES + (", ids array<int>" if with_ids else "")
 
@@ -169,6 +170,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = 2048, end_id:
                 if len(rows) >= 8192:
                     yield batch()
         flush()
+        if not keep_words:
+            forget_words(tokenizer)
         yield batch()
 
     return docs.select("doc_id", "text").mapInArrow(released(run), schema)
