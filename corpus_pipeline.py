@@ -50,7 +50,7 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences of 2048 ids; a null or empty text is its end id alone."""
-    return packing.pack_documents(docs, tokenizer_path(WORD_BPE), 2048, 1, cached_words=200_000)
+    return packing.pack_documents(docs, tokenizer_path(WORD_BPE), 2048, 1, cached_words=200_000, keep_words=False)
 
 
 STAGES = [
