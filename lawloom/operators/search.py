@@ -332,7 +332,7 @@ def cosine_top(vectors: DataFrame, key: str, column: str, query: list[float], li
     norm = math.sqrt(sum(x * x for x in query))
     dot = F.aggregate(F.zip_with(F.col(column).cast("array<double>"), F.array(*map(F.lit, query)), lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
     own = F.sqrt(F.aggregate(F.col(column).cast("array<double>"), F.lit(0.0), lambda a, x: a + x * x))
-    rows = vectors.select(key, (dot / (own * norm)).alias("cosine")).where("cosine is not null and not isnan(cosine)")
+    rows = vectors.select(key, F.try_divide(dot, own * norm).alias("cosine")).where("cosine is not null and not isnan(cosine)")
     return rows.orderBy(F.desc("cosine"), key).limit(limit)
 
 

@@ -17,7 +17,7 @@ def _files(spark: SparkSession, path: str):
 
 
 def _replace(spark: SparkSession, made: str, path: str) -> None:
-    """``made`` takes the place of ``path``; until then readers see the old files."""
+    """``made`` takes the place of ``path``: the old files are moved away, then the new ones moved in, so there is a moment with neither. Readers at work use ``snapshots``, which has none."""
     fs, target = _files(spark, path)
     new = _files(spark, made)[1]
     old = _files(spark, f"{path}.old-{uuid.uuid4().hex[:8]}")[1]
@@ -51,12 +51,14 @@ def write_jsonl(df: DataFrame, path: str, order: list[str] | None = None) -> Non
 
 
 def write_csv(df: DataFrame, path: str, fields: list[str] | None = None) -> None:
-    """A folder of CSV with a header; only ``fields`` if given; nested columns as JSON text; a byte order mark opens each part's header."""
+    """A folder of CSV; only ``fields`` if given; nested columns as JSON text. The parts follow each other: the first is a byte order mark and the header alone, so that all of them in order are one file."""
     df = df.select(*fields) if fields else df
     nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "struct", "map")]
+    flat = df.withColumns({c: F.to_json(c) for c in nested})
+    quoted = ['"' + c.replace('"', '""') + '"' if set(c) & set(',"\n') else c for c in df.columns]
+    header = df.sparkSession.createDataFrame([("\ufeff" + ",".join(quoted),)], "value string").coalesce(1)
     made = f"{path}.{uuid.uuid4().hex[:8]}.tmp"
-    out = df.withColumns({c: F.to_json(c) for c in nested}).withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
-    out.write.option("header", True).option("escape", '"').csv(made)
+    header.unionByName(flat.select(F.to_csv(F.struct(*[F.col(f"`{c}`") for c in flat.columns]), {"escape": '"'}).alias("value"))).write.text(made)
     _replace(df.sparkSession, made, path)
 
 

@@ -1,5 +1,6 @@
 """Readers, page parsers, crawls and writers."""
 
+import csv
 import io
 import json
 import sys
@@ -128,8 +129,9 @@ def test_read_and_write(spark, tmp_path):
     (tmp_path / "b.jsonl").write_bytes(b'\xef\xbb\xbf{"id": 5}\n\n  \n{"id": 6}\n')
     assert sorted(r.id for r in tables.read_jsonl(spark, f"{p}/b.jsonl", "id int").collect()) == [5, 6] and tables.read_jsonl(spark, f"{p}/none.jsonl", "id int").count() == 0
     sinks.write_csv(df, f"{p}/t.csv", ["id", "a"])
-    csv = next((tmp_path / "t.csv").glob("part*")).read_bytes()
-    assert csv.startswith(b"\xef\xbb\xbfid,a\n")
+    parts = [f.read_bytes() for f in sorted((tmp_path / "t.csv").glob("part*"))]
+    assert parts[0] == b"\xef\xbb\xbfid,a\n" and b"".join(parts).count(b"id,a") == 1  # one header for all parts
+    assert sorted(csv.reader(io.StringIO(b"".join(parts).decode("utf-8-sig")))) == [["1", "[]"], ["2", '["x","y"]'], ["id", "a"]]
     sinks.write_json(spark, f"{p}/d/x.json", {"가": 1})
     assert json.loads((tmp_path / "d/x.json").read_text()) == {"가": 1} and tables.read_json_document(spark, f"{p}/d/x.json", "`가` int").first()[0] == 1
     (tmp_path / "c.yaml").write_text("a: [1, 2]\n")
