@@ -94,9 +94,11 @@ def validate_batch(batch: DataFrame, documents: DataFrame, versions: DataFrame,
     b = find_downloads(b, files)
     b = b.join(documents.select("document_id", F.col("title").alias("stored_title"), F.lit(True).alias("_known")), "document_id", "left")
     b = b.join(predecessors(versions, exclude_supporting), "document_id", "left")
-    held = versions.groupBy(F.col("version_id").alias("new_version_id")).agg(F.first("sha256").alias("_id_sha"))
+    # versions of different files may share an id, as it has eight digits of the hash
+    known = versions.where("sha256 is not null").select(F.col("version_id").alias("new_version_id"), "sha256")
+    named, held = known.select("new_version_id").distinct().withColumn("_named", F.lit(True)), known.distinct().withColumn("_held", F.lit(True))
     owned = versions.where("sha256 is not null").select("sha256").distinct().withColumn("_owned", F.lit(True))
-    b = b.join(held, "new_version_id", "left").join(owned, "sha256", "left")
+    b = b.join(named, "new_version_id", "left").join(held, ["new_version_id", "sha256"], "left").join(owned, "sha256", "left")
     unproven = ~F.col("previous_title").eqNullSafe(F.col("stored_title")) | (text.filled(F.col("title_change_evidence")) == "") | (text.filled(F.col("title")) == "") | F.col("title").eqNullSafe(F.col("stored_title"))
     code = (
         F.when(F.size("_missing") > 0, F.concat(F.lit("missing:"), F.array_join("_missing", ",")))
@@ -107,11 +109,11 @@ def validate_batch(batch: DataFrame, documents: DataFrame, versions: DataFrame,
         .when(F.col("actual_sha256").isNull(), "file_not_found")
         .when(F.col("actual_sha256") != F.col("sha256"), "hash_mismatch")
         .when(F.col("actual_size") != F.col("file_size"), "size_mismatch")
-        .when(F.col("_id_sha").isNotNull() & (F.col("_id_sha") != F.col("sha256")), "version_id_conflict")
-        .when(F.col("_owned") & F.col("_id_sha").isNull(), "hash_owned")
+        .when(F.col("_named") & F.col("_held").isNull(), "version_id_conflict")
+        .when(F.col("_owned") & F.col("_named").isNull(), "hash_owned")
     )
-    b = b.withColumns({"error_code": code, "already_present": F.col("_id_sha").isNotNull(), "archive_file": ids.raw_path(F.col("document_type"), F.col("source_id"), F.col("source_record_id"), F.col("attachment_filename"))})
-    return b.drop("_r", "_missing", "_date", "_known", "_id_sha", "_owned")
+    b = b.withColumns({"error_code": code, "already_present": F.col("_named").isNotNull(), "archive_file": ids.raw_path(F.col("document_type"), F.col("source_id"), F.col("source_record_id"), F.col("attachment_filename"))})
+    return b.drop("_r", "_missing", "_date", "_known", "_named", "_held", "_owned")
 
 
 def refused(validated: DataFrame) -> DataFrame:
@@ -131,19 +133,20 @@ def apply_batch(accepted: DataFrame, documents: DataFrame, versions: DataFrame,
     changed title makes the old one an alias, the document shows the last record. Rows that are there keep their place.
     """
     date = F.coalesce(F.nullif("revision_date", F.lit("")), F.nullif("effective_date", F.lit("")))
-    new = accepted.where("error_code is null and not already_present").dropDuplicates(["new_version_id"])
+    # records of different documents may share a version id, as it has eight digits of the hash
+    new = accepted.where("error_code is null and not already_present").dropDuplicates(["document_id", "new_version_id", "sha256"])
     new = new.select(
         F.col("new_version_id").alias("version_id"), "document_id", "sha256", date.alias("revision_date"), _column(new, "effective_date").alias("effective_date"), F.col("archive_file").alias("source_file"),
         F.col("attachment_url").alias("source_url"), "source_page_url", "file_size", _column(new, "department").alias("_department"), F.col("title").alias("_title"), _column(new, "previous_title").alias("previous_title"),
         _column(new, "title_change_evidence").alias("title_change_evidence"), _column(new, "application_note").alias("application_note"), "source_id", "source_record_id", "attachment_filename", _column(new, "captured_at").alias("captured_at"),
     )
-    line = Window.partitionBy("document_id").orderBy(text.filled(F.col("revision_date")), "version_id")
+    line = Window.partitionBy("document_id").orderBy(text.filled(F.col("revision_date")), "version_id", "sha256")
     head = predecessors(versions).withColumnRenamed("predecessor_id", "_head")
     new = new.withColumns({"_before": F.lag("version_id").over(line), "_after": F.lead("version_id").over(line)}).join(head, "document_id", "left")
     new = new.withColumns({"previous_version_id": F.coalesce("_before", "_head"), "next_version_id": F.col("_after"), "is_current": F.col("_after").isNull()})
     # written once: every output below is made from it, and the batch was made by many joins
     new = stored(new.withColumn("current_status", F.when(F.col("is_current"), "confirmed").otherwise("historical")), "accepted")
-    first = new.where("_before is null").select(F.col("_head").alias("version_id"), F.col("version_id").alias("_follows")).where("version_id is not null")
+    first = new.where("_before is null").select("document_id", F.col("_head").alias("version_id"), F.col("version_id").alias("_follows")).where("version_id is not null")
     touched = new.select("document_id").distinct().withColumn("_closed", F.lit(True))
 
     renamed = F.col("previous_title").isNotNull()
@@ -172,7 +175,7 @@ def apply_batch(accepted: DataFrame, documents: DataFrame, versions: DataFrame,
     shown |= {c: F.when(hit, F.col(f"x.{c}")).otherwise(_column(documents, c, "long" if c == "file_size" else "string")) for c in ("source_url", "source_page_url", "revision_date", "effective_date", "file_size", "sha256")}
     docs = d.withColumns(shown).drop("x", "_new_title", "_old_titles")
 
-    old = versions.join(touched, "document_id", "left").join(first, "version_id", "left")
+    old = versions.join(touched, "document_id", "left").join(first, ["document_id", "version_id"], "left")
     closed = F.coalesce(F.col("_closed"), F.lit(False)) & F.coalesce("is_current", F.lit(False))
     old = old.withColumns({"current_status": F.when(closed, "historical").otherwise(_column(versions, "current_status")), "is_current": F.when(closed, False).otherwise(F.col("is_current")), "next_version_id": F.coalesce("_follows", _column(versions, "next_version_id"))}).drop("_closed", "_follows")
     facts = docs.select("document_id", "title", *[_column(docs, c).alias(c) for c in ("version_group_id", "document_type", "category", "authority_level", "enactment_date")], F.col("department").alias("_own"))
