@@ -101,13 +101,13 @@ def repeated(df: DataFrame, key: str) -> DataFrame:
 
 
 def asymmetric_links(versions: DataFrame) -> DataFrame:
-    """Links to versions that are missing, of another document, or do not point back."""
+    """Links to versions that are missing, of another document, or do not point back. Versions of different documents may share an id, so a link is right if one of its document points back."""
     v = versions.select("version_id", "document_id", "previous_version_id", "next_version_id")
     way = lambda name: F.struct(F.lit(name).alias("way"), F.nullif(F.col(f"{name}_version_id"), F.lit("")).alias("to"))
     ends = v.select("version_id", "document_id", F.explode(F.array(way("next"), way("previous"))).alias("x")).select("version_id", "document_id", "x.*").where("to is not null")
-    other = v.select(F.col("version_id").alias("to"), F.col("document_id").alias("d"), F.col("previous_version_id").alias("p"), F.col("next_version_id").alias("n"))
+    other = v.select(F.col("version_id").alias("v"), F.col("document_id").alias("d"), F.col("previous_version_id").alias("p"), F.col("next_version_id").alias("n"))
     back = F.when(F.col("way") == "next", F.col("p")).otherwise(F.col("n"))
-    return ends.join(other, "to", "left").where(~F.col("document_id").eqNullSafe(F.col("d")) | ~F.col("version_id").eqNullSafe(back))
+    return ends.join(other, (F.col("to") == F.col("v")) & F.col("document_id").eqNullSafe(F.col("d")) & F.col("version_id").eqNullSafe(back), "left_anti")
 
 
 def chain_cycles(versions: DataFrame) -> DataFrame:
@@ -115,14 +115,19 @@ def chain_cycles(versions: DataFrame) -> DataFrame:
 
     Pointers are doubled; a chain that has ended leaves the table, so each round is smaller, and the rounds are
     the logarithm of the longest chain. A round is written before the next one reads it, so plans do not grow.
-    What is left when the steps exceed the number of versions runs in a circle.
+    What is left when the steps exceed the number of versions runs in a circle. Versions of different documents
+    may share an id; a pointer then means the one of its own document, if there is one.
     """
-    step = stored(versions.groupBy("version_id").agg(F.max(F.nullif("next_version_id", F.lit(""))).alias("to")), "steps")
-    total, known, taken = step.count(), step.select(F.col("version_id").alias("to")), 1
-    step = stored(step.where("to is not null").join(known, "to", "left_semi").select("version_id", "to"), "steps")
+    owner = F.coalesce(F.col("document_id").cast("string"), F.lit("")) if "document_id" in versions.columns else F.lit("")
+    step = stored(versions.groupBy(owner.alias("d"), "version_id").agg(F.max(F.nullif("next_version_id", F.lit(""))).alias("to")), "steps")
+    total, taken = step.count(), 1
+    own = step.select("d", F.col("version_id").alias("to"), F.lit(True).alias("own"))
+    known = step.groupBy(F.col("version_id").alias("to")).agg(F.min("d").alias("other"))
+    place = step.where("to is not null").join(known, "to").join(own, ["d", "to"], "left")
+    step = stored(place.select("d", "version_id", F.when(F.col("own"), F.col("d")).otherwise(F.col("other")).alias("to_d"), "to"), "steps")
     while taken <= total and not step.isEmpty():
-        hop = step.select(F.col("version_id").alias("to"), F.col("to").alias("next"))
-        step = stored(step.join(hop, "to").select("version_id", F.col("next").alias("to")), "steps")
+        hop = step.select(F.col("d").alias("to_d"), F.col("version_id").alias("to"), F.col("to_d").alias("next_d"), F.col("to").alias("next"))
+        step = stored(step.join(hop, ["to_d", "to"]).select("d", "version_id", F.col("next_d").alias("to_d"), F.col("next").alias("to")), "steps")
         taken *= 2
     return step.select("version_id")
 
@@ -215,8 +220,8 @@ def validate(documents: DataFrame, versions: DataFrame, chunks: DataFrame, manif
     add(chain_cycles(v), "version_chain_acyclic")
     if manifest is not None:
         add(unlinked_versions(v, manifest), "version_in_manifest")
-    owner = v.groupBy(F.col("version_id").alias("latest_version_id")).agg(F.first("document_id").alias("_owner"))
-    add(d.join(owner, "latest_version_id", "left").where(~F.col("document_id").eqNullSafe(F.col("_owner"))), "latest_belongs_to_document", "WARNING")
+    own = v.select(F.col("version_id").alias("_v"), F.col("document_id").alias("_d"))
+    add(d.join(own, (F.col("latest_version_id") == F.col("_v")) & F.col("document_id").eqNullSafe(F.col("_d")), "left_anti"), "latest_belongs_to_document", "WARNING")
     if files is not None:
         add(missing_files(v, files), "files_exist")
         counts = derivative_counts(v, files, tool)
