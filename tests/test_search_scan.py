@@ -78,7 +78,7 @@ def test_forms(spark):
         assert r.search_text == search.query_form(w) and r.compact_text == search.query_form(n).replace(" ", "")
 
 
-@pytest.mark.parametrize("name", ["search_bm25", "search_history"])
+@pytest.mark.parametrize("name", ["search_bm25", "search_history", "search_title_exact"])
 def test_whole_queries_against_sql(spark, tmp_path, name):
     """The SQL on a table where one source has the best 300 rows, and many scores are equal as shown."""
     rows = [(i, "license para und " if i < 300 else f"license {'long ' * 30}", "en", "books" if i < 300 else f"s{i}", 9) for i in range(1, 400)]
